@@ -15,6 +15,7 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows that may be sent to every executor at most; beyond, an operator takes a shuffle or several blocks.
 BROADCAST_ROWS = 1_000_000
@@ -93,3 +94,8 @@ def mix(x: np.ndarray, y: np.ndarray | int) -> np.ndarray:
 
 #: Words as maximal runs without ASCII white space, on UTF-8 bytes.
 SPACE_WORDS = re.compile(rb"[^\x20\x09-\x0d]+")
+
+
+def wider(df: DataFrame, ddl: str) -> StructType:
+    """df's schema and more fields, given as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])

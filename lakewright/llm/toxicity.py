@@ -26,7 +26,7 @@ PER_CLASS = 4000
 MOD, OUT = 3, 1
 THRESHOLD = 0.7
 BITS = 21
-EPOCHS, ALPHA, BETA, L1, L2 = 4, 0.3, 1.0, 1.5, 0.1
+EPOCHS, ALPHA, BETA, L1, L2 = 8, 0.6, 1.0, 2.0, 0.0
 WORDS = re.compile(r"[^\W\d_]+")
 
 

@@ -122,7 +122,8 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 def stage(docs: DataFrame) -> DataFrame:
     """The kept documents with their failing lines removed, in the columns of docs (`n_chars` follows the text)."""
     q = F.col("__q")
-    out = judge(docs).filter(q["kept"])
+    # a filter is not moved below a projection that holds an id of its own; moved, it would compute every statistic again
+    out = judge(docs).withColumn("__at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("__at") >= 0))
     fresh = {"text": q["clean_text"]} | ({"n_chars": F.length(q["clean_text"]).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return out.select(*[fresh[c].alias(c) if c in fresh else F.col(f"`{c}`") for c in docs.columns])
 

@@ -68,7 +68,7 @@ def tune(spark: SparkSession) -> None:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; forgets everything when it has grown past a bound."""
 
-    LIMIT = 500_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

@@ -4,7 +4,7 @@ several global token orders whose candidates are intersected before an exact ver
 How it goes
   1. One scan counts, over all documents, the shingle hashes in a fixed-size table of counters (merged by
      sum, in slices) and gives each document its set size and a 128-bit key of its set. Documents of one
-     key form a class; copies meet in one partial aggregation and are never compared again.
+     key form a class (its first half names it while candidates are sought); copies meet in one partial aggregation and are never compared again.
   2. A second scan emits each class's prefix under the first order (counter, then hash: rare first). Two
      sets that reach the threshold share at least one token of these prefixes.
   3. Tokens that the same classes share are one bucket. Buckets of at most `SMALL` classes give pairs, filtered
@@ -38,11 +38,11 @@ from lakewright.llm import common
 #: A bucket of so many classes at most is turned into pairs at once.
 SMALL = 64
 #: Classes in one block of a larger bucket.
-BLOCK = 1024
+BLOCK = 512
 #: Slices of the counter table, each summed by itself.
 SLICES = 64
 #: Counters: about one per `LOAD` shingles, a power of two between these.
-LOAD, MIN_BITS, MAX_BITS = 8, 16, 26
+LOAD, MIN_BITS, MAX_BITS = 32, 16, 26
 
 
 class Shingler:
@@ -69,6 +69,11 @@ def key_of(x: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(x.tobytes())
 
 
+def short_of(key: bytes) -> int:
+    """The key's first half, which names the class while candidates are sought."""
+    return int.from_bytes(key[:8], "little", signed=True)
+
+
 def prefix_size(n: int, percent: int) -> int:
     """Any set that reaches percent/100 with one of n shingles shares one of this many first tokens."""
     return n - -(-percent * n // 100) + 1
@@ -85,12 +90,14 @@ def _scan_one(n: int, bits: int):
                 slot, times = np.unique(every >> np.uint64(64 - bits), return_counts=True)
                 slot = slot.astype(np.int64)
                 counts[slot] = np.minimum(counts[slot].astype(np.int64) + times, 65535)
+            keys = [key_of(x) if len(x) else None for x in sets]
+            shorts = [None if k is None else short_of(k) for k in keys]
             yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"], "size": [len(x) for x in sets], "key": [key_of(x) if len(x) else None for x in sets], "part": None, "counts": None}
+                {"doc_id": pdf["doc_id"], "size": [len(x) for x in sets], "key": keys, "short": pd.Series(shorts, index=pdf.index, dtype="Int64"), "part": None, "counts": None}
             )
         if counts.any():
             rows = [(k, x) for k, x in enumerate(np.split(counts, SLICES)) if x.any()]
-            yield pd.DataFrame({"doc_id": None, "size": None, "key": None, "part": [k for k, _ in rows], "counts": [zlib.compress(x.tobytes(), 1) for _, x in rows]})
+            yield pd.DataFrame({"doc_id": None, "size": None, "key": None, "short": None, "part": [k for k, _ in rows], "counts": [zlib.compress(x.tobytes(), 1) for _, x in rows]})
 
     return scan
 
@@ -119,10 +126,10 @@ def _prefixes(n: int, bits: int, percent: int, sent):
                 k = prefix_size(len(x), percent)
                 order = np.lexsort((x, counts[(x >> np.uint64(64 - bits)).astype(np.int64)]))[:k]
                 tokens.append(x[order].view(np.int64))
-                keys += [key] * k
+                keys.append(np.full(k, short_of(key), np.int64))
                 sizes.append(np.full(k, len(x), np.int32))
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens), "key": keys, "size": np.concatenate(sizes)})
+                yield pd.DataFrame({"token": np.concatenate(tokens), "short": np.concatenate(keys), "size": np.concatenate(sizes)})
 
     return scan
 
@@ -168,23 +175,26 @@ def _verify_pairs(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
             ok = [reaches(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(p["set_a"], p["set_b"], strict=True)]
-            yield p.loc[ok, ["a", "b"]]
+            yield p.loc[ok, ["key_a", "key_b"]].set_axis(["a", "b"], axis=1)
 
     return run
 
 
-def _forest(pairs: np.ndarray, n: int) -> list[int]:
-    """Indexes of the pairs that join two parts."""
-    up, kept = list(range(n)), []
-    for at, (i, j) in enumerate(pairs.tolist()):
-        while up[i] != i:
-            up[i] = i = up[up[i]]
-        while up[j] != j:
-            up[j] = j = up[up[j]]
-        if i != j:
-            up[j] = i
-            kept.append(at)
-    return kept
+def _forest(link: np.ndarray) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of a symmetric boolean matrix."""
+    new, edges = np.ones(len(link), bool), []
+    for root in range(len(link)):
+        if not new[root]:
+            continue
+        new[root] = False
+        front = [root]
+        while front:
+            i = front.pop()
+            fresh = np.flatnonzero(link[i] & new)
+            new[fresh] = False
+            edges += [(i, int(j)) for j in fresh]
+            front += fresh.tolist()
+    return edges
 
 
 def _meet(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -208,9 +218,8 @@ def _meet(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
         dense[owner[a:b], word[a:b] - low] = 1
         both += dense @ dense.T
     link = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-    pairs = np.argwhere(np.triu(link, 1))
-    pairs = pairs[_forest(pairs, m)]
-    keys = pdf["key"].tolist()
+    np.fill_diagonal(link, False)
+    pairs, keys = _forest(link), pdf["key"].tolist()
     return pd.DataFrame({"a": [keys[i] for i, _ in pairs], "b": [keys[j] for _, j in pairs]})
 
 
@@ -237,57 +246,56 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("body"))
     chars = rows.agg(F.sum(F.length("body"))).first()[0] or 0  # a shingle starts at every word, of about 6 characters
     bits = min(MAX_BITS, max(MIN_BITS, int(chars / 6 / LOAD).bit_length()))
-    one = common.cut(rows.mapInPandas(_scan_one(n, bits), "doc_id bigint, size int, key binary, part int, counts binary"), "shingles")
-    members = one.filter("part is null").select("doc_id", "size", "key")
+    one = common.cut(rows.mapInPandas(_scan_one(n, bits), "doc_id bigint, size int, key binary, short bigint, part int, counts binary"), "shingles")
+    members = one.filter("part is null").select("doc_id", "size", "key", "short")
     table = one.filter("part is not null").groupBy("part").applyInPandas(_sum_slices, "part int, counts binary")
     sent = spark.sparkContext.broadcast([(r["part"], r["counts"]) for r in table.select("part", "counts").collect()])  # at most 2 ** MAX_BITS counters of 2 bytes
-    prefix = common.cut(
-        rows.mapInPandas(_prefixes(n, bits, percent, sent), "token bigint, key binary, size int"),
-        "prefix",
-    )
-    # tokens with the same members are one bucket: they agree in number and in two sums of hashes
-    buckets = (
-        prefix.groupBy("token").agg(F.count("*").alias("rows"), F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo < hi").select("token")
-    )
-    shared = common.cut(prefix.join(buckets, "token").groupBy("token", "key").agg(F.first("size").alias("size")), "shared")
+    prefix = common.cut(rows.mapInPandas(_prefixes(n, bits, percent, sent), "token bigint, short bigint, size int"), "prefix")
+    twice = prefix.groupBy("token").count().filter("count > 1").select("token")
+    shared = common.cut(prefix.join(twice, "token").groupBy("token", "short").agg(F.first("size").alias("size")), "shared")
     common.forget(prefix)
+    # tokens with the same members are one bucket: they agree in number and in two sums of hashes
     sums = shared.groupBy("token").agg(
-        F.count("*").alias("m"), F.sum(F.xxhash64("key") % (1 << 40)).alias("s1"), F.sum(F.xxhash64("key", F.lit(7)) % (1 << 40)).alias("s2")
+        F.count("*").alias("m"), F.sum(F.xxhash64("short") % (1 << 40)).alias("s1"), F.sum(F.xxhash64("short", F.lit(7)) % (1 << 40)).alias("s2")
     )
-    chosen = common.cut(sums.groupBy("m", "s1", "s2").agg(F.min("token").alias("token")).select("token", "m"), "buckets")
-    small = shared.join(chosen.filter(F.col("m") <= SMALL), "token")
-    listed = small.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("size", "key"))).alias("all"))
+    chosen = common.cut(sums.filter("m > 1").groupBy("m", "s1", "s2").agg(F.min("token").alias("token")).select("token", "m"), "buckets")
+    placed = common.cut(shared.join(chosen, "token"), "placed")
+    common.forget(shared, chosen)
+    small = placed.filter(F.col("m") <= SMALL)
+    listed = small.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("size", "short"))).alias("all"))
     first = listed.select(F.posexplode("all").alias("at", "x"), "all")
     # sorted by size: partners are those behind, up to the largest size that can still reach
     partners = F.filter(F.slice("all", F.col("at") + 2, F.lit(SMALL)), lambda y: y["size"] * percent <= F.col("x")["size"] * 100)
-    pairs = first.select(F.col("x")["key"].alias("p"), F.explode(partners).alias("y")).select(
-        F.least("p", F.col("y")["key"]).alias("a"), F.greatest("p", F.col("y")["key"]).alias("b")
+    pairs = first.select(F.col("x")["short"].alias("p"), F.explode(partners).alias("y")).select(
+        F.least("p", F.col("y")["short"]).alias("a"), F.greatest("p", F.col("y")["short"]).alias("b")
     )
     pairs = common.cut(pairs.distinct(), "pairs")
-    hot = common.cut(shared.join(chosen.filter(F.col("m") > SMALL), "token"), "hot")
-    common.forget(shared)
-    needed = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(hot.select("key")).distinct()
+    hot = placed.filter(F.col("m") > SMALL)
+    needed = pairs.select(F.col("a").alias("short")).union(pairs.select("b")).union(hot.select("short")).distinct()
     sets = common.cut(_sets(rows, members, needed, n, percent), "sets")
-    side = lambda x, what: sets.select(F.col("key").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in what])
+    side = lambda x, what: sets.select(F.col("short").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in what])
     likely = pairs.join(side("a", ("summary", "size")), "a").join(side("b", ("summary", "size")), "b")
     likely = likely.select("a", "b", F.col("summary_a").alias("sum_a"), "size_a", F.col("summary_b").alias("sum_b"), "size_b")
-    likely = common.cut(likely.mapInPandas(_filter_pairs(percent), "a binary, b binary"), "likely")
-    found = likely.join(side("a", ("set",)), "a").join(side("b", ("set",)), "b").mapInPandas(_verify_pairs(percent), "a binary, b binary")
+    likely = common.cut(likely.mapInPandas(_filter_pairs(percent), "a bigint, b bigint").distinct(), "likely")
+    common.forget(pairs)
+    found = likely.join(side("a", ("key", "set")), "a").join(side("b", ("key", "set")), "b").select("key_a", "set_a", "key_b", "set_b")
+    found = found.mapInPandas(_verify_pairs(percent), "a binary, b binary")
     # each class of a hot bucket goes to the groups of its block: with itself and with every other block
     blocks = F.ceil(F.col("m") / BLOCK)
-    own = F.pmod(F.xxhash64("key", F.lit(3)), blocks)
-    dealt = hot.select("token", "key", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).alias("other"))
-    dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "key")
-    met = dealt.join(sets.select("key", "set"), "key").groupBy("token", "i", "j").applyInPandas(lambda pdf: _meet(pdf, percent), "a binary, b binary")
+    own = F.pmod(F.xxhash64("short", F.lit(3)), blocks)
+    dealt = hot.select("token", "short", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).alias("other"))
+    dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "short")
+    met = dealt.join(sets.select("short", "key", "set"), "short").groupBy("token", "i", "j").applyInPandas(lambda pdf: _meet(pdf, percent), "a binary, b binary")
     links = common.cut(found.union(met).distinct(), "links")
-    common.forget(pairs, likely, hot, sets, chosen)
+    common.forget(likely, placed, sets)
     return members, components(links)
 
 
 def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percent: int) -> DataFrame:
-    """(key, size, set, summary) of the classes asked for, from the text of one document of each."""
-    few = members.groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(needed, "key")
-    few = common.cut(few, "picked")
+    """(key, short, size, set, summary) of the classes asked for, from the text of one document of each (a repeated
+    row may repeat a class)."""
+    few = members.filter("key is not null").groupBy("key", "short").agg(F.min("doc_id").alias("doc_id")).join(needed, "short")
+    few = common.cut(few.select("key", "doc_id"), "picked")
     if few.count() <= common.BROADCAST_ROWS:
         picked = rows.join(F.broadcast(few), rows["doc_id"].eqNullSafe(few["doc_id"]))
     else:
@@ -295,16 +303,19 @@ def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percen
     picked = picked.select("body", "key")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = Shingler(n)
+        shingles, seen = Shingler(n), set()
         for pdf in batches:
             out = []
-            for body, key in zip(pdf["body"], pdf["key"], strict=True):
+            for body, key in zip(pdf["body"], map(bytes, pdf["key"]), strict=True):
+                if key in seen:
+                    continue
                 x = shingles(body)
-                if len(x) and key_of(x) == bytes(key):  # else another row of the same doc_id
-                    out.append((key, len(x), x.tobytes(), summary_of(x, percent)))
-            yield pd.DataFrame(out, columns=["key", "size", "set", "summary"])
+                if len(x) and key_of(x) == key:  # else another row of the same doc_id
+                    seen.add(key)
+                    out.append((key, short_of(key), len(x), x.tobytes(), summary_of(x, percent)))
+            yield pd.DataFrame(out, columns=["key", "short", "size", "set", "summary"])
 
-    return picked.mapInPandas(run, "key binary, size int, set binary, summary binary").dropDuplicates(["key"])
+    return picked.mapInPandas(run, "key binary, short bigint, size int, set binary, summary binary")
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90, text: str = "text") -> DataFrame:

@@ -45,7 +45,7 @@ def fit(
     base = float(np.log(share / (1 - share)))
     feature, threshold, left, right, value, roots = [], [], [], [], [], []
     if len(y) and 0 < y.sum() < len(y):
-        cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
+        cuts = [_cuts(x[:, j], bins) for j in range(x.shape[1])]
         code = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)], axis=1).astype(np.int64)
         flat = code + np.arange(x.shape[1]) * bins
         margin = np.full(len(y), base)
@@ -73,6 +73,14 @@ def fit(
     return FlatTrees(base, roots, feature, threshold, left, right, value)
 
 
+def _cuts(column: np.ndarray, bins: int) -> np.ndarray:
+    """Between neighbouring values where these are few, else at quantiles."""
+    values = np.unique(column)
+    if len(values) <= bins:
+        return (values[1:] + values[:-1]) / 2
+    return np.unique(np.quantile(column, np.linspace(0, 1, bins + 1)[1:-1]))
+
+
 def _split(flat: np.ndarray, grad: np.ndarray, hess: np.ndarray, width: int, bins: int, least: int, shrink: float) -> tuple[int, int] | None:
     one = flat.ravel()
     size = width * bins

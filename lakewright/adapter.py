@@ -24,15 +24,15 @@ VIEWS = {
         case when {_Q.format(k=3)} % 10 = 2 then case when doc_id % 2 = 0 then 'Cleanse failed: bad text' else 'no aspects' end end as error_message,
         cast({_Q.format(k=11)} % 5 as int) as retry_count from documents""",
     "review_action_analysis": """select cast(d.doc_id as string) as review_id, quality = 0 as is_action_required, toxic = 1 as is_attention_required,
-        concat('summary ', cast(d.doc_id as string)) as review_summary from documents d left join labels l on l.doc_id = d.doc_id where d.doc_id % 23 <> 0""",
-    "review_aspects": """select event_id as aspect_id, cast(event_id % 1000 as string) as review_id, case when event_id % 13 = 0 then null else event_type end as keyword,
+        concat('summary ', cast(d.doc_id as string)) as review_summary from documents d left join labels l on l.doc_id = d.doc_id where d.source <> 'src7'""",
+    "review_aspects": """select event_id as aspect_id, cast(event_id % 700 as string) as review_id, case when event_id % 13 = 0 then null else event_type end as keyword,
         round(((37 * event_id + cast(floor(event_id / 11) as bigint)) % 101) / 100, 4) as sentiment_score,
         case event_type when 'click' then 'USABILITY' when 'view' then 'STABILITY' when 'purchase' then 'DESIGN' when 'signup' then 'SPEED' when 'error' then 'CUSTOMER_SUPPORT' end as category
-        from events where event_id % 1000 % 7 <> 0""",
+        from events""",
     "reviews_assigned": """select event_id as assigned_id, cast(event_id % 1000 as string) as review_id, {array}(event_type, concat('D', cast(user_id % 5 as string))) as assigned_dept,
-        round((event_id % 100) / 100, 2) as confidence, ts as created_at from events where event_id % 3 = 0""",
+        round((event_id % 100) / 100, 2) as confidence, ts as created_at from events where event_type in ('purchase', 'error')""",
     "reviews_preprocessed": """select cast(doc_id as string) as review_id, concat(source, '-', cast(doc_id as string)) as platform_review_id, trim(text) as refined_text
-        from documents where doc_id % 9 <> 0""",
+        from documents where lang <> 'es'""",
     "app_metadata": """select k + 1 as id, concat('src', cast(k as string)) as app_id, concat('svc-src', cast(k as string)) as service_id, date '2023-06-01' as valid_from,
         date '2024-01-15' as valid_to, k % 6 <> 0 as is_active from (select distinct cast(substr(source, 4) as int) as k from documents) s
         union all select k + 101 as id, concat('src', cast(k as string)) as app_id, concat('svc-src', cast(k as string)) as service_id,

@@ -5,7 +5,11 @@ Text columns whose operator DuckDB cannot express have no SQL; tests hold them a
 
 from __future__ import annotations
 
+import atexit
 import datetime as dt
+import shutil
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +20,7 @@ from lakewright.functions import actions, aspects, text, vectors
 from lakewright.operators import joins, load, predicates, projections, state, upsert
 from lakewright.plans import checks, marts, serving
 from lakewright.schemas import KEYS, MARTS
+from lakewright.sources import lake, landing
 from lakewright.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -778,3 +783,61 @@ def _(v, t):
     rows = lines.join(t("orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     rows = rows.join(t("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     return rows.groupBy("n_name").agg(F.round(F.sum("r"), 2).alias("revenue"), F.count("*").alias("orders"))
+
+
+# ---- sources and sinks: written to a scratch folder and read back ------------------------------------------------
+def _scratch(spark: SparkSession) -> str:
+    """A fresh folder below the shared one (a temporary one where the session names none)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="lakewright-")
+        atexit.register(shutil.rmtree, base[7:], True)
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
+@_add("s02_p09_playstore_payload", ("app_reviews",), """select platform_review_id, reviewer_name, rating, review_text from
+    (select platform_review_id, reviewer_name, rating, trim(review_text) as review_text from app_reviews) t where regexp_matches(review_text, '\\S')""")
+def _(v, t):
+    raw = v["app_reviews"].select(
+        F.col("platform_review_id").alias("reviewId"), F.col("reviewer_name").alias("userName"), F.col("review_text").alias("content"),
+        F.col("rating").cast("string").alias("score"), F.date_format("reviewed_at", "yyyy-MM-dd'T'HH:mm:ss").alias("at"), F.col("app_id").alias("appId"),
+    )
+    path = _scratch(raw.sparkSession)
+    raw.write.json(path)
+    return landing.playstore_reviews(raw.sparkSession, path).select("platform_review_id", "reviewer_name", "rating", "review_text")
+
+
+@_add("s04_app_id_list", (), "select distinct source as app_id from documents")
+def _(v, t):
+    lines = t("documents").select(F.concat(F.lit(" "), "source", F.lit("  # from "), "lang").alias("value"))
+    lines = lines.union(lines.select(F.lit("# a comment"))).union(lines.select(F.lit("")))
+    path = _scratch(lines.sparkSession)
+    lines.distinct().write.text(path)
+    return landing.app_ids(lines.sparkSession, path).distinct()
+
+
+@_add("s07_s10_s14_bronze_day", ("app_reviews",), f"select review_id, rating from app_reviews where cast(created_at as date) = date '{DAY}'")
+def _(v, t):
+    rows = v["app_reviews"].withColumn("created", F.to_date("created_at"))
+    base, spark = _scratch(rows.sparkSession), rows.sparkSession
+    for day in (DAY - dt.timedelta(days=1), DAY):
+        lake.write_batch(rows.filter(F.col("created") == F.lit(day)).drop("created"), f"{base}/app_reviews", day)
+    return lake.bronze_day(spark, base, DAY).select("review_id", "rating")
+
+
+@_add("s15_silver_overwrite", ("app_reviews",), "select review_id, case when app_id = 'src3' then 99 else rating end as rating from app_reviews where app_id <> 'src3' or rating > 2")
+def _(v, t):
+    rows = v["app_reviews"].select("app_id", F.lit("2024-01-01").alias("dt"), "review_id", "rating")
+    base = _scratch(rows.sparkSession)
+    lake.write_silver(rows, base)
+    lake.write_silver(rows.filter("app_id = 'src3' and rating > 2").withColumn("rating", F.lit(99)), base)
+    return rows.sparkSession.read.parquet(f"{base}/reviews").select("review_id", "rating")
+
+
+@_add("s18_s20_catalog_seed", ("app_metadata",), "select app_id, service_id, valid_from, is_active or id > 100 as is_active from app_metadata")
+def _(v, t):
+    rows = v["app_metadata"].withColumns({c: F.lit(None).cast("string") for c in ("group_id", "group_type", "app_type")})
+    catalog = lake.Catalog(rows.sparkSession, _scratch(rows.sparkSession))
+    catalog.seed("app_metadata", rows)
+    catalog.seed("app_metadata", rows.filter("id > 100").withColumn("is_active", F.lit(True)))
+    return catalog.read("app_metadata").select("app_id", "service_id", "valid_from", "is_active")

@@ -7,12 +7,18 @@ costs only the tasks that it ran.
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
+import gc
 import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -61,14 +67,28 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def tune(spark: SparkSession) -> None:
     """Arrow batches small enough that long texts cannot fill a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+
+
+def released(run: Callable) -> Callable:
+    """A batch function whose Python worker, which Spark keeps for later tasks, gives its memory back at the end."""
+
+    @functools.wraps(run)
+    def and_release(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return and_release
 
 
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash; forgets everything when it has grown past a bound."""
 
-    LIMIT = 250_000
+    LIMIT = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

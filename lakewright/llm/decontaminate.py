@@ -7,7 +7,8 @@ item, or the whole item where it has fewer. The set is sent to the executors in
 are merged per document.
 
 Defined results: null or empty texts have no words and no hits; an item without words has no window;
-equal windows of several items count for each of them; repeated rows are scanned alike; other columns
+equal windows of several items count for each of them; an item
+without an id marks words but is not listed; repeated rows are scanned alike; other columns
 are not read. The text of hit words can be cut out with `clean`, which leaves all other characters.
 """
 
@@ -16,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -99,8 +100,11 @@ def _blocks(benchmark: DataFrame) -> list[DataFrame]:
     return [rows.filter(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k) if n > 1 else rows for k in range(n)]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """docs' columns with `__n` (words), `__runs` (hit words: start, end pairs, flat) and `__items` (item ids, sorted)."""
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", finish: Callable | None = None) -> DataFrame:
+    """docs' columns with `__n` (words), `__runs` (hit words: start, end pairs, flat) and `__items` (item ids, sorted).
+
+    finish: what to make of the last block's batches instead, in docs' columns (in the same Python worker).
+    """
     spark = docs.sparkSession
     schema = common.wider(docs, "__n bigint, __runs array<bigint>, __items array<string>")
     names = docs.columns
@@ -109,11 +113,12 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame
     for k, block in enumerate(blocks):
         held = [(r["item"], words_of(r["body"])) for r in block.collect()]
         sent = spark.sparkContext.broadcast(held)
-        out = out.mapInPandas(_scanner(sent, text, names, k > 0), schema)
+        last = finish if k + 1 == len(blocks) else None
+        out = out.mapInPandas(common.released(_scanner(sent, text, names, k > 0, last)), docs.schema if last else schema)
     return out
 
 
-def _scanner(sent, text: str, names: list[str], later: bool):
+def _scanner(sent, text: str, names: list[str], later: bool, finish: Callable | None):
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         windows = Windows(sent.value)
         for pdf in batches:
@@ -128,8 +133,9 @@ def _scanner(sent, text: str, names: list[str], later: bool):
                     own |= set(pdf["__items"].iloc[k])
                 counts.append(len(words))
                 runs.append([int(x) for run in hit for x in run])
-                items.append(sorted(own))
-            yield pdf[names].assign(__n=counts, __runs=runs, __items=items)
+                items.append(sorted(x for x in own if x is not None))
+            got = pdf[names].assign(__n=counts, __runs=runs, __items=items)
+            yield finish(got) if finish else got
 
     return scan
 
@@ -150,18 +156,19 @@ def clean(body: str | None, runs: list[int]) -> str | None:
 
 def stage(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5) -> DataFrame:
     """Hit spans are cut out; a document that has lost over `max_share` of its words goes."""
-    schema = docs.schema
+    names = docs.columns
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            hit = pdf["__runs"].map(lambda x: sum(x[1::2]) - sum(x[::2]))
-            pdf = pdf[(hit <= max_share * pdf["__n"])].copy()
-            pdf["text"] = [clean(t, r) for t, r in zip(pdf["text"], pdf["__runs"], strict=True)]
-            if "n_chars" in pdf and len(pdf):
-                pdf["n_chars"] = [n if not len(r) else len(t) for n, t, r in zip(pdf["n_chars"], pdf["text"], pdf["__runs"], strict=True)]
-            yield pdf[schema.names]
-
-    return find(docs, benchmark).mapInPandas(cut, schema)
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        hit = pdf["__runs"].map(lambda x: sum(x[1::2]) - sum(x[::2]))
+        pdf = pdf[hit.astype(float) <= max_share * pdf["__n"]].copy()
+        if not len(pdf):
+            return pdf[names]
+        pdf["text"] = [clean(t, r) for t, r in zip(pdf["text"], pdf["__runs"], strict=True)]
+        if "n_chars" in pdf:
+            pdf["n_chars"] = [n if not len(r) else len(t) for n, t, r in zip(pdf["n_chars"], pdf["text"], pdf["__runs"], strict=True)]
+        return pdf[names]
+
+    return find(docs, benchmark, finish=cut)
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

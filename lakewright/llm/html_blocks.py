@@ -22,6 +22,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from lakewright.llm import common
+
 #: Element names of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "canvas", "object", "title", "select"}
@@ -221,7 +223,7 @@ def extract(pages: DataFrame) -> DataFrame:
             texts = [main_text(x) for x in pdf["html"]]
             yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(x) for x in texts]})
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")
+    return pages.select("page_id", "url", "html").mapInPandas(common.released(run), "page_id bigint, url string, text string, n_chars bigint")
 
 
 def query(pages: DataFrame) -> DataFrame:

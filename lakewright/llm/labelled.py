@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_CHARS = 60_000_000
+MAX_CHARS = 30_000_000
 
 
 def remainder(mod: int) -> Column:

@@ -246,11 +246,11 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("body"))
     chars = rows.agg(F.sum(F.length("body"))).first()[0] or 0  # a shingle starts at every word, of about 6 characters
     bits = min(MAX_BITS, max(MIN_BITS, int(chars / 6 / LOAD).bit_length()))
-    one = common.cut(rows.mapInPandas(_scan_one(n, bits), "doc_id bigint, size int, key binary, short bigint, part int, counts binary"), "shingles")
+    one = common.cut(rows.mapInPandas(common.released(_scan_one(n, bits)), "doc_id bigint, size int, key binary, short bigint, part int, counts binary"), "shingles")
     members = one.filter("part is null").select("doc_id", "size", "key", "short")
     table = one.filter("part is not null").groupBy("part").applyInPandas(_sum_slices, "part int, counts binary")
     sent = spark.sparkContext.broadcast([(r["part"], r["counts"]) for r in table.select("part", "counts").collect()])  # at most 2 ** MAX_BITS counters of 2 bytes
-    prefix = common.cut(rows.mapInPandas(_prefixes(n, bits, percent, sent), "token bigint, short bigint, size int"), "prefix")
+    prefix = common.cut(rows.mapInPandas(common.released(_prefixes(n, bits, percent, sent)), "token bigint, short bigint, size int"), "prefix")
     twice = prefix.groupBy("token").count().filter("count > 1").select("token")
     shared = common.cut(prefix.join(twice, "token").groupBy("token", "short").agg(F.first("size").alias("size")), "shared")
     common.forget(prefix)
@@ -276,10 +276,10 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     side = lambda x, what: sets.select(F.col("short").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in what])
     likely = pairs.join(side("a", ("summary", "size")), "a").join(side("b", ("summary", "size")), "b")
     likely = likely.select("a", "b", F.col("summary_a").alias("sum_a"), "size_a", F.col("summary_b").alias("sum_b"), "size_b")
-    likely = common.cut(likely.mapInPandas(_filter_pairs(percent), "a bigint, b bigint").distinct(), "likely")
+    likely = common.cut(likely.mapInPandas(common.released(_filter_pairs(percent)), "a bigint, b bigint").distinct(), "likely")
     common.forget(pairs)
     found = likely.join(side("a", ("key", "set")), "a").join(side("b", ("key", "set")), "b").select("key_a", "set_a", "key_b", "set_b")
-    found = found.mapInPandas(_verify_pairs(percent), "a binary, b binary")
+    found = found.mapInPandas(common.released(_verify_pairs(percent)), "a binary, b binary")
     # each class of a hot bucket goes to the groups of its block: with itself and with every other block
     blocks = F.ceil(F.col("m") / BLOCK)
     own = F.pmod(F.xxhash64("short", F.lit(3)), blocks)
@@ -315,7 +315,7 @@ def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percen
                     out.append((key, short_of(key), len(x), x.tobytes(), summary_of(x, percent)))
             yield pd.DataFrame(out, columns=["key", "short", "size", "set", "summary"])
 
-    return picked.mapInPandas(run, "key binary, short bigint, size int, set binary, summary binary")
+    return picked.mapInPandas(common.released(run), "key binary, short bigint, size int, set binary, summary binary")
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90, text: str = "text") -> DataFrame:

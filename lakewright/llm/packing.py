@@ -31,6 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.llm import common
+
 TIERS = (256, 512, 1024, 2048)
 LONGEST = TIERS[-1]
 POOL = 400_000
@@ -249,7 +251,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, pool: int = P
         if windows:
             yield pd.DataFrame(_rows(windows, made, base), columns=COLUMNS)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(common.released(run), SCHEMA)
 
 
 def query(docs: DataFrame) -> DataFrame:

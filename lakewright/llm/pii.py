@@ -22,7 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -173,7 +173,7 @@ def learn(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(text).cast("string").alias("body"))
     edges = common.cut(
-        rows.mapInPandas(_edges, "pattern string, instance string, kind string, n bigint").groupBy("pattern", "instance", "kind").agg(F.sum("n").alias("n")), "edges"
+        rows.mapInPandas(common.released(_edges), "pattern string, instance string, kind string, n bigint").groupBy("pattern", "instance", "kind").agg(F.sum("n").alias("n")), "edges"
     )
     support = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("s"))
     support = support.groupBy("pattern").agg(F.sum("s").alias("support"), F.max(F.struct("s", "kind"))["kind"].alias("kind")).filter(F.col("support") >= SUPPORT)
@@ -181,7 +181,7 @@ def learn(docs: DataFrame, text: str = "text") -> DataFrame:
     totals = None
     for part in _blocks(support, ["pattern"]):
         sent = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in part))
-        own = rows.mapInPandas(_totals(sent), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
+        own = rows.mapInPandas(common.released(_totals(sent)), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
         totals = own if totals is None else totals.union(own)
     known = common.cut(support.join(totals, "pattern"), "totals")
     graph = common.cut(
@@ -201,14 +201,19 @@ def learn(docs: DataFrame, text: str = "text") -> DataFrame:
     return out
 
 
-def find(docs: DataFrame, text: str = "text", patterns: DataFrame | None = None) -> DataFrame:
-    """docs' columns and `__base`, `__spans`: strings kind:start:end, by start, then kind."""
+def find(docs: DataFrame, text: str = "text", patterns: DataFrame | None = None, finish: Callable | None = None) -> DataFrame:
+    """docs' columns and `__base`, `__spans`: strings kind:start:end, by start, then kind.
+
+    finish: what to make of the last pass's batches instead, in docs' columns (in the same Python worker).
+    """
     patterns = learn(docs, text) if patterns is None else patterns
     spark, names = docs.sparkSession, docs.columns
     out, schema = docs, common.wider(docs, "__base array<string>, __spans array<string>")
-    for k, part in enumerate(_blocks(patterns, ["pattern", "kind"])):
+    parts = _blocks(patterns, ["pattern", "kind"])
+    for k, part in enumerate(parts):
         sent = spark.sparkContext.broadcast({r["pattern"]: r["kind"] for r in part})
-        out = out.mapInPandas(_finder(sent, text, names, k > 0), schema)
+        last = finish if k + 1 == len(parts) else None
+        out = out.mapInPandas(common.released(_finder(sent, text, names, k > 0, last)), docs.schema if last else schema)
     return out
 
 
@@ -220,7 +225,7 @@ def parse_spans(spans) -> list[Span]:
     return [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in spans)]
 
 
-def _finder(sent, text: str, names: list[str], later: bool):
+def _finder(sent, text: str, names: list[str], later: bool, finish: Callable | None):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         accepted = sent.value
         for pdf in batches:
@@ -236,7 +241,8 @@ def _finder(sent, text: str, names: list[str], later: bool):
                 every = {*base, *more, *(parse_spans(pdf["__spans"].iloc[k]) if later else ())}
                 bases.append(_written(base))
                 alls.append(_written(sorted(every, key=order)))
-            yield pdf[names].assign(__base=bases, __spans=alls)
+            got = pdf[names].assign(__base=bases, __spans=alls)
+            yield finish(got) if finish else got
 
     return run
 
@@ -255,18 +261,17 @@ def mask(body: str | None, spans: list[Span]) -> str | None:
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents with their personal data masked; all stay."""
-    schema = docs.schema
+    names = docs.columns
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            hit = pdf["__spans"].map(len) > 0
-            pdf = pdf.copy()
-            pdf["text"] = [mask(t, parse_spans(s)) if h else t for t, s, h in zip(pdf["text"], pdf["__spans"], hit, strict=True)]
-            if "n_chars" in pdf:
-                pdf["n_chars"] = [len(t) if h else n for t, n, h in zip(pdf["text"], pdf["n_chars"], hit, strict=True)]
-            yield pdf[schema.names]
-
-    return find(docs).mapInPandas(cut, schema)
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        hit = pdf["__spans"].map(len) > 0
+        pdf = pdf.copy()
+        pdf["text"] = [mask(t, parse_spans(s)) if h else t for t, s, h in zip(pdf["text"], pdf["__spans"], hit, strict=True)]
+        if "n_chars" in pdf:
+            pdf["n_chars"] = [len(t) if h else n for t, n, h in zip(pdf["text"], pdf["n_chars"], hit, strict=True)]
+        return pdf[names]
+
+    return find(docs, finish=cut)
 
 
 def query(docs: DataFrame) -> DataFrame:

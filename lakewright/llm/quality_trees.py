@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from lakewright.llm import labelled, trees
+from lakewright.llm import common, labelled, trees
 
 PER_CLASS = 4000
 MOD, OUT = 4, 2
@@ -79,7 +79,7 @@ def score(docs: DataFrame, model: trees.FlatTrees) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= THRESHOLD).astype(np.int32)})
 
     rows = docs.select("doc_id", "text", labelled.held_out(MOD, OUT).alias("held_out"))
-    return rows.mapInPandas(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return rows.mapInPandas(common.released(run), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -40,13 +40,13 @@ class Features:
     def __call__(self, text: str | None) -> np.ndarray:
         words = WORDS.findall(text.lower()) if text else []
         if not words:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int32)
         h = self.hashes.array([w.encode("utf-8", "replace") for w in words])
         stems = [w[:k].encode("utf-8", "replace") for w in set(words) for k in (4, 5, 6) if len(w) > k]
         parts = [common.mix(h, 1), common.mix(common.mix(h[:-1], h[1:]), 2), common.mix(common.mix(h[:-2], h[2:]), 3)]
         if stems:
             parts.append(common.mix(self.hashes.array(list(set(stems))), 4))
-        return np.unique(np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int64)
+        return np.unique(np.concatenate(parts) >> np.uint64(64 - BITS)).astype(np.int32)
 
 
 class Model:
@@ -111,7 +111,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= THRESHOLD).astype(np.int32)})
 
     rows = docs.select("doc_id", "text", labelled.held_out(MOD, OUT).alias("held_out"))
-    return rows.mapInPandas(run, "doc_id bigint, held_out boolean, score double, predicted int")
+    return rows.mapInPandas(common.released(run), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

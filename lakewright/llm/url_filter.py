@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm import trees
+from lakewright.llm import common, trees
 
 #: (verdict, host, path) of each rule.
 RULES = [
@@ -120,7 +120,7 @@ def judge(pages: DataFrame) -> DataFrame:
             said = pdf["__said"].where(pdf["__said"].notna(), own)
             yield pd.DataFrame({"page_id": pdf["page_id"], "host": pdf["__host"], "path": pdf["__path"], "rule": pdf["__rule"], "verdict": said, "score": s})
 
-    return df.mapInPandas(run, "page_id bigint, host string, path string, rule string, verdict string, score double")
+    return df.mapInPandas(common.released(run), "page_id bigint, host string, path string, rule string, verdict string, score double")
 
 
 def query(pages: DataFrame) -> DataFrame:

@@ -171,7 +171,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         if bundle is not None:
             bundle.close()
 
-    return common.cut(with_winner(pages).mapInPandas(run, _INDEX), "manifest")
+    return common.cut(with_winner(pages).mapInPandas(common.released(run), _INDEX), "manifest")
 
 
 def read(manifest: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
@@ -199,7 +199,7 @@ def read(manifest: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
                         columns = [x.split()[0] for x in schema.split(", ")]
                         yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return frames.mapInPandas(run, schema)
+    return frames.mapInPandas(common.released(run), schema)
 
 
 def _row(headers: dict[str, str], payload: bytes) -> tuple:

@@ -66,6 +66,12 @@ def test_stage(spark, documents):
     assert rows[0]["text"] == f"{rest}, {rest}" and rows[0]["n_chars"] == len(rows[0]["text"]) and rows[2]["text"] == rest
 
 
+def test_item_without_id_and_repeated_items(spark, documents):
+    bench = spark.createDataFrame([(None, "a b c"), (4, "x y"), (4, "x y"), (4, "y z")], "item_id long, text string")
+    rows = d.query(documents(["a b c x y z", "a b c"]), bench).orderBy("doc_id").collect()
+    assert [tuple(r)[1:] for r in rows] == [(6, 6, 1, d.sha256_of(["4"]), True), (3, 3, 0, d.sha256_of([]), True)]
+
+
 def test_empty(spark, documents):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert [tuple(r)[1:4] for r in d.query(documents(["a b"]), bench).collect()] == [(2, 0, 0)]

@@ -7,9 +7,10 @@ How it goes
      key form a class (its first half names it while candidates are sought); copies meet in one partial aggregation and are never compared again.
   2. A second scan emits each class's prefix under the first order (counter, then hash: rare first). Two
      sets that reach the threshold share at least one token of these prefixes.
-  3. Tokens that the same classes share are one bucket. Buckets of at most `SMALL` classes give pairs, filtered
-     by set size. Larger ones are dealt to blocks of `BLOCK` classes, compared block by block with exact
-     intersection counts by matrix product; only a spanning forest of the links leaves such a task.
+  3. Tokens that the same classes share are one bucket. Buckets of more than `SMALL` classes come first: they are
+     dealt to blocks of `BLOCK` classes, compared block by block with exact intersection counts by matrix
+     product; only a spanning forest of the links leaves such a task. The others give pairs, filtered by set size
+     and without those that the large buckets have joined.
   4. Pairs must share prefix tokens under a second and third order (hash ascending and descending) as well,
      and pass an upper bound of the intersection from counts in 256 bins, before the whole sets meet.
   5. Links between classes are closed to components by repeated minimum and pointer jumping.
@@ -41,6 +42,8 @@ SMALL = 64
 BLOCK = 512
 #: Slices of the counter table, each summed by itself.
 SLICES = 64
+#: Links that one task reduces to stars.
+PART = 200_000
 #: Counters: about one per `LOAD` shingles, a power of two between these.
 LOAD, MIN_BITS, MAX_BITS = 32, 16, 26
 
@@ -223,9 +226,34 @@ def _meet(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     return pd.DataFrame({"a": [keys[i] for i, _ in pairs], "b": [keys[j] for _, j in pairs]})
 
 
+def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A part's links as one star around the smallest key of each of its components."""
+    up: dict = {}
+
+    def root(x):
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"], pdf["b"], strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    rows = [(x, r) for x in list(up) if (r := root(x)) != x]
+    yield pd.DataFrame(rows, columns=["a", "b"])
+
+
 def components(links: DataFrame, tag: str = "cc") -> DataFrame:
-    """(a, b) links over orderable keys -> (key, root): the smallest key of each component, for keys with a link."""
-    edges = common.cut(links.select("a", "b").union(links.select("b", "a")).distinct(), tag)
+    """(a, b) links over orderable keys -> (key, root): the smallest key of each component, for keys with a link.
+
+    Parts of `PART` links are first reduced to stars, which leaves at most a link for each key of a part.
+    """
+    links = common.cut(links.select("a", "b"), tag)
+    parts = -(-links.count() // PART) or 1
+    stars = links.repartition(parts).mapInPandas(common.released(_stars), links.schema)
+    edges = common.cut(stars.union(stars.select("b", "a")).distinct(), tag)
+    common.forget(links)
     labels = common.cut(edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("m")).select("key", F.least("key", "m").alias("root")), tag)
     while True:
         near = edges.join(labels.withColumnRenamed("key", "b"), "b").groupBy(F.col("a").alias("key")).agg(F.min("root").alias("near"))
@@ -261,34 +289,47 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     chosen = common.cut(sums.filter("m > 1").groupBy("m", "s1", "s2").agg(F.min("token").alias("token")).select("token", "m"), "buckets")
     placed = common.cut(shared.join(chosen, "token"), "placed")
     common.forget(shared, chosen)
+    # large buckets first: each class goes to the groups of its block, with itself and with every other block
+    hot, sets, links, roots = placed.filter(F.col("m") > SMALL), None, None, None
+    if hot.limit(1).count():
+        sets = common.cut(_sets(rows, members, hot.select("short").distinct(), n, percent), "sets")
+        blocks = F.ceil(F.col("m") / BLOCK)
+        own = F.pmod(F.xxhash64("short", F.lit(3)), blocks)
+        dealt = hot.select("token", "short", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).alias("other"))
+        dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "short")
+        met = dealt.join(sets.select("short", "key", "set"), "short").groupBy("token", "i", "j").applyInPandas(lambda pdf: _meet(pdf, percent), "a binary, b binary")
+        links = common.cut(met, "links")
+        named = components(links).join(sets.select("key", "short"), "key").groupBy("short")
+        roots = common.cut(named.agg(F.min("root").alias("root"), F.count("*").alias("n")).filter("n = 1").drop("n"), "roots")
+    # then pairs of the small ones, but for those that are joined already
     small = placed.filter(F.col("m") <= SMALL)
-    listed = small.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("size", "short"))).alias("all"))
+    small = small.withColumn("root", F.lit(None).cast("binary")) if roots is None else small.join(roots, "short", "left")
+    listed = small.groupBy("token").agg(F.sort_array(F.collect_list(F.struct("size", "short", "root"))).alias("all"))
     first = listed.select(F.posexplode("all").alias("at", "x"), "all")
     # sorted by size: partners are those behind, up to the largest size that can still reach
-    partners = F.filter(F.slice("all", F.col("at") + 2, F.lit(SMALL)), lambda y: y["size"] * percent <= F.col("x")["size"] * 100)
+    partners = F.filter(
+        F.slice("all", F.col("at") + 2, F.lit(SMALL)),
+        lambda y: (y["size"] * percent <= F.col("x")["size"] * 100) & ~F.coalesce(y["root"] == F.col("x")["root"], F.lit(False)),
+    )
     pairs = first.select(F.col("x")["short"].alias("p"), F.explode(partners).alias("y")).select(
         F.least("p", F.col("y")["short"]).alias("a"), F.greatest("p", F.col("y")["short"]).alias("b")
     )
     pairs = common.cut(pairs.distinct(), "pairs")
-    hot = placed.filter(F.col("m") > SMALL)
-    needed = pairs.select(F.col("a").alias("short")).union(pairs.select("b")).union(hot.select("short")).distinct()
-    sets = common.cut(_sets(rows, members, needed, n, percent), "sets")
-    side = lambda x, what: sets.select(F.col("short").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in what])
+    common.forget(placed)
+    needed = pairs.select(F.col("a").alias("short")).union(pairs.select("b")).distinct()
+    if sets is not None:
+        needed = needed.join(sets.select("short"), "short", "left_anti")
+    more = common.cut(_sets(rows, members, needed, n, percent), "sets")
+    every = more if sets is None else sets.unionByName(more)
+    side = lambda x, what: every.select(F.col("short").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in what])
     likely = pairs.join(side("a", ("summary", "size")), "a").join(side("b", ("summary", "size")), "b")
     likely = likely.select("a", "b", F.col("summary_a").alias("sum_a"), "size_a", F.col("summary_b").alias("sum_b"), "size_b")
     likely = common.cut(likely.mapInPandas(common.released(_filter_pairs(percent)), "a bigint, b bigint").distinct(), "likely")
     common.forget(pairs)
     found = likely.join(side("a", ("key", "set")), "a").join(side("b", ("key", "set")), "b").select("key_a", "set_a", "key_b", "set_b")
-    found = found.mapInPandas(common.released(_verify_pairs(percent)), "a binary, b binary")
-    # each class of a hot bucket goes to the groups of its block: with itself and with every other block
-    blocks = F.ceil(F.col("m") / BLOCK)
-    own = F.pmod(F.xxhash64("short", F.lit(3)), blocks)
-    dealt = hot.select("token", "short", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).alias("other"))
-    dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "short")
-    met = dealt.join(sets.select("short", "key", "set"), "short").groupBy("token", "i", "j").applyInPandas(lambda pdf: _meet(pdf, percent), "a binary, b binary")
-    links = common.cut(found.union(met).distinct(), "links")
-    common.forget(likely, placed, sets)
-    return members, components(links)
+    found = common.cut(found.mapInPandas(common.released(_verify_pairs(percent)), "a binary, b binary"), "found")
+    common.forget(likely, more, *([sets, roots] if sets is not None else []))
+    return members, components(found if links is None else found.union(links))
 
 
 def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percent: int) -> DataFrame:

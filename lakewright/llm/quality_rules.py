@@ -37,18 +37,18 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def _line_fails(line: Column) -> Column:
-    words = F.split(F.trim(line), SPACE + "+")
-    n, low = F.size(words), F.lower(line)
+def _line_fails(x: Column) -> Column:
+    """x: struct of a line `t`, its words `w` and the lower-cased line `low` (each computed once)."""
+    line, n = x["t"], F.size(x["w"])
     fails = (
         (_count(line, SYMBOLS) * 10 > F.length(line))
         | ((n >= 4) & (_count(line, "[!?]") * 2 > n))
         | line.rlike(NAVIGATION)
         | ((n >= 5) & (_count(line, "[A-Z]") * 2 > F.length(line)))
-        | ((n >= 8) & (F.size(F.array_distinct(words)) * 3 < n))
+        | ((n >= 8) & (F.size(F.array_distinct(x["w"])) * 3 < n))
     )
     for phrase in BOILERPLATE:
-        fails = fails | low.contains(phrase)
+        fails = fails | x["low"].contains(phrase)
     return fails
 
 
@@ -57,7 +57,10 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     out = docs.withColumn("__t", body)
     out = out.withColumn("__w", F.array_remove(F.split("__t", SPACE + "+"), ""))
-    out = out.withColumn("__l", F.split("__t", "\n", -1))
+    out = out.withColumn(
+        "__l",
+        F.transform(F.split("__t", "\n", -1), lambda x: F.struct(x.alias("t"), F.split(F.trim(x), SPACE + "+").alias("w"), F.lower(x).alias("low"))),
+    )
     out = out.withColumn(
         "__h",
         F.when(
@@ -97,9 +100,10 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
         F.lit(0),
         lambda a, x: a + x,
     )
-    solid = F.filter("__l", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    solid = F.transform(F.filter("__l", lambda x: x["t"].rlike(r"[^\x20\x09-\x0D]")), lambda x: x["t"])
     out = out.withColumn("__solid", solid)
-    out = out.withColumn("__good", F.filter("__l", lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & _line_fails(x))))
+    good = F.filter("__l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x)))
+    out = out.withColumn("__good", F.transform(good, lambda x: x["t"]))
     out = out.withColumn(
         "__q",
         F.struct(

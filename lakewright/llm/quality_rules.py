@@ -10,6 +10,12 @@ A line fails when it
   * is shouted: from 5 words on, more than half of its characters are ASCII capitals,
   * stutters: from 8 words on, fewer than a third of its words are different ones.
 
+`query` takes these rules as they stand, as its SQL does. `stage` goes by a line's length as well, so that a text
+without line breaks is not lost for one mark: a line of over `SHORT_LINE` characters is navigation only if `|` and `»`
+are over one in `MARKS_SHARE` characters, boilerplate only if the phrases make up over a tenth of it, and it stutters
+only if its stretches of `STRETCH` words, each by itself, have in sum under a third as many different words as words.
+Each of these needs the plain rule too, so `stage` removes no line that `query` would leave.
+
 Defined results: null or empty text has no words and is rejected (n_words < 20); blank lines never
 fail; repeated rows are judged alike; other columns of the input are not read.
 """
@@ -23,6 +29,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 MAX_LOST = 0.5
+#: Of `stage` only; in characters, in characters for each mark, in words.
+SHORT_LINE, MARKS_SHARE, STRETCH = 300, 40, 64
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
 NAVIGATION = r"[|»][^|»]*[|»][^|»]*[|»]"
@@ -37,22 +45,36 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def _line_fails(x: Column) -> Column:
+def _stretched(words: Column) -> Column:
+    """The sum of the numbers of different words in each stretch of a line."""
+    starts = F.sequence(F.lit(1), F.size(words), F.lit(STRETCH))
+    return F.aggregate(starts, F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice(words, i, F.lit(STRETCH)))))
+
+
+def _line_fails(x: Column, by_length: bool = False) -> Column:
     """x: struct of a line `t`, its words `w` and the lower-cased line `low` (each computed once)."""
     line, n = x["t"], F.size(x["w"])
-    fails = (
+    navigation = line.rlike(NAVIGATION)
+    stutter = (n >= 8) & (F.size(F.array_distinct(x["w"])) * 3 < n)
+    boilerplate = x["low"].contains(BOILERPLATE[0])
+    for phrase in BOILERPLATE[1:]:
+        boilerplate = boilerplate | x["low"].contains(phrase)
+    if by_length:
+        short = F.length(line) <= SHORT_LINE
+        navigation = navigation & (short | (_count(line, "[|»]") * MARKS_SHARE > F.length(line)))
+        boilerplate = boilerplate & (short | (_count(x["low"], "|".join(BOILERPLATE)) * 10 > F.length(line)))
+        stutter = stutter & ((n <= STRETCH) | (_stretched(x["w"]) * 3 < n))
+    return (
         (_count(line, SYMBOLS) * 10 > F.length(line))
         | ((n >= 4) & (_count(line, "[!?]") * 2 > n))
-        | line.rlike(NAVIGATION)
+        | navigation
         | ((n >= 5) & (_count(line, "[A-Z]") * 2 > F.length(line)))
-        | ((n >= 8) & (F.size(F.array_distinct(x["w"])) * 3 < n))
+        | stutter
+        | boilerplate
     )
-    for phrase in BOILERPLATE:
-        fails = fails | x["low"].contains(phrase)
-    return fails
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
+def judge(docs: DataFrame, text: str = "text", by_length: bool = False) -> DataFrame:
     """All columns of docs, and a struct `__q` with the base statistics, the verdict and the cleaned text."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     out = docs.withColumn("__t", body)
@@ -102,7 +124,7 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     solid = F.transform(F.filter("__l", lambda x: x["t"].rlike(r"[^\x20\x09-\x0D]")), lambda x: x["t"])
     out = out.withColumn("__solid", solid)
-    good = F.filter("__l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x)))
+    good = F.filter("__l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x, by_length)))
     out = out.withColumn("__good", F.transform(good, lambda x: x["t"]))
     out = out.withColumn(
         "__q",
@@ -124,10 +146,10 @@ def judge(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """The kept documents with their failing lines removed, in the columns of docs (`n_chars` follows the text)."""
+    """The kept documents with their failing lines (by length) removed, in the columns of docs (`n_chars` follows the text)."""
     q = F.col("__q")
     # a filter is not moved below a projection that holds an id of its own; moved, it would compute every statistic again
-    out = judge(docs).withColumn("__at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("__at") >= 0))
+    out = judge(docs, by_length=True).withColumn("__at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("__at") >= 0))
     fresh = {"text": q["clean_text"]} | ({"n_chars": F.length(q["clean_text"]).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return out.select(*[fresh[c].alias(c) if c in fresh else F.col(f"`{c}`") for c in docs.columns])
 

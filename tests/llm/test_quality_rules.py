@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from lakewright.llm import quality_rules as q
@@ -44,3 +45,18 @@ def test_native_plan_and_empty(spark, documents):
     assert df.count() == 0
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in q.query(documents(TEXTS))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stage_keeps_long_lines_with_a_mark(spark, documents):
+    r = random.Random(5)
+    plain = " ".join(f"{a}{b}" for a in "bcdfghjklm" for b in ("ade", "ilo", "una", "ore"))
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("n", "r", "st", "lo", "ma")]
+    prose = " ".join(r.choice(vocabulary) for _ in range(6_000))  # 300 different words: under a third
+    long = [f"{plain} {x} {plain[::-1]}" for x in ("our Privacy Policy says so", "the terms of use hold", "click here to read", "a | b | c » d")]
+    junk = ["accept cookies or read our privacy policy " + plain[:150], " ".join(f"link{k} |" for k in range(100)), "click here to x " * 30 + plain, " ".join(r.choice(["la", "lo", "le"]) for _ in range(500))]
+    texts = [*long, prose, *junk, plain + "\n" + junk[0][:60]]
+    rows = {x["doc_id"]: x["text"] for x in q.stage(documents(texts)).collect()}
+    assert sorted(rows) == [0, 1, 2, 3, 4, 9]
+    assert all(rows[k] == (plain if k == 9 else texts[k]) for k in rows)
+    kept = {x["doc_id"] for x in q.query(documents(texts)).collect() if x["kept"]}
+    assert kept == {9}  # as its SQL has it

@@ -8,7 +8,7 @@ gives the undecided short blocks the label of their nearest decided neighbours;
 go with the block behind and others with the nearer one (the one before on a tie). Inside a marked article
 (`article`, `main`) an undecided block goes only where both neighbours inside go, and blocks outside it are bad.
 
-Defined results: null or empty html gives an empty text; unclosed tags end with their parent; a page
+Defined results: null or empty html gives an empty text; unclosed tags end with their parent, at any depth; a page
 without any good block gives an empty text; character references are decoded once; repeated rows are
 treated alike; other columns are not read.
 """
@@ -35,7 +35,7 @@ BLOCK = {
     "thead", "tr", "ul",
 }
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-#: An open element of the value ends where a new one of the key begins.
+#: Open elements of the value end, innermost first, where a new one of the key begins.
 ENDS = {"p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}}
 #: Words in class, id or role of elements that are no main text.
 HINTS = (
@@ -70,6 +70,7 @@ def blocks_of(page: str) -> list[Block]:
     """The blocks with text, in page order."""
     out: list[Block] = []
     stack: list[tuple[str, str]] = []  # open element, region of its content: '', 'good' or 'bad'
+    places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
     region, heading, links = "", 0, 0
     now = Block("", False)
     at, low = 0, None
@@ -103,18 +104,18 @@ def blocks_of(page: str) -> list[Block]:
                 now.bits.append(" ")
             continue
         if closing:
-            depth = next((k for k in range(len(stack) - 1, max(-1, len(stack) - 200), -1) if stack[k][0] == name), None)
-            gone = stack[depth:] if depth is not None else []
+            at_name = places.get(name)
+            gone = stack[at_name[-1] :] if at_name else []
             del stack[len(stack) - len(gone) :]
         else:
             gone = []
-            if name in ENDS and stack and stack[-1][0] in ENDS[name]:
-                gone = [stack.pop()]
-            elif name in BLOCK and name != "br" and stack:
-                # inline elements left open (<b>, <i>, ...) and a paragraph end at the next block
-                while stack and (stack[-1][0] == "p" or stack[-1][0] not in BLOCK):
+            if name in BLOCK and name != "br":
+                # inline elements left open (<b>, <i>, ...), a paragraph and open siblings end at the next block
+                ends = ENDS.get(name, ())
+                while stack and (stack[-1][0] == "p" or stack[-1][0] not in BLOCK or stack[-1][0] in ends):
                     gone.append(stack.pop())
         for open_name, _ in gone:
+            places[open_name].pop()
             heading -= open_name in HEADINGS
             links -= open_name == "a"
         region = stack[-1][1] if stack else ""
@@ -124,6 +125,7 @@ def blocks_of(page: str) -> list[Block]:
         if not closing and name not in VOID:
             inner = region_of(name, m[3], region, stack)
             if not m[3].rstrip().endswith("/"):
+                places.setdefault(name, []).append(len(stack))
                 stack.append((name, inner))
                 region = inner
                 heading += name in HEADINGS

@@ -43,3 +43,16 @@ def test_linear_time():
     for page in ("<" * 200_000, "<div " * 30_000, "<b>" * 50_000 + "x</i>" * 50_000, "<a '" * 30_000, "<!--" * 50_000, "<script>" * 20_000, "<p>word " * 50_000, "&" * 100_000):
         h.main_text(page)
     assert time.time() - start < 20
+
+
+def test_end_tags_find_their_element_at_any_depth():
+    rows = "<tr><td>cell<td>cell" * 300
+    assert h.main_text(f"<aside><table>{rows}</table></aside><p>{LONG}</p>") == LONG
+    assert h.main_text(f"<aside><table>{rows.replace('cell', '<b>cell')}</aside><p>{LONG}</p>") == LONG
+    for name in ("nav", "header", "form"):
+        assert h.main_text(f"<{name}>{'<div>x' * 500}</{name}><p>{LONG}</p>") == LONG
+
+
+def test_rows_and_items_end_their_siblings():
+    assert h.main_text("<article><table><tr class=ad><td>no<tr><td>yes</table></article>") == "yes"
+    assert h.main_text("<article><ul><li class=ad><p>no<li>yes<ul><li>in</ul></ul></article>") == "yes\n\nin"

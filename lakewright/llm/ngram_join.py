@@ -20,7 +20,8 @@ compared as 64-bit hashes (a false link needs many collisions within one pair of
 
 Defined results: null texts and texts without words have an empty set, link with nothing and are their own
 component; fewer than `n` words make one shingle; repeated rows fall into one class; the component is
-the smallest non-null doc_id reachable. Other columns are not read.
+the smallest non-null doc_id reachable. Other columns are not read. Ids may be null or repeated: `stage` then decides
+by row (see there).
 """
 
 from __future__ import annotations
@@ -96,11 +97,11 @@ def _scan_one(n: int, bits: int):
             keys = [key_of(x) if len(x) else None for x in sets]
             shorts = [None if k is None else short_of(k) for k in keys]
             yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"], "size": [len(x) for x in sets], "key": keys, "short": pd.Series(shorts, index=pdf.index, dtype="Int64"), "part": None, "counts": None}
+                {"doc_id": pdf["doc_id"], "no_id": pdf["no_id"], "size": [len(x) for x in sets], "key": keys, "short": pd.Series(shorts, index=pdf.index, dtype="Int64"), "part": None, "counts": None}
             )
         if counts.any():
             rows = [(k, x) for k, x in enumerate(np.split(counts, SLICES)) if x.any()]
-            yield pd.DataFrame({"doc_id": None, "size": None, "key": None, "short": None, "part": [k for k, _ in rows], "counts": [zlib.compress(x.tobytes(), 1) for _, x in rows]})
+            yield pd.DataFrame({"doc_id": None, "no_id": None, "size": None, "key": None, "short": None, "part": [k for k, _ in rows], "counts": [zlib.compress(x.tobytes(), 1) for _, x in rows]})
 
     return scan
 
@@ -272,10 +273,12 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     """(documents: doc_id, size, key) and (key, root) for the classes that have a link."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("body"))
+    # pandas would make floats of a batch's ids if one is null
+    whole = rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "body")
     chars = rows.agg(F.sum(F.length("body"))).first()[0] or 0  # a shingle starts at every word, of about 6 characters
     bits = min(MAX_BITS, max(MIN_BITS, int(chars / 6 / LOAD).bit_length()))
-    one = common.cut(rows.mapInPandas(common.released(_scan_one(n, bits)), "doc_id bigint, size int, key binary, short bigint, part int, counts binary"), "shingles")
-    members = one.filter("part is null").select("doc_id", "size", "key", "short")
+    one = common.cut(whole.mapInPandas(common.released(_scan_one(n, bits)), "doc_id bigint, no_id boolean, size int, key binary, short bigint, part int, counts binary"), "shingles")
+    members = one.filter("part is null").select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "size", "key", "short")
     table = one.filter("part is not null").groupBy("part").applyInPandas(_sum_slices, "part int, counts binary")
     sent = spark.sparkContext.broadcast([(r["part"], r["counts"]) for r in table.select("part", "counts").collect()])  # at most 2 ** MAX_BITS counters of 2 bytes
     prefix = common.cut(rows.mapInPandas(common.released(_prefixes(n, bits, percent, sent)), "token bigint, short bigint, size int"), "prefix")
@@ -332,16 +335,29 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     return members, components(found if links is None else found.union(links))
 
 
+def _keys(n: int):
+    """Text column -> key of its set, null for an empty one."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        shingles = Shingler(n)
+        for texts in batches:
+            sets = [shingles(t) for t in texts]
+            yield pd.Series([key_of(x) if len(x) else None for x in sets], index=texts.index, dtype=object)
+
+    return F.pandas_udf(run, "binary")
+
+
 def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percent: int) -> DataFrame:
     """(key, short, size, set, summary) of the classes asked for, from the text of one document of each (a repeated
     row may repeat a class)."""
     few = members.filter("key is not null").groupBy("key", "short").agg(F.min("doc_id").alias("doc_id")).join(needed, "short")
     few = common.cut(few.select("key", "doc_id"), "picked")
-    if few.count() <= common.BROADCAST_ROWS:
-        picked = rows.join(F.broadcast(few), rows["doc_id"].eqNullSafe(few["doc_id"]))
-    else:
-        picked = rows.join(few, rows["doc_id"].eqNullSafe(few["doc_id"]))
-    picked = picked.select("body", "key")
+    m = few.count()
+    near = F.broadcast(few) if m <= common.BROADCAST_ROWS else few
+    if few.select("doc_id").distinct().count() == m:
+        picked = rows.join(near, rows["doc_id"].eqNullSafe(few["doc_id"])).select("body", "key")
+    else:  # one id (or none) for several classes: each of its rows would meet all of them
+        picked = rows.withColumn("key", _keys(n)("body")).join(near.select("key"), "key").select("body", "key")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingles, seen = Shingler(n), set()
@@ -362,6 +378,10 @@ def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percen
 def join(docs: DataFrame, n: int = 3, percent: int = 90, text: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id), a row for each row of docs."""
     members, roots = classes(docs, n, percent, text)
+    return _joined(members, roots)
+
+
+def _joined(members: DataFrame, roots: DataFrame) -> DataFrame:
     least = members.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("least"))
     rooted = common.cut(least.join(roots, "key", "left").select("key", "least", F.coalesce("root", "key").alias("root")), "rooted")
     smallest = common.cut(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "smallest")
@@ -377,14 +397,32 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def stage(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component stays (the smallest doc_id; of repeated rows of it, one)."""
-    found = join(docs, n, percent)
+    """One row of each component stays: the smallest doc_id, a null one last, then the smallest key. Of rows without words
+    only repeats of an id's text go."""
+    members, roots = classes(docs, n, percent)
+    if members.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count():
+        return _stage_by_row(docs, roots, n)
+    found = _joined(members, roots)
     gone = common.cut(found.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    twice = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count()
     if gone.count() <= common.BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
-    return kept.dropDuplicates(["doc_id"]) if twice else kept
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _stage_by_row(docs: DataFrame, roots: DataFrame, n: int) -> DataFrame:
+    """stage() where doc_id does not name a row: rows go by id, key and a hash of the text."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    body = F.col("text").cast("string")
+    keyed = docs.withColumn("__key", _keys(n)(body)).withColumn("__hash", F.xxhash64(body))
+    told = keyed.filter("__key is not null").select(F.col("doc_id").alias("__id"), "__key", "__hash")
+    told = told.join(roots.select(F.col("key").alias("__key"), "root"), "__key", "left")
+    best = told.groupBy(F.coalesce("root", "__key").alias("root")).agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__key", "__hash")).alias("x"))
+    best = common.cut(best.select("x.__id", F.col("x.__key").alias("__best"), F.col("x.__hash").alias("__of")), "best")
+    same = (F.col("__key") == F.col("__best")) & (F.col("__hash") == F.col("__of")) & F.col("doc_id").eqNullSafe(F.col("__id"))
+    kept = keyed.join(best, same).dropDuplicates(["__key"]).select(*names)
+    empty = keyed.filter("__key is null")
+    repeated = empty.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).select(*names)
+    return kept.unionByName(repeated).unionByName(empty.filter("doc_id is null").select(*names))
 
 
 SQL = r"""

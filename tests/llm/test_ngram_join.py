@@ -105,3 +105,20 @@ def test_components(spark):
     chain = [(f"k{i:03d}", f"k{i + 1:03d}") for i in range(40)] + [("x1", "x2"), ("x1", "x3"), ("x3", "x2")]
     got = {r["key"]: r["root"] for r in j.components(spark.createDataFrame(chain, "a string, b string")).collect()}
     assert all(v == ("x1" if k[0] == "x" else "k000") for k, v in got.items()) and len(got) == 44
+
+
+def test_stage_with_null_and_repeated_ids(spark, documents):
+    big = 2**60 + 1
+    long = [" ".join(f"{c}{k}" for k in range(40)) for c in "abcdefgh"]
+    rows = [
+        (None, long[0]), (None, long[1]), (None, long[1]), (None, long[2] + " x"), (7, long[2]),  # null ids: different, copies, copy of 7
+        (5, long[3]), (5, long[4]), (5, long[4]), (3, long[3]), (5, ""), (5, None), (5, None),  # 5: three texts, one a copy of 3
+        (None, None), (None, " "), (big, long[5]), (None, long[5] + " y"), (None, long[6]), (None, long[6] + " z"), (9, long[7]),
+    ]
+    docs = documents([t for _, t in rows], [k for k, _ in rows])
+    got = sorted(((r["doc_id"], r["text"]) for r in j.stage(docs).collect()), key=repr)
+    one = [x for x in got if x in ((None, long[6]), (None, long[6] + " z"))]
+    assert len(one) == 1
+    expected = [(None, long[0]), (None, long[1]), (7, long[2]), (3, long[3]), (5, long[4]), (5, ""), (5, None), (None, None), (None, " "), (big, long[5]), (9, long[7])]
+    assert got == sorted(expected + one, key=repr)
+    assert j.stage(docs).columns == docs.columns

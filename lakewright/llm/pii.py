@@ -130,7 +130,7 @@ def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         found: Counter = Counter()
         for text in pdf["body"]:
-            if text and _DIGIT.search(text):
+            if text and ("@" in text or _DIGIT.search(text)):
                 for _, _, token, kind, keys in instances(text, base_spans(text)):
                     for key in keys:
                         found[key, token, kind] += 1

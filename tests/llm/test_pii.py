@@ -77,3 +77,9 @@ def test_stage(spark, documents):
 
 def test_mask_overlaps():
     assert pii.mask("abcdef", [(0, 3, "ip"), (2, 5, "card")]) == "[IP]f"
+
+
+def test_seeds_in_texts_without_digits_count(spark, documents):
+    texts = [f"contact: {a}{b}{c}@mail.org" for a in "abcd" for b in "efgh" for c in "ijkl"] + [f"contact: x{k}@mail.org" for k in range(36)]
+    rows = pii.query(documents([*texts, "contact: 7user77"])).collect()
+    assert [r["spans"] for r in rows if r["doc_id"] == len(texts)] == ["email:9:16"]

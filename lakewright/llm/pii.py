@@ -2,7 +2,8 @@
 
 Bootstrapping finds identifiers that no detector knows by the words around them:
   1. Seeds are the detectors' matches and credential-like tokens (mixed hexadecimal of 16 or more characters,
-     capital keys of 20). Every identifier-like token (6 to 128 characters with a digit) is an instance.
+     capital keys of 20). Every identifier-like token (6 or more characters with a digit) is an instance, in the
+     graph by a hash from `LONG` characters on.
   2. Each instance has up to two lexical patterns: what stands before it (`word=`, `word:` or the token before)
      and its own first four letters.
   3. A pattern's total is the number of all fillers in the corpus, ordinary words included, counted over all
@@ -25,6 +26,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ from lakewright.llm import common
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 ROUNDS, CONFIDENCE, SUPPORT = 3, 0.6, 5
+#: Instances of more characters are named by a hash in the graph.
+LONG = 128
 #: Accepted or counted patterns in one broadcast at most; more are taken in several passes.
 PATTERNS = 200_000
 
@@ -118,7 +122,7 @@ def instances(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str, str
         yield a, b, text[a:b], kind, patterns_at(text, a, text[a:b])
     for m in _TOKEN.finditer(text):
         token = m[0].rstrip(".!?%&*$#")
-        if not 6 <= len(token) <= 128 or not _DIGIT.search(token):
+        if len(token) < 6 or not _DIGIT.search(token):
             continue
         a, b = m.start(), m.start() + len(token)
         if any(x < b and a < y for x, y in taken):
@@ -126,14 +130,20 @@ def instances(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str, str
         yield a, b, token, "secret" if _HEX.match(token) or _KEY.match(token) else None, patterns_at(text, a, token)
 
 
+def name_of(token: str) -> str:
+    """The instance in the graph; no token starts with a blank."""
+    return token if len(token) <= LONG else " " + xxhash.xxh3_128_hexdigest(token.encode("utf-8", "replace"))
+
+
 def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         found: Counter = Counter()
         for text in pdf["body"]:
             if text and ("@" in text or _DIGIT.search(text)):
                 for _, _, token, kind, keys in instances(text, base_spans(text)):
+                    name = name_of(token)
                     for key in keys:
-                        found[key, token, kind] += 1
+                        found[key, name, kind] += 1
         rows = [(*k, n) for k, n in found.items()]
         yield pd.DataFrame(rows, columns=["pattern", "instance", "kind", "n"])
 

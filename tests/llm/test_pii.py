@@ -83,3 +83,16 @@ def test_seeds_in_texts_without_digits_count(spark, documents):
     texts = [f"contact: {a}{b}{c}@mail.org" for a in "abcd" for b in "efgh" for c in "ijkl"] + [f"contact: x{k}@mail.org" for k in range(36)]
     rows = pii.query(documents([*texts, "contact: 7user77"])).collect()
     assert [r["spans"] for r in rows if r["doc_id"] == len(texts)] == ["email:9:16"]
+
+
+def test_long_identifiers(spark, documents):
+    part = "eyJhbGciOiJIUzI1NiJ9_-"
+    jwt = ".".join([part * 3, part * 9, part * 5])
+    long = [f"log says key = {k:0200x}a1 here" for k in range(1, 12)]  # seeds of over 128 characters
+    rows = pii.query(documents([*SECRETS, *long, f"then token = {jwt} came", f"a key = {jwt}."])).collect()
+    got = {r["doc_id"]: r["spans"] for r in rows}
+    at = len(SECRETS) + len(long)
+    assert got[at] == f"secret:13:{13 + len(jwt)}" and got[at + 1] == f"secret:8:{8 + len(jwt)}"
+    assert pii.stage(documents([*SECRETS, f"then token = {jwt} came"])).filter(f"doc_id = {len(SECRETS)}").first()["text"] == "then token = [SECRET] came"
+    names = {r["pattern"]: r["support"] for r in pii.learn(documents([*SECRETS, *long])).collect()}
+    assert names["key="] == len(long)

@@ -21,19 +21,24 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Rows that may be sent to every executor at most; beyond, an operator takes a shuffle or several blocks.
 BROADCAST_ROWS = 1_000_000
 
 _own: dict[str, str] = {}
+#: What cut() and others wrote and nobody has deleted yet: path -> the deletion, done when the program ends.
+_left: dict[str, Callable] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests, local mode)."""
+    """The cluster's shared folder; a temporary one only in local mode, where the session names none."""
     got = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if got:
         return got.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if "dir" not in _own:
         path = tempfile.mkdtemp(prefix="lakewright-")
         atexit.register(shutil.rmtree, path, True)
@@ -42,7 +47,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new name in the shared folder; what is written there goes when the program ends, if not before."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    _left[path] = lambda: files.delete(at, True)
+    return path
+
+
+@atexit.register
+def _tidy() -> None:
+    for path in list(_left):
+        with contextlib.suppress(Exception):  # the JVM may be gone
+            _left.pop(path)()
 
 
 def cut(df: DataFrame, tag: str) -> DataFrame:
@@ -57,12 +74,12 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
 def forget(*frames: DataFrame) -> None:
     """Delete tables that cut() wrote and nothing reads any more."""
     for df in frames:
-        delete(df.sparkSession, df.lakewright_path)
+        delete(df.lakewright_path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+def delete(path: str) -> None:
+    if remove := _left.pop(path, None):
+        remove()
 
 
 def tune(spark: SparkSession) -> None:
@@ -71,6 +88,34 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
+def apart(docs: DataFrame, text: str = "text") -> DataFrame:
+    """docs as `row`, a struct of all columns but the text, and `body`, the text: no helper column beside these two
+    can clash with a column of docs, and Python passes `row` on as it came."""
+    others = [F.col(quoted(c)).alias(c) for c in docs.columns if c != text]
+    return docs.select(F.struct(*others).alias("row"), F.col(quoted(text)).cast("string").alias("body"))
+
+
+def together(df: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """The columns of docs again, from `row` and `body`; `n_chars` follows the text where df says `changed`."""
+    out = []
+    for c in docs.columns:
+        value = F.col("body") if c == text else F.col("row").getField(c)
+        if c == "n_chars" and "changed" in df.columns:
+            value = F.when(F.col("changed"), F.length("body")).otherwise(value)
+        out.append(value.cast(docs.schema[c].dataType).alias(c))
+    return df.select(*out)
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def batch_of(**columns: pa.Array) -> pa.RecordBatch:
+    """An Arrow batch; columns that a function does not change are those that came in (pandas would make floats of
+    integers beside a null)."""
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
 def released(run: Callable) -> Callable:
     """A batch function whose Python worker, which Spark keeps for later tasks, gives its memory back at the end."""
 

@@ -23,9 +23,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -115,19 +115,41 @@ def patterns_at(text: str, start: int, token: str) -> list[str]:
     return out
 
 
-def instances(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str, str | None, list[str]]]:
-    """(start, end, token, seed kind, patterns) of each identifier-like token and base span."""
-    taken = [(a, b) for a, b, _ in spans]
-    for a, b, kind in spans:
-        yield a, b, text[a:b], kind, patterns_at(text, a, text[a:b])
+def tokens(text: str, spans: list[Span]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, token) of each identifier-like token that meets none of spans (by start)."""
+    walk = iter(_merged(spans))
+    low, high = next(walk, (len(text), len(text)))
     for m in _TOKEN.finditer(text):
         token = m[0].rstrip(".!?%&*$#")
         if len(token) < 6 or not _DIGIT.search(token):
             continue
         a, b = m.start(), m.start() + len(token)
-        if any(x < b and a < y for x, y in taken):
-            continue
-        yield a, b, token, "secret" if _HEX.match(token) or _KEY.match(token) else None, patterns_at(text, a, token)
+        while high <= a and low < len(text):
+            low, high = next(walk, (len(text), len(text)))
+        if b <= low:
+            yield a, b, token
+
+
+def _merged(spans: list[Span]) -> Iterator[tuple[int, int]]:
+    """What spans (by start) cover, as runs that do not meet."""
+    low = high = None
+    for a, b, _ in spans:
+        if low is None or a > high:
+            if low is not None:
+                yield low, high
+            low, high = a, b
+        else:
+            high = max(high, b)
+    if low is not None:
+        yield low, high
+
+
+def instances(text: str, spans: list[Span]) -> Iterator[tuple[str, str | None, list[str]]]:
+    """(token, seed kind, patterns) of each base span and identifier-like token."""
+    for a, b, kind in spans:
+        yield text[a:b], kind, patterns_at(text, a, text[a:b])
+    for a, _, token in tokens(text, spans):
+        yield token, "secret" if _HEX.match(token) or _KEY.match(token) else None, patterns_at(text, a, token)
 
 
 def name_of(token: str) -> str:
@@ -135,26 +157,32 @@ def name_of(token: str) -> str:
     return token if len(token) <= LONG else " " + xxhash.xxh3_128_hexdigest(token.encode("utf-8", "replace"))
 
 
-def _edges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
         found: Counter = Counter()
-        for text in pdf["body"]:
+        for text in batch.column("body").to_pylist():
             if text and ("@" in text or _DIGIT.search(text)):
-                for _, _, token, kind, keys in instances(text, base_spans(text)):
+                for token, kind, keys in instances(text, base_spans(text)):
                     name = name_of(token)
                     for key in keys:
                         found[key, name, kind] += 1
-        rows = [(*k, n) for k, n in found.items()]
-        yield pd.DataFrame(rows, columns=["pattern", "instance", "kind", "n"])
+        keys = list(found)
+        yield common.batch_of(
+            pattern=_strings(k for k, _, _ in keys), instance=_strings(k for _, k, _ in keys), kind=_strings(k for _, _, k in keys), n=pa.array(list(found.values()), pa.int64())
+        )
+
+
+def _strings(values) -> pa.Array:
+    return pa.array(list(values), pa.string())
 
 
 def _totals(sent):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
         heads = {p[1:] for p in wanted if p[0] == "^"}
-        for pdf in batches:
+        for batch in batches:
             words, out = Counter(), Counter()
-            for text in pdf["body"]:
+            for text in batch.column("body").to_pylist():
                 if not text:
                     continue
                 words.update(text.lower().split())
@@ -167,15 +195,16 @@ def _totals(sent):
                     rows[word + " "] += n
                 if word[:4] in heads:
                     rows["^" + word[:4]] += n
-            yield pd.DataFrame(list(rows.items()), columns=["pattern", "n"])
+            yield common.batch_of(pattern=_strings(rows), n=pa.array(list(rows.values()), pa.int64()))
 
     return run
 
 
-def _blocks(df: DataFrame, columns: list[str]) -> list[list]:
-    """df's rows in parts that one broadcast may hold."""
+def _parts(df: DataFrame, columns: list[str]) -> Iterator[tuple[bool, list]]:
+    """df's rows in parts that one broadcast may hold, one at a time; whether it is the last one."""
     parts = max(1, -(-df.count() // PATTERNS))
-    return [df.filter(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k).select(*columns).collect() for k in range(parts)]
+    for k in range(parts):
+        yield k + 1 == parts, df.filter(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k).select(*columns).collect()
 
 
 def learn(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -183,47 +212,53 @@ def learn(docs: DataFrame, text: str = "text") -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(text).cast("string").alias("body"))
     edges = common.cut(
-        rows.mapInPandas(common.released(_edges), "pattern string, instance string, kind string, n bigint").groupBy("pattern", "instance", "kind").agg(F.sum("n").alias("n")), "edges"
+        rows.mapInArrow(common.released(_edges), "pattern string, instance string, kind string, n bigint").groupBy("pattern", "instance", "kind").agg(F.sum("n").alias("n")), "edges"
     )
     support = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("s"))
     support = support.groupBy("pattern").agg(F.sum("s").alias("support"), F.max(F.struct("s", "kind"))["kind"].alias("kind")).filter(F.col("support") >= SUPPORT)
     support = common.cut(support, "support")
     totals = None
-    for part in _blocks(support, ["pattern"]):
+    for _, part in _parts(support, ["pattern"]):
         sent = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in part))
-        own = rows.mapInPandas(common.released(_totals(sent)), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
+        own = rows.mapInArrow(common.released(_totals(sent)), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
         totals = own if totals is None else totals.union(own)
     known = common.cut(support.join(totals, "pattern"), "totals")
     graph = common.cut(
         edges.withColumn("seed", F.col("kind").isNotNull()).drop("kind").join(known.select("pattern", "total"), "pattern"), "graph"
     )
-    scores = None
+    common.forget(edges, support)
+    scores = confidence = None
     for _ in range(ROUNDS):
         scored = graph.withColumn("score", F.col("seed").cast("double")) if scores is None else graph.join(scores, "instance", "left").withColumn(
             "score", F.when(F.col("seed"), F.lit(1.0)).otherwise(F.coalesce("near", F.lit(0.0)))
         )
+        before = confidence
         confidence = common.cut(scored.groupBy("pattern").agg((F.sum(F.col("n") * F.col("score")) / F.greatest(F.max("total"), F.sum("n"))).alias("confidence")), "confidence")
+        if before is not None:
+            common.forget(before)
         near = graph.filter("not seed").join(confidence, "pattern").groupBy("instance")
         scores = near.agg((1 - F.exp(F.sum(F.log(1 - F.least(F.lit(0.99), F.col("confidence")))))).alias("near"))
     accepted = known.join(confidence, "pattern").filter(F.col("confidence") >= CONFIDENCE)
     out = common.cut(accepted.select("pattern", "kind", "confidence", "support"), "accepted")
-    common.forget(edges, graph)
+    common.forget(graph, known, confidence)
     return out
 
 
-def find(docs: DataFrame, text: str = "text", patterns: DataFrame | None = None, finish: Callable | None = None) -> DataFrame:
-    """docs' columns and `__base`, `__spans`: strings kind:start:end, by start, then kind.
+FOUND = "base array<string>, spans array<string>"
+
+
+def find(docs: DataFrame, text: str = "text", patterns: DataFrame | None = None, masked: bool = False) -> DataFrame:
+    """docs as common.apart() has them, with `base` and `spans`: strings kind:start:end, by start, then kind.
 
-    finish: what to make of the last pass's batches instead, in docs' columns (in the same Python worker).
+    masked: with `changed` instead of these, and the masked text as `body` (in the last pass's Python worker).
     """
     patterns = learn(docs, text) if patterns is None else patterns
-    spark, names = docs.sparkSession, docs.columns
-    out, schema = docs, common.wider(docs, "__base array<string>, __spans array<string>")
-    parts = _blocks(patterns, ["pattern", "kind"])
-    for k, part in enumerate(parts):
+    spark, out = docs.sparkSession, common.apart(docs, text)
+    plain = out
+    for last, part in _parts(patterns, ["pattern", "kind"]):
         sent = spark.sparkContext.broadcast({r["pattern"]: r["kind"] for r in part})
-        last = finish if k + 1 == len(parts) else None
-        out = out.mapInPandas(common.released(_finder(sent, text, names, k > 0, last)), docs.schema if last else schema)
+        schema = common.wider(plain, "changed boolean" if masked and last else FOUND)
+        out = out.mapInArrow(common.released(_finder(sent, masked and last)), schema)
     return out
 
 
@@ -235,24 +270,28 @@ def parse_spans(spans) -> list[Span]:
     return [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in spans)]
 
 
-def _finder(sent, text: str, names: list[str], later: bool, finish: Callable | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _finder(sent, masked: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         accepted = sent.value
-        for pdf in batches:
-            bases, alls = [], []
-            for k, body in enumerate(pdf[text]):
+        for batch in batches:
+            bodies, bases, alls = batch.column("body").to_pylist(), [], []
+            before = batch.column("spans").to_pylist() if "spans" in batch.schema.names else [()] * len(bodies)
+            for body, old in zip(bodies, before, strict=True):
                 base = base_spans(body) if body else []
                 more = []
                 if body and accepted and _DIGIT.search(body):
-                    for a, b, _, _, keys in instances(body, base):
-                        kind = next((accepted[p] for p in keys if p in accepted), None)
-                        if kind and not any(x < b and a < y for x, y, _ in base):
+                    for a, b, token in tokens(body, base):
+                        kind = next((accepted[p] for p in patterns_at(body, a, token) if p in accepted), None)
+                        if kind:
                             more.append((a, b, kind))
-                every = {*base, *more, *(parse_spans(pdf["__spans"].iloc[k]) if later else ())}
-                bases.append(_written(base))
-                alls.append(_written(sorted(every, key=order)))
-            got = pdf[names].assign(__base=bases, __spans=alls)
-            yield finish(got) if finish else got
+                bases.append(base)
+                alls.append(sorted({*base, *more, *parse_spans(old)}, key=order) if more or old else base)
+            if masked:
+                texts = [mask(t, spans) for t, spans in zip(bodies, alls, strict=True)]
+                yield common.batch_of(row=batch.column("row"), body=_strings(texts), changed=pa.array([bool(x) for x in alls], pa.bool_()))
+            else:
+                lists = [pa.array([_written(x) for x in y], pa.list_(pa.string())) for y in (bases, alls)]
+                yield common.batch_of(row=batch.column("row"), body=batch.column("body"), base=lists[0], spans=lists[1])
 
     return run
 
@@ -271,24 +310,14 @@ def mask(body: str | None, spans: list[Span]) -> str | None:
 
 def stage(docs: DataFrame) -> DataFrame:
     """The documents with their personal data masked; all stay."""
-    names = docs.columns
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        hit = pdf["__spans"].map(len) > 0
-        pdf = pdf.copy()
-        pdf["text"] = [mask(t, parse_spans(s)) if h else t for t, s, h in zip(pdf["text"], pdf["__spans"], hit, strict=True)]
-        if "n_chars" in pdf:
-            pdf["n_chars"] = [len(t) if h else n for t, n, h in zip(pdf["text"], pdf["n_chars"], hit, strict=True)]
-        return pdf[names]
-
-    return find(docs, finish=cut)
+    return common.together(find(docs, masked=True), docs)
 
 
 def query(docs: DataFrame) -> DataFrame:
     found = find(docs.select("doc_id", "text"))
-    kind = lambda k: F.size(F.filter("__base", lambda x: x.startswith(k + ":"))).cast("long").alias(f"n_{k}")
+    kind = lambda k: F.size(F.filter("base", lambda x: x.startswith(k + ":"))).cast("long").alias(f"n_{k}")
     return found.select(
-        "doc_id", *[kind(k) for k in KINDS[:4]], F.sha2(F.array_join("__base", ","), 256).alias("base_sha256"), F.array_join("__spans", ",").alias("spans")
+        "row.doc_id", *[kind(k) for k in KINDS[:4]], F.sha2(F.array_join("base", ","), 256).alias("base_sha256"), F.array_join("spans", ",").alias("spans")
     )
 
 

@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.llm import common
+
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
@@ -75,38 +77,37 @@ def _line_fails(x: Column, by_length: bool = False) -> Column:
 
 
 def judge(docs: DataFrame, text: str = "text", by_length: bool = False) -> DataFrame:
-    """All columns of docs, and a struct `__q` with the base statistics, the verdict and the cleaned text."""
-    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    out = docs.withColumn("__t", body)
-    out = out.withColumn("__w", F.array_remove(F.split("__t", SPACE + "+"), ""))
+    """docs as common.apart() has them, and a struct `q` with the base statistics, the verdict and the cleaned text."""
+    out = common.apart(docs, text).withColumn("t", F.coalesce("body", F.lit("")))
+    out = out.withColumn("w", F.array_remove(F.split("t", SPACE + "+"), ""))
     out = out.withColumn(
-        "__l",
-        F.transform(F.split("__t", "\n", -1), lambda x: F.struct(x.alias("t"), F.split(F.trim(x), SPACE + "+").alias("w"), F.lower(x).alias("low"))),
+        "l",
+        F.transform(F.split("t", "\n", -1), lambda x: F.struct(x.alias("t"), F.split(F.trim(x), SPACE + "+").alias("w"), F.lower(x).alias("low"))),
     )
     out = out.withColumn(
-        "__h",
+        "h",
         F.when(
-            F.size("__w") >= WINDOW,
-            F.transform(F.sequence(F.lit(1), F.size("__w") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col("__w"), i, F.lit(WINDOW)))),
+            F.size("w") >= WINDOW,
+            F.transform(F.sequence(F.lit(1), F.size("w") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col("w"), i, F.lit(WINDOW)))),
         ).otherwise(F.array().cast("array<bigint>")),
     )
     # only texts that repeat a window go on to the sort
-    ordered = F.sort_array(F.transform("__h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    out = out.withColumn("__s", F.when(F.size(F.array_distinct("__h")) < F.size("__h"), ordered))
+    ordered = F.sort_array(F.transform("h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    out = out.withColumn("s", F.when(F.size(F.array_distinct("h")) < F.size("h"), ordered))
     out = out.withColumn(
-        "__d",
+        "d",
         F.when(
-            F.col("__s").isNotNull(),
+            F.col("s").isNotNull(),
             F.sort_array(
                 F.transform(
                     F.filter(
                         F.transform(
-                            F.col("__s"),
+                            F.col("s"),
                             lambda x, j: F.struct(
                                 x["i"].alias("i"),
                                 (
-                                    (F.get(F.col("__s"), j - 1)["h"].eqNullSafe(x["h"]))
-                                    | (F.get(F.col("__s"), j + 1)["h"].eqNullSafe(x["h"]))
+                                    (F.get(F.col("s"), j - 1)["h"].eqNullSafe(x["h"]))
+                                    | (F.get(F.col("s"), j + 1)["h"].eqNullSafe(x["h"]))
                                 ).alias("twice"),
                             ),
                         ),
@@ -118,45 +119,44 @@ def judge(docs: DataFrame, text: str = "text", by_length: bool = False) -> DataF
         ).otherwise(F.array().cast("array<int>")),
     )
     covered = F.aggregate(
-        F.transform(F.col("__d"), lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("__d"), j + 1) - i, F.lit(WINDOW)))),
+        F.transform(F.col("d"), lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get(F.col("d"), j + 1) - i, F.lit(WINDOW)))),
         F.lit(0),
         lambda a, x: a + x,
     )
-    solid = F.transform(F.filter("__l", lambda x: x["t"].rlike(r"[^\x20\x09-\x0D]")), lambda x: x["t"])
-    out = out.withColumn("__solid", solid)
-    good = F.filter("__l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x, by_length)))
-    out = out.withColumn("__good", F.transform(good, lambda x: x["t"]))
+    solid = F.transform(F.filter("l", lambda x: x["t"].rlike(r"[^\x20\x09-\x0D]")), lambda x: x["t"])
+    out = out.withColumn("solid", solid)
+    good = F.filter("l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x, by_length)))
+    out = out.withColumn("good", F.transform(good, lambda x: x["t"]))
     out = out.withColumn(
-        "__q",
+        "q",
         F.struct(
-            F.size("__w").cast("long").alias("n_words"),
-            F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
-            _count(F.col("__t"), SYMBOLS).cast("long").alias("n_symbols"),
-            (F.size("__solid") - F.size(F.array_distinct("__solid"))).cast("long").alias("n_dup_lines"),
+            F.size("w").cast("long").alias("n_words"),
+            F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
+            _count(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
+            (F.size("solid") - F.size(F.array_distinct("solid"))).cast("long").alias("n_dup_lines"),
             covered.cast("long").alias("n_repeat_words"),
-            F.array_join("__good", "\n").alias("clean_text"),
-            F.length("__t").alias("n_chars"),
+            F.array_join("good", "\n").alias("clean_text"),
+            F.length("t").alias("n_chars"),
         ),
     )
-    q = F.col("__q")
+    q = F.col("q")
     failed = (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] * 100 > q["n_words"] * MAX_REPEAT_PERCENT)
     lost = q["n_chars"] - F.length(q["clean_text"])
-    out = out.withColumn("__q", q.withField("base_failed", failed).withField("kept", ~failed & (lost <= q["n_chars"] * F.lit(MAX_LOST))))
-    return out.drop("__t", "__w", "__l", "__h", "__s", "__d", "__solid", "__good")
+    out = out.withColumn("q", q.withField("base_failed", failed).withField("kept", ~failed & (lost <= q["n_chars"] * F.lit(MAX_LOST))))
+    return out.drop("t", "w", "l", "h", "s", "d", "solid", "good")
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """The kept documents with their failing lines (by length) removed, in the columns of docs (`n_chars` follows the text)."""
-    q = F.col("__q")
+    q = F.col("q")
     # a filter is not moved below a projection that holds an id of its own; moved, it would compute every statistic again
-    out = judge(docs, by_length=True).withColumn("__at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("__at") >= 0))
-    fresh = {"text": q["clean_text"]} | ({"n_chars": F.length(q["clean_text"]).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return out.select(*[fresh[c].alias(c) if c in fresh else F.col(f"`{c}`") for c in docs.columns])
+    out = judge(docs, by_length=True).withColumn("at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("at") >= 0))
+    return common.together(out.select("row", q["clean_text"].alias("body"), F.lit(True).alias("changed")), docs)
 
 
 def query(docs: DataFrame) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judge(docs.select("doc_id", "text")).select("doc_id", *[F.col("__q")[n].alias(n) for n in names])
+    return judge(docs.select("doc_id", "text")).select("row.doc_id", *[F.col("q")[n].alias(n) for n in names])
 
 
 _LINE_FAILS_SQL = r"""(

@@ -1,10 +1,11 @@
 """URL filter: host and path rules first, gradient-boosted trees on lexical features for the rest.
 
-The trees learn from labelled URLs: distinct URLs that a rule decides carry the rule's verdict, and their
-own rule's words never enter the features. A bounded sample is taken (`PER_CLASS` URLs of either class, in
-the order of a hash). Features: lengths of host, path and query, depth, digit ratio, entropy, parameter
-counts, hyphens, and smoothed block rates of the last host labels and of the words of the host, counted
-over the training URLs.
+The trees learn from labelled URLs: distinct URLs that a rule decides carry the rule's verdict. A bounded sample is
+taken (`PER_CLASS` URLs of either class, in the order of a hash). Features: lengths of host, path and query, depth,
+digit ratio, entropy, parameter counts, hyphens, and smoothed block rates of the host's suffixes and words.
+The rates must not give the rules themselves away: no rule's host and no suffix of one (`com`, `example.com`) has a
+rate, nor has a word in one, and a training URL takes its rates from the other `FOLDS` - 1 parts of the sample (parts by
+a hash of the host without its rule), while other URLs take them from all of it.
 
 Defined results: a null URL or one without `://` has an empty host and path, and is judged by the trees on
 empty text; a host or path is not trimmed or decoded; of several fitting rules the longest (host and path)
@@ -19,7 +20,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,93 +36,109 @@ RULES = [
     ("block", "org", "/es/"),
 ]
 PER_CLASS = 20_000
+FOLDS = 5
 _WORDS = re.compile(r"[a-z]+")
 
 
 def parts(pages: DataFrame) -> DataFrame:
-    """pages with host, path and query of `url` as `__host`, `__path`, `__rest`."""
+    """(page_id, host, path, rest) of each row's `url`; rest is what follows the path."""
     url = F.coalesce(F.col("url").cast("string"), F.lit(""))
     after = F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)
     lower = F.translate(F.regexp_extract(after, r"(?s)^[^/?#]*", 0), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return pages.withColumns({
-        "__host": lower,
-        "__path": F.regexp_extract(after, r"(?s)^[^/?#]*([^?#]*)", 1),
-        "__rest": F.regexp_extract(after, r"(?s)^[^?#]*(.*)$", 1),
-    })
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"),
+        lower.alias("host"),
+        F.regexp_extract(after, r"(?s)^[^/?#]*([^?#]*)", 1).alias("path"),
+        F.regexp_extract(after, r"(?s)^[^?#]*(.*)$", 1).alias("rest"),
+    )
 
 
 def ruled(df: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    """Adds `__rule` and `__said`: the longest fitting rule and its verdict, else null."""
+    """Adds `rule` and `said`: the longest fitting rule and its verdict, else null."""
     text, said = F.lit(None).cast("string"), F.lit(None).cast("string")
     for verdict, host, path in sorted(rules, key=lambda r: len(r[1] + r[2])):
-        fits = ((F.col("__host") == host) | F.col("__host").endswith("." + host)) & F.col("__path").startswith(path)
+        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
         text = F.when(fits, F.lit(host + path)).otherwise(text)
         said = F.when(fits, F.lit(verdict)).otherwise(said)
-    return df.withColumns({"__rule": text, "__said": said})
+    return df.withColumns({"rule": text, "said": said})
 
 
 class Lexical:
     """Features of (host, path, rest); the rates come from the training URLs."""
 
-    def __init__(self, hosts: list[str], block: np.ndarray) -> None:
+    def __init__(self, hosts: list[str], block: np.ndarray, rules: list[tuple[str, str, str]] = RULES) -> None:
+        ends = [".".join(labels[k:]) for labels in (host.split(".") for _, host, _ in rules) for k in range(len(labels))]
+        self.told = set(ends) | {"w:" + w for x in ends for w in _WORDS.findall(x)}
+        self.labels = {x for end in ends for x in end.split(".")}
         self.prior = (float(block.sum()) + 1) / (len(block) + 2)
+        self.fold = np.array([self.fold_of(h) for h in hosts], int)
+        self.counted = [self._count(hosts, block, self.fold != k) for k in range(FOLDS)] + [self._count(hosts, block, np.ones(len(hosts), bool))]
+
+    def fold_of(self, host: str) -> int:
+        """All URLs of a name under the rules' hosts are in one part, so that a rate never comes from the URL's own site."""
+        own = [x for x in host.split(".") if x not in self.labels]
+        return xxhash.xxh64_intdigest(own[-1] if own else host) % FOLDS
+
+    def _count(self, hosts: list[str], block: np.ndarray, use: np.ndarray) -> dict[str, float]:
         total, bad = Counter(), Counter()
-        for host, b in zip(hosts, block.tolist(), strict=True):
-            for key in self.keys(host):
+        for k in np.flatnonzero(use):
+            for key in self.keys(hosts[k]):
                 total[key] += 1
-                bad[key] += b
-        self.rates = {k: (bad[k] + 10 * self.prior) / (n + 10) for k, n in total.items() if n >= 5}
+                bad[key] += block[k]
+        return {key: (bad[key] + 10 * self.prior) / (n + 10) for key, n in total.items() if n >= 5}
 
-    @staticmethod
-    def keys(host: str) -> list[str]:
+    def keys(self, host: str) -> list[str]:
+        """The host's suffixes (up to three labels) and words that no rule tells."""
         labels = host.split(".")
-        return [".".join(labels[-1:]), ".".join(labels[-2:]), *("w:" + w for w in set(_WORDS.findall(host)))]
+        found = [".".join(labels[-k:]) for k in range(1, min(4, len(labels) + 1))] + sorted("w:" + w for w in set(_WORDS.findall(host)))
+        return [x for x in found if x not in self.told]
 
-    def row(self, host: str, path: str, rest: str) -> list[float]:
+    def row(self, host: str, path: str, rest: str, rates: dict[str, float] | None = None) -> list[float]:
+        known = self.counted[FOLDS] if rates is None else rates
         url = host + path + rest
         n = max(1, len(url))
         times = Counter(url)
         entropy = -sum(c / n * math.log2(c / n) for c in times.values()) if url else 0.0
         keys = self.keys(host)
-        rates = [self.rates.get(k, self.prior) for k in keys]
-        words = rates[2:] or [self.prior]
+        ends = [known.get(k, self.prior) for k in keys if k[:2] != "w:"] or [self.prior]
+        words = [known.get(k, self.prior) for k in keys if k[:2] == "w:"] or [self.prior]
         return [
             len(host), len(path), len(rest), host.count("."), path.count("/"),
             sum(c.isdigit() for c in url) / n, sum(c.isdigit() for c in host), entropy,
             rest.count("=") + 0.0, rest.count("&") + 0.0, float("#" in rest), host.count("-") + 0.0,
-            float(path.endswith("/")), float("." in path.rsplit("/", 1)[-1]), rates[0], rates[1], max(words), min(words), sum(words) / len(words),
+            float(path.endswith("/")), float("." in path.rsplit("/", 1)[-1]), ends[0], ends[-1], max(words), min(words), sum(words) / len(words),
         ]
 
-    def matrix(self, hosts, paths, rests) -> np.ndarray:
-        rows = [self.row(h, p, r) for h, p, r in zip(hosts, paths, rests, strict=True)]
+    def matrix(self, hosts, paths, rests, folds=None) -> np.ndarray:
+        folds = [FOLDS] * len(hosts) if folds is None else folds
+        rows = [self.row(h, p, r, self.counted[k]) for h, p, r, k in zip(hosts, paths, rests, folds, strict=True)]
         return np.array(rows, float) if rows else np.zeros((0, 19))
 
 
-def train(df: DataFrame, per_class: int = PER_CLASS) -> tuple[Lexical, trees.FlatTrees]:
-    """From the URLs of df (with `__said`) that a rule decides."""
-    own = df.filter("__said is not null").select("__host", "__path", "__rest", "__said").distinct()
-    own = own.withColumn("place", F.xxhash64("__host", "__path", "__rest"))
-    rows = [r for v in ("allow", "block") for r in own.filter(F.col("__said") == v).orderBy("place", "__host", "__path", "__rest").limit(per_class).collect()]
-    block = np.array([r["__said"] == "block" for r in rows], float)
-    lexical = Lexical([r["__host"] for r in rows], block)
-    x = lexical.matrix(*[[r[c] for r in rows] for c in ("__host", "__path", "__rest")])
+def train(df: DataFrame, per_class: int = PER_CLASS, rules: list[tuple[str, str, str]] = RULES) -> tuple[Lexical, trees.FlatTrees]:
+    """From the URLs of df (with `said`) that a rule decides."""
+    own = df.filter("said is not null").select("host", "path", "rest", "said").distinct()
+    own = own.withColumn("place", F.xxhash64("host", "path", "rest"))
+    rows = [r for v in ("allow", "block") for r in own.filter(F.col("said") == v).orderBy("place", "host", "path", "rest").limit(per_class).collect()]
+    block = np.array([r["said"] == "block" for r in rows], float)
+    lexical = Lexical([r["host"] for r in rows], block, rules)
+    x = lexical.matrix(*[[r[c] for r in rows] for c in ("host", "path", "rest")], lexical.fold)
     return lexical, trees.fit(x, block)
 
 
-def judge(pages: DataFrame) -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for each row; score is the trees' chance of block."""
-    df = ruled(parts(pages.select("page_id", "url")))
-    sent = df.sparkSession.sparkContext.broadcast(train(df))
+    df = ruled(parts(pages), rules)
+    sent = df.sparkSession.sparkContext.broadcast(train(df, rules=rules))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexical, model = sent.value
-        for pdf in batches:
-            s = model.score(lexical.matrix(pdf["__host"], pdf["__path"], pdf["__rest"]))
-            own = pd.Series(np.where(s > 0.5, "block", "allow"), index=pdf.index)
-            said = pdf["__said"].where(pdf["__said"].notna(), own)
-            yield pd.DataFrame({"page_id": pdf["page_id"], "host": pdf["__host"], "path": pdf["__path"], "rule": pdf["__rule"], "verdict": said, "score": s})
+        for batch in batches:
+            s = model.score(lexical.matrix(*[batch.column(c).to_pylist() for c in ("host", "path", "rest")]))
+            said = [x or ("block" if p > 0.5 else "allow") for x, p in zip(batch.column("said").to_pylist(), s.tolist(), strict=True)]
+            yield common.batch_of(**{c: batch.column(c) for c in ("page_id", "host", "path", "rule")}, verdict=pa.array(said, pa.string()), score=pa.array(s, pa.float64()))
 
-    return df.mapInPandas(common.released(run), "page_id bigint, host string, path string, rule string, verdict string, score double")
+    return df.mapInArrow(common.released(run), "page_id bigint, host string, path string, rule string, verdict string, score double")
 
 
 def query(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+
 from lakewright.llm import url_filter as u
 
 URLS = [
@@ -37,6 +39,28 @@ def test_trees_follow_lexical_signs(spark):
     assert (got[5000]["verdict"], got[5001]["verdict"]) == ("block", "allow") and got[5000]["rule"] is None
 
 
+def test_rates_do_not_tell_the_rules():
+    hosts = ["a1.example.com", "b.net", "x.y.org", "m.casino.example.net", "casino.com"] * 20
+    lexical = u.Lexical(hosts, np.array([1.0, 0, 1, 0, 1] * 20))
+    keys = {k for counted in lexical.counted for k in counted}
+    assert not keys & {"com", "net", "org", "example.com", "example.net", "w:com", "w:net", "w:org", "w:example"} and "w:casino" in keys
+    # a URL's rates come from other sites
+    at = hosts.index("b.net")
+    assert "b.net" not in lexical.counted[lexical.fold[at]] and "b.net" in lexical.counted[u.FOLDS]
+    assert len({lexical.fold_of(h) for h in hosts}) > 1
+
+
+def test_verdicts_are_not_the_last_label(spark):
+    """URLs that differ in the last label only get the same verdict."""
+    rows = [(k, f"http://spam-win{k}.com/en/{k}{k}") for k in range(200)] + [(1000 + k, f"http://calm.net/de/a{k}") for k in range(200)]
+    rows += [(5000 + k, f"http://new-{w}{k}.{end}/x/{k}") for w in ("spam-win", "calm") for k in range(10) for end in ("com", "net", "info")]
+    by_place = {}
+    for r in u.query(spark.createDataFrame(rows, "page_id long, url string")).filter("page_id >= 5000").collect():
+        name, end = r["host"].rsplit(".", 1)
+        by_place.setdefault((name, len(end) > 3), set()).add(r["verdict"])
+    assert all(len(v) == 1 for v in by_place.values())
+
+
 def test_empty_and_unlabelled(spark):
     df = spark.createDataFrame([(1, "http://a.info/x")], "page_id long, url string")
     assert u.query(df).first()["verdict"] == "allow"

@@ -17,10 +17,10 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +82,18 @@ class Windows:
         return merged(runs), items
 
 
+class Block:
+    """Items as sent to the executors; a Python worker, which keeps what was sent to it, makes their windows once."""
+
+    def __init__(self, items: list[tuple[str, list[bytes]]]) -> None:
+        self.items, self.made = items, None
+
+    def windows(self) -> Windows:
+        if self.made is None:
+            self.made, self.items = Windows(self.items), None
+        return self.made
+
+
 def merged(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for a, b in sorted(runs):
@@ -100,42 +112,49 @@ def _blocks(benchmark: DataFrame) -> list[DataFrame]:
     return [rows.filter(F.pmod(F.xxhash64("item", "body"), F.lit(n)) == k) if n > 1 else rows for k in range(n)]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", finish: Callable | None = None) -> DataFrame:
-    """docs' columns with `__n` (words), `__runs` (hit words: start, end pairs, flat) and `__items` (item ids, sorted).
+FOUND = "n bigint, runs array<bigint>, items array<string>"
 
-    finish: what to make of the last block's batches instead, in docs' columns (in the same Python worker).
+
+def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_share: float | None = None) -> DataFrame:
+    """docs as common.apart() has them, with `n` (words), `runs` (hit words: start, end pairs, flat) and `items` (ids, sorted).
+
+    max_share: with `changed` instead of these, the cleaned text as `body`, and without the documents of which more
+    words are hit than this share (in the last pass's Python worker).
     """
-    spark = docs.sparkSession
-    schema = common.wider(docs, "__n bigint, __runs array<bigint>, __items array<string>")
-    names = docs.columns
-    out = docs
-    blocks = _blocks(benchmark)
+    spark, out = docs.sparkSession, common.apart(docs, text)
+    plain, blocks = out, _blocks(benchmark)
     for k, block in enumerate(blocks):
-        held = [(r["item"], words_of(r["body"])) for r in block.collect()]
-        sent = spark.sparkContext.broadcast(held)
-        last = finish if k + 1 == len(blocks) else None
-        out = out.mapInPandas(common.released(_scanner(sent, text, names, k > 0, last)), docs.schema if last else schema)
+        sent = spark.sparkContext.broadcast(Block([(r["item"], words_of(r["body"])) for r in block.collect()]))
+        share = max_share if k + 1 == len(blocks) else None
+        out = out.mapInArrow(common.released(_scanner(sent, share)), common.wider(plain, FOUND if share is None else "changed boolean"))
     return out
 
 
-def _scanner(sent, text: str, names: list[str], later: bool, finish: Callable | None):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        windows = Windows(sent.value)
-        for pdf in batches:
+def _scanner(sent, max_share: float | None):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = sent.value.windows()
+        for batch in batches:
             counts, runs, items = [], [], []
-            for k, body in enumerate(pdf[text]):
+            bodies, later = batch.column("body").to_pylist(), "runs" in batch.schema.names
+            for k, body in enumerate(bodies):
                 words = words_of(body)
                 hit, who = windows.scan(words)
                 own = {windows.items[i] for i in who}
                 if later:  # merge with the hits of the blocks before
-                    old = list(pdf["__runs"].iloc[k])
+                    old = batch.column("runs")[k].as_py()
                     hit = merged(hit + list(zip(old[::2], old[1::2], strict=True)))
-                    own |= set(pdf["__items"].iloc[k])
+                    own |= set(batch.column("items")[k].as_py())
                 counts.append(len(words))
-                runs.append([int(x) for run in hit for x in run])
+                runs.append([x for run in hit for x in run])
                 items.append(sorted(x for x in own if x is not None))
-            got = pdf[names].assign(__n=counts, __runs=runs, __items=items)
-            yield finish(got) if finish else got
+            if max_share is None:
+                found = {"n": pa.array(counts, pa.int64()), "runs": pa.array(runs, pa.list_(pa.int64())), "items": pa.array(items, pa.list_(pa.string()))}
+                yield common.batch_of(row=batch.column("row"), body=batch.column("body"), **found)
+                continue
+            stays = [sum(r[1::2]) - sum(r[::2]) <= max_share * n for r, n in zip(runs, counts, strict=True)]
+            texts = [clean(t, r) if ok else None for t, r, ok in zip(bodies, runs, stays, strict=True)]
+            out = common.batch_of(row=batch.column("row"), body=pa.array(texts, pa.string()), changed=pa.array([bool(r) for r in runs], pa.bool_()))
+            yield out.filter(pa.array(stays, pa.bool_()))
 
     return scan
 
@@ -156,31 +175,19 @@ def clean(body: str | None, runs: list[int]) -> str | None:
 
 def stage(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.5) -> DataFrame:
     """Hit spans are cut out; a document that has lost over `max_share` of its words goes."""
-    names = docs.columns
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        hit = pdf["__runs"].map(lambda x: sum(x[1::2]) - sum(x[::2]))
-        pdf = pdf[hit.astype(float) <= max_share * pdf["__n"]].copy()
-        if not len(pdf):
-            return pdf[names]
-        pdf["text"] = [clean(t, r) for t, r in zip(pdf["text"], pdf["__runs"], strict=True)]
-        if "n_chars" in pdf:
-            pdf["n_chars"] = [n if not len(r) else len(t) for n, t, r in zip(pdf["n_chars"], pdf["text"], pdf["__runs"], strict=True)]
-        return pdf[names]
-
-    return find(docs, benchmark, finish=cut)
+    return common.together(find(docs, benchmark, max_share=max_share), docs)
 
 
 def query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = find(docs.select("doc_id", "text"), benchmark)
-    ends = F.aggregate("__runs", F.lit(0).cast("long"), lambda a, x: x - a)  # e_n - s_n + ... + e_1 - s_1
+    ends = F.aggregate("runs", F.lit(0).cast("long"), lambda a, x: x - a)  # e_n - s_n + ... + e_1 - s_1
     return found.select(
-        "doc_id",
-        F.col("__n").alias("n_words"),
+        "row.doc_id",
+        F.col("n").alias("n_words"),
         ends.alias("n_hit"),
-        F.size("__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
-        (F.size("__runs") > 0).alias("contaminated"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("runs") > 0).alias("contaminated"),
     )
 
 

@@ -2,21 +2,25 @@
 several global token orders whose candidates are intersected before an exact verification.
 
 How it goes
-  1. One scan counts, over all documents, the shingle hashes in a fixed-size table of counters (merged by
-     sum, in slices) and gives each document its set size and a 128-bit key of its set. Documents of one
-     key form a class (its first half names it while candidates are sought); copies meet in one partial aggregation and are never compared again.
-  2. A second scan emits each class's prefix under the first order (counter, then hash: rare first). Two
-     sets that reach the threshold share at least one token of these prefixes.
-  3. Tokens that the same classes share are one bucket. Buckets of more than `SMALL` classes come first: they are
-     dealt to blocks of `BLOCK` classes, compared block by block with exact intersection counts by matrix
-     product; only a spanning forest of the links leaves such a task. The others give pairs, filtered by set size
-     and without those that the large buckets have joined.
-  4. Pairs must share prefix tokens under a second and third order (hash ascending and descending) as well,
-     and pass an upper bound of the intersection from counts in 256 bins, before the whole sets meet.
-  5. Links between classes are closed to components by repeated minimum and pointer jumping.
-
-The counters only decide the order of tokens, so a collision costs time and never a link. Shingles are
-compared as 64-bit hashes (a false link needs many collisions within one pair of sets).
+  1. One scan counts, over all documents, the shingle hashes in a fixed-size table of counters (a table for each task,
+     in slices, summed by rounds of `FAN` at a time) and gives each document its set size and a 128-bit key of its set.
+     Documents of one key form a class (its first half names it while candidates are sought); copies meet in one
+     partial aggregation and are never compared again.
+  2. A second scan emits each class's prefix under the first order (counter on a logarithmic scale, then hash: rare
+     first). Two sets that reach the threshold share at least one token of these prefixes.
+  3. Tokens that the same classes share are one bucket. Buckets of more than `SMALL` classes come first: every member
+     meets two pivots, the member that most such buckets share and one by hash, which is linear in the bucket. Members
+     that links have joined need not meet any more: what is left are those outside of the bucket's largest
+     component, against all members of a size that can reach (`band`). These are dealt to blocks of at most `BLOCK`
+     classes and about `BLOCK_TOKENS` tokens, compared by matrix product; a spanning forest of the links leaves a task.
+  4. The other buckets give pairs, filtered by set size and without those that are joined already.
+  5. Pairs must share prefix tokens under a second and third order (hash ascending and descending) as well,
+     and those of step 4 pass an upper bound of the intersection from counts in 256 bins, before the whole sets meet.
+  6. Links between classes are closed to components by repeated minimum and pointer jumping.
+
+The counters only decide the order of tokens, so a collision costs time and never a link; far above their number of
+tokens, what stands out of a counter is still told from what does not. Shingles are compared as 64-bit hashes (a false
+link needs many collisions within one pair of sets).
 
 Defined results: null texts and texts without words have an empty set, link with nothing and are their own
 component; fewer than `n` words make one shingle; repeated rows fall into one class; the component is
@@ -31,18 +35,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.llm import common
 
 #: A bucket of so many classes at most is turned into pairs at once.
 SMALL = 64
-#: Classes in one block of a larger bucket.
-BLOCK = 512
-#: Slices of the counter table, each summed by itself.
-SLICES = 64
+#: Classes, and tokens of their sets (as an expectation), in one block of a larger bucket.
+BLOCK, BLOCK_TOKENS = 512, 2_000_000
+#: Slices of the counter table, and tables that are summed at a time.
+SLICES, FAN = 64, 32
+#: A pivot's members are dealt over so many salts.
+SALTS = 32
 #: Links that one task reduces to stars.
 PART = 200_000
 #: Counters: about one per `LOAD` shingles, a power of two between these.
@@ -83,25 +91,32 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+_SCANNED = "doc_id bigint, size int, key binary, short bigint, part int, task int, counts binary"
+_TYPES = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+
+
+def _scanned(n: int, **columns) -> pa.RecordBatch:
+    names = [x.split()[0] for x in _SCANNED.split(", ")]
+    whole = {c: columns.get(c, [None] * n) for c in names}
+    return common.batch_of(**{c: v if isinstance(v, pa.Array) else pa.array(v, t) for (c, v), t in zip(whole.items(), _TYPES, strict=True)})
+
+
 def _scan_one(n: int, bits: int):
     """Rows of two kinds: documents (key, size), and slices of the task's counters."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles, counts = Shingler(n), np.zeros(1 << bits, np.uint16)
-        for pdf in batches:
-            sets = [shingles(t) for t in pdf["body"]]
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingles, counts, task = Shingler(n), np.zeros(1 << bits, np.uint32), TaskContext.get().partitionId()
+        for batch in batches:
+            sets = [shingles(t) for t in batch.column("body").to_pylist()]
             if sets and len(every := np.concatenate(sets)):
                 slot, times = np.unique(every >> np.uint64(64 - bits), return_counts=True)
-                slot = slot.astype(np.int64)
-                counts[slot] = np.minimum(counts[slot].astype(np.int64) + times, 65535)
+                counts[slot.astype(np.int64)] += times.astype(np.uint32)
             keys = [key_of(x) if len(x) else None for x in sets]
             shorts = [None if k is None else short_of(k) for k in keys]
-            yield pd.DataFrame(
-                {"doc_id": pdf["doc_id"], "no_id": pdf["no_id"], "size": [len(x) for x in sets], "key": keys, "short": pd.Series(shorts, index=pdf.index, dtype="Int64"), "part": None, "counts": None}
-            )
-        if counts.any():
-            rows = [(k, x) for k, x in enumerate(np.split(counts, SLICES)) if x.any()]
-            yield pd.DataFrame({"doc_id": None, "no_id": None, "size": None, "key": None, "short": None, "part": [k for k, _ in rows], "counts": [zlib.compress(x.tobytes(), 1) for _, x in rows]})
+            yield _scanned(len(sets), doc_id=batch.column("doc_id"), size=[len(x) for x in sets], key=keys, short=shorts)
+        rows = [(k, x) for k, x in enumerate(np.split(counts, SLICES)) if x.any()]
+        if rows:
+            yield _scanned(len(rows), part=[k for k, _ in rows], task=[task] * len(rows), counts=[zlib.compress(x.tobytes(), 1) for _, x in rows])
 
     return scan
 
@@ -109,20 +124,35 @@ def _scan_one(n: int, bits: int):
 def _sum_slices(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(1, np.int64)
     for raw in pdf["counts"]:
-        total = total + np.frombuffer(zlib.decompress(raw), np.uint16)
-    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [zlib.compress(np.minimum(total, 65535).astype(np.uint16).tobytes(), 1)]})
+        total = total + np.frombuffer(zlib.decompress(raw), np.uint32)
+    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "task": [pdf["task"].iloc[0] // FAN], "counts": [zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)]})
+
+
+def _summed(slices: DataFrame) -> list[tuple[int, bytes]]:
+    """The whole table, in slices, as two-byte logarithms."""
+    tasks = (slices.agg(F.max("task")).first()[0] or 0) + 1
+    while True:
+        slices = slices.groupBy("part", F.floor(F.col("task") / FAN).alias("few")).applyInPandas(_sum_slices, "part int, task int, counts binary")
+        tasks = -(-tasks // FAN)
+        if tasks == 1:
+            break
+    scaled = []
+    for r in slices.select("part", "counts").toLocalIterator():  # at most 2 ** MAX_BITS counters
+        counts = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
+        scaled.append((r["part"], zlib.compress(np.minimum(np.rint(np.log2(1.0 + counts) * 2048), 65535).astype(np.uint16).tobytes(), 1)))
+    return scaled
 
 
 def _prefixes(n: int, bits: int, percent: int, sent):
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         counts = np.zeros((SLICES, (1 << bits) // SLICES), np.uint16)
         for part, raw in sent.value:
             counts[part] = np.frombuffer(zlib.decompress(raw), np.uint16)
         counts = counts.reshape(-1)
-        for pdf in batches:
+        for batch in batches:
             tokens, keys, sizes, seen = [], [], [], set()
-            for body in pdf["body"]:
+            for body in batch.column("body").to_pylist():
                 x = shingles(body)
                 if not len(x) or (key := key_of(x)) in seen:
                     continue
@@ -133,7 +163,7 @@ def _prefixes(n: int, bits: int, percent: int, sent):
                 keys.append(np.full(k, short_of(key), np.int64))
                 sizes.append(np.full(k, len(x), np.int32))
             if tokens:
-                yield pd.DataFrame({"token": np.concatenate(tokens), "short": np.concatenate(keys), "size": np.concatenate(sizes)})
+                yield common.batch_of(token=pa.array(np.concatenate(tokens)), short=pa.array(np.concatenate(keys)), size=pa.array(np.concatenate(sizes)))
 
     return scan
 
@@ -162,24 +192,29 @@ def may_reach(a: bytes, na: int, b: bytes, nb: int, percent: int) -> bool:
 
 
 def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Exact, for sorted sets; first by the prefixes under the orders two and three."""
+    a, b = prefix_size(len(x), percent), prefix_size(len(y), percent)
+    if not np.isin(x[:a], y[:b]).any() or not np.isin(x[-a:], y[-b:]).any():
+        return False
     both = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
 def _filter_pairs(percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in batches:
-            ok = [may_reach(a, m, b, n, percent) for a, m, b, n in zip(p["sum_a"], p["size_a"], p["sum_b"], p["size_b"], strict=True)]
-            yield p.loc[ok, ["a", "b"]]
+            sides = [p.column(c).to_pylist() for c in ("sum_a", "size_a", "sum_b", "size_b")]
+            yield p.select(["a", "b"]).filter(pa.array([may_reach(*x, percent) for x in zip(*sides, strict=True)], pa.bool_()))
 
     return run
 
 
 def _verify_pairs(percent: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for p in batches:
-            ok = [reaches(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(p["set_a"], p["set_b"], strict=True)]
-            yield p.loc[ok, ["key_a", "key_b"]].set_axis(["a", "b"], axis=1)
+            sides = [p.column(c).to_pylist() for c in ("set_a", "set_b")]
+            ok = [reaches(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(*sides, strict=True)]
+            yield common.batch_of(a=p.column("key_a"), b=p.column("key_b")).filter(pa.array(ok, pa.bool_()))
 
     return run
 
@@ -202,9 +237,9 @@ def _forest(link: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _meet(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """The links between the (at most two) blocks of one group, as a spanning forest."""
-    pdf = pdf.drop_duplicates("key")
-    sets = [np.frombuffer(x, np.uint64) for x in pdf["set"]]
+    """The links of a group's first block (`first`) with the whole group, as a spanning forest."""
+    pdf = pdf.sort_values("first", ascending=False, kind="stable").drop_duplicates("key")
+    lead, sets = int(pdf["first"].sum()), [np.frombuffer(x, np.uint64) for x in pdf["set"]]
     m, sizes = len(sets), np.array([len(x) for x in sets])
     owner = np.repeat(np.arange(m), sizes)
     _, word, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -214,35 +249,40 @@ def _meet(pdf: pd.DataFrame, percent: int) -> pd.DataFrame:
     owner, word = owner[keep], number[word[keep]]
     order = np.argsort(word, kind="stable")
     owner, word = owner[order], word[order]
-    both = np.zeros((m, m), np.float32)
+    both = np.zeros((lead, m), np.float32)
     step = 4096
     for low in range(0, int(shared.sum()), step):
         a, b = np.searchsorted(word, [low, low + step])
         dense = np.zeros((m, step), np.float32)
         dense[owner[a:b], word[a:b] - low] = 1
-        both += dense @ dense.T
-    link = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
+        both += dense[:lead] @ dense.T
+    link = np.zeros((m, m), bool)
+    link[:lead] = 100 * both >= percent * (sizes[:lead, None] + sizes[None, :] - both)
+    link |= link.T
     np.fill_diagonal(link, False)
     pairs, keys = _forest(link), pdf["key"].tolist()
     return pd.DataFrame({"a": [keys[i] for i, _ in pairs], "b": [keys[j] for _, j in pairs]})
 
 
-def _stars(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A part's links as one star around the smallest key of each of its components."""
     up: dict = {}
+    kind = None
 
     def root(x):
         while (y := up.setdefault(x, x)) != x:
             up[x] = x = up[y]
         return x
 
-    for pdf in batches:
-        for a, b in zip(pdf["a"], pdf["b"], strict=True):
+    for batch in batches:
+        kind = batch.column("a").type
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
             a, b = root(a), root(b)
             if a != b:
                 up[max(a, b)] = min(a, b)
     rows = [(x, r) for x in list(up) if (r := root(x)) != x]
-    yield pd.DataFrame(rows, columns=["a", "b"])
+    if rows:
+        yield common.batch_of(a=pa.array([x for x, _ in rows], kind), b=pa.array([r for _, r in rows], kind))
 
 
 def components(links: DataFrame, tag: str = "cc") -> DataFrame:
@@ -252,7 +292,7 @@ def components(links: DataFrame, tag: str = "cc") -> DataFrame:
     """
     links = common.cut(links.select("a", "b"), tag)
     parts = -(-links.count() // PART) or 1
-    stars = links.repartition(parts).mapInPandas(common.released(_stars), links.schema)
+    stars = links.repartition(parts).mapInArrow(common.released(_stars), links.schema)
     edges = common.cut(stars.union(stars.select("b", "a")).distinct(), tag)
     common.forget(links)
     labels = common.cut(edges.groupBy(F.col("a").alias("key")).agg(F.min("b").alias("m")).select("key", F.least("key", "m").alias("root")), tag)
@@ -266,22 +306,21 @@ def components(links: DataFrame, tag: str = "cc") -> DataFrame:
         labels = fresh
         if not moved:
             common.forget(edges)
-            return labels.select("key", "root")
+            out = labels.select("key", "root")
+            out.lakewright_path = labels.lakewright_path
+            return out
 
 
 def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents: doc_id, size, key) and (key, root) for the classes that have a link."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("body"))
-    # pandas would make floats of a batch's ids if one is null
-    whole = rows.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), "body")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(common.quoted(text)).cast("string").alias("body"))
     chars = rows.agg(F.sum(F.length("body"))).first()[0] or 0  # a shingle starts at every word, of about 6 characters
     bits = min(MAX_BITS, max(MIN_BITS, int(chars / 6 / LOAD).bit_length()))
-    one = common.cut(whole.mapInPandas(common.released(_scan_one(n, bits)), "doc_id bigint, no_id boolean, size int, key binary, short bigint, part int, counts binary"), "shingles")
-    members = one.filter("part is null").select(F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "size", "key", "short")
-    table = one.filter("part is not null").groupBy("part").applyInPandas(_sum_slices, "part int, counts binary")
-    sent = spark.sparkContext.broadcast([(r["part"], r["counts"]) for r in table.select("part", "counts").collect()])  # at most 2 ** MAX_BITS counters of 2 bytes
-    prefix = common.cut(rows.mapInPandas(common.released(_prefixes(n, bits, percent, sent)), "token bigint, short bigint, size int"), "prefix")
+    one = common.cut(rows.mapInArrow(common.released(_scan_one(n, bits)), _SCANNED), "shingles")
+    members = one.filter("part is null").select("doc_id", "size", "key", "short")
+    sent = spark.sparkContext.broadcast(_summed(one.filter("part is not null").select("part", "task", "counts")))
+    prefix = common.cut(rows.mapInArrow(common.released(_prefixes(n, bits, percent, sent)), "token bigint, short bigint, size int"), "prefix")
     twice = prefix.groupBy("token").count().filter("count > 1").select("token")
     shared = common.cut(prefix.join(twice, "token").groupBy("token", "short").agg(F.first("size").alias("size")), "shared")
     common.forget(prefix)
@@ -292,18 +331,10 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     chosen = common.cut(sums.filter("m > 1").groupBy("m", "s1", "s2").agg(F.min("token").alias("token")).select("token", "m"), "buckets")
     placed = common.cut(shared.join(chosen, "token"), "placed")
     common.forget(shared, chosen)
-    # large buckets first: each class goes to the groups of its block, with itself and with every other block
     hot, sets, links, roots = placed.filter(F.col("m") > SMALL), None, None, None
     if hot.limit(1).count():
         sets = common.cut(_sets(rows, members, hot.select("short").distinct(), n, percent), "sets")
-        blocks = F.ceil(F.col("m") / BLOCK)
-        own = F.pmod(F.xxhash64("short", F.lit(3)), blocks)
-        dealt = hot.select("token", "short", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), blocks.cast("long") - 1)).alias("other"))
-        dealt = dealt.select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "short")
-        met = dealt.join(sets.select("short", "key", "set"), "short").groupBy("token", "i", "j").applyInPandas(lambda pdf: _meet(pdf, percent), "a binary, b binary")
-        links = common.cut(met, "links")
-        named = components(links).join(sets.select("key", "short"), "key").groupBy("short")
-        roots = common.cut(named.agg(F.min("root").alias("root"), F.count("*").alias("n")).filter("n = 1").drop("n"), "roots")
+        links, roots = _large(hot.select("token", "short", "size"), sets, percent)
     # then pairs of the small ones, but for those that are joined already
     small = placed.filter(F.col("m") <= SMALL)
     small = small.withColumn("root", F.lit(None).cast("binary")) if roots is None else small.join(roots, "short", "left")
@@ -327,12 +358,93 @@ def classes(docs: DataFrame, n: int, percent: int, text: str = "text") -> tuple[
     side = lambda x, what: every.select(F.col("short").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in what])
     likely = pairs.join(side("a", ("summary", "size")), "a").join(side("b", ("summary", "size")), "b")
     likely = likely.select("a", "b", F.col("summary_a").alias("sum_a"), "size_a", F.col("summary_b").alias("sum_b"), "size_b")
-    likely = common.cut(likely.mapInPandas(common.released(_filter_pairs(percent)), "a bigint, b bigint").distinct(), "likely")
+    likely = common.cut(likely.mapInArrow(common.released(_filter_pairs(percent)), "a bigint, b bigint").distinct(), "likely")
     common.forget(pairs)
     found = likely.join(side("a", ("key", "set")), "a").join(side("b", ("key", "set")), "b").select("key_a", "set_a", "key_b", "set_b")
-    found = common.cut(found.mapInPandas(common.released(_verify_pairs(percent)), "a binary, b binary"), "found")
+    found = common.cut(found.mapInArrow(common.released(_verify_pairs(percent)), "a binary, b binary"), "found")
     common.forget(likely, more, *([sets, roots] if sets is not None else []))
-    return members, components(found if links is None else found.union(links))
+    out = components(found if links is None else found.union(links))
+    common.forget(found, *([] if links is None else [links]))
+    return members, out
+
+
+def _large(hot: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b: keys) that join all that the large buckets link, and (short, root) of the classes that they join."""
+    hot = common.cut(hot, "hot")
+    often = hot.groupBy("short").agg(F.count("*").alias("n"))
+    mix = F.xxhash64("short", F.lit(11))
+    pivots = hot.join(often, "short").groupBy("token").agg(F.max(F.struct("n", mix.alias("x"), "short"))["short"].alias("p"), F.max(F.struct(mix.alias("x"), "short"))["short"].alias("q"))
+    pivots = pivots.select("token", F.explode(F.array_distinct(F.array("p", "q"))).alias("pivot"))
+    # a bucket, and with it its pivot, may hold a third of all classes: both joins go over salts
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    dealt = hot.withColumn("salt", F.pmod(F.xxhash64("short", F.lit(5)), F.lit(SALTS)).cast("int"))
+    pairs = dealt.join(pivots.select("token", "pivot", salts), ["token", "salt"]).filter("short <> pivot").select("short", "pivot", "salt").distinct()
+    own = sets.select("short", F.col("key").alias("key_a"), F.col("set").alias("set_a"), F.col("size").alias("size_a"))
+    other = sets.join(pivots.select(F.col("pivot").alias("short")).distinct(), "short", "left_semi")
+    other = other.select(F.col("short").alias("pivot"), F.col("key").alias("key_b"), F.col("set").alias("set_b"), F.col("size").alias("size_b"), salts)
+    reach = (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
+    met = pairs.join(own, "short").join(other, ["pivot", "salt"]).filter(reach).select("key_a", "set_a", "key_b", "set_b")
+    links = common.cut(met.mapInArrow(common.released(_verify_pairs(percent)), "a binary, b binary"), "links")
+    roots = _rooted(links, sets)
+    # a group is a bucket's classes of one size band and the next: sets of other sizes cannot reach
+    width = float(np.log(100 / percent)) if percent < 100 else 1.0
+    band = F.floor(F.log("size") / F.lit(width) + F.lit(1e-9))
+    largest = hot.join(hot.groupBy("token").agg(F.count("*").alias("m")), "token").groupBy("short").agg(F.max(F.struct("m", "token"))["token"].alias("large"))
+    placed = hot.join(roots, "short", "left").join(largest, "short").select(
+        "token", "short", "size", F.coalesce(F.hex("root"), F.col("short").cast("string")).alias("root"),
+        F.when(F.col("large") == F.col("token"), F.concat(F.lit("s"), "short")).otherwise(F.col("large").cast("string")).alias("large"),
+        F.explode(F.array(band, band - 1)).alias("band"),
+    )
+    keys = ["token", "band"]
+    most = lambda c: placed.groupBy(*keys, c).agg(F.count("*").alias("n")).groupBy(*keys).agg(F.max(F.struct("n", c))[c].alias(f"most_{c}"))
+    told = placed.join(most("root").join(most("large"), keys), keys)
+    in_root, in_large = F.col("root") == F.col("most_root"), F.col("large") == F.col("most_large")
+    told = told.select(*keys, "short", "size", F.when(~in_root & ~in_large, "c").when(~in_root, "a").when(~in_large, "b").otherwise("d").alias("kind"))
+    blocks = lambda when: F.ceil(F.greatest(F.count_if(when) / BLOCK, F.sum(F.when(when, F.col("size")).otherwise(0)) / BLOCK_TOKENS)).cast("long")
+    kind = F.col("kind")
+    groups = told.groupBy(*keys).agg(blocks(kind == "c").alias("nc"), blocks(kind != "c").alias("ne"), blocks(kind == "a").alias("na"), blocks(kind == "b").alias("nb"))
+    groups = common.cut(groups.filter("nc > 0 or na > 0 and nb > 0"), "groups")
+    if not groups.limit(1).count():
+        common.forget(hot, groups)
+        return links, roots
+    dealt = told.join(groups, keys).select(*keys, "short", F.explode(_meetings()).alias("to"))
+    dealt = dealt.select(*keys, "short", "to.*").join(sets.select("short", "key", "set"), "short")
+    met = dealt.groupBy(*keys, "what", "i", "j").applyInPandas(lambda pdf: _meet(pdf, percent), "a binary, b binary")
+    every_link = common.cut(links.union(met), "links")
+    common.forget(hot, groups, links, roots)
+    return every_link, _rooted(every_link, sets)
+
+
+def _meetings() -> Column:
+    """Where a class of a group goes: structs (what, i, j, first). Blocks of `c` meet each other (what 0) and those of all
+    the rest (1), blocks of `a` meet those of `b` (2); `first` is the side whose rows are compared with the whole group."""
+    own = lambda n: F.pmod(F.xxhash64("short", F.lit(3)), F.greatest(F.col(n), F.lit(1)))
+    none = "array<struct<what:int,i:bigint,j:bigint,first:boolean>>"
+
+    def to(what: int, n: str, i, j, first) -> Column:
+        one = lambda k: F.struct(F.lit(what).alias("what"), i(k).alias("i"), j(k).alias("j"), first(k).alias("first"))
+        return F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.col(n) - 1), one)).otherwise(F.array().cast(none))
+
+    yes, no, other = (lambda k: F.lit(True)), (lambda k: F.lit(False)), (lambda k: k)
+    c, e, a, b = (own(n) for n in ("nc", "ne", "na", "nb"))
+    among = to(0, "nc", lambda k: F.least(c, k), lambda k: F.greatest(c, k), lambda k: c <= k)
+    rest = to(1, "nc", other, lambda k: e, no)
+    kind = F.col("kind")
+    return (
+        F.when(kind == "c", F.concat(among, to(1, "ne", lambda k: c, other, yes)))
+        .when(kind == "a", F.concat(rest, to(2, "nb", lambda k: a, other, yes)))
+        .when(kind == "b", F.concat(rest, to(2, "na", other, lambda k: b, no)))
+        .otherwise(rest)
+    )
+
+
+def _rooted(links: DataFrame, sets: DataFrame) -> DataFrame:
+    """(short, root) of the classes that links join; a name that two of them share is left out."""
+    closed = components(links)
+    named = closed.join(sets.select("key", "short").distinct(), "key").groupBy("short")
+    out = common.cut(named.agg(F.min("root").alias("root"), F.count("*").alias("n")).filter("n = 1").drop("n"), "roots")
+    common.forget(closed)
+    return out
 
 
 def _keys(n: int):
@@ -359,20 +471,22 @@ def _sets(rows: DataFrame, members: DataFrame, needed: DataFrame, n: int, percen
     else:  # one id (or none) for several classes: each of its rows would meet all of them
         picked = rows.withColumn("key", _keys(n)("body")).join(near.select("key"), "key").select("body", "key")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingler(n), set()
-        for pdf in batches:
+        for batch in batches:
             out = []
-            for body, key in zip(pdf["body"], map(bytes, pdf["key"]), strict=True):
+            for body, key in zip(batch.column("body").to_pylist(), batch.column("key").to_pylist(), strict=True):
                 if key in seen:
                     continue
                 x = shingles(body)
                 if len(x) and key_of(x) == key:  # else another row of the same doc_id
                     seen.add(key)
                     out.append((key, short_of(key), len(x), x.tobytes(), summary_of(x, percent)))
-            yield pd.DataFrame(out, columns=["key", "short", "size", "set", "summary"])
+            columns = zip(*out, strict=True) if out else [()] * 5
+            kinds = {"key": pa.binary(), "short": pa.int64(), "size": pa.int32(), "set": pa.binary(), "summary": pa.binary()}
+            yield common.batch_of(**{c: pa.array(v, k) for (c, k), v in zip(kinds.items(), columns, strict=True)})
 
-    return picked.mapInPandas(common.released(run), "key binary, short bigint, size int, set binary, summary binary")
+    return picked.mapInArrow(common.released(run), "key binary, short bigint, size int, set binary, summary binary")
 
 
 def join(docs: DataFrame, n: int = 3, percent: int = 90, text: str = "text") -> DataFrame:
@@ -411,18 +525,15 @@ def stage(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 def _stage_by_row(docs: DataFrame, roots: DataFrame, n: int) -> DataFrame:
     """stage() where doc_id does not name a row: rows go by id, key and a hash of the text."""
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    body = F.col("text").cast("string")
-    keyed = docs.withColumn("__key", _keys(n)(body)).withColumn("__hash", F.xxhash64(body))
-    told = keyed.filter("__key is not null").select(F.col("doc_id").alias("__id"), "__key", "__hash")
-    told = told.join(roots.select(F.col("key").alias("__key"), "root"), "__key", "left")
-    best = told.groupBy(F.coalesce("root", "__key").alias("root")).agg(F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__key", "__hash")).alias("x"))
-    best = common.cut(best.select("x.__id", F.col("x.__key").alias("__best"), F.col("x.__hash").alias("__of")), "best")
-    same = (F.col("__key") == F.col("__best")) & (F.col("__hash") == F.col("__of")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-    kept = keyed.join(best, same).dropDuplicates(["__key"]).select(*names)
-    empty = keyed.filter("__key is null")
-    repeated = empty.filter("doc_id is not null").dropDuplicates(["doc_id", "text"]).select(*names)
-    return kept.unionByName(repeated).unionByName(empty.filter("doc_id is null").select(*names))
+    keyed = common.apart(docs).withColumns({"id": F.col("row.doc_id"), "key": _keys(n)("body"), "hash": F.xxhash64("body")})
+    told = keyed.filter("key is not null").select("id", "key", "hash").join(roots.select("key", "root"), "key", "left")
+    best = told.groupBy(F.coalesce("root", "key").alias("root")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key", "hash")).alias("x"))
+    best = common.cut(best.select(F.col("x.id").alias("best_id"), F.col("x.key").alias("best_key"), F.col("x.hash").alias("best_hash")), "best")
+    same = (F.col("key") == F.col("best_key")) & (F.col("hash") == F.col("best_hash")) & F.col("id").eqNullSafe(F.col("best_id"))
+    kept = keyed.join(best, same).dropDuplicates(["key"]).select("row", "body")
+    empty = keyed.filter("key is null")
+    repeated = empty.filter("id is not null").dropDuplicates(["id", "body"]).select("row", "body")
+    return common.together(kept.union(repeated).union(empty.filter("id is null").select("row", "body")), docs)
 
 
 SQL = r"""

@@ -122,3 +122,32 @@ def test_stage_with_null_and_repeated_ids(spark, documents):
     expected = [(None, long[0]), (None, long[1]), (7, long[2]), (3, long[3]), (5, long[4]), (5, ""), (5, None), (None, None), (None, " "), (big, long[5]), (9, long[7])]
     assert got == sorted(expected + one, key=repr)
     assert j.stage(docs).columns == docs.columns
+
+
+def test_slices_sum_over_several_rounds(spark, monkeypatch):
+    import zlib
+
+    monkeypatch.setattr(j, "FAN", 3)
+    rows = [(part, task, zlib.compress(np.array([task, 1, 0, 2**31], np.uint32).tobytes())) for part in range(2) for task in range(20)]
+    got = dict(j._summed(spark.createDataFrame(rows, "part int, task int, counts binary")))
+    expected = np.rint(np.log2(1.0 + np.array([sum(range(20)), 20, 0, 2**32 - 1])) * 2048).clip(0, 65535)
+    assert set(got) == {0, 1} and all(np.frombuffer(zlib.decompress(x), np.uint16).tolist() == expected.tolist() for x in got.values())
+
+
+def test_many_near_copies(spark, documents, monkeypatch):
+    """Groups of near copies, a chain, and texts that share words with all: as brute force, by pivots and blocks."""
+    monkeypatch.setattr(j, "SMALL", 8)
+    monkeypatch.setattr(j, "BLOCK", 16)
+    monkeypatch.setattr(j, "BLOCK_TOKENS", 900)
+    r = random.Random(6)
+    base = [f"w{k}" for k in range(50)]
+    texts = []
+    for _ in range(120):
+        x = list(base)
+        for _ in range(r.randint(0, 2)):
+            x[r.randrange(50)] = f"v{r.randint(0, 999)}"
+        texts.append(" ".join(x))
+    texts += [" ".join([f"s{k}" for k in range(at, at + 40)]) for at in range(0, 60, 2)]  # each links with the next
+    texts += [" ".join(base[:25] + [f"z{k}-{i}" for i in range(r.randint(15, 90))]) for k in range(30)]
+    got = sorted(tuple(x) for x in j.join(documents(texts), 3, 80).collect())
+    assert got == brute(texts, list(range(len(texts))), 3, 80)

@@ -14,7 +14,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakewright.llm import common, labelled, trees
@@ -73,13 +73,11 @@ def score(docs: DataFrame, model: trees.FlatTrees) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            s = sent.value.score(matrix(pdf["text"]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= THRESHOLD).astype(np.int32)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield labelled.scored(batch, sent.value.score(matrix(batch.column("body").to_pylist())), THRESHOLD)
 
-    rows = docs.select("doc_id", "text", labelled.held_out(MOD, OUT).alias("held_out"))
-    return rows.mapInPandas(common.released(run), "doc_id bigint, held_out boolean, score double, predicted int")
+    return labelled.scoring_rows(docs, MOD, OUT).mapInArrow(common.released(run), labelled.SCORED)
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

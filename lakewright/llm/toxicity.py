@@ -17,7 +17,7 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from lakewright.llm import common, labelled
@@ -103,15 +103,13 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of docs."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, dense, bias = Features(), sent.value.dense(), sent.value.bias
-        for pdf in batches:
-            margin = np.array([bias + float(dense[features(t)].sum()) for t in pdf["text"]], float)
-            s = 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= THRESHOLD).astype(np.int32)})
+        for batch in batches:
+            margin = np.array([bias + float(dense[features(t)].sum()) for t in batch.column("body").to_pylist()], float)
+            yield labelled.scored(batch, 1 / (1 + np.exp(-np.clip(margin, -40, 40))), THRESHOLD)
 
-    rows = docs.select("doc_id", "text", labelled.held_out(MOD, OUT).alias("held_out"))
-    return rows.mapInPandas(common.released(run), "doc_id bigint, held_out boolean, score double, predicted int")
+    return labelled.scoring_rows(docs, MOD, OUT).mapInArrow(common.released(run), labelled.SCORED)
 
 
 def query(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from lakewright.llm import quality_trees, toxicity, trees
+from lakewright.llm import labelled, quality_trees, toxicity, trees
 
 
 def labelled_docs(spark, kind, n=900):
@@ -84,3 +84,16 @@ def test_ftrl_weights_are_sparse():
     sets = [features(f"neutral words w{k} {'idiot' if k % 2 else 'kind'} end") for k in range(200)]
     model = toxicity.fit(sets, np.array([k % 2 for k in range(200)], float))
     assert 0 < len(model.at) < len(np.unique(np.concatenate(sets)))
+
+
+def test_one_long_text_does_not_empty_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(labelled, "MAX_CHARS", 2_000)
+    monkeypatch.setattr(labelled, "MAX_TEXT", 1_500)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(90)], "doc_id long, toxic int")
+    texts = {k: "a b c d e" for k in range(90)}
+    plain = labelled.sample(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels, "toxic", 3, 1, 50)
+    first, second = plain["doc_id"][0], plain["doc_id"][1]
+    texts |= {first: "x" * 1_600, second: "y" * 1_400}
+    got = labelled.sample(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), labels, "toxic", 3, 1, 50)
+    assert first not in set(got["doc_id"]) and second in set(got["doc_id"]) and len(got) > 50
+    assert sum(map(len, got["text"])) <= 2_000 and set(got["label"]) == {0, 1}

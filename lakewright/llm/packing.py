@@ -7,8 +7,8 @@ A task tokenises its documents as they stream by and packs them in pools of abou
   3. Fill: gaps of the longest windows are filled from shorter tiers' pieces, then by cutting one piece to
      the gap, so that only the last window of a pool may keep one; windows of a shorter tier that are not
      exactly full (a power of two) are merged upwards in the same way.
-  4. Balance: windows are dealt to step groups of `STEP` windows of one length, so that the
-     steps carry equal work.
+  4. Balance: each length counts its own windows through the whole task, and every `STEP` of them are a step group, so
+     that a group holds one length and carries `STEP` times its tokens; only the last group of a length is smaller.
 What a pool leaves unfilled is carried into the next pool of the task; a task keeps at most one padded
 window. Pieces of a task number their sequences under the task's partition, so nothing is shuffled and a
 repeated task gives the same rows.
@@ -26,7 +26,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -211,47 +211,53 @@ def tail_windows(pieces: list[Piece]) -> list[list[Piece]]:
     return out + ([queue] if queue else [])
 
 
-def _rows(windows: list[list[Piece]], first: int, base: int) -> list[tuple]:
-    rows = []
-    for k, w in enumerate(windows):
-        at, size = 0, length_of(w)
-        for p in w:
-            n = len(p.ids)
-            rows.append((p.doc, p.start, n, zlib.crc32(p.ids.astype("<u4").tobytes()), p.total, base + first + k, at, next((t for t in TIERS if t >= size), LONGEST), (first + k) // STEP))
-            at += n
-    return rows
-
-
 COLUMNS = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "window", "step_group"]
 SCHEMA = ", ".join(f"{c} bigint" for c in COLUMNS)
 
 
+class Numbering:
+    """Sequence ids and step groups of a task's windows."""
+
+    def __init__(self, base: int) -> None:
+        self.next, self.made = base, dict.fromkeys(TIERS, 0)
+
+    def rows(self, windows: list[list[Piece]]) -> pa.RecordBatch:
+        out: list[tuple] = []
+        for w in windows:
+            at, tier = 0, next(t for t in TIERS if t >= length_of(w))
+            group = self.made[tier] // STEP * len(TIERS) + TIERS.index(tier)
+            for p in w:
+                n = len(p.ids)
+                out.append((p.doc, p.start, n, zlib.crc32(p.ids.astype("<u4").tobytes()), p.total, self.next, at, tier, group))
+                at += n
+            self.next += 1
+            self.made[tier] += 1
+        values = zip(*out, strict=True) if out else [()] * len(COLUMNS)
+        return common.batch_of(**{c: pa.array(v, pa.int64()) for c, v in zip(COLUMNS, values, strict=True)})
+
+
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, pool: int = POOL) -> DataFrame:
-    """A row for each piece: COLUMNS (window: the tier; step_group: within the partition)."""
+    """A row for each piece: COLUMNS (window: the tier; step_group: within the partition, of one window each)."""
     path = vocabulary or default_vocabulary()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokens = Tokens(path)
-        base = TaskContext.get().partitionId() * SPAN
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, numbers = Tokens(path), Numbering(TaskContext.get().partitionId() * SPAN)
         held: list[Piece] = []
-        size = made = 0
-        for pdf in batches:
-            for doc, text in zip(pdf["doc_id"], pdf["text"], strict=True):
+        size = 0
+        for batch in batches:
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 ids = tokens(text or "")
-                held.append(Piece(None if pd.isna(doc) else int(doc), len(ids), 0, ids))
+                held.append(Piece(doc, len(ids), 0, ids))
                 size += len(ids)
                 if size >= pool:
                     windows, held = pack(held)
-                    windows.sort(key=length_of, reverse=True)  # step groups of one length each
-                    yield pd.DataFrame(_rows(windows, made, base), columns=COLUMNS)
-                    made, size = made + len(windows), length_of(held)
+                    yield numbers.rows(windows)
+                    size = length_of(held)
         windows, held = pack(held)
-        windows += tail_windows(held)
-        windows.sort(key=length_of, reverse=True)
-        if windows:
-            yield pd.DataFrame(_rows(windows, made, base), columns=COLUMNS)
+        yield numbers.rows(windows + tail_windows(held))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(common.released(run), SCHEMA)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("body"))
+    return rows.mapInArrow(common.released(run), SCHEMA)
 
 
 def query(docs: DataFrame) -> DataFrame:

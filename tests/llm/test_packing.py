@@ -76,3 +76,30 @@ def test_pack_loses_nothing(seed):
         assert start == at[doc]
         at[doc] += n
     assert at == {x.doc: x.total for x in pieces}
+
+
+def test_step_groups_hold_one_length_and_equal_tokens(spark, documents, monkeypatch):
+    monkeypatch.setattr(p, "STEP", 4)
+    r = random.Random(2)
+    texts = [" ".join(r.choice(["the", "of", "xyzzy", "42"]) for _ in range(int(r.expovariate(1 / 400)) + 1)) for _ in range(250)]
+    numbers, held, groups = p.Numbering(0), [], defaultdict(lambda: defaultdict(int))
+    tokens = p.Tokens(p.default_vocabulary())
+    batches = []
+    for k, t in enumerate(texts):
+        ids = tokens(t)
+        held.append(p.Piece(k, len(ids), 0, ids))
+        if k % 60 == 59:
+            windows, held = p.pack(held)
+            batches.append(numbers.rows(windows))
+    windows, held = p.pack(held)
+    batches.append(numbers.rows(windows + p.tail_windows(held)))
+    sizes = {}
+    for b in batches:
+        for x in b.to_pylist():
+            groups[x["step_group"]][x["sequence_id"]] += x["length"]
+            assert sizes.setdefault(x["step_group"], x["window"]) == x["window"]
+    smaller = defaultdict(int)
+    for g, windows in groups.items():
+        full = all(n == sizes[g] for n in windows.values())
+        smaller[sizes[g]] += len(windows) < 4 or not full
+    assert len(groups) > 8 and all(n <= 1 for n in smaller.values())

@@ -1,16 +1,23 @@
 """Main text of HTML pages by two passes over blocks.
 
 A linear tokenizer cuts the page into blocks at block-level tags; each block knows its text, its linked
-characters and the regions it lies in. Pass one decides a block: text in page furniture (menus, headers,
-footers, sidebars, forms, and elements whose class, id or role says notice, advert, comments, ...) is bad,
-text in the article is good, and elsewhere stop-word density, length and link density decide. Pass two
-gives the undecided short blocks the label of their nearest decided neighbours; where those differ, headings
-go with the block behind and others with the nearer one (the one before on a tie). Inside a marked article
-(`article`, `main`) an undecided block goes only where both neighbours inside go, and blocks outside it are bad.
-
-Defined results: null or empty html gives an empty text; unclosed tags end with their parent, at any depth; a page
-without any good block gives an empty text; character references are decoded once; repeated rows are
-treated alike; other columns are not read.
+characters and the regions it lies in. Page furniture (menus, headers, footers, sidebars, forms, and elements whose
+class, id or role says notice, advert, comments, ...) is a bad region.
+
+Pass one decides each other block by its stop-word density, length and link density: linked text is bad, longer text
+with stop words is good, longer text with few of them and a link is bad, and the rest is near (undecided). `article` and
+`main` only soften the bounds: linked text in them is bad from `INSIDE_LINKS` on, and longer text is never bad by its words.
+Where no block of a page is good by stop words (other languages, few words), its undecided longer blocks are taken as
+good, or, without any, its undecided short ones.
+
+Pass two gives the undecided blocks the label of their nearest decided neighbours, those inside of an article and
+those outside by themselves; where the two neighbours differ, headings go with the block behind and others with the
+nearer one (the one before on a tie), and a block inside an article goes only where both are bad. If any block
+inside an article is good now, what lies outside is left out.
+
+Defined results: null or empty html gives an empty text; unclosed tags end with their parent, at any depth, and `head`
+with the first element that cannot lie in it; a page without any good block gives an empty text; character references
+are decoded once; repeated rows are treated alike; other columns are not read.
 """
 
 from __future__ import annotations
@@ -19,15 +26,18 @@ import html as entities
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lakewright.llm import common
 
 #: Element names of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "math", "canvas", "object", "title", "select"}
-FURNITURE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "fieldset", "figcaption"}
+RAW = {"script", "style", "textarea", "iframe", "title", "noembed", "noframes", "xmp"}
+SKIPPED = {"noscript", "template", "svg", "math", "canvas", "object", "select"}
+FURNITURE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "button", "head", "fieldset"}
+IN_HEAD = {"base", "link", "meta", "head"}
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "br", "button", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt",
     "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend",
@@ -54,8 +64,11 @@ STOP = set(
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 HINT_WORD = re.compile(r"[A-Za-z]+")
+#: The tags of elements whose content is no text; only ASCII letters have two cases here.
+ENDING = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for name in RAW | SKIPPED}
+TAGS = {name: re.compile(rf"<(/?){name}(?=[\s/>]|\Z)[^>]*>?", re.I | re.A) for name in SKIPPED}
 SHORT, LONG = 70, 200
-MAX_LINKS, STOP_LOW, STOP_HIGH = 0.33, 0.08, 0.15
+MAX_LINKS, INSIDE_LINKS, STOP_LOW, STOP_HIGH = 0.33, 0.6, 0.08, 0.15
 
 
 class Block:
@@ -66,6 +79,22 @@ class Block:
         self.linked, self.region, self.heading, self.label, self.text = 0, region, heading, "", ""
 
 
+def behind(page: str, name: str, at: int, lasts: dict[str, int]) -> int:
+    """Where the content of an element that is no text ends. A raw one goes on to the page's end if it is not closed; of
+    a skipped one only the tag goes then. lasts: the last end tag of each name, found once."""
+    if name in RAW:
+        end = ENDING[name].search(page, at)
+        return len(page) if end is None else end.end()
+    if name not in lasts:
+        lasts[name] = max((m.end() for m in ENDING[name].finditer(page, at)), default=-1)
+    depth = 1
+    for m in TAGS[name].finditer(page, at, max(at, lasts[name])):
+        depth += -1 if m[1] else 1
+        if not depth:
+            return m.end()
+    return max(at, lasts[name])
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks with text, in page order."""
     out: list[Block] = []
@@ -73,7 +102,7 @@ def blocks_of(page: str) -> list[Block]:
     places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
     region, heading, links = "", 0, 0
     now = Block("", False)
-    at, low = 0, None
+    at, lasts = 0, {}
 
     def close() -> None:
         nonlocal now
@@ -95,12 +124,10 @@ def blocks_of(page: str) -> list[Block]:
         if m[2] is None:
             continue
         name, closing = m[2].lower(), bool(m[1])
-        if not closing and name in RAW:
-            if not m[3].endswith("/") or name in ("script", "style", "title", "textarea"):
-                low = low or page.lower()
-                end = low.find("</" + name, at)
-                at = len(page) if end < 0 else (page.find(">", end) + 1 or len(page))
-            if name not in ("script", "style", "noscript", "template"):
+        if not closing and name in ENDING:
+            if name in RAW or not m[3].endswith("/"):
+                at = behind(page, name, at, lasts)
+            if name not in ("script", "style"):
                 now.bits.append(" ")
             continue
         if closing:
@@ -109,6 +136,9 @@ def blocks_of(page: str) -> list[Block]:
             del stack[len(stack) - len(gone) :]
         else:
             gone = []
+            if places.get("head") and name not in IN_HEAD:
+                gone = stack[places["head"][-1] :]
+                del stack[len(stack) - len(gone) :]
             if name in BLOCK and name != "br":
                 # inline elements left open (<b>, <i>, ...), a paragraph and open siblings end at the next block
                 ends = ENDS.get(name, ())
@@ -123,7 +153,7 @@ def blocks_of(page: str) -> list[Block]:
         if block:
             close()
         if not closing and name not in VOID:
-            inner = region_of(name, m[3], region, stack)
+            inner = region_of(name, m[3], region, bool(places.get("article")))
             if not m[3].rstrip().endswith("/"):
                 places.setdefault(name, []).append(len(stack))
                 stack.append((name, inner))
@@ -140,44 +170,62 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def region_of(name: str, attributes: str, outer: str, stack: list[tuple[str, str]]) -> str:
-    if outer == "bad":
-        return "bad"
-    if name in FURNITURE and name != "figcaption":
+def region_of(name: str, attributes: str, outer: str, in_article: bool) -> str:
+    """The region of an element's content; an article's own header is none of the page's."""
+    if outer == "bad" or name in FURNITURE and not (name == "header" and in_article):
         return "bad"
-    if attributes and name not in ("html", "body", "article", "main") and hinted(attributes):
+    if attributes and name not in ("html", "body", "article", "main") and hinted(name, attributes, in_article):
         return "bad"
     return "good" if name in ("article", "main") else outer
 
 
-def hinted(attributes: str) -> bool:
+def hinted(name: str, attributes: str, in_article: bool) -> bool:
+    """Whether class, id or role say that the element is no main text. The word `header` says it as the element does:
+    not in an article, and not beside a word for the text itself (`post-header`); a heading needs all words to say it."""
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key = key.lower()
         value = a or b or c
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
-        if key in ("class", "id", "role") and any(w.lower() in _HINTS for w in HINT_WORD.findall(value)):
+        if key not in ("class", "id", "role"):
+            continue
+        words = [w.lower() for w in HINT_WORD.findall(value)]
+        said = [w for w in words if w in _HINTS and not (w == "header" and (in_article or _OWN.intersection(words)))]
+        if said and (name not in HEADINGS or len(said) == len(words)):
             return True
     return False
 
 
 _HINTS = set(HINTS)
+_OWN = {"post", "entry", "article", "story", "content", "title"}
 
 
-def first_pass(x: Block, marked: bool) -> str:
-    """good, bad or near (undecided). marked: the page names its article, so what lies outside is none of it."""
+def first_pass(x: Block) -> str:
+    """good, bad or near (undecided)."""
     inside, share = x.region == "good", x.linked / max(1, len(x.text))
-    if x.region == "bad" or marked and not inside:
-        return "bad"
-    if share > (0.8 if inside else MAX_LINKS):
+    if x.region == "bad" or share > (INSIDE_LINKS if inside else MAX_LINKS):
         return "bad"
     if len(x.text) < SHORT:
         return "near" if not x.linked or inside else "bad"
-    words = x.text.lower().split()
-    stop = sum(w.strip(".,;:!?\"'()") in STOP for w in words) / max(1, len(words))
-    if stop >= STOP_HIGH or len(x.text) > LONG and (inside or stop >= STOP_LOW):
+    stop = stop_density(x.text)
+    if stop >= STOP_HIGH or len(x.text) > LONG and stop >= STOP_LOW:
         return "good"
-    return "near" if inside or stop >= STOP_LOW or len(x.text) > LONG else "bad"
+    return "near" if inside or stop >= STOP_LOW or not x.linked else "bad"
+
+
+def stop_density(text: str) -> float:
+    words = text.lower().split()
+    return sum(w.strip(".,;:!?\"'()") in STOP for w in words) / max(1, len(words))
+
+
+def without_stop_words(found: list[Block]) -> None:
+    """A page without a good block (of few words, or in a language whose stop words are not known): its undecided
+    longer blocks are good, or, if it has none, its undecided short ones."""
+    if any(x.label == "good" for x in found):
+        return
+    near = [x for x in found if x.label == "near"]
+    for x in [x for x in near if len(x.text) >= SHORT] or near:
+        x.label = "good"
 
 
 def second_pass(found: list[Block]) -> None:
@@ -210,22 +258,28 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     found = blocks_of(page)
-    marked = any(x.region == "good" for x in found)
     for x in found:
-        x.label = first_pass(x, marked)
+        x.label = first_pass(x)
+    without_stop_words(found)
     second_pass(found)
-    return "\n\n".join(x.text for x in found if x.label == "good")
+    good = [x for x in found if x.label == "good"]
+    if any(x.region == "good" for x in good):
+        good = [x for x in good if x.region == "good"]
+    return "\n\n".join(x.text for x in good)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for each row of pages."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [main_text(x) for x in pdf["html"]]
-            yield pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts, "n_chars": [len(x) for x in texts]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [main_text(x) for x in batch.column("html").to_pylist()]
+            yield common.batch_of(
+                page_id=batch.column("page_id"), url=batch.column("url"), text=pa.array(texts, pa.string()), n_chars=pa.array([len(x) for x in texts], pa.int64())
+            )
 
-    return pages.select("page_id", "url", "html").mapInPandas(common.released(run), "page_id bigint, url string, text string, n_chars bigint")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    return rows.mapInArrow(common.released(run), "page_id bigint, url string, text string, n_chars bigint")
 
 
 def query(pages: DataFrame) -> DataFrame:

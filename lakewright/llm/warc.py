@@ -7,24 +7,27 @@ frame and offset within the frame. A bundle is written under a name of its task
 through the manifest, so a repeated task leaves at most an unreferenced file.
 
 Duplicates: of records with equal payloads of at least `REVISIT_FROM` bytes, the one with the largest
-page_id is a response, the others are revisits of it without a payload block; smaller payloads are
-always responses.
+page_id is a response, the others are revisits of it without a payload; smaller payloads are always responses.
+A block is an HTTP message (`application/http`): the status line, its headers, then the payload. Record ids are UUIDs
+made from page_id and payload digest, so that a revisit can name its response; `X-Page-Id` keeps the number.
 
-Reading: bundles are read frame by frame through the seek table; single records by `read_record`.
+Reading: the bundles are dealt to tasks by bundle, as many tasks as the records' bytes ask for (`READ`); a task opens
+each of its bundles once and reads frame by frame through the seek table. Single records: `read_record`.
 
-Defined results: null html is an empty payload; a null page_id is written as an empty id, never chosen as the
-response of a group and revisits its group's response; repeated rows of the chosen page_id are all
-responses; a null url is an empty target; other columns are not read.
+Defined results: null html is an empty payload; a null page_id is written as an empty number, never chosen as the
+response of a group and revisits its group's response; repeated rows of the chosen page_id are all responses (equal ones
+with one record id); a null url is an empty target; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -34,6 +37,8 @@ from pyspark.sql import functions as F
 from lakewright.llm import common
 
 FRAME = 256 << 10
+#: Bytes of records for each reading task, but for a bundle of more.
+READ = 16 << 20
 REVISIT_FROM = 1000
 SALTS = 16
 #: Fixed values of the seekable format and of WARC.
@@ -47,53 +52,71 @@ _READ = "page_id bigint, payload_bytes bigint, payload_digest string, record_typ
 
 
 def with_winner(pages: DataFrame) -> DataFrame:
-    """page_id, url, html and `__winner`: the page_id of the response of the row's group of duplicates, or null."""
-    spark = pages.sparkSession
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    rows = rows.withColumn("__digest", F.sha1(F.encode("html", "UTF-8")))
+    """page_id, url, html and `winner`: the page_id of the response of the row's group of duplicates, or null."""
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
+    rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
     large = rows.filter(F.octet_length("html") >= REVISIT_FROM)
-    winners = large.groupBy("__digest").agg(F.max("page_id").alias("__winner"), F.count("*").alias("n")).filter("n > 1 and __winner is not null")
-    winners = common.cut(winners.select("__digest", "__winner"), "winners")
+    winners = large.groupBy("digest").agg(F.max("page_id").alias("winner"), F.count("*").alias("n")).filter("n > 1 and winner is not null")
+    winners = common.cut(winners.select("digest", "winner"), "winners")
     if winners.count() <= common.BROADCAST_ROWS:
-        joined = rows.join(F.broadcast(winners), "__digest", "left")
+        joined = rows.join(F.broadcast(winners), "digest", "left")
     else:  # one payload may hold a third of all rows: its rows are dealt over salts
-        salted = winners.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = rows.withColumn("__salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["__digest", "__salt"], "left")
-    return joined.select("page_id", "url", "html", F.when(F.octet_length("html") >= REVISIT_FROM, F.col("__winner")).alias("__winner"))
+        salted = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left")
+    return joined.select("page_id", "url", "html", F.when(F.octet_length("html") >= REVISIT_FROM, F.col("winner")).alias("winner"))
+
+
+def record_id(page_id: int | None, digest: str) -> bytes:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{page_id}:{digest}')}>".encode()
+
+
+def _head(lines: list[bytes]) -> bytes:
+    return b"\r\n".join([*lines, b"", b""])
+
+
+def _number(n: int | None) -> bytes:
+    return b"" if n is None else str(n).encode()
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, winner: int | None) -> bytes:
-    """One record, payload or revisit."""
-    name = b"" if page_id is None else str(page_id).encode()
+    """One record, with its payload or as a revisit."""
+    digest = hashlib.sha1(payload).hexdigest()
     revisit = winner is not None and winner != page_id
+    http = _head([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Content-Length: " + str(len(payload)).encode()])
+    block = http if revisit else http + payload
     lines = [
         VERSION,
         b"WARC-Type: " + (b"revisit" if revisit else b"response"),
-        b"WARC-Record-ID: <urn:page:" + name + b">",
+        b"WARC-Record-ID: " + record_id(page_id, digest),
         b"WARC-Date: " + DATE,
         b"WARC-Target-URI: " + (url or "").encode("utf-8", "replace").replace(b"\r", b"%0D").replace(b"\n", b"%0A"),
-        b"WARC-Payload-Digest: sha1:" + hashlib.sha1(payload).hexdigest().encode(),
-        b"X-Payload-Length: " + str(len(payload)).encode(),
+        b"WARC-Payload-Digest: sha1:" + digest.encode(),
+        b"X-Page-Id: " + _number(page_id),
     ]
     if revisit:
-        lines += [b"WARC-Profile: " + REVISIT_PROFILE, b"WARC-Refers-To: <urn:page:" + str(winner).encode() + b">"]
-        payload = b""
-    lines += [b"Content-Type: text/html", b"Content-Length: " + str(len(payload)).encode(), b"", b""]
-    return b"\r\n".join(lines) + payload + b"\r\n\r\n"
+        lines += [b"WARC-Profile: " + REVISIT_PROFILE, b"WARC-Refers-To: " + record_id(winner, digest), b"X-Refers-To-Page: " + _number(winner)]
+    lines += [b"Content-Type: application/http; msgtype=response", b"Content-Length: " + str(len(block)).encode()]
+    return _head(lines) + block + b"\r\n\r\n"
 
 
-def parse(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
-    """(headers, payload, offset behind the record) of the record at an offset."""
+def _fields(raw: bytes, at: int) -> tuple[bytes, dict[str, str], int]:
+    """(first line, fields by lower-case name, offset behind the empty line) of a head."""
     end = raw.index(b"\r\n\r\n", at)
     first, *lines = raw[at:end].split(b"\r\n")
+    return first, {k.decode().lower(): v.decode("utf-8") for k, v in (x.split(b": ", 1) if b": " in x else (x.rstrip(b":"), b"") for x in lines)}, end + 4
+
+
+def parse(raw: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
+    """(headers, payload, offset behind the record) of the record at an offset; the payload's own length is `payload-length`."""
+    first, headers, start = _fields(raw, at)
     if first != VERSION:
         raise ValueError("no WARC record at this offset")
-    headers = {k.decode().lower(): v.decode("utf-8") for k, v in (x.split(b": ", 1) if b": " in x else (x.rstrip(b":"), b"") for x in lines)}
-    start = end + 4
     stop = start + int(headers["content-length"])
     if raw[stop : stop + 4] != b"\r\n\r\n":
         raise ValueError("a record does not end where its length says")
-    return headers, raw[start:stop], stop + 4
+    _, http, body = _fields(raw, start)
+    headers["payload-length"] = http["content-length"]
+    return headers, raw[body:stop], stop + 4
 
 
 class BundleWriter:
@@ -154,63 +177,69 @@ def _uri(path: str) -> str:
 def write(pages: DataFrame, folder: str) -> DataFrame:
     """Write bundles into folder; the manifest, as a table that was written and read again."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)
         files.create_dir(root, recursive=True)
         name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.warc.zst"
         bundle = None
-        for pdf in batches:
-            rows = []
-            for page, url, body, winner in zip(pdf["page_id"], pdf["url"], pdf["html"], pdf["__winner"], strict=True):
+        for batch in batches:
+            places = []
+            for page, url, body, winner in zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "html", "winner")], strict=True):
                 if bundle is None:
                     bundle = BundleWriter(files.open_output_stream(f"{root}/{name}", compression=None))
-                page = None if pd.isna(page) else int(page)
-                raw = record(page, url, body.encode("utf-8", "replace"), None if pd.isna(winner) else int(winner))
-                rows.append((page, name, *bundle.add(raw), len(raw)))
-            yield pd.DataFrame(rows, columns=["page_id", "bundle", "frame", "frame_offset", "record_offset", "record_length"]).astype({"page_id": "Int64"})
+                raw = record(page, url, body.encode("utf-8", "replace"), winner)
+                places.append((*bundle.add(raw), len(raw)))
+            columns = zip(*places, strict=True) if places else [()] * 4
+            numbers = dict(zip(("frame", "frame_offset", "record_offset", "record_length"), [pa.array(x, pa.int64()) for x in columns], strict=True))
+            yield common.batch_of(page_id=batch.column("page_id"), bundle=pa.array([name] * len(places), pa.string()), **numbers)
         if bundle is not None:
             bundle.close()
 
-    return common.cut(with_winner(pages).mapInPandas(common.released(run), _INDEX), "manifest")
+    return common.cut(with_winner(pages).mapInArrow(common.released(run), _INDEX), "manifest")
 
 
 def read(manifest: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
     """Every record of the bundles in the manifest, read back from their frames: a row each."""
     schema = _READ + (", url string, payload binary" if payloads else "")
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+    names = [x.split()[0] for x in schema.split(", ")]
+    size = manifest.agg(F.sum("record_length"), F.countDistinct("bundle")).first()
+    tasks = max(1, min(size[1], -(-(size[0] or 0) // READ)))
     frames = manifest.groupBy("bundle", "frame_offset").agg(F.count("*").alias("n"))
+    frames = frames.repartition(tasks, "bundle").sortWithinPartitions("bundle", "frame_offset")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)
         unpack = zstandard.ZstdDecompressor()
-        for pdf in batches:
-            for name, own in pdf.groupby("bundle"):
-                with files.open_input_file(f"{root}/{name}") as source:
-                    table = {at: (packed, length) for at, packed, length in seek_table(source)}
-                    for at, n in sorted(zip(own["frame_offset"], own["n"], strict=True)):
-                        packed, length = table[at]
-                        source.seek(at)
-                        content = unpack.decompress(source.read(packed), max_output_size=length)
-                        rows, spot = [], 0
-                        while spot < len(content):
-                            headers, payload, spot = parse(content, spot)
-                            rows.append(_row(headers, payload) + ((headers["warc-target-uri"], payload) if payloads else ()))
-                        if len(rows) != n:
-                            raise ValueError(f"{name}: {len(rows)} records in a frame, {n} in the manifest")
-                        columns = [x.split()[0] for x in schema.split(", ")]
-                        yield pd.DataFrame(rows, columns=columns).astype({"page_id": "Int64", "refers_to": "Int64"})
-
-    return frames.mapInPandas(common.released(run), schema)
+        wanted = (x for batch in batches for x in zip(*[batch.column(c).to_pylist() for c in ("bundle", "frame_offset", "n")], strict=True))
+        for name, own in itertools.groupby(wanted, key=lambda x: x[0]):
+            with files.open_input_file(f"{root}/{name}") as source:
+                table = {at: (packed, length) for at, packed, length in seek_table(source)}
+                for _, at, n in own:
+                    packed, length = table[at]
+                    source.seek(at)
+                    content = unpack.decompress(source.read(packed), max_output_size=length)
+                    rows, spot = [], 0
+                    while spot < len(content):
+                        headers, payload, spot = parse(content, spot)
+                        rows.append(_row(headers, payload) + ((headers["warc-target-uri"], payload) if payloads else ()))
+                    if len(rows) != n:
+                        raise ValueError(f"{name}: {len(rows)} records in a frame, {n} in the manifest")
+                    columns = zip(names, zip(*rows, strict=True), kinds, strict=False)
+                    yield common.batch_of(**{c: pa.array(v, k) for c, v, k in columns})
+
+    return frames.mapInArrow(common.released(run), schema)
 
 
 def _row(headers: dict[str, str], payload: bytes) -> tuple:
-    number = lambda x: int(x[len("<urn:page:") : -1]) if len(x) > len("<urn:page:>") else None
-    kind, said = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response":
-        digest = hashlib.sha1(payload).hexdigest()
-        if digest != said or len(payload) != int(headers["x-payload-length"]):
-            raise ValueError("a payload differs from its digest")
-        return number(headers["warc-record-id"]), len(payload), digest, kind, None
-    return number(headers["warc-record-id"]), int(headers["x-payload-length"]), said, kind, number(headers["warc-refers-to"])
+    number = lambda x: int(x) if x else None
+    kind, said, size = headers["warc-type"], headers["warc-payload-digest"].removeprefix("sha1:"), int(headers["payload-length"])
+    if kind == "revisit":
+        return number(headers["x-page-id"]), size, said, kind, number(headers["x-refers-to-page"])
+    digest = hashlib.sha1(payload).hexdigest()
+    if digest != said or len(payload) != size:
+        raise ValueError("a payload differs from its digest")
+    return number(headers["x-page-id"]), size, digest, kind, None
 
 
 def read_record(folder: str, bundle: str, frame_offset: int, record_offset: int) -> tuple[dict[str, str], bytes]:

@@ -69,3 +69,29 @@ def test_bundle_is_plain_zstandard_with_seek_table(tmp_path):
     with files.open_input_file(f"{root}/b.zst") as source:
         table = w.seek_table(source)
     assert {f for f, _, _ in places} == set(range(len(table))) and sum(n for _, _, n in table) == sum(map(len, raw))
+
+
+def test_records_are_http_messages_with_unique_names(spark, pages):
+    folder = w._uri(common.new_path(spark, "warc"))
+    manifest = w.write(pages.coalesce(1), folder)
+    heads = {}
+    for r in manifest.filter("page_id in (1, 2, 9)").collect():
+        headers, payload = w.read_record(folder, r["bundle"], r["frame_offset"], r["record_offset"])
+        heads[r["page_id"]] = headers
+        assert headers["content-type"] == "application/http; msgtype=response"
+    assert heads[1]["warc-refers-to"] == heads[2]["warc-record-id"] != heads[1]["warc-record-id"]
+    raw = w.record(9, "u", b"<p>", None)
+    assert b"\r\n\r\nHTTP/1.1 200 OK\r\n" in raw and raw.endswith(b"\r\n\r\n<p>\r\n\r\n")
+
+
+def test_each_bundle_is_opened_by_one_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(w, "READ", 1 << 12)
+    rows = [(k, f"http://a/{k}", f"{k} " * 2000) for k in range(200)]
+    folder = f"file://{tmp_path}/bundles"
+    manifest = w.write(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6), folder)
+    df = w.read(manifest, folder)
+    assert df.rdd.getNumPartitions() == 6 and df.count() == 200
+    from pyspark.sql import functions as F
+
+    names = manifest.select("page_id", "bundle").join(df.select("page_id", F.spark_partition_id().alias("task")), "page_id")
+    assert names.groupBy("bundle").agg(F.countDistinct("task").alias("n")).filter("n > 1").count() == 0

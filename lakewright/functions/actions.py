@@ -48,7 +48,7 @@ def analyze(
     """
     ids = pending.select("review_id", "platform_review_id")
     sentiment = aspects.join(ids.select("review_id"), "review_id", "left_semi").groupBy("review_id").agg(F.avg("sentiment_score").alias("avg_sentiment"))
-    rating = app_reviews.groupBy("platform_review_id").agg(F.min_by("rating", "review_id").alias("rating"))
+    rating = app_reviews.join(ids.select("platform_review_id"), "platform_review_id", "left_semi").groupBy("platform_review_id").agg(F.min_by("rating", "review_id").alias("rating"))
     rows = ids.join(preprocessed.select("review_id", "refined_text"), "review_id").filter(F.col("refined_text").isNotNull())
     rows = rows.join(rating, "platform_review_id", "left").join(sentiment, "review_id", "left")
     rows = rows.withColumns({"rating": F.coalesce("rating", F.lit(3)), "avg_sentiment": F.coalesce("avg_sentiment", F.lit(0.5))})
@@ -60,3 +60,17 @@ def analyze(
         F.lit(False).alias("is_verified"),
         (summarizer(F.substring("refined_text", 1, 500)) if summarizer else F.lit(None).cast("string")).alias("review_summary"),
     )
+
+
+def summary_log(records: DataFrame, model: str, now) -> DataFrame:
+    """An audit row for each summary that was asked for; a null one is a failure."""
+    ok = F.col("review_summary").isNotNull()
+    return records.select(
+        F.xxhash64("review_id", F.lit(model), F.lit(str(now))).alias("id"),
+        "review_id",
+        F.lit(model).alias("model_name"),
+        F.when(ok, F.to_json(F.struct(F.col("review_summary").alias("summary")))).alias("result_payload"),
+        F.when(ok, "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(~ok, "no summary after all attempts").alias("error_message"),
+        F.lit(now).cast("timestamp").alias("created_at"),
+    )

@@ -1,33 +1,38 @@
 """Aspect sentiment (N01-N09): keyword spans, context, negation, adverbs, score, category.
 
-The span search runs in one Arrow UDF; all that follows are column expressions over its spans. Terms of equal length are
+The span search and the contexts run in one Arrow UDF; all that follows are column expressions over its spans. Terms of equal length are
 taken in code-point order.
 """
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
+from itertools import accumulate
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from lakewright.config import lexicons
-from lakewright.functions import keywords
+from lakewright.functions import keywords, vectors
 
 WINDOW = 3
 MOST = 20
 
 
 def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categories: dict[str, tuple[str, ...]] | None = None, nouns=None) -> Column:
-    """Array of (keyword, start, end), 0-based. `nouns`: optional callable text -> list of nouns."""
+    """Array of (keyword, start, end, context), 0-based. `nouns`: optional callable text -> list of nouns. The
+    context is that of N03; it is found here, since the text is split once for all of its keywords."""
     sentiment = lexicons.SENTIMENT if sentiment is None else sentiment
     categories = lexicons.CATEGORY_TERMS if categories is None else categories
     known = {*sentiment, *(t for x in categories.values() for t in x)}
     terms = keywords.ordered(known)
 
-    @pandas_udf("array<struct<keyword:string,start:int,end:int>>")
+    @pandas_udf("array<struct<keyword:string,start:int,end:int,context:string>>")
     def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: [dict(zip(("keyword", "start", "end"), y, strict=True)) for y in find(x)], na_action="ignore")
+        return s.map(lambda x: [dict(zip(("keyword", "start", "end", "context"), y, strict=True)) for y in in_context(x, find(x))], na_action="ignore")
 
     def find(text: str) -> list[tuple[str, int, int]]:
         if nouns is not None:
@@ -45,6 +50,24 @@ def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categori
     return run(c)
 
 
+def in_context(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int, str]]:
+    """Spans with their N03 contexts: the text's tokens and where they end, single spaces between, are found once."""
+    if not spans:
+        return []
+    tokens = _TOKEN.findall(text)
+    ends = list(accumulate(len(t) + 1 for t in tokens))
+    out = []
+    for word, start, end in spans:
+        k = bisect_right(ends, start)
+        held = k < len(tokens) and start < ends[k] - 1  # else it is a space between two
+        out.append((word, start, end, " ".join(tokens[max(0, k - WINDOW) : k + WINDOW + 1]) if held else text))
+    return out
+
+
+#: White space of the Unicode standard, as in the column expressions.
+_TOKEN = re.compile("[^\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+
+
 def local_context(text: Column, start: Column) -> Column:
     """The token around `start` and three on either side; the text where no token holds it."""
     tokens = F.filter(F.split(text, r"(?U)\s+"), lambda t: t != "")
@@ -105,16 +128,23 @@ def category(keyword: Column, categories: dict[str, tuple[str, ...]] | None = No
 def analyze(
     reviews: DataFrame, text: str = "refined_text", sentiment: dict[str, float] | None = None, adverbs: dict[str, float] | None = None,
     negations: tuple[str, ...] = lexicons.NEGATIONS, categories: dict[str, tuple[str, ...]] | None = None, nouns=None,
+    embeddings: DataFrame | None = None, anchors: dict[str, list[float]] | None = None, threshold: float = 0.8,
 ) -> DataFrame:
-    """(review_id, keyword, sentiment_score, category); a review without keywords has no row (a failure)."""
+    """(review_id, keyword, sentiment_score, category); a review without keywords has no row (a failure).
+
+    With embeddings (review_id, vector) and anchors, a keyword without a category by rule gets that of the anchor nearest
+    to its review's vector (N08), if that reaches the threshold.
+    """
     sentiment = lexicons.SENTIMENT if sentiment is None else sentiment
-    rows = reviews.select("review_id", F.col(text).alias("t"), keyword_spans(F.col(text), sentiment, categories, nouns).alias("s"))
-    rows = rows.select("review_id", "t", F.explode("s").alias("s")).select("review_id", "t", "s.keyword", "s.start")
-    rows = rows.withColumn("context", local_context(F.col("t"), F.col("start")))
+    rows = reviews.select("review_id", F.explode(keyword_spans(F.col(text), sentiment, categories, nouns)).alias("s")).select("review_id", "s.keyword", "s.context")
     base = F.coalesce(_lookup(F.col("keyword"), sentiment), F.lit(0.5))
-    return rows.select(
+    out = rows.select(
         "review_id",
         "keyword",
         score(base, adverb_weight(F.col("context"), adverbs), has_negation(F.col("context"), F.col("keyword"), negations)).alias("sentiment_score"),
         category(F.col("keyword"), categories).alias("category"),
     )
+    if embeddings is None or not anchors:
+        return out
+    near = embeddings.select("review_id", vectors.nearest_anchor(embeddings, anchors, "vector", threshold).alias("near")).filter("near is not null")
+    return out.join(near, "review_id", "left").withColumn("category", F.coalesce("category", "near")).drop("near")

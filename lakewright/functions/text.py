@@ -23,7 +23,7 @@ EMOJI = (
 )
 # The masks' patterns decide what is masked.
 EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
-PHONE = r"01[016789][-\s.]?[0-9]{3,4}[-\s.]?[0-9]{4}"
+PHONE = r"01[016789](?U:[-\s.])?\p{Nd}{3,4}(?U:[-\s.])?\p{Nd}{4}"
 ACCOUNT = r"(?<!\p{Nd})\p{Nd}{10,14}(?!\p{Nd})|(?<![\p{L}\p{N}_])\p{Nd}{3,6}-\p{Nd}{2,6}-\p{Nd}{3,6}(?![\p{L}\p{N}_])"
 KEPT = r"[^\p{L}\p{N}_\s\x{0085}\x{00A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{3000}!?.,\[\]]"
 
@@ -38,9 +38,14 @@ def normalize_unicode(c: Column) -> Column:
     return F.coalesce(nfkc(F.when(~c.rlike(r"^\p{ASCII}*\z"), c)), c)
 
 
+def _only_if(c: Column, needs, change) -> Column:
+    """change(c) where needs(c), else c; c is computed once."""
+    return F.element_at(F.transform(F.array(c), lambda x: F.when(needs(x), change(x)).otherwise(x)), 1)
+
+
 def remove_emojis(c: Column) -> Column:
-    """T02."""
-    return F.regexp_replace(c, EMOJI, "")
+    """T02. Each alternative needs a character beyond ASCII."""
+    return _only_if(c, lambda x: x.rlike(r"[^\p{ASCII}]"), lambda x: F.regexp_replace(x, EMOJI, ""))
 
 
 def reduce_repeated_chars(c: Column) -> Column:
@@ -49,15 +54,15 @@ def reduce_repeated_chars(c: Column) -> Column:
 
 
 def mask_email(c: Column) -> Column:
-    return F.regexp_replace(c, EMAIL, "[EMAIL]")
+    return _only_if(c, lambda x: x.contains("@"), lambda x: F.regexp_replace(x, EMAIL, "[EMAIL]"))
 
 
 def mask_phone(c: Column) -> Column:
-    return F.regexp_replace(c, PHONE, "[TEL]")
+    return _only_if(c, lambda x: x.contains("01"), lambda x: F.regexp_replace(x, PHONE, "[TEL]"))
 
 
 def mask_account(c: Column) -> Column:
-    return F.regexp_replace(c, ACCOUNT, "[ACC]")
+    return _only_if(c, lambda x: x.rlike(r"\p{Nd}{3}"), lambda x: F.regexp_replace(x, ACCOUNT, "[ACC]"))
 
 
 def mask_pii(c: Column) -> Column:

@@ -1,15 +1,18 @@
-"""Vectors (E01-E06): cosine, anchors, exact and hashed top-k, embedding with a pluggable model."""
+"""Vectors (E01-E06): cosine, anchors, exact top-k, signs against planes, embedding with a pluggable model."""
 
 from __future__ import annotations
 
 import hashlib
+import json
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+#: Queries in one broadcast (1536 numbers each: 12 MB).
+QUERIES = 1000
 #: Dimensions of the embedding models that may be named.
 MODEL_DIMENSIONS = {"text-embedding-3-small": 1536, "text-embedding-ada-002": 1536}
 
@@ -36,11 +39,12 @@ def nearest_anchor(vectors: DataFrame, anchors: dict[str, list[float]], column:
     return F.when((best["s"] > 0) & (best["s"] >= threshold), best["name"])
 
 
-def placeholder_anchor(seed: int, dim: int = 1536) -> list[float]:
-    """A unit vector from an MD5 value, for tests only (windows of 8 bits, one bit apart)."""
-    bits = int.from_bytes(hashlib.md5(str(seed).encode()).digest(), "big")
-    raw = np.array([((bits >> k) % 256) / 255 - 0.5 for k in range(dim)])
-    return (raw / (np.linalg.norm(raw) or 1.0)).tolist()
+def read_anchors(spark: SparkSession, path: str, dim: int = 1536) -> dict[str, list[float]]:
+    """The categories' anchor vectors, from a JSON object (category: numbers); order decides ties."""
+    anchors = json.loads("\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect()))
+    if wrong := [k for k, v in anchors.items() if len(v) != dim]:
+        raise ValueError(f"anchors of another length than {dim}: {wrong}")
+    return anchors
 
 
 def model_dimension(model: str) -> int:
@@ -68,18 +72,28 @@ def hashing_embedder(dim: int = 1536):
 
 
 def embed(reviews: DataFrame, embedder, model: str = "text-embedding-3-small", text: str = "refined_text") -> DataFrame:
-    """Vectors of the reviews with text. embedder: Column -> Column; a vector of another length is a failure and left out."""
+    """Vectors of the reviews with text. embedder: Column -> Column (remote.column() retries); no vector, or one of
+    another length, is a failure: the review has no row."""
     size = model_dimension(model)
     rows = reviews.filter(F.col(text).rlike(r"(?U)\S")).select("review_id", embedder(F.col(text)).alias("vector"))
     return rows.filter(F.size("vector") == size).select("review_id", F.lit("REVIEW").alias("source_content_type"), F.lit(model).alias("model_name"), "vector")
 
 
-def top_k(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", column: str = "embedding", blocks: int = 16) -> DataFrame:
+def top_k(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """E06 exact: (query_id, id, similarity, rank). The stated queries are compared with all rows in blocks: each task keeps the
-    best k of its rows for every query, the k best of those are ranked."""
-    dim_rows = [(r[key], r[column]) for r in queries.select(key, column).collect()]  # a bounded query set
-    sent = queries.sparkSession.sparkContext.broadcast(dim_rows)
+    best k of its rows for every query, the k best of those are ranked. Queries go out in parts of `QUERIES`."""
+    parts = max(1, -(-queries.count() // QUERIES))
+    found = None
+    for part in range(parts):
+        own = queries.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else queries
+        sent = queries.sparkSession.sparkContext.broadcast([(r[key], r[column]) for r in own.select(key, column).collect()])
+        best = base.select(key, column).mapInPandas(_best(sent, k, key, column), "query_id bigint, id bigint, similarity double")
+        found = best if found is None else found.union(best)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
+    return found.withColumn("rank", place).filter(F.col("rank") <= k)
+
 
+def _best(sent, k: int, key: str, column: str):
     def run(batches):
         names = np.array([x for x, _ in sent.value])
         q = np.array([v for _, v in sent.value], float)
@@ -92,13 +106,14 @@ def top_k(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", colu
             x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
             s, ids = np.round(q @ x.T, 9), pdf[key].to_numpy()
             for i, name in enumerate(names.tolist()):
-                mine = best.get(name, []) + [(-v, j) for v, j in zip(s[i].tolist(), ids.tolist(), strict=True) if j != name]
+                row = np.where(ids == name, -np.inf, s[i])
+                least = np.partition(row, -k)[-k] if len(row) > k else -np.inf  # ties with the k-th stay
+                some = np.flatnonzero((row >= least) & (row > -np.inf))
+                mine = best.get(name, []) + list(zip((-row[some]).tolist(), ids[some].tolist(), strict=True))
                 best[name] = sorted(mine)[:k]
         yield pd.DataFrame([(n, j, -v) for n, x in best.items() for v, j in x], columns=["query_id", "id", "similarity"])
 
-    found = base.select(key, column).mapInPandas(run, "query_id bigint, id bigint, similarity double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= k)
+    return run
 
 
 def signature(c: Column, planes: list[list[float]]) -> Column:

@@ -1,4 +1,4 @@
-"""Bronze to hub (M11): validate, resolve, de-duplicate, project. Set-wise over all pending batches."""
+"""Bronze to hub (M11): validate, resolve, de-duplicate, project; set-wise within a batch, which succeeds or fails by itself."""
 
 from __future__ import annotations
 
@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from lakewright.operators import joins, projections
 
 
+#: App ids that an error message names at most.
+NAMED = 20
+
+
 @dataclass
 class Loaded:
     hub: DataFrame
@@ -30,7 +34,7 @@ def load_records(records: DataFrame, hub: DataFrame, apps: DataFrame, metadata:
     valid, rejects = projections.split_valid(records, projections.review_reasons(), strict)
     valid = projections.valid_app_ids(valid)
     missing = joins.missing_apps(valid, apps)
-    if daily and (lost := sorted(r[0] for r in missing.collect())):
+    if daily and (lost := [r[0] for r in missing.orderBy("app_id").limit(NAMED).collect()]):
         raise LookupError(f"unknown app ids: {', '.join(lost)}")
     fresh = joins.new_reviews(valid, hub, [F.asc("created_at"), F.asc("review_id")])
     service = joins.current_service(metadata)

@@ -88,11 +88,12 @@ def unmapped(views: Views, day: dt.date) -> DataFrame:
 def orphans(views: Views, day: dt.date) -> DataFrame:
     """Analysed reviews that lack a record downstream."""
     target = _analyzed(views, day).select("review_id", "platform_review_id")
-    flag = lambda df, key, name: df.select(key).distinct().withColumn(name, F.lit(True))
+    # only the day's ids of each table reach its distinct
+    flag = lambda df, key, name: df.select(key).join(target.select(key), key, "left_semi").distinct().withColumn(name, F.lit(True))
     out = target.join(flag(views["review_action_analysis"], "review_id", "a"), "review_id", "left")
     out = out.join(flag(views["app_reviews"], "platform_review_id", "r"), "platform_review_id", "left")
     out = out.join(flag(views["reviews_preprocessed"], "review_id", "p"), "review_id", "left")
-    out = out.join(flag(views["review_aspects"].join(target, "review_id", "left_semi"), "review_id", "s"), "review_id", "left")
+    out = out.join(flag(views["review_aspects"], "review_id", "s"), "review_id", "left")
     lack = lambda c, name: F.count_if(F.col(c).isNull()).alias(name)
     return out.agg(lack("a", "missing_action"), lack("r", "missing_review"), lack("p", "missing_preprocessed"), lack("s", "missing_aspects"))
 

@@ -88,7 +88,8 @@ def srv_daily_review_list(views: Views, first: dt.date | None = None, last: dt.d
         F.avg("sentiment_score").alias("sentiment_score"), F.array_sort(F.collect_set("keyword")).alias("keyword")
     )
     rows = rows.join(aspects, "review_id", "left")
-    rows = rows.join(joins.latest_assignment(views["reviews_assigned"]).select("review_id", "assigned_dept", "confidence"), "review_id", "left")
+    assigned = views["reviews_assigned"].join(rows.select("review_id"), "review_id", "left_semi")
+    rows = rows.join(joins.latest_assignment(assigned).select("review_id", "assigned_dept", "confidence"), "review_id", "left")
     return rows.select(
         "review_id", "date", "service_id", "refined_text", "review_summary", "rating", "reviewed_at", "sentiment_score", "is_action_required",
         "is_attention_required", "assigned_dept", F.coalesce("keyword", F.array().cast("array<string>")).alias("keyword"), "confidence",

@@ -1,7 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from lakewright.functions import actions, aspects, vectors
+from lakewright.functions import actions, aspects, remote, vectors
 from lakewright.functions.keywords import ordered, spans
 
 GOLDEN = {
@@ -83,7 +85,6 @@ def test_cosine_and_anchor(spark):
     df = spark.createDataFrame([([0.9, 0.1],), ([0.6, 0.6],), ([-1.0, 0.0],)], "vector array<float>")
     anchors = {"X": [1.0, 0.0], "Y": [1.0, 0.0]}
     assert [r[0] for r in df.select(vectors.nearest_anchor(df, anchors)).collect()] == ["X", None, None]
-    assert len(vectors.placeholder_anchor(1)) == 1536
     with pytest.raises(ValueError):
         vectors.model_dimension("no-such-model")
 
@@ -92,3 +93,63 @@ def test_embed(spark):
     rows = spark.createDataFrame([("a", "some text"), ("b", " "), ("c", None)], "review_id string, refined_text string")
     assert [r["review_id"] for r in vectors.embed(rows, vectors.hashing_embedder()).collect()] == ["a"]
     assert vectors.embed(rows, vectors.hashing_embedder(8)).count() == 0
+
+
+def test_anchors_are_data(spark, tmp_path):
+    (tmp_path / "anchors.json").write_text('{"USABILITY": [1, 0], "SPEED": [0, 1]}')
+    assert vectors.read_anchors(spark, f"file://{tmp_path}/anchors.json", 2) == {"USABILITY": [1, 0], "SPEED": [0, 1]}
+    with pytest.raises(ValueError):
+        vectors.read_anchors(spark, f"file://{tmp_path}/anchors.json", 3)
+
+
+def test_category_falls_back_to_the_nearest_anchor(spark):
+    reviews = spark.createDataFrame([("a", "xyz"), ("b", "xyz"), ("c", "xyz"), ("d", "app")], "review_id string, refined_text string")
+    known = spark.createDataFrame([("a", [1.0, 0.1]), ("b", [0.7, 0.7]), ("d", [0.0, 1.0])], "review_id string, vector array<float>")
+    got = aspects.analyze(reviews, sentiment={"xyz": 0.9, "app": 0.5}, categories={"DESIGN": ("app",)}, embeddings=known, anchors={"SPEED": [1.0, 0.0], "USABILITY": [0.0, 1.0]})
+    assert {r["review_id"]: r["category"] for r in got.collect()} == {"a": "SPEED", "b": None, "c": None, "d": "DESIGN"}
+
+
+def test_context_in_the_search_is_the_column_expression(spark):
+    r = random.Random(3)
+    texts = ["".join(r.choice(["ab", "cd", " ", "  ", "\t", "\u3000", "\x1c", "é", "x"]) for _ in range(r.randint(0, 25))) for _ in range(150)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    spans = rows.select("t", F.explode(aspects.keyword_spans(F.col("t"), {"ab": 1.0, "cd": 1.0, "d ": 1.0, " ": 1.0}, {})).alias("s")).select("t", "s.*")
+    both = spans.select("t", "start", "context", aspects.local_context(F.col("t"), F.col("start")).alias("other")).collect()
+    assert len(both) > 200 and all(x["context"] == x["other"] for x in both)
+
+
+class Busy(Exception):
+    status_code = 429
+
+
+class Wrong(Exception):
+    status_code = 400
+
+
+def test_remote_calls_are_tried_again():
+    calls = []
+
+    def call(text):
+        calls.append(text)
+        if text == "bad":
+            raise Wrong
+        if text == "never" or text == "twice" and len(calls) < 3:
+            raise Busy
+        if text == "odd":
+            raise ValueError
+        return text.upper()
+
+    one = remote.retried(call, pause=0)
+    for text, value, n in (("fine", "FINE", 1), ("twice", "TWICE", 3), ("never", None, 3), ("bad", None, 1), ("odd", None, 1)):
+        calls.clear()
+        assert one(text) == value and len(calls) == n, text
+
+
+def test_only_the_days_ratings_are_grouped(spark):
+    pending = spark.createDataFrame([("a", "p1")], "review_id string, platform_review_id string")
+    pre = spark.createDataFrame([("a", "text")], "review_id string, refined_text string")
+    reviews = spark.createDataFrame([("a", "p1", 1), ("b", "p2", 5)], "review_id string, platform_review_id string, rating int")
+    found = spark.createDataFrame([], "review_id string, sentiment_score double")
+    df = actions.analyze(pending, pre, reviews, found)
+    assert df.first()["is_action_required"]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") >= 2

@@ -8,7 +8,7 @@ import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.functions import actions, aspects, text, vectors
@@ -42,11 +42,11 @@ def run_load(catalog: Catalog, now: dt.datetime, limit: int = 100) -> RunResult:
                 records, catalog.read("review_master_index"), catalog.read("apps"), catalog.read("app_metadata"),
                 b["platform_app_id"] == "daily_batch", b["storage_path"], now, strict=True,
             )
+            # the hub comes last and decides what is new: a batch that died before it finds its reviews there already
             catalog.append("apps", got.new_apps)
-            catalog.append("app_reviews", got.reviews)
-            before = catalog.read("review_master_index").count()
-            catalog.append("review_master_index", got.hub)
-            n += catalog.read("review_master_index").count() - before
+            there = catalog.read("app_reviews").select("review_id")
+            catalog.append("app_reviews", got.reviews.join(there, "review_id", "left_anti"))
+            n += catalog.append("review_master_index", got.hub)
             done.append((b["batch_id"],))
         except Exception as e:  # noqa: BLE001  a batch fails by itself
             failed.append((b["batch_id"], str(e)[: state.MESSAGE]))
@@ -58,70 +58,98 @@ def run_load(catalog: Catalog, now: dt.datetime, limit: int = 100) -> RunResult:
 
 
 def run_cleanse(catalog: Catalog, now: dt.datetime, synonyms: dict[str, str] | None = None, profanity=None) -> RunResult:
-    """Raw reviews (or failed in cleansing before) to refined texts; blank ones are skipped."""
+    """Raw reviews (or failed in cleansing before) to refined texts; blank ones are skipped. M06: a review whose natural
+    key belongs to another one fails by itself."""
     master = catalog.read("review_master_index")
     open_ = (F.col("processing_status") == "RAW") | predicates.cleanse_failure(F.col("processing_status"), F.col("error_message"))
     todo = master.filter(open_).select("review_id", "platform_review_id").join(catalog.read("app_reviews").select("review_id", "review_text"), "review_id")
     some = todo.filter(~text.is_blank(F.col("review_text")))
     refined = some.select("review_id", "platform_review_id", text.clean(F.col("review_text"), synonyms, profanity).alias("refined_text"))
-    if lost := joins.key_conflicts(refined, catalog.read("reviews_preprocessed")).limit(1).collect():
-        return RunResult("cleanse", "failed", message=f"another review has the key {lost[0][0]}")
-    seen, n = todo.count(), some.count()
-    catalog.replace("reviews_preprocessed", upsert.upsert_preprocessed(catalog.read("reviews_preprocessed"), refined, now))
-    catalog.replace("review_master_index", state.mark_cleaned(master, some))
-    return RunResult("cleanse", "success", seen, n)
-
-
-def run_gold(catalog: Catalog, now: dt.datetime, embedder=None, summarizer=None, nouns=None, limit: int | None = None, **lexicon) -> RunResult:
-    """Embed, aspects, actions, set-wise; each stage's rows stay even where a later one fails."""
-    spark, master = catalog.spark, catalog.read("review_master_index")
+    stored = catalog.read("reviews_preprocessed")
+    lost = joins.key_conflicts(refined.select("review_id", "platform_review_id"), stored).distinct()
+    good = refined.join(lost, "platform_review_id", "left_anti")
+    failures = some.join(lost, "platform_review_id").select("review_id", F.concat(F.lit("another review has the key "), "platform_review_id").alias("message"))
+    seen, n, bad, days = todo.count(), some.count(), failures.count(), _days_of(catalog, todo)
+    catalog.replace("reviews_preprocessed", upsert.upsert_preprocessed(stored, good.select(*refined.columns), now))
+    hub = catalog.read("review_master_index", days)
+    if bad:
+        hub = state.mark_cleanse_failed(hub, failures)
+    catalog.replace_days("review_master_index", state.mark_cleaned(hub, some.join(failures, "review_id", "left_anti")), days)
+    return RunResult("cleanse", "failed" if bad and bad == n else "success", seen, n - bad, message=f"{bad} reviews failed" if bad else None)
+
+
+def _days_of(catalog: Catalog, ids: DataFrame) -> list:
+    """The days of the hub that hold some reviews: only their files are written again."""
+    rows = catalog.read("review_master_index").join(ids.select("review_id"), "review_id", "left_semi")
+    return [r[0] for r in rows.select(F.to_date("review_created_at")).distinct().collect()]
+
+
+def run_gold(
+    catalog: Catalog, now: dt.datetime, embedder=None, summarizer=None, nouns=None, limit: int | None = None, day: dt.date | None = None,
+    anchors: dict[str, list[float]] | None = None, model: str = "gpt-4o-mini", **lexicon,
+) -> RunResult:
+    """Embed, aspects, actions, set-wise. A review goes on only from a stage that gave it a row; its rows of the
+    stages before stay. What lacks one in the end is FAILED with the stage's name, else ANALYZED.
+
+    summarizer: Column -> Column (remote.column() retries); each call leaves a row in the log, SUCCESS or FAILED.
+    """
+    spark, master = catalog.spark, catalog.read("review_master_index", [day] if day else None)
     todo = joins.pending_gold(master).select("review_id", "platform_review_id")
     todo = todo if limit is None else todo.orderBy("review_id").limit(limit)
     total = todo.count()
     if not total:
         return RunResult("gold", "success")
     ids = spark.createDataFrame(todo.collect(), todo.schema) if limit is not None else todo
+    days = [day] if day else _days_of(catalog, ids)
     refined = ids.join(catalog.read("reviews_preprocessed").select("review_id", "refined_text"), "review_id")
     if embedder is not None:
         fresh = refined.join(catalog.read("review_embeddings").select("review_id"), "review_id", "left_anti")
         catalog.append("review_embeddings", vectors.embed(fresh, embedder).withColumn("created_at", F.lit(now)))
+        refined = refined.join(catalog.read("review_embeddings").select("review_id"), "review_id", "left_semi")
     fresh = refined.join(catalog.read("review_aspects").select("review_id"), "review_id", "left_anti")
-    found = aspects.analyze(fresh, nouns=nouns, **lexicon)
+    found = aspects.analyze(fresh, nouns=nouns, embeddings=catalog.read("review_embeddings"), anchors=anchors, **lexicon)
     found = found.withColumns({"aspect_id": F.xxhash64("review_id", "keyword"), "created_at": F.lit(now)})
     catalog.append("review_aspects", found)
-    with_aspects = ids.join(catalog.read("review_aspects").select("review_id"), "review_id", "left_semi")
+    with_aspects = refined.select("review_id", "platform_review_id").join(catalog.read("review_aspects").select("review_id"), "review_id", "left_semi")
     fresh = with_aspects.join(catalog.read("review_action_analysis").select("review_id"), "review_id", "left_anti")
     records = actions.analyze(fresh, catalog.read("reviews_preprocessed"), catalog.read("app_reviews"), catalog.read("review_aspects"), summarizer=summarizer)
     catalog.append("review_action_analysis", records.withColumn("analyzed_at", F.lit(now)))
-    done = catalog.read("review_action_analysis").select("review_id").distinct().withColumn("a", F.lit(True))
-    known = catalog.read("review_aspects").select("review_id").distinct().withColumn("s", F.lit(True))
-    outcome = ids.join(done, "review_id", "left").join(known, "review_id", "left").select(
-        "review_id",
-        (F.coalesce("a", F.lit(False)) & F.coalesce("s", F.lit(False))).alias("ok"),
-        F.when(F.col("s").isNull(), "no aspects").when(F.col("a").isNull(), "no action record").alias("message"),
-    )
+    written = catalog.read("review_action_analysis").join(ids.select("review_id"), "review_id", "left_semi")
+    if summarizer is not None:
+        catalog.append("review_llm_analysis_logs", actions.summary_log(written.filter(F.col("analyzed_at") == F.lit(now)), model, now))
+    outcome = ids.select("review_id")
+    for name, table in (("v", "review_embeddings"), ("s", "review_aspects"), ("a", "review_action_analysis")):
+        known = catalog.read(table).join(ids.select("review_id"), "review_id", "left_semi").select("review_id").distinct()
+        outcome = outcome.join(known.withColumn(name, F.lit(True)), "review_id", "left")
+    missing = F.when(F.lit(embedder is not None) & F.col("v").isNull(), "no embedding").when(F.col("s").isNull(), "no aspects").when(F.col("a").isNull(), "no action record")
+    outcome = outcome.select("review_id", missing.isNull().alias("ok"), missing.alias("message"))
     good = outcome.filter("ok").count()
-    catalog.replace("review_master_index", state.mark_analyzed(master, outcome))
+    catalog.replace_days("review_master_index", state.mark_analyzed(catalog.read("review_master_index", days), outcome), days)
     return RunResult("gold", "success" if good else "failed", total, good, message=None if good else "no review was analysed")
 
 
 def aggregate_days(catalog: Catalog, first: dt.date | None, last: dt.date | None, as_of: dt.date, retention_days: int = 14, mode: str = "upsert") -> dict[str, int]:
-    """All days of the range in one job for each mart; then the serving list's retention."""
-    names = ("review_master_index", "review_action_analysis", "app_reviews", "review_aspects", "reviews_preprocessed", "reviews_assigned")
-    views = {n: catalog.read(n) for n in names}
-    if marts.analyzed_dates(views, first, last).limit(1).count() == 0:
+    """All days of the range in one job for each mart, whose files of other days stay; then the serving list's retention.
+    Returns the rows of the days."""
+    names = ("review_action_analysis", "app_reviews", "review_aspects", "reviews_preprocessed", "reviews_assigned")
+    views = {n: catalog.read(n) for n in names} | {"review_master_index": catalog.read("review_master_index")}
+    days = [r["date"] for r in marts.analyzed_dates(views, first, last).collect()]
+    if not days:
         return {}
+    views["review_master_index"] = catalog.read("review_master_index", days)
     out = {}
     for name in MARTS:
-        new, old = marts.BUILDERS[name](views, first, last), catalog.read(name)
+        new, old = marts.BUILDERS[name](views, first, last), catalog.read(name, days)
         if mode == "replace":
             merged = upsert.replace_days(old, new)
         elif name == "srv_daily_review_list":
             merged = upsert.partial_upsert(old, new, KEYS[name])
         else:
             merged = upsert.upsert(old, new, KEYS[name])
-        catalog.replace(name, marts.keep_days(merged, as_of, retention_days) if name == "srv_daily_review_list" else merged)
-        out[name] = catalog.read(name).count()
+        catalog.replace_days(name, merged, days)
+        if name == "srv_daily_review_list":
+            catalog.drop_days_before(name, as_of - dt.timedelta(days=retention_days))
+        out[name] = catalog.read(name, days).count()
     return out
 
 

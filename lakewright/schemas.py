@@ -44,7 +44,7 @@ TABLES = {
     "profanities": "id bigint, word string, category string, is_active boolean",
     "synonyms": "id bigint, word string, canonical string, is_active boolean",
     "financial_terms": "id bigint, term string, description string",
-    "review_llm_analysis_logs": "id bigint, review_id string, model_name string, result_payload string, status string, created_at timestamp",
+    "review_llm_analysis_logs": "id bigint, review_id string, model_name string, result_payload string, status string, error_message string, created_at timestamp",
     "fact_service_review_daily": (
         "date date, service_id string, platform_type string, total_review_cnt int, action_required_cnt int, attention_required_cnt int, pos_count int, "
         "neg_count int, avg_rating double, action_ratio double"
@@ -71,6 +71,11 @@ KEYS = {
     "review_action_analysis": ("review_id",),
     "review_embeddings": ("review_id",),
 }
+#: Tables with a folder for each day, and the column of the day.
+DAYS = {
+    "review_master_index": "review_created_at", "fact_service_review_daily": "date", "fact_service_aspect_daily": "date", "fact_category_radar_scores": "date",
+    "srv_daily_review_list": "date",
+}
 MARTS = ("fact_service_review_daily", "fact_service_aspect_daily", "fact_category_radar_scores", "srv_daily_review_list")
 
 

@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from lakewright.functions import vectors
 from lakewright.operators import joins, projections, state
 from lakewright.plans import serving, steps
 from lakewright.schemas import TABLES
@@ -36,7 +37,7 @@ def catalog(spark, tmp_path):
 
 
 def deliver(catalog, rows, tmp_path):
-    return lake.daily_batch(catalog.spark.createDataFrame(rows, REVIEW), f"file://{tmp_path}/bronze", catalog.path("ingestion_batch"), "APPSTORE", dt.date(2026, 5, 3), NOW)
+    return lake.daily_batch(catalog.spark.createDataFrame(rows, REVIEW), f"file://{tmp_path}/bronze", catalog, "APPSTORE", dt.date(2026, 5, 3), NOW)
 
 
 def test_load_to_validation(catalog, tmp_path):
@@ -184,3 +185,167 @@ def test_available_now_stream(spark, tmp_path):
     spark.createDataFrame([review(2, "b"), review(3, "c")], REVIEW).write.parquet(f"{base}/d2")
     run()
     assert sorted(seen) == ["r1", "r2", "r3"]
+
+
+# ---- the catalog whenever its writer dies --------------------------------------------------------------------------
+class Died(Exception):
+    pass
+
+
+def dies(*_):
+    raise Died
+
+
+APPS = [dict(app_id=f"a{k}", name="old") for k in range(3)]
+
+
+@pytest.mark.parametrize("step", ["_write", "_publish", "_point", "_tidy", "half"])
+def test_catalog_survives(spark, tmp_path, monkeypatch, step):
+    c = lake.Catalog(spark, f"file://{tmp_path}/c")
+    c.replace("apps", frame(spark, "apps", APPS))
+    fresh = frame(spark, "apps", [dict(app_id="a0", name="new")])
+    with monkeypatch.context() as m:
+        if step == "half":  # a pointer of which half is there
+            m.setattr(lake.Catalog, "_point", lambda self, path, text: (lake.put(self.spark, path, text.encode()[:9]), dies()))
+        else:
+            m.setattr(lake.Catalog, step, dies)
+        with pytest.raises(Died):
+            c.upsert("apps", fresh)
+    names = sorted(r["name"] for r in c.read("apps").collect())
+    assert names == (["new", "old", "old"] if step == "_tidy" else ["old"] * 3)
+    for _ in range(4):
+        c.upsert("apps", fresh)
+        assert sorted(r["name"] for r in c.read("apps").collect()) == ["new", "old", "old"]
+    assert len(lake.partitions_named(spark, c.path("apps"), "v-.*")) <= c.KEPT
+    assert c.append("apps", frame(spark, "apps", [dict(app_id="z")])) == 1 and c.read("apps").count() == 4
+
+
+def test_days_leave_other_files_alone(spark, tmp_path):
+    c = lake.Catalog(spark, f"file://{tmp_path}/c")
+    row = lambda day, n: dict(date=dt.date(2026, 5, day), service_id="s", keyword="k", mention_cnt=n)
+    name = "fact_service_aspect_daily"
+    c.replace(name, frame(spark, name, [row(1, 1), row(2, 2), row(3, 3)]))
+    files = lambda: {f: r["date"].day for r in c.read(name).select("date", "_metadata.file_path").collect() for f in [r["file_path"]]}
+    before = files()
+    c.upsert(name, frame(spark, name, [row(2, 9)]))
+    after = files()
+    assert {f for f, d in before.items() if d != 2} == {f for f, d in after.items() if d != 2} and not {f for f, d in before.items() if d == 2} & set(after)
+    assert {r["date"].day: r["mention_cnt"] for r in c.read(name).collect()} == {1: 1, 2: 9, 3: 3}
+    assert c.read(name, [dt.date(2026, 5, 2)]).count() == 1
+    c.drop_days_before(name, dt.date(2026, 5, 2))
+    assert set(files()) == {f for f, d in after.items() if d != 1}
+    with pytest.raises(ValueError):
+        c.replace_days(name, frame(spark, name, [row(3, 1)]), [dt.date(2026, 5, 2)])
+    hub = [dict(review_id="a", review_created_at=NOW), dict(review_id="b")]
+    c.append("review_master_index", frame(spark, "review_master_index", hub))
+    assert [r["review_id"] for r in c.read("review_master_index", [None]).collect()] == ["b"]
+
+
+def test_one_day_of_aggregates_touches_its_files_only(catalog, tmp_path):
+    deliver(catalog, [review(k, "편리한 앱", day=k) for k in (1, 2)], tmp_path)
+    steps.run_steps(catalog, ["load", "cleanse", "gold"], NOW)
+    steps.aggregate_days(catalog, None, None, NOW.date())
+    files = lambda: {(m, r["file_path"]) for m in steps.MARTS for r in catalog.read(m, [dt.date(2026, 5, 1)]).select("_metadata.file_path").collect()}
+    before = files()
+    assert steps.aggregate_days(catalog, dt.date(2026, 5, 2), dt.date(2026, 5, 2), NOW.date()) == {m: 1 if m != "fact_category_radar_scores" else 1 for m in steps.MARTS}
+    assert files() == before and len(before) == 4
+
+
+@pytest.mark.parametrize("table", ["apps", "app_reviews", "review_master_index", "ingestion_batch"])
+def test_load_is_repeatable(catalog, tmp_path, monkeypatch, table):
+    """A load that dies at any table loads each review once when it is run again."""
+    deliver(catalog, [review(1, "편리한 앱"), review(2, "버그")], tmp_path)
+    whole = lake.Catalog._publish
+
+    def publish(self, name, entries):
+        if name == table:
+            raise KeyboardInterrupt
+        whole(self, name, entries)
+
+    with monkeypatch.context() as m:
+        m.setattr(lake.Catalog, "_publish", publish)
+        with pytest.raises(KeyboardInterrupt):
+            steps.run_load(catalog, NOW)
+    assert steps.run_load(catalog, NOW).status == "success"
+    assert catalog.read("app_reviews").count() == catalog.read("review_master_index").count() == 2
+
+
+# ---- outcomes -------------------------------------------------------------------------------------------------------
+def test_a_failed_embedding_fails_the_review(catalog, tmp_path):
+    deliver(catalog, [review(1, "편리한 앱"), review(2, "편리한 버그")], tmp_path)
+    steps.run_steps(catalog, ["load", "cleanse"], NOW)
+    whole = vectors.hashing_embedder()
+    some = lambda c: F.when(~c.contains("버그"), whole(c))
+    got = steps.run_gold(catalog, NOW, some, summarizer=lambda c: F.when(c.contains("앱"), F.concat(F.lit("s:"), c)), day=dt.date(2026, 5, 3))
+    assert (got.status, got.input_count, got.output_count) == ("success", 2, 1)
+    hub = {r["review_id"]: r for r in catalog.read("review_master_index").collect()}
+    assert (hub["r1"]["processing_status"], hub["r2"]["processing_status"], hub["r2"]["retry_count"], hub["r2"]["error_message"]) == ("ANALYZED", "FAILED", 1, "no embedding")
+    assert {r["review_id"] for r in catalog.read("review_aspects").collect()} == {"r1"}
+    log = catalog.read("review_llm_analysis_logs").collect()
+    assert [(r["review_id"], r["status"], json.loads(r["result_payload"])["summary"][:2]) for r in log] == [("r1", "SUCCESS", "s:")]
+    # the next run takes it up again, until it has failed three times
+    for k in (2, 3):
+        steps.run_gold(catalog, NOW + dt.timedelta(hours=k), some)
+        assert catalog.read("review_master_index").filter("review_id = 'r2'").first()["retry_count"] == k
+    assert steps.run_gold(catalog, NOW, whole).input_count == 0
+
+
+def test_a_summary_that_fails_is_logged(catalog, tmp_path):
+    deliver(catalog, [review(1, "편리한 앱")], tmp_path)
+    steps.run_steps(catalog, ["load", "cleanse"], NOW)
+    assert steps.run_gold(catalog, NOW, vectors.hashing_embedder(), summarizer=lambda c: F.lit(None).cast("string")).output_count == 1
+    assert [(r["status"], r["result_payload"]) for r in catalog.read("review_llm_analysis_logs").collect()] == [("FAILED", None)]
+
+
+def test_a_review_that_cannot_be_cleansed_fails_alone(catalog, tmp_path):
+    deliver(catalog, [review(1, "편리한 앱"), review(2, "버그")], tmp_path)
+    steps.run_load(catalog, NOW)
+    catalog.append("reviews_preprocessed", frame(catalog.spark, "reviews_preprocessed", [dict(review_id="other", platform_review_id="p2", refined_text="x")]))
+    got = steps.run_cleanse(catalog, NOW)
+    assert (got.status, got.input_count, got.output_count) == ("success", 2, 1)
+    hub = {r["review_id"]: r for r in catalog.read("review_master_index").collect()}
+    assert hub["r1"]["processing_status"] == "CLEANED"
+    assert (hub["r2"]["processing_status"], hub["r2"]["retry_count"], hub["r2"]["error_message"]) == ("FAILED", 1, "Cleanse failed: another review has the key p2")
+
+
+def test_app_batches(catalog, tmp_path):
+    rows = catalog.spark.createDataFrame([review(1, "편리한 앱"), review(1, "again"), review(2, "버그")], REVIEW)
+    sink = lambda df: lake.app_batch(df, f"file://{tmp_path}/bronze", catalog, "APPSTORE", APP, "n", NOW)
+    folder = sink(rows)
+    assert catalog.spark.read.parquet(folder).count() == 2
+    b = catalog.read("ingestion_batch").first()
+    assert (b["platform_app_id"], b["record_count"], b["status"], b["storage_path"]) == (APP, 2, "PENDING", folder)
+    assert steps.run_load(catalog, NOW).output_count == 2
+    assert sink(rows) is None and catalog.read("ingestion_batch").count() == 1
+
+    class NoLedger:
+        read = catalog.read
+        append = staticmethod(dies)
+
+    more = catalog.spark.createDataFrame([review(9, "x")], REVIEW)
+    with pytest.raises(Died):
+        lake.app_batch(more, f"file://{tmp_path}/other", NoLedger, "APPSTORE", APP, "n", NOW)
+    assert lake.list_files(catalog.spark, f"file://{tmp_path}/other") == []
+
+
+def test_objects_and_csv(spark, tmp_path):
+    key = f"file://{tmp_path}/k/a.bin"
+    lake.put(spark, key, b"\x00one")
+    lake.put(spark, key, b"\xfftwo")
+    assert lake.get(spark, key) == b"\xfftwo" and lake.delete(spark, key) and not lake.exists(spark, key)
+    got = lake.store_settings("https://store:9000", "k", "s")
+    assert got["spark.hadoop.fs.s3a.endpoint"] == "store:9000" and got["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "true"
+    assert "spark.hadoop.fs.s3a.access.key" not in lake.store_settings("store:9000", "", "")
+    with pytest.raises(ValueError):
+        lake.store_settings("store:9000", "k", "")
+    folder = f"file://{tmp_path}/csv"
+    lake.write_csv(spark.createDataFrame([("é", 1)], "a string, b int").coalesce(1), folder)
+    assert len(lake.list_csv(spark, folder)) == 1 and lake.back_up_csv(spark, folder, f"file://{tmp_path}/backup") == 1
+    assert lake.retire_csv(spark, folder, dt.datetime(2000, 1, 1)) == 0 and lake.retire_csv(spark, folder, dt.datetime.now() + dt.timedelta(days=1)) == 1
+    assert spark.read.option("header", True).csv(f"file://{tmp_path}/backup").collect()[0]["a"] == "é"
+    for day in ("2026_05_01", "2026_05_02"):
+        (tmp_path / f"m/srv_daily_review_list_{day}").mkdir(parents=True)
+    (tmp_path / "m/other").mkdir()
+    from lakewright.operators.predicates import PARTITION_NAME
+
+    assert lake.partitions_named(spark, f"file://{tmp_path}/m", PARTITION_NAME.strip("^$")) == ["srv_daily_review_list_2026_05_01", "srv_daily_review_list_2026_05_02"]

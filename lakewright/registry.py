@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakewright import adapter
 from lakewright.functions import actions, aspects, text, vectors
 from lakewright.operators import joins, load, predicates, projections, state, upsert
-from lakewright.plans import checks, marts, serving
+from lakewright.plans import checks, marts, serving, steps
 from lakewright.schemas import KEYS, MARTS
 from lakewright.sources import lake, landing
 from lakewright.streaming import incremental
@@ -346,10 +346,9 @@ def _(v, t):
     return v["app_reviews"].filter("rating = 1").select("platform_review_id").union(v["review_master_index"].filter("retry_count = 4").select("platform_review_id")).distinct()
 
 
-@_add("u05_ordered_dedup", ("review_aspects",), """select review_id, array_to_string(list_sort(list(distinct keyword)), '|') as words from review_aspects where keyword is not null group by review_id""")
+@_add("u05_ordered_dedup", (), r"""select doc_id, array_to_string(list_filter(w, lambda x, i: list_position(w, x) = i), ' ') as words from (select doc_id, string_split(text, ' ')[1:200] as w from documents) t""")
 def _(v, t):
-    rows = v["review_aspects"].filter("keyword is not null").groupBy("review_id").agg(F.array_sort(F.collect_list("keyword")).alias("a"))
-    return rows.select("review_id", F.array_join(F.array_distinct(F.concat("a", "a")), "|").alias("words"))
+    return t("documents").select("doc_id", F.array_join(F.array_distinct(F.slice(F.split("text", " ", -1), 1, 200)), " ").alias("words"))
 
 
 @_add("f01_f05_status_filter", ("review_master_index",), "select review_id from review_master_index where processing_status in ('RAW', 'FAILED') and service_id is not null and error_message is null")
@@ -422,9 +421,18 @@ def _(v, t):
     return n.join(rows, F.lit(True))
 
 
-@_add("v08_mart_quality", _ALL, " union all ".join(f"select '{m}' as table_name, cast(0 as bigint) as violations" for m in MARTS))
+@_add("v08_mart_quality", _ALL, f"""select 'fact_service_review_daily' as table_name, count(*) filter (where avg_rating + 2 > 5 or total_review_cnt - 3 < 0) as violations from ({_A01_SQL}) t where date = date '{DAY}'
+    union all select 'fact_service_aspect_daily', count(*) filter (where avg_sentiment_score * 2 > 1) from ({_A02_SQL}) t where date = date '{DAY}'
+    union all select 'fact_category_radar_scores', count(*) filter (where avg_sentiment_score - 0.5 < 0) from ({_A03_SQL}) t where date = date '{DAY}'
+    union all select 'srv_daily_review_list', count(*) filter (where rating - 1 < 1) from ({_M10_SQL}) t where date = date '{DAY}'""")
 def _(v, t):
-    return checks.violations(_with_marts(v), DAY)
+    marred = _with_marts(v)
+    for mart, column, change in (
+        (MARTS[0], "avg_rating", F.col("avg_rating") + 2), (MARTS[0], "total_review_cnt", F.col("total_review_cnt") - 3), (MARTS[1], "avg_sentiment_score", F.round("avg_sentiment_score", 6) * 2),
+        (MARTS[2], "avg_sentiment_score", F.round("avg_sentiment_score", 6) - 0.5), (MARTS[3], "rating", F.col("rating") - 1),
+    ):
+        marred[mart] = marred[mart].withColumn(column, change)
+    return checks.violations(marred, DAY)
 
 
 # ---- state and upserts -------------------------------------------------------------------------------------------
@@ -504,27 +512,42 @@ def _(v, t):
 
 @_add("m11_load", ("app_reviews", "review_master_index", "app_metadata"), """select r.review_id, r.platform_review_id, s.service_id, 'RAW' as processing_status from app_reviews r
     left join (select app_id, service_id from (select *, row_number() over (partition by app_id order by valid_from desc nulls first, id desc) as n from app_metadata where is_active) x where n = 1) s using (app_id)
-    where not exists (select 1 from review_master_index m where m.processing_status <> 'RAW' and m.platform_review_id = r.platform_review_id)""")
+    where r.app_id <> 'src5' and regexp_matches(r.review_text, '\\S') and not exists (select 1 from review_master_index m where m.processing_status <> 'RAW' and m.platform_review_id = r.platform_review_id)""")
 def _(v, t):
-    # the load's joins without its UUID filter, which these ids do not pass
-    fresh = joins.new_reviews(v["app_reviews"], v["review_master_index"].filter("processing_status <> 'RAW'"), [F.asc("created_at"), F.asc("review_id")])
-    placed = fresh.join(joins.current_service(v["app_metadata"]), "app_id", "left").withColumns({"is_reply": F.lit(None).cast("boolean"), "reply_comment": F.lit(None).cast("string")})
-    hub, _reviews = projections.load_projection(placed, F.lit("/bronze"), F.col("created_at"))
-    return hub.select("review_id", "platform_review_id", "service_id", "processing_status")
+    named = lambda df: df.withColumn("app_id", F.when(F.col("app_id") != "src5", projections.uuid7(F.lit(1).cast("long"), F.col("app_id"))).otherwise(F.col("app_id")))
+    records = named(v["app_reviews"]).withColumns({"is_reply": F.lit(None).cast("boolean"), "reply_comment": F.lit(None).cast("string")})
+    hub, metadata = named(v["review_master_index"].filter("processing_status <> 'RAW'")), named(v["app_metadata"])
+    got = load.load_records(records, hub, metadata.select("app_id"), metadata, False, "/bronze", dt.datetime(2024, 2, 1))
+    return got.hub.select("review_id", "platform_review_id", "service_id", "processing_status")
 
 
 # ---- text --------------------------------------------------------------------------------------------------------
-@_add("t01_nfkc", (), "select doc_id, nfc_normalize(text) as text from documents")
+# runs of three or more become two: a character goes if it equals the two before it
+_SQUEEZED = """select doc_id, coalesce(array_to_string(list_transform(list_filter(range(1, len(c) + 1), lambda i: not coalesce(i > 2 and c[i] <> chr(10) and c[i] = c[i - 1] and c[i] = c[i - 2], false)), lambda i: c[i]), ''), '') as text
+    from (select doc_id, regexp_extract_all(text, '(?s).') as c from ({}) s0) s1"""
+_ACCOUNT = "@"
+for _pattern, _put in 2 * (("(^|[^0-9])[0-9]{10,14}($|[^0-9])", r"\1[ACC]\2"),) + 2 * ((r"(^|[^\p{L}\p{N}_])[0-9]{3,6}-[0-9]{2,6}-[0-9]{3,6}($|[^\p{L}\p{N}_])", r"\1[ACC]\2"),):
+    _ACCOUNT = f"regexp_replace({_ACCOUNT}, '{_pattern}', '{_put}', 'g')"
+_MASKED = _ACCOUNT.replace("@", r"regexp_replace(regexp_replace(text, '[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}', '[EMAIL]', 'g'), '01[016789][-\s.]?[0-9]{3,4}[-\s.]?[0-9]{4}', '[TEL]', 'g')")
+_NUMBERS = "concat(text, ' 123-45-67890 1234567890 x12345678901 12-34-56 123456789012345 ', doc_id + 100000, '-22-333.')"
+
+
+@_add("t01_nfkc", (), "select doc_id, concat(nfc_normalize(text), 'fi') as text from documents")
 def _(v, t):
-    return t("documents").select("doc_id", text.normalize_unicode(F.col("text")).alias("text"))
+    # full-width letters, digits and marks, and a ligature, have other forms under NFKC only
+    wide = F.translate("text", "abcdefgXYZ0123!?", "ａｂｃｄｅｆｇＸＹＺ０１２３！？")
+    return t("documents").select("doc_id", text.normalize_unicode(F.concat(wide, F.lit("ﬁ"))).alias("text"))
 
 
-@_add("t02_emoji", (), "select doc_id, text from documents")
+@_add("t02_emoji", (), "select doc_id, regexp_replace(replace(replace(replace(replace(text, ' in ', chr(1)), 'the', chr(2)), ' of ', chr(3)), '#', chr(4)), '[\\x01-\\x04]', '', 'g') as text from documents")
 def _(v, t):
-    return t("documents").select("doc_id", text.remove_emojis(F.concat(F.col("text"), F.lit("\U0001f60a\U0001f44d"))).alias("text"))
+    marked = F.col("text")  # single ones, a skin tone, a family with joiners, a key cap, where words stood
+    for word, emoji in ((" in ", "\U0001f60a"), ("the", "\U0001f44d\U0001f3fd"), (" of ", "\U0001f468‍\U0001f469‍\U0001f467"), ("#", "#️⃣")):
+        marked = F.replace(marked, F.lit(word), F.lit(emoji))
+    return t("documents").select("doc_id", text.remove_emojis(marked).alias("text"))
 
 
-@_add("t03_squeeze")
+@_add("t03_squeeze", (), _SQUEEZED.format("select doc_id, text from documents"))
 def _(v, t):
     return t("documents").select("doc_id", text.reduce_repeated_chars(F.col("text")).alias("text"))
 
@@ -539,11 +562,17 @@ def _(v, t):
     return t("documents").select("doc_id", text.mask_phone(F.col("text")).alias("text"))
 
 
-@_add("t04_mask_pii")
+@_add("t04_mask_pii", (), f"select doc_id, {_MASKED} as text from documents")
 def _(v, t):
     return t("documents").select("doc_id", text.mask_pii(F.col("text")).alias("text"))
 
 
+@_add("t04_mask_account", (), f"select doc_id, {_ACCOUNT.replace('@', _NUMBERS)} as text from documents")
+def _(v, t):
+    numbers = F.concat("text", F.lit(" 123-45-67890 1234567890 x12345678901 12-34-56 123456789012345 "), F.col("doc_id") + 100000, F.lit("-22-333."))
+    return t("documents").select("doc_id", text.mask_account(numbers).alias("text"))
+
+
 @_add("t05_special", (), r"select doc_id, regexp_replace(text, '[^\p{L}\p{N}_\s!?.,\[\]]', '', 'g') as text from documents")
 def _(v, t):
     return t("documents").select("doc_id", text.remove_special_chars(F.col("text")).alias("text"))
@@ -560,7 +589,14 @@ def _(v, t):
     return t("documents").select("doc_id", text.clean_text(F.col("text")).alias("text"))
 
 
-@_add("t09_clean")
+_KEPT = r"regexp_replace(" + _MASKED + r", '[^\p{L}\p{N}_\s!?.,\[\]]', '', 'g')"
+_CLEANED = (
+    r"select doc_id, trim(regexp_replace(regexp_replace(regexp_replace(x, '\bofthe\b', 'of the', 'gi'), '\b(idiot|scum)\b', '[SLANG]', 'gi'), '\s+', ' ', 'g')) as text from (select doc_id, "
+    + _KEPT + " as x from (" + _SQUEEZED.format("select doc_id, nfc_normalize(text) as text from documents") + ") m) k"
+)
+
+
+@_add("t09_clean", (), _CLEANED)
 def _(v, t):
     return t("documents").select("doc_id", text.clean(F.col("text"), {"ofthe": "of the"}, ["idiot", "scum"]).alias("text"))
 
@@ -578,9 +614,11 @@ def _(v, t):
     return t("documents").select("doc_id", F.array_join(F.transform(found, lambda x: x["keyword"]), "|").alias("keywords"))
 
 
-@_add("n03_context", (), r"""select doc_id, array_to_string(list_filter(string_split_regex(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '), lambda x: x <> '')[1:4], ' ') as context from documents""")
+@_add("n03_context", (), r"""select doc_id, array_to_string(case when len(w) < 2 then w else w[1:5] end, ' ') as context from
+    (select doc_id, list_filter(string_split_regex(trim(regexp_replace(text, '\s+', ' ', 'g')), ' '), lambda x: x <> '') as w from documents) t""")
 def _(v, t):
-    return t("documents").select("doc_id", aspects.local_context(text.clean_text(F.col("text")), F.lit(0)).alias("context"))
+    clean = text.clean_text(F.col("text"))  # the place of the second word
+    return t("documents").select("doc_id", aspects.local_context(clean, F.length(F.substring_index(clean, " ", 1)) + 1).alias("context"))
 
 
 @_add("n04_negation", (), r"select doc_id, len(list_filter(string_split_regex(text, '\s+'), lambda x: x in ('of', 'de'))) > 0 as negated from documents")
@@ -710,10 +748,12 @@ def _(v, t):
     return t("events").select("event_id", projections.parse_time(stamp, F.lit(dt.datetime(2000, 1, 1)).cast("timestamp")).cast("timestamp_ntz").alias("at"))
 
 
-@_add("p11_uuid7")
+@_add("p11_uuid7", (), "select event_id, lower(to_hex(epoch_us(ts) // 1000)) as millis, '7' as version, true as valid, 1 as times from events")
 def _(v, t):
     e = t("events").select("event_id", projections.uuid7(F.unix_millis(F.col("ts").cast("timestamp")), F.col("event_id")).alias("id"))
-    return e.select("event_id", "id", F.col("id").rlike(projections.UUID).alias("valid"))
+    e = e.join(e.groupBy("id").agg(F.count("*").cast("int").alias("times")), "id")  # an id for each event
+    millis = F.ltrim(F.concat(F.substring("id", 1, 8), F.substring("id", 10, 4)), F.lit("0"))
+    return e.select("event_id", millis.alias("millis"), F.substring("id", 15, 1).alias("version"), F.col("id").rlike(projections.UUID).alias("valid"), "times")
 
 
 @_add("p12_valid_app_ids", (), "select event_id from events where event_id % 2 = 0")
@@ -728,15 +768,24 @@ def _(v, t):
 
 
 # ---- time --------------------------------------------------------------------------------------------------------
-@_add("st01_incremental_pickup", ("review_master_index",), "select review_id from review_master_index where processing_status = 'CLEANED' or (processing_status = 'FAILED' and retry_count < 3)")
+@_add("st01_incremental_pickup", ("app_reviews",), "select review_id, case when rating > 2 then 1 else 0 end as run from app_reviews")
 def _(v, t):
-    return joins.pending_gold(v["review_master_index"]).select("review_id")
+    """Two runs of the stream over what has arrived; the second one sees the new files only, and no delivery twice."""
+    r = v["app_reviews"].withColumns({"reviewed_at": F.col("reviewed_at").cast("timestamp"), "created_at": F.col("created_at").cast("timestamp"), "is_reply": F.lit(False), "reply_comment": F.lit(None).cast("string")})
+    spark, base = r.sparkSession, _scratch(r.sparkSession)
+    for run, rows in enumerate((r.filter("rating <= 2"), r.filter("rating > 2"))):
+        rows.coalesce(1).write.parquet(f"{base}/bronze/d{run}")
+        write = lambda df, _, run=run: df.select("review_id", F.lit(run).alias("run")).write.mode("append").parquet(f"{base}/seen")
+        incremental.run_available(incremental.bronze_stream(spark, f"{base}/bronze"), f"{base}/checkpoint", write)
+    return spark.read.parquet(f"{base}/seen")
 
 
-@_add("st02_redelivery", ("app_reviews",), "select review_id from app_reviews")
+@_add("st02_redelivery", ("app_reviews",), "select review_id, rating, case when rating > 2 then created_at - interval 1 hour else created_at end as created_at from app_reviews")
 def _(v, t):
-    twice = v["app_reviews"].union(v["app_reviews"])
-    return joins.first_per_key(twice, ["app_id", "platform_type", "platform_review_id"], [F.asc("created_at")]).select("review_id")
+    r = v["app_reviews"]
+    again = r.filter("rating > 2").withColumns({"created_at": F.col("created_at") - F.expr("interval 1 hour")})
+    late = r.withColumns({"created_at": F.col("created_at") + F.expr("interval 1 hour"), "rating": F.lit(9)})
+    return joins.first_per_key(late.union(again).union(r), ["app_id", "platform_type", "platform_review_id"], [F.asc("created_at")]).select("review_id", "rating", "created_at")
 
 
 @_add("st03_daily_tumbling", (), "select cast(ts as date) as date, event_type, count(*) as n from events group by 1, 2")
@@ -770,9 +819,10 @@ def _(v, t):
     return latest.select("o_custkey", "m.o_orderkey", "m.o_orderdate")
 
 
-@_add("x03_customers_without_orders", (), "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)")
+@_add("x03_customers_without_orders", (), "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey and o_totalprice > 300000)")
 def _(v, t):
-    return t("customer").join(t("orders"), F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
+    large = t("orders").filter("o_totalprice > 300000")
+    return t("customer").join(large, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select("c_custkey")
 
 
 @_add("x04_revenue_by_nation", (), """select n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) as revenue, count(distinct o_orderkey) as orders from lineitem join orders on l_orderkey = o_orderkey
@@ -788,8 +838,10 @@ def _(v, t):
 # ---- sources and sinks: written to a scratch folder and read back ------------------------------------------------
 def _scratch(spark: SparkSession) -> str:
     """A fresh folder below the shared one (a temporary one where the session names none)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lakewright-")
         atexit.register(shutil.rmtree, base[7:], True)
     return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
@@ -841,3 +893,203 @@ def _(v, t):
     catalog.seed("app_metadata", rows)
     catalog.seed("app_metadata", rows.filter("id > 100").withColumn("is_active", F.lit(True)))
     return catalog.read("app_metadata").select("app_id", "service_id", "valid_from", "is_active")
+
+
+@_add("s08_month_folders", ("app_reviews",), f"select review_id, {DAY.year} as year, {DAY.month} as month from app_reviews where rating = 5")
+def _(v, t):
+    rows = v["app_reviews"].filter("rating = 5").select("review_id")
+    base, spark = _scratch(rows.sparkSession), rows.sparkSession
+    lake.write_batch(rows, base, DAY, "year_month")
+    return spark.read.parquet(base).select("review_id", F.col("year").cast("int"), F.col("month").cast("int"))
+
+
+@_add("s09_j17_listing", ("app_reviews",), "select count(distinct app_id) as partitions, min(app_id) as first_app, max(app_id) as last_app from app_reviews")
+def _(v, t):
+    rows = v["app_reviews"].select("app_id", "review_id")
+    base, spark = _scratch(rows.sparkSession), rows.sparkSession
+    rows.repartition("app_id").write.partitionBy("app_id").parquet(base)
+    names = [x.split("=")[1] for x in lake.partitions_named(spark, base, "app_id=.*")]
+    return spark.createDataFrame([(lake.stats(spark, base)["partitions"], min(names), max(names))], "partitions long, first_app string, last_app string")
+
+
+@_add("s11_objects", (), "select * from (values ('a/one', 3), ('b/two', 0)) v(key, bytes)")
+def _(v, t):
+    spark = t("region").sparkSession
+    base = _scratch(spark)
+    for key, data in (("a/one", b"xxxx"), ("a/one", b"\x00\xff!"), ("b/two", b""), ("b/gone", b"x")):
+        lake.put(spark, f"{base}/{key}", data)
+    lake.delete(spark, f"{base}/b/gone")
+    kept = [k for k in ("a/one", "b/two", "b/gone") if lake.exists(spark, f"{base}/{k}")]
+    return spark.createDataFrame([(k, len(lake.get(spark, f"{base}/{k}"))) for k in kept], "key string, bytes int")
+
+
+def _bronze(v) -> DataFrame:
+    return v["app_reviews"].withColumns({"is_reply": F.lit(None).cast("boolean"), "reply_comment": F.lit(None).cast("string")})
+
+
+@_add("s12_s16_daily_batch", ("app_reviews",), """select review_id, rating, 'PENDING' as status, (select count(*) from app_reviews where platform_type = 'APPSTORE') as record_count
+    from app_reviews where platform_type = 'APPSTORE'""")
+def _(v, t):
+    spark = v["app_reviews"].sparkSession
+    base = _scratch(spark)
+    catalog = lake.Catalog(spark, f"{base}/catalog")
+    lake.daily_batch(_bronze(v).filter("platform_type = 'APPSTORE'"), f"{base}/bronze", catalog, "APPSTORE", DAY, dt.datetime(2024, 2, 1))
+    row = catalog.read("ingestion_batch").first()
+    rows = lake.read_batch(spark, row["storage_path"])
+    return rows.select("review_id", "rating", F.lit(row["status"]).alias("status"), F.lit(row["record_count"]).cast("long").alias("record_count"))
+
+
+@_add("s13_app_batch", ("app_reviews", "review_master_index"), """select review_id from app_reviews r where app_id = 'src3' and platform_type = 'APPSTORE'
+    and not exists (select 1 from review_master_index m where m.platform_review_id = r.platform_review_id and m.processing_status = 'ANALYZED')""")
+def _(v, t):
+    spark = v["app_reviews"].sparkSession
+    base = _scratch(spark)
+    catalog = lake.Catalog(spark, f"{base}/catalog")
+    catalog.append("review_master_index", v["review_master_index"].filter("processing_status = 'ANALYZED'"))
+    own = _bronze(v).filter("app_id = 'src3' and platform_type = 'APPSTORE'")
+    folder = lake.app_batch(own.union(own), f"{base}/bronze", catalog, "APPSTORE", "src3", "name", dt.datetime(2024, 2, 1))
+    return (lake.read_batch(spark, folder) if folder else own.limit(0)).select("review_id")
+
+
+@_add("s17_csv", (), "select event_id, event_type from events")
+def _(v, t):
+    e = t("events").select("event_id", "event_type")
+    path = _scratch(e.sparkSession)
+    for odd in (0, 1):
+        lake.write_csv(e.filter(F.col("event_id") % 2 == odd), path)
+    return e.sparkSession.read.option("header", "true").schema("event_id long, event_type string").csv(path)
+
+
+@_add("s19_dictionary", (), "select * from (values ('a', '1'), ('b', '2'), ('x', '[SLANG]'), ('y', '[SLANG]')) v(word, tag)")
+def _(v, t):
+    spark = t("region").sparkSession
+    base = _scratch(spark)
+    lake.put(spark, f"{base}/1.json", b'{"a": "1",\n"b": "2"}')
+    lake.put(spark, f"{base}/2.json", b'["x", "y", "x"]')
+    return spark.createDataFrame(list((lake.read_dictionary(spark, f"{base}/1.json") | lake.read_dictionary(spark, f"{base}/2.json")).items()), "word string, tag string")
+
+
+@_add("s21_paths", (), r"""select * from (values ('${A}/x', '1/x'), ('$A\$C', '1/$C'), ('$B${A}', 'two1'), ('plain', 'plain')) v(path, filled)""")
+def _(v, t):
+    cases = ["${A}/x", "$A\\$C", "$B${A}", "plain"]
+    return t("region").sparkSession.createDataFrame([(c, lake.fill_path(c, {"A": "1", "B": "two"})) for c in cases], "path string, filled string")
+
+
+@_add("s05_s06_stores", ("app_reviews",), "select platform_review_id, rating from app_reviews where regexp_matches(review_text, '\\S')")
+def _(v, t):
+    spark = v["app_reviews"].sparkSession
+    path = _scratch(spark)
+    v["app_reviews"].select(F.col("platform_review_id").alias("reviewId"), F.col("review_text").alias("content"), F.col("rating").cast("string").alias("score")).write.json(path)
+
+    def lost():
+        return landing.reader("other")(spark, path)
+
+    def there():
+        return landing.reader("PlayStore") and landing.playstore_reviews(spark, path)
+
+    return landing.union_of_successes([lost, there]).select("platform_review_id", "rating")
+
+
+@_add("p16_counts", ("app_reviews",), "select count(*) as input_count, count(*) filter (where rating < 5) as output_count, count(*) filter (where rating < 5) - count(*) as delta from app_reviews")
+def _(v, t):
+    before, after = v["app_reviews"].count(), projections.split_valid(v["app_reviews"].withColumn("rating", F.col("rating") + 1), projections.review_reasons())[0].count()
+    return v["app_reviews"].sparkSession.createDataFrame([projections.count_validation(before, after)], "input_count long, output_count long, delta long")
+
+
+_LETTERS = tuple("abcdefghijklmnopqrstuvwxyz")
+
+
+@_add("o07_cap", (), f"select doc_id, array_to_string(list_filter([{', '.join(repr(x) for x in _LETTERS)}], lambda x: contains(text, x))[1:20], '') as keywords from documents")
+def _(v, t):
+    found = aspects.keyword_spans(F.col("text"), dict.fromkeys(_LETTERS, 0.5), {})
+    return t("documents").select("doc_id", F.array_join(F.transform(found, lambda x: x["keyword"]), "").alias("keywords"))
+
+
+@_add("n02_nouns", (), """select doc_id, case when starts_with(text, 'a') then 'Zz' when contains(text, 'the') then 'the' else '' end as keywords from documents""")
+def _(v, t):
+    def nouns(body: str) -> list[str]:
+        if not body.startswith("a"):
+            raise ValueError("a tagger that fails leaves the lexicon")
+        return ["x", "Zz", "Zz"]  # short ones and repeats go
+
+    rows = t("documents").withColumn("text", F.concat(F.when(F.col("text").startswith("a"), "aZz").otherwise(""), "text"))
+    found = aspects.keyword_spans(F.col("text"), {"the": 0.5}, {}, nouns)
+    return rows.select("doc_id", F.array_join(F.transform(found, lambda x: x["keyword"]), "|").alias("keywords"))
+
+
+@_add("l07_summaries", ("review_master_index", "reviews_preprocessed"), """select review_id, case when contains(refined_text, 'the') then 'SUCCESS' else 'FAILED' end as status,
+    case when contains(refined_text, 'the') then concat('s:', substr(refined_text, 1, 20)) end as summary from review_master_index m join reviews_preprocessed p using (review_id) where m.processing_status = 'CLEANED' and length(refined_text) <= 500""")
+def _(v, t):
+    todo = v["review_master_index"].filter("processing_status = 'CLEANED'")
+    short = v["reviews_preprocessed"].filter(F.length("refined_text") <= 500)
+    none = v["reviews_preprocessed"].sparkSession.createDataFrame([], "review_id string, sentiment_score double")
+    ratings = todo.select("review_id", "platform_review_id", F.lit(3).alias("rating"))
+    model = lambda c: F.when(c.contains("the"), F.concat(F.lit("s:"), F.substring(c, 1, 20)))
+    log = actions.summary_log(actions.analyze(todo, short, ratings, none, summarizer=model), "model", dt.datetime(2024, 2, 1))
+    return log.select("review_id", "status", F.get_json_object("result_payload", "$.summary").alias("summary"))
+
+
+@_add("e01_e02_embed", ("reviews_preprocessed",), "select review_id, 1536 as n, 'REVIEW' as source_content_type from reviews_preprocessed where contains(refined_text, 'the') and regexp_matches(refined_text, '\\S')")
+def _(v, t):
+    size = vectors.model_dimension("text-embedding-3-small")
+    model = lambda c: F.when(c.contains("the"), F.array_repeat(F.lit(0.5).cast("float"), size)).otherwise(F.array(F.lit(0.5).cast("float")))
+    return vectors.embed(v["reviews_preprocessed"], model).select("review_id", F.size("vector").alias("n"), "source_content_type")
+
+
+@_add("e05_anchor_file", (), _SQL["e04_j16_n08_anchor_argmax"])
+def _(v, t):
+    import json
+
+    e, spark = t("embeddings"), t("embeddings").sparkSession
+    rows, path = e.orderBy("vec_id").limit(5).collect(), f"{_scratch(t('embeddings').sparkSession)}/anchors.json"
+    lake.put(spark, path, json.dumps({str(r["vec_id"]): list(r["embedding"]) for r in rows}).encode())
+    anchors = vectors.read_anchors(spark, path, len(rows[0]["embedding"]))
+    return e.select("vec_id", vectors.nearest_anchor(e, anchors, "embedding", 0.3).alias("anchor"))
+
+
+# ---- steps over a catalog ----------------------------------------------------------------------------------------
+def _catalog(v, *names: str) -> lake.Catalog:
+    spark = next(iter(v.values())).sparkSession
+    catalog = lake.Catalog(spark, f"{_scratch(spark)}/catalog")
+    for n in names:
+        catalog.replace(n, v[n])
+    return catalog
+
+
+@_add("r03_r04_aggregate_days", _ALL, f"select * from ({_A01_SQL}) t where date between date '{FIRST}' and date '{DAY}'")
+def _(v, t):
+    catalog = _catalog(v, *_ALL)
+    middle = DAY - dt.timedelta(days=2)
+    steps.aggregate_days(catalog, FIRST, middle, LAST)
+    assert steps.run_aggregate(catalog, LAST, str(DAY)).status == "success"
+    steps.aggregate_range(catalog, middle + dt.timedelta(days=1), DAY - dt.timedelta(days=1), LAST)
+    out = catalog.read(MARTS[0])
+    counts = [c for c, k in out.dtypes if k == "int"]
+    return _rounded(out.withColumns({c: F.col(c).cast("long") for c in counts}), "avg_rating")
+
+
+@_add("r05_aggregate_all", _ALL, f"select date, service_id, keyword, mention_cnt, avg_sentiment_score from ({_A02_SQL}) t")
+def _(v, t):
+    catalog = _catalog(v, *_ALL)
+    steps.aggregate_all(catalog, LAST)
+    return _rounded(catalog.read(MARTS[1]).withColumn("mention_cnt", F.col("mention_cnt").cast("long")), "avg_sentiment_score")
+
+
+@_add("r06_r07_gold", ("review_master_index", "reviews_preprocessed", "app_reviews"), """select review_id, case when not todo then processing_status when message is null then 'ANALYZED' else 'FAILED' end as processing_status,
+    retry_count + case when todo and message is not null then 1 else 0 end as retry_count, case when todo then message else error_message end as error_message from
+    (select m.*, processing_status = 'CLEANED' or (processing_status = 'FAILED' and retry_count < 3) as todo,
+    case when refined_text is null or not contains(refined_text, 'e') or contains(refined_text, 'idiot') then 'no embedding' when not contains(refined_text, 'tion') then 'no aspects' end as message
+    from review_master_index m left join reviews_preprocessed p using (review_id)) t""")
+def _(v, t):
+    catalog = _catalog(v, "review_master_index", "reviews_preprocessed", "app_reviews")
+    model = lambda c: F.when(c.contains("e") & ~c.contains("idiot"), F.array_repeat(F.lit(0.5).cast("float"), 1536))
+    steps.run_gold(catalog, dt.datetime(2024, 2, 1), model, sentiment={"tion": 0.9}, categories={})
+    return catalog.read("review_master_index").select("review_id", "processing_status", "retry_count", "error_message")
+
+
+@_add("r01_r02_r08_steps", _ALL, """select * from (values ('aggregate', 'success', 1), ('nonsense', 'failed', 0), ('exit code', 'failed', 1)) v(step, status, input_count)""")
+def _(v, t):
+    catalog = _catalog(v, *_ALL)
+    got = [(r.step, r.status, r.input_count) for r in steps.run_steps(catalog, ["aggregate", "nonsense", "validate"], dt.datetime(2024, 1, 13), str(DAY))]
+    code = steps.main(["--catalog", catalog.base, "--steps", "nonsense"], catalog.spark)
+    return catalog.spark.createDataFrame([*got, ("exit code", "failed" if code else "success", code)], "step string, status string, input_count int")

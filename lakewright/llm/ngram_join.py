@@ -48,7 +48,7 @@ SMALL = 64
 #: Classes, and tokens of their sets (as an expectation), in one block of a larger bucket.
 BLOCK, BLOCK_TOKENS = 512, 2_000_000
 #: Slices of the counter table, and tables that are summed at a time.
-SLICES, FAN = 64, 32
+SLICES, FAN = 64, 64
 #: A pivot's members are dealt over so many salts.
 SALTS = 32
 #: Links that one task reduces to stars.
@@ -101,6 +101,16 @@ def _scanned(n: int, **columns) -> pa.RecordBatch:
     return common.batch_of(**{c: v if isinstance(v, pa.Array) else pa.array(v, t) for (c, v), t in zip(whole.items(), _TYPES, strict=True)})
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counters by byte planes: the upper ones of most tables are all zero."""
+    return zlib.compress(np.ascontiguousarray(counts.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
 def _scan_one(n: int, bits: int):
     """Rows of two kinds: documents (key, size), and slices of the task's counters."""
 
@@ -116,7 +126,7 @@ def _scan_one(n: int, bits: int):
             yield _scanned(len(sets), doc_id=batch.column("doc_id"), size=[len(x) for x in sets], key=keys, short=shorts)
         rows = [(k, x) for k, x in enumerate(np.split(counts, SLICES)) if x.any()]
         if rows:
-            yield _scanned(len(rows), part=[k for k, _ in rows], task=[task] * len(rows), counts=[zlib.compress(x.tobytes(), 1) for _, x in rows])
+            yield _scanned(len(rows), part=[k for k, _ in rows], task=[task] * len(rows), counts=[_packed(x) for _, x in rows])
 
     return scan
 
@@ -124,8 +134,8 @@ def _scan_one(n: int, bits: int):
 def _sum_slices(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(1, np.int64)
     for raw in pdf["counts"]:
-        total = total + np.frombuffer(zlib.decompress(raw), np.uint32)
-    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "task": [pdf["task"].iloc[0] // FAN], "counts": [zlib.compress(np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes(), 1)]})
+        total = total + _unpacked(raw)
+    return pd.DataFrame({"part": [pdf["part"].iloc[0]], "task": [pdf["task"].iloc[0] // FAN], "counts": [_packed(np.minimum(total, 2**32 - 1))]})
 
 
 def _summed(slices: DataFrame) -> list[tuple[int, bytes]]:
@@ -138,7 +148,7 @@ def _summed(slices: DataFrame) -> list[tuple[int, bytes]]:
             break
     scaled = []
     for r in slices.select("part", "counts").toLocalIterator():  # at most 2 ** MAX_BITS counters
-        counts = np.frombuffer(zlib.decompress(r["counts"]), np.uint32)
+        counts = _unpacked(r["counts"])
         scaled.append((r["part"], zlib.compress(np.minimum(np.rint(np.log2(1.0 + counts) * 2048), 65535).astype(np.uint16).tobytes(), 1)))
     return scaled
 

@@ -128,7 +128,7 @@ def test_slices_sum_over_several_rounds(spark, monkeypatch):
     import zlib
 
     monkeypatch.setattr(j, "FAN", 3)
-    rows = [(part, task, zlib.compress(np.array([task, 1, 0, 2**31], np.uint32).tobytes())) for part in range(2) for task in range(20)]
+    rows = [(part, task, j._packed(np.array([task, 1, 0, 2**31]))) for part in range(2) for task in range(20)]
     got = dict(j._summed(spark.createDataFrame(rows, "part int, task int, counts binary")))
     expected = np.rint(np.log2(1.0 + np.array([sum(range(20)), 20, 0, 2**32 - 1])) * 2048).clip(0, 65535)
     assert set(got) == {0, 1} and all(np.frombuffer(zlib.decompress(x), np.uint16).tolist() == expected.tolist() for x in got.values())

@@ -49,8 +49,8 @@ SMALL = 64
 BLOCK, BLOCK_TOKENS = 512, 2_000_000
 #: Slices of the counter table, and tables that are summed at a time.
 SLICES, FAN = 64, 64
-#: A pivot's members are dealt over so many salts.
-SALTS = 32
+#: A pivot's members are dealt over so many salts; sets of all pivots that may be broadcast.
+SALTS, PIVOT_BYTES = 32, 32 << 20
 #: Links that one task reduces to stars.
 PART = 200_000
 #: Counters: about one per `LOAD` shingles, a power of two between these.
@@ -385,16 +385,21 @@ def _large(hot: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, Da
     mix = F.xxhash64("short", F.lit(11))
     pivots = hot.join(often, "short").groupBy("token").agg(F.max(F.struct("n", mix.alias("x"), "short"))["short"].alias("p"), F.max(F.struct(mix.alias("x"), "short"))["short"].alias("q"))
     pivots = pivots.select("token", F.explode(F.array_distinct(F.array("p", "q"))).alias("pivot"))
-    # a bucket, and with it its pivot, may hold a third of all classes: both joins go over salts
+    # a bucket may hold a third of all classes: its members go over salts
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
     dealt = hot.withColumn("salt", F.pmod(F.xxhash64("short", F.lit(5)), F.lit(SALTS)).cast("int"))
     pairs = dealt.join(pivots.select("token", "pivot", salts), ["token", "salt"]).filter("short <> pivot").select("short", "pivot", "salt").distinct()
     own = sets.select("short", F.col("key").alias("key_a"), F.col("set").alias("set_a"), F.col("size").alias("size_a"))
     other = sets.join(pivots.select(F.col("pivot").alias("short")).distinct(), "short", "left_semi")
-    other = other.select(F.col("short").alias("pivot"), F.col("key").alias("key_b"), F.col("set").alias("set_b"), F.col("size").alias("size_b"), salts)
-    reach = (F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent)
-    met = pairs.join(own, "short").join(other, ["pivot", "salt"]).filter(reach).select("key_a", "set_a", "key_b", "set_b")
+    other = common.cut(other.select(F.col("short").alias("pivot"), F.col("key").alias("key_b"), F.col("set").alias("set_b"), F.col("size").alias("size_b")), "pivots")
+    if (other.agg(F.sum("size_b")).first()[0] or 0) * 8 <= PIVOT_BYTES:  # then the members' sets need no second shuffle
+        met = pairs.join(own, "short").join(F.broadcast(other), "pivot")
+    else:
+        met = pairs.join(own, "short").join(other.select("*", salts), ["pivot", "salt"])
+    reach = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * percent
+    met = met.filter(reach).select("key_a", "set_a", "key_b", "set_b")
     links = common.cut(met.mapInArrow(common.released(_verify_pairs(percent)), "a binary, b binary"), "links")
+    common.forget(other)
     roots = _rooted(links, sets)
     # a group is a bucket's classes of one size band and the next: sets of other sizes cannot reach
     width = float(np.log(100 / percent)) if percent < 100 else 1.0

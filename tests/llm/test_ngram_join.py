@@ -134,8 +134,10 @@ def test_slices_sum_over_several_rounds(spark, monkeypatch):
     assert set(got) == {0, 1} and all(np.frombuffer(zlib.decompress(x), np.uint16).tolist() == expected.tolist() for x in got.values())
 
 
-def test_many_near_copies(spark, documents, monkeypatch):
+@pytest.mark.parametrize("pivot_bytes", [0, 1 << 20])
+def test_many_near_copies(spark, documents, monkeypatch, pivot_bytes):
     """Groups of near copies, a chain, and texts that share words with all: as brute force, by pivots and blocks."""
+    monkeypatch.setattr(j, "PIVOT_BYTES", pivot_bytes)
     monkeypatch.setattr(j, "SMALL", 8)
     monkeypatch.setattr(j, "BLOCK", 16)
     monkeypatch.setattr(j, "BLOCK_TOKENS", 900)

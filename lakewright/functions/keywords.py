@@ -5,21 +5,49 @@ from __future__ import annotations
 import re
 
 
+#: What a whole word ends at.
+_WORD = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz")
+
+
+def _lower(text: str) -> str:
+    """Lower case, character by character: each keeps its place."""
+    low = text.lower()
+    if len(low) == len(text) and "\u03a3" not in text:
+        return low
+    return "".join(x if len(x := c.lower()) == 1 else c for c in text)
+
+
 class Replacer:
     """Replace keywords by their values: longest match at each place, case-insensitive.
 
     Only `[0-9A-Za-z_]` are word characters: a match must not have one of them on either side, so Latin keywords match whole
-    words while others match anywhere. Replaced text is not looked at again.
+    words while others match anywhere. Replaced text is not looked at again. Where a keyword may start, its text of each length
+    that keywords of that first character have is looked up, so the size of the dictionary does not matter.
     """
 
     def __init__(self, words: dict[str, str]) -> None:
-        self.values = {k.lower(): v for k, v in words.items() if k}
-        longest_first = sorted(self.values, key=lambda k: (-len(k), k))
-        body = "|".join(map(re.escape, longest_first))
-        self.pattern = re.compile(rf"(?<![0-9A-Za-z_])(?:{body})(?![0-9A-Za-z_])", re.I) if body else None
+        self.values = {_lower(k): v for k, v in words.items() if k}
+        by_first: dict[str, set[int]] = {}
+        for k in self.values:
+            by_first.setdefault(k[0], set()).add(len(k))
+        self.lengths = {c: sorted(n, reverse=True) for c, n in by_first.items()}
+        self.start = re.compile(f"(?<![0-9A-Za-z_])[{''.join(map(re.escape, by_first))}]") if by_first else None
 
     def replace(self, text: str) -> str:
-        return self.pattern.sub(lambda m: self.values.get(m[0].lower(), m[0]), text) if self.pattern else text
+        if self.start is None:
+            return text
+        low, out, done = _lower(text), [], 0
+        at = self.start.search(low)
+        while at:
+            here, after = at.start(), at.end()
+            for n in self.lengths[low[here]]:
+                end = here + n
+                if end <= len(low) and low[end : end + 1] not in _WORD and (value := self.values.get(low[here:end])) is not None:
+                    out += text[done:here], value
+                    done = after = end
+                    break
+            at = self.start.search(low, after)
+        return "".join((*out, text[done:]))
 
 
 def ordered(terms) -> list[str]:

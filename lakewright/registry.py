@@ -641,7 +641,21 @@ def _(v, t):
     return v["review_aspects"].select("aspect_id", aspects.category(F.col("keyword"), {"USABILITY": ("clicks", "cl"), "STABILITY": ("vi",)}).alias("found"))
 
 
-@_add("n09_n10_aspects")
+#: Of these terms only 'the' can overlap another ('the '): the first place of that is blanked before 'the' is sought.
+_ASPECTS = r"""with t as (select doc_id::varchar as review_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as x from documents),
+    places as (
+        select review_id, x, term as keyword, instr(x, term) as pos from t, (values ('the '), ('tion'), ('ing'), ('xyz'), ('wh')) w(term)
+        union all
+        select review_id, x, 'the', instr(case when instr(x, 'the ') > 0 then left(x, instr(x, 'the ') - 1) || '####' || substr(x, instr(x, 'the ') + 4) else x end, 'the') from t),
+    held as (select *, length(left(x, pos - 1)) - length(replace(left(x, pos - 1), ' ', '')) as k from places where pos > 0),
+    around as (select review_id, keyword, string_split(x, ' ')[greatest(k - 2, 1)::bigint : k + 4] as c from held),
+    weighed as (select *, case keyword when 'the ' then 0.85 when 'tion' then 0.1 when 'wh' then 0.8 else 0.5 end::double
+        * case when contains(array_to_string(c, ' '), 'idiot') then 1.4 else 1 end::double as raw from around)
+    select review_id, keyword, round(greatest(0, least(1, case when len(list_filter(c, lambda y: y = 'of' or starts_with(y, 'of' || keyword))) > 0 then 1 - raw else raw end)), 4)::double as sentiment_score,
+    case when keyword in ('the ', 'the') then 'USABILITY' when keyword in ('tion', 'ing') then 'STABILITY' else 'DESIGN' end as category from weighed"""
+
+
+@_add("n09_n10_aspects", (), _ASPECTS)
 def _(v, t):
     reviews = t("documents").select(F.col("doc_id").cast("string").alias("review_id"), text.clean_text(F.col("text")).alias("refined_text"))
     return aspects.analyze(reviews, "refined_text", _SENTIMENT, {"idiot": 1.4}, ("of",), _TERMS)
@@ -859,6 +873,34 @@ def _(v, t):
     return landing.playstore_reviews(raw.sparkSession, path).select("platform_review_id", "reviewer_name", "rating", "review_text")
 
 
+_FEED_SQL = """select app_id as platform_app_id, case when app_id < 'src2' then 'app_' || app_id else 'Name of ' || app_id end as name, platform_review_id, reviewer_name,
+    rating, review_text from app_reviews where regexp_matches(review_text, '\\S') and not (app_id = 'src3' and cast(review_id as bigint) >= 100)"""
+
+
+@_add("s01_s03_appstore_pages", ("app_reviews",), _FEED_SQL)
+def _(v, t):
+    """A page for each 100 ids, of src5 one for each entry; the app's own entry leads the first one of some apps, and src3's second page is empty."""
+    label = lambda c: F.struct(F.col(c).cast("string").alias("label")) if isinstance(c, str) else F.struct(c.alias("label"))
+    entry = F.struct(
+        label("platform_review_id").alias("id"), F.struct(label("reviewer_name").alias("name")).alias("author"), label("review_text").alias("content"),
+        label("rating").alias("im:rating"), label(F.date_format("reviewed_at", "yyyy-MM-dd'T'HH:mm:ssXXX")).alias("updated"),
+    )
+    page = F.floor(F.col("review_id").cast("long") / F.when(F.col("app_id") == "src5", 20).otherwise(100)).cast("int") + 1
+    rows = v["app_reviews"].withColumn("page", page).select("app_id", "page", F.to_json(entry).alias("e"), F.lit(1).alias("o"))
+    own = rows.filter("app_id >= 'src2'").select("app_id", F.lit(1).alias("page"), F.to_json(F.struct(label(F.concat(F.lit("Name of "), "app_id")).alias("im:name"))).alias("e"), F.lit(0).alias("o")).distinct()
+    entries = F.transform(F.sort_array(F.collect_list(F.struct("o", "e"))), lambda x: x["e"])
+    pages = rows.union(own).groupBy(F.col("app_id").alias("app"), "page").agg(entries.alias("l"))
+    listed = F.when(F.size("l") > 1, F.concat(F.lit("["), F.array_join("l", ","), F.lit("]"))).otherwise(F.col("l")[0])  # one entry stands without a list
+    value = F.when((F.col("app") == "src3") & (F.col("page") == 2), F.lit('{"feed": {}}')).otherwise(F.concat(F.lit('{"feed": {"entry": '), listed, F.lit("}}")))
+    spark = rows.sparkSession
+    path = _scratch(spark)
+    pages.select("app", "page", value.alias("value")).write.partitionBy("app", "page").text(path)
+    feed = landing.appstore_pages(spark, path)
+    found = landing.appstore_reviews(feed, 2**31 - 1)
+    named = landing.app_names(feed).withColumnRenamed("app", "platform_app_id")
+    return found.join(named, "platform_app_id").select("platform_app_id", "name", "platform_review_id", "reviewer_name", "rating", "review_text")
+
+
 @_add("s04_app_id_list", (), "select distinct source as app_id from documents")
 def _(v, t):
     lines = t("documents").select(F.concat(F.lit(" "), "source", F.lit("  # from "), "lang").alias("value"))

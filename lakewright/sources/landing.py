@@ -12,6 +12,7 @@ from lakewright.operators.joins import first_per_key
 
 _LABEL = "struct<label:string>"
 _ENTRY = f"struct<id:{_LABEL},author:struct<name:{_LABEL}>,`im:name`:{_LABEL},content:{_LABEL},`im:rating`:{_LABEL},updated:{_LABEL},`im:version`:{_LABEL}>"
+_PAGE = r"(?:^|/)(?:app=)?([^/]+)/(?:(?=\d+\.json$)|page=(?=\d+/[^/]+$))(\d+)"
 PLAYSTORE = "reviewId string, userName string, content string, score string, at string, appVersion string, replyContent string, appId string"
 
 
@@ -22,7 +23,8 @@ def app_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def appstore_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Files <app>/<page>.json -> (app, page, at, entry) of all entries; one entry may stand without its list.
+    """Files <app>/<page>.json, or app=<app>/page=<page>/<any name> -> (app, page, at, entry) of all entries; one entry
+    may stand without its list.
 
     Pages behind the first empty one are not read on; the entry with the app's name is no review.
     """
@@ -30,8 +32,8 @@ def appstore_pages(spark: SparkSession, path: str) -> DataFrame:
     entry = F.get_json_object("value", "$.feed.entry")
     listed = F.when(entry.startswith("["), entry).otherwise(F.concat(F.lit("["), entry, F.lit("]")))
     pages = raw.select(
-        F.regexp_extract("file", r"([^/]+)/(\d+)\.json$", 1).alias("app"),
-        F.regexp_extract("file", r"([^/]+)/(\d+)\.json$", 2).cast("int").alias("page"),
+        F.regexp_extract("file", _PAGE, 1).alias("app"),
+        F.regexp_extract("file", _PAGE, 2).cast("int").alias("page"),
         F.coalesce(F.from_json(listed, f"array<{_ENTRY}>"), F.array().cast(f"array<{_ENTRY}>")).alias("entries"),
     )
     empty = pages.filter(F.size("entries") == 0).groupBy("app").agg(F.min("page").alias("stop"))

@@ -1,3 +1,6 @@
+import random
+import re
+import time
 import unicodedata
 
 from pyspark.sql import functions as F
@@ -63,6 +66,26 @@ def test_replacer_borders():
     assert Replacer({}).replace("a") == "a"
 
 
+def test_replacer_agrees_with_trying_every_keyword():
+    rng = random.Random(5)
+    some = lambda chars, most: "".join(rng.choice(chars) for _ in range(rng.randint(1, most)))
+    for _ in range(300):
+        words = {some("aB쏠 -_", 4): some("xyz", 2) for _ in range(rng.randint(1, 8))}
+        lowered = {k.lower(): v for k, v in words.items()}
+        body = "|".join(map(re.escape, sorted(lowered, key=lambda k: (-len(k), k))))
+        plain = re.compile(rf"(?<![0-9A-Za-z_])(?:{body})(?![0-9A-Za-z_])", re.I)
+        line = some("aAbB쏠 -_.", 40)
+        assert Replacer(words).replace(line) == plain.sub(lambda m: lowered[m[0].lower()], line)
+    assert Replacer({"B": "x"}).replace("İİ b") == "İİ x"  # whose lower case is longer
+
+
+def test_replacer_of_a_large_dictionary():
+    r = Replacer({f"wort{k}": f"w{k}" for k in range(200_000)})
+    start = time.perf_counter()
+    assert r.replace("wort199999 wort wort1x " * 5_000) == "w199999 wort wort1x " * 5_000
+    assert time.perf_counter() - start < 5
+
+
 def test_clean_plan_has_one_hop_per_udf_group(spark):
     plan = spark.createDataFrame([("x",)], "t string").select(text.mask_pii(F.col("t")))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan

@@ -86,6 +86,45 @@ def test_ftrl_weights_are_sparse():
     assert 0 < len(model.at) < len(np.unique(np.concatenate(sets)))
 
 
+def test_ftrl_as_brute_force():
+    """A dictionary of coordinates, updated one by one."""
+    r = random.Random(9)
+    sets = [np.unique(np.array([r.randrange(40) for _ in range(r.randint(0, 9))], np.int32)) for _ in range(120)]
+    y = np.array([float(r.random() < (0.8 if 3 in s or 7 in s else 0.2)) for s in sets])
+    z, n, order = {}, {}, np.random.default_rng(7)
+
+    def weight(i, l1):
+        at = z.get(i, 0.0)
+        return 0.0 if abs(at) <= l1 else -(at - (l1 if at > 0 else -l1)) / ((toxicity.BETA + n.get(i, 0.0) ** 0.5) / toxicity.ALPHA + (toxicity.L2 if l1 else 0.0))
+
+    for _ in range(3):
+        for k in order.permutation(len(y)):
+            held = {"bias": weight("bias", 0.0)} | {int(i): weight(int(i), toxicity.L1) for i in sets[k]}
+            g = 1 / (1 + np.exp(-sum(held.values()))) - y[k]
+            for i, w in held.items():
+                before = n.get(i, 0.0)
+                n[i] = before + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - before**0.5) / toxicity.ALPHA * w
+    model = toxicity.fit(sets, y, epochs=3)
+    expected = {i: w for i in range(40) if (w := weight(i, toxicity.L1))}
+    assert 0 < len(expected) < 40 and model.at.tolist() == sorted(expected)
+    assert np.allclose(model.weight, [expected[i] for i in sorted(expected)]) and abs(model.bias - weight("bias", 0.0)) < 1e-9
+
+
+def test_first_split_is_the_best_of_all():
+    r = np.random.default_rng(2)
+    x = r.integers(0, 20, (300, 3)).astype(float)
+    y = (x[:, 1] + r.normal(0, 3, 300) > 8).astype(float)
+    model = trees.fit(x, y, trees=1, depth=1, least=20, shrink=1.0, rate=0.2)
+    p = 1 / (1 + np.exp(-model.base))
+    grad, hess = p - y, np.full(300, p * (1 - p))
+    part = lambda rows: grad[rows].sum() ** 2 / (hess[rows].sum() + 1.0)
+    best = max((part(x[:, j] <= c) + part(x[:, j] > c), -j, -c) for j in range(3) for c in np.arange(0.5, 19) if 20 <= (x[:, j] <= c).sum() <= 280)
+    assert (model.feature[0], model.threshold[0]) == (-best[1], -best[2])
+    for at, rows in ((model.left[0], x[:, -best[1]] <= -best[2]), (model.right[0], x[:, -best[1]] > -best[2])):
+        assert abs(model.value[at] + 0.2 * grad[rows].sum() / (hess[rows].sum() + 1.0)) < 1e-9
+
+
 def test_one_long_text_does_not_empty_the_sample(spark, monkeypatch):
     monkeypatch.setattr(labelled, "MAX_CHARS", 2_000)
     monkeypatch.setattr(labelled, "MAX_TEXT", 1_500)

@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter, defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,6 +32,75 @@ def brute(text):
     return [x for _, _, x in sorted(out)]
 
 
+def base_of(text):
+    return [(int(a), int(b), kind) for kind, a, b in (x.split(":") for x in brute(text))]
+
+
+def loose(text, spans):
+    """Identifier-like tokens that meet none of spans, each compared with each."""
+    for m in pii._TOKEN.finditer(text):
+        token = m[0].rstrip(".!?%&*$#")
+        a, b = m.start(), m.start() + len(token)
+        if len(token) >= 6 and re.search("[0-9]", token) and not any(a < high and low < b for low, high, _ in spans):
+            yield a, b, token
+
+
+def brute_learn(texts):
+    """{pattern: (kind, confidence)}: the graph as a dictionary, scored by loops."""
+    edges, seeds, total = Counter(), defaultdict(set), Counter()
+    for text in texts:
+        spans = base_of(text)
+        several = [(a, text[a:b], kind) for a, b, kind in spans]
+        several += [(a, x, "secret" if pii._HEX.match(x) or pii._KEY.match(x) else None) for a, _, x in loose(text, spans)]
+        for a, token, kind in several:
+            for pattern in pii.patterns_at(text, a, token):
+                edges[pattern, token, kind is not None] += 1
+                if kind:
+                    seeds[pattern].add((token, kind))
+        for word in text.lower().split():
+            total[word + " "] += 1
+            if len(word) >= 4:
+                total["^" + word[:4]] += 1
+        for word, sign in pii._ASSIGN.findall(text):
+            total[word.lower() + sign] += 1
+    wanted = {p for p, s in seeds.items() if len(s) >= pii.SUPPORT and total[p]}
+    score, confidence = {}, {}
+    for _ in range(pii.ROUNDS):
+        for p in wanted:
+            own = [(n, 1.0 if seed else score.get(token, 0.0)) for (q, token, seed), n in edges.items() if q == p]
+            confidence[p] = sum(n * s for n, s in own) / max(total[p], sum(n for n, _ in own))
+        left = defaultdict(lambda: 1.0)
+        for (p, token, seed), _ in edges.items():
+            if p in wanted and not seed:
+                left[token] *= 1 - min(0.99, confidence[p])
+        score = {token: 1 - x for token, x in left.items()}
+    kinds = {p: max((n, k) for k, n in Counter(k for _, k in seeds[p]).items())[1] for p in wanted}
+    return {p: (kinds[p], c) for p, c in confidence.items() if c >= pii.CONFIDENCE}
+
+
+def all_spans(text, accepted):
+    base = base_of(text)
+    more = [(a, b, next((accepted[p][0] for p in pii.patterns_at(text, a, token) if p in accepted), None)) for a, b, token in loose(text, base)]
+    return sorted({*base, *(x for x in more if x[2])}, key=pii.order)
+
+
+def corpus(r, n):
+    """Texts with identifiers in contexts that are more or less certain."""
+    hexa = lambda: "".join(r.choice("0123456789abcdef") for _ in range(r.randint(16, 30)))
+    short = lambda: "".join(r.choice("abcdef") for _ in range(5)) + str(r.randint(10, 9999))
+    mail = lambda: f"{r.choice('abcdefgh')}{r.choice(['', '7'])}{r.choice('xyz')}@mail.{r.choice(['org', 'de'])}"
+    plain = lambda: r.choice(["morning", "house", "waterfall", "token", "user", "2024-01-01", "b2b-sales"])
+    makers = {"token=": (hexa, hexa, short), "secret: ": (hexa, short, short, plain), "user ": (mail, mail, short), "key = ": (hexa, hexa, hexa, plain, plain), "by ": (mail, plain, plain)}
+    texts = []
+    for _ in range(n):
+        parts = []
+        for _ in range(r.randint(1, 6)):
+            lead = r.choice(list(makers))
+            parts += [plain(), lead + r.choice(makers[lead])() + r.choice(["", ".", "!"])]
+        texts.append(" ".join(parts))
+    return texts
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet="aZ9@.-+ ()%_123é\n", max_size=60))
 def test_base_spans_as_brute_force(text):
@@ -62,6 +133,18 @@ def test_learning(spark, documents):
     assert "of " not in got
 
 
+def test_bootstrapping_as_brute_force(spark, documents):
+    texts = corpus(random.Random(3), 300)
+    accepted = brute_learn(texts)
+    docs = documents(texts)
+    got = {x["pattern"]: (x["kind"], x["confidence"]) for x in pii.learn(docs).collect()}
+    assert {p: (k, round(c, 9)) for p, (k, c) in got.items()} == {p: (k, round(c, 9)) for p, (k, c) in accepted.items()}
+    assert "token=" in accepted and "by " not in accepted
+    spans = {x["doc_id"]: x["spans"] for x in pii.query(docs).collect()}
+    assert spans == {k: ",".join(f"{kind}:{a}:{b}" for a, b, kind in all_spans(t, accepted)) for k, t in enumerate(texts)}
+    assert sum(len(all_spans(t, accepted)) - len(base_of(t)) for t in texts) > 100
+
+
 def test_empty_table(spark, documents):
     assert pii.query(documents([]).limit(0)).count() == 0
 

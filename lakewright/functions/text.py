@@ -21,6 +21,8 @@ EMOJI = (
     r"|[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{2B00}-\x{2BFF}\x{2300}-\x{23FF}\x{3030}\x{303D}\x{3297}\x{3299}\x{2049}\x{203C}\x{00A9}\x{00AE}\x{2122}\x{2139}"
     r"\x{2194}-\x{21AA}\x{24C2}\x{25AA}-\x{25FE}][\x{FE0F}\x{1F3FB}-\x{1F3FF}]*(?:\x{200D}[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}][\x{FE0F}\x{1F3FB}-\x{1F3FF}]*)*|\x{FE0F}"
 )
+#: Beyond what emoji are made of; each alternative above needs such a character.
+_RARE = r"[^\x{00}-\x{A8}\x{AA}-\x{AD}\x{AF}-\x{2038}\x{3040}-\x{3296}\x{329A}-\x{FE0E}\x{FE10}-\x{1EFFF}]"
 # The masks' patterns decide what is masked.
 EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 PHONE = r"01[016789](?U:[-\s.])?\p{Nd}{3,4}(?U:[-\s.])?\p{Nd}{4}"
@@ -44,8 +46,8 @@ def _only_if(c: Column, needs, change) -> Column:
 
 
 def remove_emojis(c: Column) -> Column:
-    """T02. Each alternative needs a character beyond ASCII."""
-    return _only_if(c, lambda x: x.rlike(r"[^\p{ASCII}]"), lambda x: F.regexp_replace(x, EMOJI, ""))
+    """T02."""
+    return _only_if(c, lambda x: (F.length(x) < F.octet_length(x)) & x.rlike(_RARE), lambda x: F.regexp_replace(x, EMOJI, ""))
 
 
 def reduce_repeated_chars(c: Column) -> Column:

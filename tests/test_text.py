@@ -3,6 +3,7 @@ import re
 import time
 import unicodedata
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lakewright.functions import text
@@ -26,6 +27,12 @@ def test_emoji(spark):
     assert one(spark, text.remove_emojis, "1️⃣번") == "번"
 
 
+def test_emoji_guard_covers_all_characters(spark):
+    points = [k for k in range(0x20000) if not 0xD800 <= k < 0xE000]
+    df = spark.createDataFrame(pd.DataFrame({"t": [f"a{chr(k)}b" for k in points] + ["1\u20e3", "#\ufe0f\u20e3", "\U0001f1f0\U0001f1f7"]}))
+    assert df.filter(~text.remove_emojis(F.col("t")).eqNullSafe(F.regexp_replace("t", text.EMOJI, ""))).count() == 0
+
+
 def test_squeeze(spark):
     assert one(spark, text.reduce_repeated_chars, "ㅋㅋㅋㅋ") == "ㅋㅋ"
     assert one(spark, text.reduce_repeated_chars, "hhhh") == "hh"

@@ -21,6 +21,7 @@ _QUERIES = {
     "op8_tiered_packing": ("packing", ("documents",)),
     "op9_block_text": ("html_blocks", ("pages",)),
     "op10_seekable_warc": ("warc", ("pages",)),
+    "op11_turn_repair": ("turn_repair", ("conversations",)),
     "op13_merkle_manifest": ("merkle", ("documents",)),
 }
 

@@ -22,6 +22,7 @@ _QUERIES = {
     "op9_block_text": ("html_blocks", ("pages",)),
     "op10_seekable_warc": ("warc", ("pages",)),
     "op11_turn_repair": ("turn_repair", ("conversations",)),
+    "op12_substring_dedup": ("substring_dedup", ("documents",)),
     "op13_merkle_manifest": ("merkle", ("documents",)),
 }
 

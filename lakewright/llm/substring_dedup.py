@@ -11,8 +11,8 @@ merge into its maximal repeats.
 Memory: the blocks that are met come back as bits of a fixed number (`MAX_BITS`, sent to the executors); beyond that load
 more windows than needed go on to the extension, which decides exactly at every size. A part holds about `PART` hashes
 whatever a text repeats, since a batch sends each of its hashes once. Windows that many documents share are reduced to a
-minimum before they are shuffled; those that hold over a thousandth of all windows (so under a thousand) are sent to
-the executors instead of gathering their rows in one task. Equal texts are settled before: only the smallest id takes part.
+minimum before they are shuffled; the rows of those that hold over a thousandth of all windows (so under a thousand, which every executor is
+told of) go over salts instead of into one task. Equal texts are settled before: only the smallest id takes part.
 
 Defined results: null texts have no words; texts of fewer than 13 words lose none; rows without an id neither lose words nor
 take any; rows with equal ids do not count as smaller to each other, repeated rows give equal rows; other columns are not read.
@@ -39,8 +39,8 @@ PART = 1 << 20
 MIN_BITS, MAX_BITS = 1 << 16, 1 << 29
 #: Numbers (starts and ends of repeats) that are sent to every executor at most; beyond, the texts are shuffled to them.
 SENT = 2_000_000
-#: A window of more rows than a thousandth of all (and so many at least) is joined by broadcast.
-HOT = 10_000
+#: A window of more rows than a thousandth of all (and so many at least) is joined over so many salts.
+HOT, SALTS = 10_000, 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -234,12 +234,12 @@ def repeats(reps: DataFrame, chars: int) -> DataFrame:
     shared = common.cut(shared.filter("least < most").select("w", "v", "least", "n"), "shared")
     total = shared.agg(F.sum("n")).first()[0] or 0
     hot = F.col("n") > max(HOT, total // 1000)
-    # under a thousand windows hold over a thousandth each: these need not gather their rows
-    few = F.broadcast(shared.filter(hot).select("w", "v", F.col("least").alias("hot")))
-    told = windows.join(few, ["w", "v"], "left")
-    often = told.filter("hot is not null").withColumnRenamed("hot", "least")
-    rare = told.filter("hot is null").drop("hot").join(shared.filter(~hot).drop("n"), ["w", "v"])
-    hits = often.unionByName(rare).filter("least < doc_id")
+    # under a thousand windows hold over a thousandth each: their rows go over salts
+    few = F.broadcast(shared.filter(hot).select("w", "v", F.lit(True).alias("hot")))
+    salt = F.pmod(F.xxhash64("doc_id", "rid", "at"), F.lit(SALTS)).cast("int")
+    dealt = windows.join(few, ["w", "v"], "left").withColumn("salt", F.when(F.col("hot"), salt).otherwise(0)).drop("hot")
+    copies = F.explode(F.sequence(F.lit(0), F.when(hot, SALTS - 1).otherwise(0)))
+    hits = dealt.join(shared.select("w", "v", "least", copies.alias("salt")), ["w", "v", "salt"]).filter("least < doc_id")
     merged = hits.groupBy("doc_id", "rid").agg(F.array_sort(F.collect_set("at")).alias("spots"))
     return merged.select("doc_id", "rid", _runs(F.col("spots")).alias("runs"))
 

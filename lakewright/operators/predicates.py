@@ -71,6 +71,11 @@ def cleanse_failure(status: Column, message: Column) -> Column:
     return (status == "FAILED") & F.coalesce(message.startswith(CLEANSE_FAILED), F.lit(False))
 
 
+def is_open(status: Column, message: Column, retries: Column, most: int = 3) -> Column:
+    """Whether the cleansing or the analysis will take a review up (again)."""
+    return F.coalesce((status == "RAW") | cleanse_failure(status, message) | retryable(status, retries, "CLEANED", most), F.lit(False))
+
+
 def outside(column: Column, low: float, high: float) -> Column:
     """known and out of range."""
     return F.coalesce((column < low) | (column > high), F.lit(False))

@@ -6,16 +6,18 @@ import argparse
 import datetime as dt
 import json
 from collections.abc import Callable
+from contextlib import ExitStack
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.functions import actions, aspects, text, vectors
-from lakewright.operators import joins, load, predicates, state, upsert
+from lakewright.operators import joins, load, predicates, projections, state, upsert
 from lakewright.plans import checks, marts
-from lakewright.schemas import KEYS, MARTS
-from lakewright.sources.lake import Catalog, read_batch
+from lakewright.schemas import HUB, KEYS, MARTS
+from lakewright.sources.catalog import Catalog, Conflict
+from lakewright.sources.files import delete, put_new
 
 STEPS = ("load", "cleanse", "gold", "aggregate", "validate")
 
@@ -32,56 +34,90 @@ class RunResult:
 
 
 def run_load(catalog: Catalog, now: dt.datetime, limit: int = 100) -> RunResult:
-    """Each batch succeeds or fails by itself; failures count retries."""
-    batches = load.pending_batches(catalog.read("ingestion_batch"), limit).collect()
-    done, failed, n = [], [], 0
-    for b in batches:
-        try:
-            records = read_batch(catalog.spark, b["storage_path"])
-            got = load.load_records(
-                records, catalog.read("review_master_index"), catalog.read("apps"), catalog.read("app_metadata"),
-                b["platform_app_id"] == "daily_batch", b["storage_path"], now, strict=True,
-            )
-            # the hub comes last and decides what is new: a batch that died before it finds its reviews there already
-            catalog.append("apps", got.new_apps)
-            there = catalog.read("app_reviews").select("review_id")
-            catalog.append("app_reviews", got.reviews.join(there, "review_id", "left_anti"))
-            n += catalog.append("review_master_index", got.hub)
-            done.append((b["batch_id"],))
-        except Exception as e:  # noqa: BLE001  a batch fails by itself
-            failed.append((b["batch_id"], str(e)[: state.MESSAGE]))
-    spark, ledger = catalog.spark, catalog.read("ingestion_batch")
-    if batches:
-        ledger = state.mark_batches_loaded(ledger, spark.createDataFrame(done, "batch_id string"), now)
-        catalog.replace("ingestion_batch", state.mark_batches_failed(ledger, spark.createDataFrame(failed, "batch_id string, message string")))
-    return RunResult("load", "failed" if failed and not done else "success", len(batches), n, message="; ".join(m for _, m in failed) or None)
+    """All pending batches in one job, which reads the hub's keys once; each batch succeeds or fails by itself and failures
+    count retries. A failure that no row tells of, such as a file that cannot be read, is found by halving."""
+    ledger = catalog.read("ingestion_batch")
+    batches = load.pending_batches(ledger, limit).collect()
+    if not batches:
+        return RunResult("load", "success")
+    # the mark of a load that died: some of its reviews may be there without their hub rows
+    mark = f"{catalog.base}/_loading"
+    found = _Load(catalog, now, careful=not put_new(catalog.spark, mark, b""))
+    found.load(batches)
+    names = [b["batch_id"] for b in batches]
+    rows = state.mark_batches_loaded(ledger.filter(F.col("batch_id").isin(names)), catalog.spark.createDataFrame([(b,) for b in names if b not in found.failed], "batch_id string"), now)
+    rows = state.mark_batches_failed(rows, catalog.spark.createDataFrame([(b, m[: state.MESSAGE]) for b, m in found.failed.items()], "batch_id string, message string"))
+    with catalog.staged(rows) as marked:
+        catalog.upsert("ingestion_batch", marked)
+    delete(catalog.spark, mark)
+    told = "; ".join(found.failed[b] for b in names if b in found.failed)
+    return RunResult("load", "failed" if len(found.failed) == len(batches) else "success", len(batches), found.rows, f"{catalog.path(HUB)}" if found.rows else None, message=told or None)
+
+
+class _Load:
+    """What run_load has loaded, and the batches that failed."""
+
+    def __init__(self, catalog: Catalog, now: dt.datetime, careful: bool) -> None:
+        self.catalog, self.now, self.careful, self.rows, self.failed = catalog, now, careful, 0, {}
+
+    def load(self, batches: list) -> None:
+        for _ in range(Catalog.TRIES):
+            try:
+                return self._together(batches)
+            except Conflict:  # another load was first: its reviews are known now
+                self.careful = True
+            except Exception as e:  # noqa: BLE001  a batch fails by itself
+                self.careful = True
+                if len(batches) == 1:
+                    self.failed[batches[0]["batch_id"]] = str(e)
+                    return None
+                self.load(batches[: len(batches) // 2])
+                return self.load(batches[len(batches) // 2 :])
+        self.failed |= {b["batch_id"]: "other loads were first" for b in batches}
+
+    def _together(self, batches: list) -> None:
+        catalog = self.catalog
+        records, failed = load.batch_records(catalog.spark, batches)
+        apps, reviews = catalog.read("apps"), catalog.read("app_reviews")
+        failed |= {r["batch_id"]: r["message"] for r in load.failing(records, apps).collect()}
+        good = records.filter(~F.col("batch_id").isin(list(failed))) if failed else records
+        known, buckets = catalog.known_keys()
+        with catalog.staged(load.place_records(good, known, buckets, catalog.read("app_metadata"))) as placed:
+            hub, texts = projections.load_projection(placed, F.col("storage_path"), F.lit(self.now).cast("timestamp"))
+            if self.careful:
+                texts = texts.join(reviews.select("review_id"), "review_id", "left_anti")
+            catalog.append("apps", load.new_apps(good, apps))
+            # the hub comes last and decides what is new: a load that died before it finds its reviews there already
+            catalog.append("app_reviews", texts, unless_changed=True)
+            self.rows += catalog.append(HUB, hub, unless_changed=True)
+        self.failed |= failed
 
 
 def run_cleanse(catalog: Catalog, now: dt.datetime, synonyms: dict[str, str] | None = None, profanity=None) -> RunResult:
     """Raw reviews (or failed in cleansing before) to refined texts; blank ones are skipped. M06: a review whose natural
-    key belongs to another one fails by itself."""
-    master = catalog.read("review_master_index")
+    key belongs to another one fails by itself. Only the hub's open folders and the parts of these reviews are read and written."""
     open_ = (F.col("processing_status") == "RAW") | predicates.cleanse_failure(F.col("processing_status"), F.col("error_message"))
-    todo = master.filter(open_).select("review_id", "platform_review_id").join(catalog.read("app_reviews").select("review_id", "review_text"), "review_id")
-    some = todo.filter(~text.is_blank(F.col("review_text")))
-    refined = some.select("review_id", "platform_review_id", text.clean(F.col("review_text"), synonyms, profanity).alias("refined_text"))
-    stored = catalog.read("reviews_preprocessed")
-    lost = joins.key_conflicts(refined.select("review_id", "platform_review_id"), stored).distinct()
-    good = refined.join(lost, "platform_review_id", "left_anti")
-    failures = some.join(lost, "platform_review_id").select("review_id", F.concat(F.lit("another review has the key "), "platform_review_id").alias("message"))
-    seen, n, bad, days = todo.count(), some.count(), failures.count(), _days_of(catalog, todo)
-    catalog.replace("reviews_preprocessed", upsert.upsert_preprocessed(stored, good.select(*refined.columns), now))
-    hub = catalog.read("review_master_index", days)
-    if bad:
-        hub = state.mark_cleanse_failed(hub, failures)
-    catalog.replace_days("review_master_index", state.mark_cleaned(hub, some.join(failures, "review_id", "left_anti")), days)
-    return RunResult("cleanse", "failed" if bad and bad == n else "success", seen, n - bad, message=f"{bad} reviews failed" if bad else None)
-
-
-def _days_of(catalog: Catalog, ids: DataFrame) -> list:
-    """The days of the hub that hold some reviews: only their files are written again."""
-    rows = catalog.read("review_master_index").join(ids.select("review_id"), "review_id", "left_semi")
-    return [r[0] for r in rows.select(F.to_date("review_created_at")).distinct().collect()]
+    day = F.to_date("review_created_at").alias("day")
+    with ExitStack() as work:
+        hold = lambda df: work.enter_context(catalog.staged(df))
+        ids = hold(catalog.read(HUB, open=True).filter(open_).select("review_id", "platform_review_id", day))
+        texts = catalog.read("app_reviews", parts=catalog.parts_of("app_reviews", ids)).select("review_id", "review_text")
+        todo = ids.join(texts, "review_id").withColumn("blank", text.is_blank(F.col("review_text")))
+        todo = hold(todo.withColumn("refined_text", F.when(~F.col("blank"), text.clean(F.col("review_text"), synonyms, profanity))).drop("review_text"))
+        some = todo.filter("not blank").select("review_id", "platform_review_id", "refined_text")
+        parts, seen, n = catalog.parts_of("reviews_preprocessed", some), todo.count(), some.count()
+        stored = catalog.read("reviews_preprocessed", parts=parts)
+        lost = joins.key_conflicts(some.select("review_id", "platform_review_id"), stored).distinct()
+        failures = hold(some.join(lost, "platform_review_id").select("review_id", F.concat(F.lit("another review has the key "), "platform_review_id").alias("message")))
+        bad, good = failures.count(), some.join(failures, "review_id", "left_anti")
+        catalog.replace_parts("reviews_preprocessed", upsert.upsert_preprocessed(stored, good, now), parts)
+        days = [r[0] for r in todo.select("day").distinct().collect()]
+        hub = catalog.read(HUB, days, open=True)
+        if bad:
+            hub = state.mark_cleanse_failed(hub, failures)
+        catalog.replace_open(state.mark_cleaned(hub, good), days)
+    where = catalog.path("reviews_preprocessed") if n > bad else None
+    return RunResult("cleanse", "failed" if bad and bad == n else "success", seen, n - bad, where, message=f"{bad} reviews failed" if bad else None)
 
 
 def run_gold(
@@ -93,50 +129,80 @@ def run_gold(
 
     summarizer: Column -> Column (remote.column() retries); each call leaves a row in the log, SUCCESS or FAILED.
     """
-    spark, master = catalog.spark, catalog.read("review_master_index", [day] if day else None)
-    todo = joins.pending_gold(master).select("review_id", "platform_review_id")
+    master = catalog.read(HUB, [day] if day else None, open=True)
+    todo = joins.pending_gold(master).select("review_id", "platform_review_id", F.to_date("review_created_at").alias("day"))
     todo = todo if limit is None else todo.orderBy("review_id").limit(limit)
-    total = todo.count()
+    with catalog.staged(todo) as ids:
+        return _gold(catalog, ids, now, embedder, summarizer, nouns, anchors, model, **lexicon)
+
+
+def _gold(catalog: Catalog, ids: DataFrame, now: dt.datetime, embedder, summarizer, nouns, anchors, model: str, **lexicon) -> RunResult:
+    total = ids.count()
     if not total:
         return RunResult("gold", "success")
-    ids = spark.createDataFrame(todo.collect(), todo.schema) if limit is not None else todo
-    days = [day] if day else _days_of(catalog, ids)
-    refined = ids.join(catalog.read("reviews_preprocessed").select("review_id", "refined_text"), "review_id")
+    parts = {n: catalog.parts_of(n, ids) for n in ("app_reviews", "reviews_preprocessed", "review_embeddings", "review_aspects", "review_action_analysis")}
+    own = lambda n: catalog.read(n, parts=parts[n])
+    refined = ids.join(own("reviews_preprocessed").select("review_id", "refined_text"), "review_id").drop("day")
     if embedder is not None:
-        fresh = refined.join(catalog.read("review_embeddings").select("review_id"), "review_id", "left_anti")
+        fresh = refined.join(own("review_embeddings").select("review_id"), "review_id", "left_anti")
         catalog.append("review_embeddings", vectors.embed(fresh, embedder).withColumn("created_at", F.lit(now)))
-        refined = refined.join(catalog.read("review_embeddings").select("review_id"), "review_id", "left_semi")
-    fresh = refined.join(catalog.read("review_aspects").select("review_id"), "review_id", "left_anti")
-    found = aspects.analyze(fresh, nouns=nouns, embeddings=catalog.read("review_embeddings"), anchors=anchors, **lexicon)
+        refined = refined.join(own("review_embeddings").select("review_id"), "review_id", "left_semi")
+    fresh = refined.join(own("review_aspects").select("review_id"), "review_id", "left_anti")
+    found = aspects.analyze(fresh, nouns=nouns, embeddings=own("review_embeddings"), anchors=anchors, **lexicon)
     found = found.withColumns({"aspect_id": F.xxhash64("review_id", "keyword"), "created_at": F.lit(now)})
     catalog.append("review_aspects", found)
-    with_aspects = refined.select("review_id", "platform_review_id").join(catalog.read("review_aspects").select("review_id"), "review_id", "left_semi")
-    fresh = with_aspects.join(catalog.read("review_action_analysis").select("review_id"), "review_id", "left_anti")
-    records = actions.analyze(fresh, catalog.read("reviews_preprocessed"), catalog.read("app_reviews"), catalog.read("review_aspects"), summarizer=summarizer)
+    with_aspects = refined.select("review_id", "platform_review_id").join(own("review_aspects").select("review_id"), "review_id", "left_semi")
+    fresh = with_aspects.join(own("review_action_analysis").select("review_id"), "review_id", "left_anti")
+    records = actions.analyze(fresh, own("reviews_preprocessed"), own("app_reviews"), own("review_aspects"), summarizer=summarizer)
     catalog.append("review_action_analysis", records.withColumn("analyzed_at", F.lit(now)))
-    written = catalog.read("review_action_analysis").join(ids.select("review_id"), "review_id", "left_semi")
+    written = own("review_action_analysis").join(ids.select("review_id"), "review_id", "left_semi")
     if summarizer is not None:
         catalog.append("review_llm_analysis_logs", actions.summary_log(written.filter(F.col("analyzed_at") == F.lit(now)), model, now))
     outcome = ids.select("review_id")
     for name, table in (("v", "review_embeddings"), ("s", "review_aspects"), ("a", "review_action_analysis")):
-        known = catalog.read(table).join(ids.select("review_id"), "review_id", "left_semi").select("review_id").distinct()
+        known = own(table).join(ids.select("review_id"), "review_id", "left_semi").select("review_id").distinct()
         outcome = outcome.join(known.withColumn(name, F.lit(True)), "review_id", "left")
     missing = F.when(F.lit(embedder is not None) & F.col("v").isNull(), "no embedding").when(F.col("s").isNull(), "no aspects").when(F.col("a").isNull(), "no action record")
-    outcome = outcome.select("review_id", missing.isNull().alias("ok"), missing.alias("message"))
-    good = outcome.filter("ok").count()
-    catalog.replace_days("review_master_index", state.mark_analyzed(catalog.read("review_master_index", days), outcome), days)
-    return RunResult("gold", "success" if good else "failed", total, good, message=None if good else "no review was analysed")
-
-
-def aggregate_days(catalog: Catalog, first: dt.date | None, last: dt.date | None, as_of: dt.date, retention_days: int = 14, mode: str = "upsert") -> dict[str, int]:
-    """All days of the range in one job for each mart, whose files of other days stay; then the serving list's retention.
-    Returns the rows of the days."""
+    days = [r[0] for r in ids.select("day").distinct().collect()]
+    with catalog.staged(outcome.select("review_id", missing.isNull().alias("ok"), missing.alias("message"))) as told:
+        good = told.filter("ok").count()
+        catalog.replace_open(state.mark_analyzed(catalog.read(HUB, days, open=True), told), days)
+    where = catalog.path("review_action_analysis") if good else None
+    return RunResult("gold", "success" if good else "failed", total, good, where, message=None if good else "no review was analysed")
+
+
+def _closed_folders(catalog: Catalog) -> dict[str, list[str]]:
+    """day -> the hub's closed folders."""
+    out: dict[str, list[str]] = {}
+    for e in catalog.state(HUB)["entries"]:
+        if e["open"] == "0" and e["day"] != "none":
+            out.setdefault(e["day"], []).append(e["folder"])
+    return {d: sorted(x) for d, x in out.items()}
+
+
+def changed_days(catalog: Catalog) -> list[dt.date]:
+    """ST04: the days whose analysed reviews are not those that were aggregated last: what two states of the hub differ in,
+    without reading a row."""
+    now, before = _closed_folders(catalog), catalog.noted("aggregated", {})
+    return sorted(dt.date.fromisoformat(d) for d in now if now[d] != before.get(d))
+
+
+def aggregate_days(
+    catalog: Catalog, first: dt.date | None, last: dt.date | None, as_of: dt.date, retention_days: int = 14, mode: str = "upsert", only: list[dt.date] | None = None,
+) -> dict[str, int]:
+    """All days of the range (or those of `only` in it) in one job for each mart, whose files of other days stay; then the serving
+    list's retention. Returns the rows of the days."""
+    told = _closed_folders(catalog)
     names = ("review_action_analysis", "app_reviews", "review_aspects", "reviews_preprocessed", "reviews_assigned")
-    views = {n: catalog.read(n) for n in names} | {"review_master_index": catalog.read("review_master_index")}
+    views = {n: catalog.read(n) for n in names} | {HUB: catalog.read(HUB, open=False)}  # what is analysed is closed
+    if only is not None:
+        views[HUB] = catalog.read(HUB, only, open=False)
     days = [r["date"] for r in marts.analyzed_dates(views, first, last).collect()]
+    done = {str(d): told[str(d)] for d in {*days, *(only or ())} if str(d) in told}
     if not days:
+        catalog.note("aggregated", catalog.noted("aggregated", {}) | done)
         return {}
-    views["review_master_index"] = catalog.read("review_master_index", days)
+    views[HUB] = catalog.read(HUB, days, open=False)
     out = {}
     for name in MARTS:
         new, old = marts.BUILDERS[name](views, first, last), catalog.read(name, days)
@@ -150,6 +216,7 @@ def aggregate_days(catalog: Catalog, first: dt.date | None, last: dt.date | None
         if name == "srv_daily_review_list":
             catalog.drop_days_before(name, as_of - dt.timedelta(days=retention_days))
         out[name] = catalog.read(name, days).count()
+    catalog.note("aggregated", catalog.noted("aggregated", {}) | done)
     return out
 
 
@@ -157,7 +224,7 @@ def aggregate_range(catalog: Catalog, first: dt.date, last: dt.date, as_of: dt.d
     """Each day by itself; failures are gathered and raised at the end."""
     if first > last:
         raise ValueError("the range is reversed")
-    views = {"review_master_index": catalog.read("review_master_index")}
+    views = {HUB: catalog.read(HUB, open=False)}
     done, failed = [], {}
     for row in marts.analyzed_dates(views, first, last).collect():
         try:
@@ -171,15 +238,22 @@ def aggregate_range(catalog: Catalog, first: dt.date, last: dt.date, as_of: dt.d
 
 
 def run_aggregate(catalog: Catalog, as_of: dt.date, target_date: str | None = None, start_date: str | None = None, end_date: str | None = None) -> RunResult:
-    """One day, or a range with both ends; malformed arguments give a failed result."""
+    """One day, or a range with both ends; then, without being named, the days that late reviews have changed since they
+    were aggregated. Malformed arguments give a failed result."""
     try:
         if target_date and (start_date or end_date) or bool(start_date) != bool(end_date):
             raise ValueError("give target_date, or both start_date and end_date")
         if start_date:
             got = aggregate_range(catalog, dt.date.fromisoformat(start_date), dt.date.fromisoformat(end_date), as_of)
-            return RunResult("aggregate", "success", len(got["done"]), len(got["done"]))
-        day = dt.date.fromisoformat(target_date) if target_date else as_of
-        return RunResult("aggregate", "success", 1, sum(aggregate_days(catalog, day, day, as_of).values()))
+            result = RunResult("aggregate", "success", len(got["done"]), len(got["done"]))
+        else:
+            day = dt.date.fromisoformat(target_date) if target_date else as_of
+            result = RunResult("aggregate", "success", 1, sum(aggregate_days(catalog, day, day, as_of).values()))
+        if late := changed_days(catalog):
+            aggregate_days(catalog, late[0], late[-1], as_of, only=late)
+            result.message = f"changed days: {', '.join(map(str, late))}"
+        result.output_path = catalog.path(MARTS[0])
+        return result
     except Exception as e:  # noqa: BLE001  reported as a result
         return RunResult("aggregate", "failed", message=str(e))
 

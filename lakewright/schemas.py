@@ -76,6 +76,19 @@ DAYS = {
     "review_master_index": "review_created_at", "fact_service_review_daily": "date", "fact_service_aspect_daily": "date", "fact_category_radar_scores": "date",
     "srv_daily_review_list": "date",
 }
+HUB = "review_master_index"
+#: Rows of the files that batches deliver.
+BRONZE = (
+    "review_id string, app_id string, platform_type string, platform_review_id string, reviewer_name string, review_text string, rating int, "
+    "reviewed_at timestamp, created_at timestamp, is_reply boolean, reply_comment string"
+)
+#: What tells a review of a store from all others.
+NATURAL = ("app_id", "platform_type", "platform_review_id")
+#: Tables in a fixed number of parts, and the column whose hash tells a row's part.
+HASHED = {
+    "app_reviews": "review_id", "reviews_preprocessed": "platform_review_id", "review_embeddings": "review_id", "review_aspects": "review_id",
+    "review_action_analysis": "review_id",
+}
 MARTS = ("fact_service_review_daily", "fact_service_aspect_daily", "fact_category_radar_scores", "srv_daily_review_list")
 
 

@@ -11,9 +11,12 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.operators import upsert as merge
 from lakewright.operators.joins import first_per_key
-from lakewright.schemas import DAYS, KEYS, TABLES
+from lakewright.schemas import TABLES
+from lakewright.sources.catalog import Catalog
+from lakewright.sources.files import delete, exists, fs, get, list_files, partitions_named, put, resolve
+
+__all__ = ["Catalog", "delete", "exists", "fs", "get", "list_files", "partitions_named", "put", "resolve"]
 
 MODES = {"none": (), "year": ("year",), "year_month": ("year", "month"), "year_month_day": ("year", "month", "day")}
 
@@ -30,51 +33,12 @@ def write_batch(df: DataFrame, base: str, day: dt.date | None = None, mode: str
     return folder
 
 
-def fs(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    files, at = fs(spark, path)
-    return files.exists(at)
-
-
-def list_files(spark: SparkSession, prefix: str) -> list[tuple[str, int]]:
-    """(path, bytes) of the Parquet files below a folder."""
-    files, at = fs(spark, prefix)
-    if not files.exists(at):
-        return []
-    out, each = [], files.listFiles(at, True)
-    while each.hasNext():
-        f = each.next()
-        if f.getPath().getName().endswith(".parquet"):
-            out.append((f.getPath().toString(), f.getLen()))
-    return sorted(out)
-
-
 def stats(spark: SparkSession, base: str) -> dict[str, int]:
     """Partitions, files, bytes."""
     found = list_files(spark, base)
     return {"partitions": len({p.rsplit("/", 1)[0] for p, _ in found}), "files": len(found), "bytes": sum(n for _, n in found)}
 
 
-def delete(spark: SparkSession, path: str) -> bool:
-    files, at = fs(spark, path)
-    return files.delete(at, True)
-
-
-def resolve(path: str, bucket: str = "") -> str:
-    """s3://, minio:// and bare keys to s3a://; local and other paths stay."""
-    if path.startswith("minio://"):
-        return f"s3a://{bucket}/{path[8:].lstrip('/')}" if bucket else "s3a://" + path[8:]
-    if path.startswith("s3://"):
-        return "s3a://" + path[5:]
-    if "://" in path or path.startswith("/") or not bucket:
-        return path
-    return f"s3a://{bucket}/{path}"
-
-
 def read_batch(spark: SparkSession, storage_path: str, bucket: str = "", schema: str | None = None) -> DataFrame:
     """A batch by any scheme, with a declared schema; a missing path is an error."""
     path = resolve(storage_path, bucket)
@@ -107,7 +71,7 @@ def _deliver(df: DataFrame, folder: str, ledger: Catalog, platform: str, app: st
 def app_batch(df: DataFrame, base: str, ledger: Catalog, platform: str, app: str, app_name: str, now: dt.datetime) -> str | None:
     """One crawl of one app: rows whose platform_review_id is new in the batch and in the hub go to a folder of the app,
     then a PENDING ledger row; a folder without its row goes again. None where nothing is new."""
-    known = ledger.read("review_master_index").filter(F.col("platform_type") == platform).select("platform_review_id").distinct()
+    known = ledger.read("review_master_index").filter((F.col("platform_type") == platform) & (F.col("app_id") == app)).select("platform_review_id").distinct()
     fresh = first_per_key(df, ["platform_review_id"], [F.asc("created_at"), F.asc("review_id")]).join(known, "platform_review_id", "left_anti").select(*df.columns)
     if fresh.limit(1).count() == 0:
         return None
@@ -178,34 +142,6 @@ def fill_path(path: str, env: dict[str, str] | None = None) -> str:
     return _VARIABLE.sub(lambda m: env.get(m[1] or m[2], m[0]), path).replace("\\", "/")
 
 
-def partitions_named(spark: SparkSession, base: str, pattern: str) -> list[str]:
-    """Names of the folders right below base that match a pattern (the data model's partition names), sorted."""
-    files, at = fs(spark, base)
-    if not files.exists(at):
-        return []
-    return sorted(n for n in (f.getPath().getName() for f in files.listStatus(at) if f.isDirectory()) if re.fullmatch(pattern, n))
-
-
-def put(spark: SparkSession, key: str, data: bytes, bucket: str = "") -> None:
-    """An object by any scheme of resolve(); one of the name is replaced."""
-    files, at = fs(spark, resolve(key, bucket))
-    out = files.create(at, True)
-    try:
-        out.write(data)
-    finally:
-        out.close()
-
-
-def get(spark: SparkSession, key: str, bucket: str = "") -> bytes:
-    """The bytes of an object (bounded: descriptions, pointers, small files)."""
-    files, at = fs(spark, resolve(key, bucket))
-    source = files.open(at)
-    try:
-        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source))
-    finally:
-        source.close()
-
-
 def store_settings(endpoint: str, access_key: str, secret_key: str, secure: bool = False) -> dict[str, str]:
     """Spark settings of an object store; both keys or none (then the default provider chain), a scheme decides over `secure`."""
     if bool(access_key) != bool(secret_key):
@@ -214,127 +150,3 @@ def store_settings(endpoint: str, access_key: str, secret_key: str, secure: bool
     secure = {"": secure, "http": False, "https": True}[scheme]
     out = {"spark.hadoop.fs.s3a.endpoint": rest, "spark.hadoop.fs.s3a.path.style.access": "true", "spark.hadoop.fs.s3a.connection.ssl.enabled": str(secure).lower()}
     return out | ({"spark.hadoop.fs.s3a.access.key": access_key, "spark.hadoop.fs.s3a.secret.key": secret_key} if access_key else {})
-
-
-class Catalog:
-    """Tables below a base, each a set of folders. The newest whole pointer file of a table names its folders, and
-    a change writes new folders first and its pointer last: whenever the writer dies, readers see the state before or the
-    one after, and a repeated change starts from it. One writer at a time for each table.
-
-    Tables of `DAYS` have a folder for each day, so that a change of some days leaves the files of all others alone.
-    Folders and pointers before the last `KEPT` go with the next change.
-    """
-
-    KEPT = 2
-
-    def __init__(self, spark: SparkSession, base: str) -> None:
-        self.spark, self.base = spark, base.rstrip("/")
-
-    def path(self, name: str) -> str:
-        return f"{self.base}/{name}"
-
-    def _pointers(self, name: str) -> list[tuple[int, str]]:
-        files, at = fs(self.spark, self.path(name))
-        found = [f.getPath().getName() for f in files.listStatus(at)] if files.exists(at) else []
-        return sorted(((int(x[9:]), f"{self.path(name)}/{x}") for x in found if re.fullmatch(r"_pointer-[0-9]+", x)), reverse=True)
-
-    def _state(self, name: str) -> tuple[int, list[dict]]:
-        """(number, entries: folder and day) of the newest whole pointer."""
-        top = 0
-        for number, path in self._pointers(name):
-            top = max(top, number)
-            try:
-                return top, json.loads(get(self.spark, path))["entries"]
-            except (ValueError, KeyError):  # its writer died
-                continue
-        return top, []
-
-    def _publish(self, name: str, entries: list[dict]) -> None:
-        number = self._state(name)[0] + 1
-        self._point(f"{self.path(name)}/_pointer-{number:012d}", json.dumps({"entries": entries}))
-        self._tidy(name)
-
-    def _point(self, path: str, text: str) -> None:
-        put(self.spark, path, text.encode())
-
-    def _tidy(self, name: str) -> None:
-        used, whole = set(), 0
-        for _, path in self._pointers(name):
-            try:
-                entries = json.loads(get(self.spark, path))["entries"] if whole < self.KEPT else None
-            except (ValueError, KeyError):
-                entries = None
-            if entries is None:
-                delete(self.spark, path)
-            else:
-                whole += 1
-                used |= {e["folder"].split("/")[0] for e in entries}
-        files, at = fs(self.spark, self.path(name))
-        for f in files.listStatus(at):
-            if f.isDirectory() and f.getPath().getName() not in used:
-                files.delete(f.getPath(), True)
-
-    def _write(self, name: str, df: DataFrame) -> list[dict]:
-        fields = self.spark.createDataFrame([], TABLES[name]).schema.fields
-        df = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields])
-        version = f"v-{uuid.uuid4().hex}"
-        if name not in DAYS:
-            df.write.parquet(f"{self.path(name)}/{version}")
-            return [{"folder": version, "day": None}]
-        day = F.coalesce(F.to_date(DAYS[name]).cast("string"), F.lit("none"))
-        df.withColumn("_day", day).hint("rebalance", "_day").write.partitionBy("_day").parquet(f"{self.path(name)}/{version}")
-        days = [x.split("=")[1] for x in partitions_named(self.spark, f"{self.path(name)}/{version}", "_day=.*")]
-        return [{"folder": f"{version}/_day={x}", "day": x} for x in days]
-
-    @staticmethod
-    def _days(days) -> set[str]:
-        return {"none" if d is None else str(d) for d in days}
-
-    def read(self, name: str, days=None) -> DataFrame:
-        """The table, or of a table of `DAYS` the given days (None among them: rows without one)."""
-        entries = self._state(name)[1]
-        if days is not None:
-            wanted = self._days(days)
-            entries = [e for e in entries if e["day"] in wanted]
-        if not entries:
-            return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.path(name)}/{e['folder']}" for e in entries])
-
-    def replace(self, name: str, df: DataFrame) -> None:
-        self._publish(name, self._write(name, df))
-
-    def replace_days(self, name: str, df: DataFrame, days) -> None:
-        """The rows of the given days become those of df, which has no others."""
-        gone = self._days(days)
-        fresh = self._write(name, df) if gone else []
-        if other := {e["day"] for e in fresh} - gone:
-            raise ValueError(f"{name}: rows of other days: {sorted(other)}")
-        self._publish(name, [e for e in self._state(name)[1] if e["day"] not in gone] + fresh)
-
-    def drop_days_before(self, name: str, day: dt.date) -> None:
-        """ST05 without reading a row."""
-        entries = self._state(name)[1]
-        kept = [e for e in entries if e["day"] == "none" or e["day"] >= str(day)]
-        if len(kept) < len(entries):
-            self._publish(name, kept)
-
-    def append(self, name: str, df: DataFrame) -> int:
-        """Returns the number of rows."""
-        fresh = self._write(name, df)
-        self._publish(name, self._state(name)[1] + fresh)
-        return self.spark.read.schema(TABLES[name]).parquet(*[f"{self.path(name)}/{e['folder']}" for e in fresh]).count() if fresh else 0
-
-    def upsert(self, name: str, df: DataFrame) -> None:
-        if DAYS.get(name) in KEYS[name]:
-            days = [r[0] for r in df.select(DAYS[name]).distinct().collect()]
-            self.replace_days(name, merge.upsert(self.read(name, days), df, KEYS[name]), days)
-        else:
-            self.replace(name, merge.upsert(self.read(name), df, KEYS[name]))
-
-    def seed(self, name: str, df: DataFrame, expected: int | None = None) -> int:
-        """Idempotent seed with a row-count check."""
-        self.upsert(name, df)
-        n = self.read(name).count()
-        if expected is not None and n != expected:
-            raise ValueError(f"{name}: {n} rows, {expected} expected")
-        return n

@@ -203,6 +203,7 @@ APPS = [dict(app_id=f"a{k}", name="old") for k in range(3)]
 def test_catalog_survives(spark, tmp_path, monkeypatch, step):
     c = lake.Catalog(spark, f"file://{tmp_path}/c")
     c.replace("apps", frame(spark, "apps", APPS))
+    c.AGE = dt.timedelta(0)  # what is out of use goes at once
     fresh = frame(spark, "apps", [dict(app_id="a0", name="new")])
     with monkeypatch.context() as m:
         if step == "half":  # a pointer of which half is there

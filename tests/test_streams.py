@@ -1,0 +1,92 @@
+"""Streams: loads whose effect is there once wherever a run dies, re-delivery at any distance, changed days."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakewright.plans import steps
+from lakewright.schemas import HUB
+from lakewright.sources import lake
+from lakewright.streaming import incremental
+from tests.test_catalog import catalog, hub_row  # noqa: F401  a fixture
+from tests.test_pipeline import NOW, REVIEW, dies, frame, review
+
+
+@pytest.mark.parametrize("where", ["apps", "app_reviews", HUB, "after"])
+def test_a_stream_load_that_dies(spark, catalog, tmp_path, monkeypatch, where):  # noqa: F811
+    """Died at any table, or after the rows and before the checkpoint: the next run finds and leaves each review once."""
+    base, checkpoint = f"file://{tmp_path}/bronze", f"file://{tmp_path}/checkpoint"
+    run = lambda: incremental.load_stream(catalog, base, checkpoint, NOW)
+    spark.createDataFrame([review(1, "a"), review(2, "b"), review(3, "bad", 9)], REVIEW).coalesce(1).write.parquet(f"{base}/d1")
+    run()
+    spark.createDataFrame([review(2, "b"), review(4, "c")], REVIEW).coalesce(1).write.parquet(f"{base}/d2")
+    whole_publish, whole_load = lake.Catalog._publish, incremental.load_micro_batch
+    with monkeypatch.context() as m:
+        if where == "after":
+            m.setattr(incremental, "load_micro_batch", lambda *a: (whole_load(*a), dies()))
+        else:
+            m.setattr(lake.Catalog, "_publish", lambda self, name, state: dies() if name == where else whole_publish(self, name, state))
+        if where != "apps":  # no app is new
+            with pytest.raises(Exception, match="Died"):
+                run()
+    seen = []
+    monkeypatch.setattr(incremental, "load_micro_batch", lambda *a: seen.append(whole_load(*a)))
+    run()
+    assert sorted(r["review_id"] for r in catalog.read(HUB).collect()) == ["r1", "r2", "r4"]
+    assert sorted(r["review_id"] for r in catalog.read("app_reviews").collect()) == ["r1", "r2", "r4"]
+    assert seen == [0 if where == "after" else 1]
+    assert spark.read.parquet(f"{catalog.base}/_rejects/*").select("review_id", "reasons").collect() == [("r3", ["rating"])]
+    assert all(r["storage_path"].startswith("file:") for r in catalog.read(HUB).collect())
+
+
+def test_a_batch_that_comes_again_changes_nothing(spark, catalog):  # noqa: F811
+    rows = spark.createDataFrame([review(1, "a")], REVIEW).withColumn("storage_path", F.lit("x"))
+    assert [incremental.load_micro_batch(catalog, rows, ("s", k), NOW) for k in (0, 0, 1)] == [1, 0, 0]
+    number = catalog.state(HUB)["number"]
+    assert incremental.load_micro_batch(catalog, rows, ("s", 1), NOW) == 0 and catalog.state(HUB)["number"] == number
+    assert incremental.load_micro_batch(catalog, rows.withColumn("platform_review_id", F.lit("other")).withColumn("review_id", F.lit("r9")), ("t", 0), NOW) == 1
+
+
+def test_redelivery_after_months(spark, tmp_path):
+    """Three runs of one stream, its state read from the checkpoint each time."""
+    base, seen = f"file://{tmp_path}/bronze", []
+    at = lambda k, months: (*review(k, f"m{months}")[:7], *[dt.datetime(2026, 1, 1) + dt.timedelta(days=30 * months)] * 2, None, None)
+    for run, rows in enumerate(([at(1, 0), at(1, 1), at(2, 0)], [at(1, 2), at(3, 2)], [at(k, 12) for k in range(5)])):
+        spark.createDataFrame(rows, REVIEW).coalesce(1).write.parquet(f"{base}/d{run}")
+        incremental.run_available(
+            incremental.without_redelivery(incremental.bronze_stream(spark, base)), f"file://{tmp_path}/ck", lambda df, _: seen.extend((r["review_id"], r["review_text"], r["rating"], r["is_reply"]) for r in df.collect())
+        )
+    assert sorted(seen) == [("r0", "m12", 3, None), ("r1", "m0", 3, None), ("r2", "m0", 3, None), ("r3", "m2", 3, None), ("r4", "m12", 3, None)]
+
+
+def test_late_reviews_reach_their_days(spark, catalog):  # noqa: F811
+    def analysed(k, day):
+        catalog.append(HUB, frame(spark, HUB, [hub_row(k, "ANALYZED", day, service_id="s")]))
+        catalog.append("app_reviews", frame(spark, "app_reviews", [dict(review_id=f"r{k}", platform_type="APPSTORE", platform_review_id=f"p{k}", rating=3)]))
+        catalog.append("review_aspects", frame(spark, "review_aspects", [dict(aspect_id=k, review_id=f"r{k}", keyword="k", sentiment_score=0.5)]))
+        catalog.append("review_action_analysis", frame(spark, "review_action_analysis", [dict(review_id=f"r{k}", is_action_required=True)]))
+
+    for k, day in ((1, 1), (2, 2), (3, 3)):
+        analysed(k, day)
+    as_of = dt.date(2026, 5, 3)
+    assert steps.changed_days(catalog) == [dt.date(2026, 5, d) for d in (1, 2, 3)]
+    assert steps.run_aggregate(catalog, as_of).message == "changed days: 2026-05-01, 2026-05-02"
+    assert steps.changed_days(catalog) == []
+    counts = lambda: {r["date"].day: r["total_review_cnt"] for r in catalog.read(steps.MARTS[0]).collect()}
+    files = lambda day: {r[0] for m in steps.MARTS for r in catalog.read(m, [dt.date(2026, 5, day)]).select("_metadata.file_path").collect()}
+    assert counts() == {1: 1, 2: 1, 3: 1}
+    kept = files(1)
+    analysed(4, 2)
+    assert steps.run_aggregate(catalog, as_of).message == "changed days: 2026-05-02"
+    assert counts() == {1: 1, 2: 2, 3: 1} and files(1) == kept
+    assert steps.run_aggregate(catalog, as_of).message is None
+
+
+def test_a_torn_note_counts_as_none(spark, catalog):  # noqa: F811
+    catalog.note("aggregated", {"a": 1})
+    assert catalog.noted("aggregated", {}) == {"a": 1} and catalog.noted("other", 5) == 5
+    lake.put(spark, f"{catalog.base}/_notes/aggregated", b'{"a"')
+    assert catalog.noted("aggregated", {}) == {}
+
+

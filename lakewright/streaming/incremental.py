@@ -8,7 +8,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from lakewright.operators import load, projections
 from lakewright.schemas import BRONZE, HUB, NATURAL
@@ -26,35 +25,14 @@ def run_available(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame
     stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-#: Natural keys are remembered so long after they were last seen.
-REMEMBERED = dt.timedelta(days=730)
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-class FirstDelivery(StatefulProcessor):
-    """The first row of each key; a key is forgotten when it has not been seen for a while."""
-
-    def __init__(self, remembered: dt.timedelta) -> None:
-        self.millis = int(remembered.total_seconds() * 1000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self.millis)
-
-    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803  names of Spark's interface
-        first = None if self.seen.exists() else min(rows, key=lambda r: (r["created_at"] is not None, r["created_at"] or dt.datetime.min, r["review_id"] or ""), default=None)
-        self.seen.update((True,))
-        if first is not None:
-            yield first
-
-    def close(self) -> None:
-        pass
-
-
-def without_redelivery(stream: DataFrame, remembered: dt.timedelta = REMEMBERED) -> DataFrame:
-    """ST02: a review that was delivered before is dropped, however long ago within `remembered` (wall-clock time since it was last
-    seen). The keys are in the RocksDB store of the stream's checkpoint, on the executors' disks, and survive a restart."""
+def without_redelivery(stream: DataFrame) -> DataFrame:
+    """ST02: a review that was delivered before is dropped, however long ago: its natural key stays in the RocksDB store of the stream's
+    checkpoint (on the executors' disks, a few bytes for each review, as in the hub) and survives a restart. All in the JVM."""
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    return stream.groupBy(*NATURAL).transformWithState(FirstDelivery(remembered), stream.schema, "Append", "ProcessingTime")
+    return stream.dropDuplicates(list(NATURAL))
 
 
 def load_stream(catalog: Catalog, base: str, checkpoint: str, now: dt.datetime) -> None:

@@ -52,7 +52,7 @@ def test_redelivery_after_months(spark, tmp_path):
     """Three runs of one stream, its state read from the checkpoint each time."""
     base, seen = f"file://{tmp_path}/bronze", []
     at = lambda k, months: (*review(k, f"m{months}")[:7], *[dt.datetime(2026, 1, 1) + dt.timedelta(days=30 * months)] * 2, None, None)
-    for run, rows in enumerate(([at(1, 0), at(1, 1), at(2, 0)], [at(1, 2), at(3, 2)], [at(k, 12) for k in range(5)])):
+    for run, rows in enumerate(([at(1, 0), at(1, 0), at(2, 0)], [at(1, 2), at(3, 2)], [at(k, 12) for k in range(5)])):
         spark.createDataFrame(rows, REVIEW).coalesce(1).write.parquet(f"{base}/d{run}")
         incremental.run_available(
             incremental.without_redelivery(incremental.bronze_stream(spark, base)), f"file://{tmp_path}/ck", lambda df, _: seen.extend((r["review_id"], r["review_text"], r["rating"], r["is_reply"]) for r in df.collect())
@@ -64,7 +64,7 @@ def test_late_reviews_reach_their_days(spark, catalog):  # noqa: F811
     def analysed(k, day):
         catalog.append(HUB, frame(spark, HUB, [hub_row(k, "ANALYZED", day, service_id="s")]))
         catalog.append("app_reviews", frame(spark, "app_reviews", [dict(review_id=f"r{k}", platform_type="APPSTORE", platform_review_id=f"p{k}", rating=3)]))
-        catalog.append("review_aspects", frame(spark, "review_aspects", [dict(aspect_id=k, review_id=f"r{k}", keyword="k", sentiment_score=0.5)]))
+        catalog.append("review_aspects", frame(spark, "review_aspects", [dict(aspect_id=k, review_id=f"r{k}", keyword="k", sentiment_score=0.5, category="SPEED")]))
         catalog.append("review_action_analysis", frame(spark, "review_action_analysis", [dict(review_id=f"r{k}", is_action_required=True)]))
 
     for k, day in ((1, 1), (2, 2), (3, 3)):

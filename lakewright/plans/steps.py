@@ -238,8 +238,8 @@ def aggregate_range(catalog: Catalog, first: dt.date, last: dt.date, as_of: dt.d
 
 
 def run_aggregate(catalog: Catalog, as_of: dt.date, target_date: str | None = None, start_date: str | None = None, end_date: str | None = None) -> RunResult:
-    """One day, or a range with both ends; then, without being named, the days that late reviews have changed since they
-    were aggregated. Malformed arguments give a failed result."""
+    """The named day, or a range with both ends; where none is named, the day of as_of and all days that late reviews have
+    changed since they were aggregated. Malformed arguments give a failed result."""
     try:
         if target_date and (start_date or end_date) or bool(start_date) != bool(end_date):
             raise ValueError("give target_date, or both start_date and end_date")
@@ -249,7 +249,7 @@ def run_aggregate(catalog: Catalog, as_of: dt.date, target_date: str | None = No
         else:
             day = dt.date.fromisoformat(target_date) if target_date else as_of
             result = RunResult("aggregate", "success", 1, sum(aggregate_days(catalog, day, day, as_of).values()))
-        if late := changed_days(catalog):
+        if not (target_date or start_date) and (late := changed_days(catalog)):
             aggregate_days(catalog, late[0], late[-1], as_of, only=late)
             result.message = f"changed days: {', '.join(map(str, late))}"
         result.output_path = catalog.path(MARTS[0])

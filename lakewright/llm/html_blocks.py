@@ -1,8 +1,10 @@
 """Main text of HTML pages by two passes over blocks.
 
 A linear tokenizer cuts the page into blocks at block-level tags; each block knows its text, its linked
-characters and the regions it lies in. Page furniture (menus, headers, footers, sidebars, forms, and elements whose
-class, id or role says notice, advert, comments, ...) is a bad region.
+characters and the regions it lies in. Page furniture (menus, headers, footers, sidebars) is a bad region. So are forms and
+elements of which a class, id or role says notice, advert, comments, ... at its begin or end (`cookie-notice`, `ad-slot`, not
+`has-sidebar`, `content-sidebar-wrap` or `ad-free`), unless these turn out to hold the page's text: what has `main` in it, or,
+comments apart, most of the text of the page while no article stands outside of it, is a wrapper and no furniture.
 
 Pass one decides each other block by its stop-word density, length and link density: linked text is bad, longer text
 with stop words is good, longer text with few of them and a link is bad, and the rest is near (undecided). `article` and
@@ -12,8 +14,8 @@ good, or, without any, its undecided short ones.
 
 Pass two gives the undecided blocks the label of their nearest decided neighbours, those inside of an article and
 those outside by themselves; where the two neighbours differ, headings go with the block behind and others with the
-nearer one (the one before on a tie), and a block inside an article goes only where both are bad. If any block
-inside an article is good now, what lies outside is left out.
+nearer one (the one before on a tie), and a block inside an article goes only where both are bad. What lies outside of
+articles is left out if any block inside of one is good now, but where it is a longer text of over twice their length.
 
 Defined results: null or empty html gives an empty text; unclosed tags end with their parent, at any depth, and `head`
 with the first element that cannot lie in it; a page without any good block gives an empty text; character references
@@ -71,12 +73,22 @@ SHORT, LONG = 70, 200
 MAX_LINKS, INSIDE_LINKS, STOP_LOW, STOP_HIGH = 0.33, 0.6, 0.08, 0.15
 
 
+class Hint:
+    """An element that its names or its kind make furniture, unless it holds the page's text."""
+
+    __slots__ = ("bad", "comments", "main", "outer", "text", "within")
+
+    def __init__(self, outer: Hint | None, comments: bool) -> None:
+        self.outer, self.comments, self.main, self.bad = outer, comments, False, True
+        self.text = self.within = 0  # unlinked characters of its longer blocks, and of those inside of articles
+
+
 class Block:
-    __slots__ = ("bits", "heading", "label", "linked", "region", "text")
+    __slots__ = ("bits", "heading", "hint", "label", "linked", "region", "text")
 
-    def __init__(self, region: str, heading: bool) -> None:
+    def __init__(self, region: str, heading: bool, hint: Hint | None = None) -> None:
         self.bits: list[str] = []
-        self.linked, self.region, self.heading, self.label, self.text = 0, region, heading, "", ""
+        self.linked, self.region, self.heading, self.label, self.text, self.hint = 0, region, heading, "", "", hint
 
 
 def behind(page: str, name: str, at: int, lasts: dict[str, int]) -> int:
@@ -98,7 +110,9 @@ def behind(page: str, name: str, at: int, lasts: dict[str, int]) -> int:
 def blocks_of(page: str) -> list[Block]:
     """The blocks with text, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, str]] = []  # open element, region of its content: '', 'good' or 'bad'
+    stack: list[tuple[str, str, Hint | None]] = []  # open element, region of its content: '', 'good' or 'bad', innermost hint
+    hints: list[Hint] = []
+    hint: Hint | None = None
     places: dict[str, list[int]] = {}  # where in the stack the open elements of a name are
     region, heading, links = "", 0, 0
     now = Block("", False)
@@ -110,7 +124,7 @@ def blocks_of(page: str) -> list[Block]:
             now.text = " ".join(entities.unescape("".join(now.bits)).split())
             if now.text:
                 out.append(now)
-        now = Block(region, heading > 0)
+        now = Block(region, heading > 0, hint)
 
     def add(text: str) -> None:
         if text:
@@ -144,60 +158,105 @@ def blocks_of(page: str) -> list[Block]:
                 ends = ENDS.get(name, ())
                 while stack and (stack[-1][0] == "p" or stack[-1][0] not in BLOCK or stack[-1][0] in ends):
                     gone.append(stack.pop())
-        for open_name, _ in gone:
+        for open_name, _, _ in gone:
             places[open_name].pop()
             heading -= open_name in HEADINGS
             links -= open_name == "a"
-        region = stack[-1][1] if stack else ""
-        block = name in BLOCK or any(x in BLOCK for x, _ in gone)
+        region, hint = stack[-1][1:] if stack else ("", None)
+        block = name in BLOCK or any(x[0] in BLOCK for x in gone)
         if block:
             close()
         if not closing and name not in VOID:
-            inner = region_of(name, m[3], region, bool(places.get("article")))
+            inner, said = region_of(name, m[3], region, bool(places.get("article")))
             if not m[3].rstrip().endswith("/"):
+                if said:
+                    hint = Hint(hint, said == "comments")
+                    hints.append(hint)
+                if name == "main" and hint:
+                    hint.main = True
                 places.setdefault(name, []).append(len(stack))
-                stack.append((name, inner))
+                stack.append((name, inner, hint))
                 region = inner
                 heading += name in HEADINGS
                 links += name == "a"
         if block:
-            now.region, now.heading = region, heading > 0
-        elif region != now.region:
+            now.region, now.heading, now.hint = region, heading > 0, hint
+        elif region != now.region or hint is not now.hint:
             close()
     rest = page[at:]
     add(rest if "<" not in rest else re.sub(r"<[A-Za-z/!][^>]*\Z", "", rest))
     close()
+    weigh(out, hints)
     return out
 
 
-def region_of(name: str, attributes: str, outer: str, in_article: bool) -> str:
-    """The region of an element's content; an article's own header is none of the page's."""
-    if outer == "bad" or name in FURNITURE and not (name == "header" and in_article):
-        return "bad"
-    if attributes and name not in ("html", "body", "article", "main") and hinted(name, attributes, in_article):
-        return "bad"
-    return "good" if name in ("article", "main") else outer
+def weigh(found: list[Block], hints: list[Hint]) -> None:
+    """Blocks of hints that stand are bad. hints: outer ones before inner ones."""
+    text = within = 0
+    for x in found:
+        n = len(x.text) - x.linked
+        if x.region == "bad" or len(x.text) < SHORT or x.linked > INSIDE_LINKS * len(x.text):
+            continue
+        text, within = text + n, within + (n if x.region == "good" else 0)
+        if x.hint:
+            x.hint.text, x.hint.within = x.hint.text + n, x.hint.within + (n if x.region == "good" else 0)
+    for h in reversed(hints):
+        if h.outer:
+            h.outer.text, h.outer.within, h.outer.main = h.outer.text + h.text, h.outer.within + h.within, h.outer.main or h.main
+    for h in hints:
+        wraps = h.main or not h.comments and 2 * h.text > text and h.within == within
+        h.bad = not wraps or h.outer is not None and h.outer.bad
+    for x in found:
+        if x.hint and x.hint.bad:
+            x.region = "bad"
+
+
+def region_of(name: str, attributes: str, outer: str, in_article: bool) -> tuple[str, str]:
+    """The region of an element's content, and what its kind or its names say; an article's own header is none of the page's."""
+    if outer == "bad" or name in FURNITURE and name != "form" and not (name == "header" and in_article):
+        return "bad", ""
+    said = ""
+    if attributes and name not in ("html", "body", "article", "main"):
+        said = hinted(name, attributes, in_article)
+        if said == "hidden":
+            return "bad", ""
+    return "good" if name in ("article", "main") else outer, said or ("form" if name == "form" else "")
+
+
+def hint_of(token: str) -> str:
+    """The word of a class, id or role that says that the element is no main text: its last or its first one."""
+    words = [w.lower() for w in HINT_WORD.findall(token)]
+    if not words or words[0] in _DENIES:
+        return ""
+    if words[-1] in _HINTS:
+        return words[-1]
+    return words[0] if words[0] in _HINTS and words[-1] not in _WRAPS else ""
 
 
-def hinted(name: str, attributes: str, in_article: bool) -> bool:
-    """Whether class, id or role say that the element is no main text. The word `header` says it as the element does:
-    not in an article, and not beside a word for the text itself (`post-header`); a heading needs all words to say it."""
+def hinted(name: str, attributes: str, in_article: bool) -> str:
+    """Whether class, id or role say that the element is no main text: `hidden`, `comments`, `furniture` or nothing. The word `header`
+    says it as the element does: not in an article, and not beside a word for the text itself (`post-header`); a heading needs all
+    words to say it."""
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key = key.lower()
         value = a or b or c
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hidden"
         if key not in ("class", "id", "role"):
             continue
         words = [w.lower() for w in HINT_WORD.findall(value)]
-        said = [w for w in words if w in _HINTS and not (w == "header" and (in_article or _OWN.intersection(words)))]
-        if said and (name not in HEADINGS or len(said) == len(words)):
-            return True
-    return False
+        said = [w for w in map(hint_of, value.split()) if w and not (w == "header" and (in_article or _OWN.intersection(words)))]
+        if said and (name not in HEADINGS or all(w in _HINTS for w in words)):
+            return "comments" if _COMMENTS.intersection(said) else "furniture"
+    return ""
 
 
 _HINTS = set(HINTS)
 _OWN = {"post", "entry", "article", "story", "content", "title"}
+#: Words that turn a hint behind them around, or that make a hint before them the name of a wrapper; readers' comments.
+_DENIES = {"has", "no", "non", "not", "with", "without"}
+_WRAPS = {"free", "layout", "page", "results", "site", "wrap", "wrapper"}
+_COMMENTS = {"comment", "comments", "commentlist", "disqus", "respond"}
 
 
 def first_pass(x: Block) -> str:
@@ -263,8 +322,10 @@ def main_text(page: str | None) -> str:
     without_stop_words(found)
     second_pass(found)
     good = [x for x in found if x.label == "good"]
-    if any(x.region == "good" for x in good):
-        good = [x for x in good if x.region == "good"]
+    inside = [x for x in good if x.region == "good"]
+    held, rest = (sum(len(x.text) for x in good if (x.region == "good") == own) for own in (True, False))
+    if inside and not (rest >= LONG and rest > 2 * held):
+        good = inside
     return "\n\n".join(x.text for x in good)
 
 

@@ -134,3 +134,32 @@ def test_recall_and_precision_on_labelled_pages():
         true += len(main)
     print(f"recall {right / true:.3f}, precision {right / said:.3f}")
     assert right / true > 0.95 and right / said > 0.95
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content-sidebar-wrap'><main><article>{}</article></main></div>",
+    "<div class='layout has-sidebar'><article>{}</article></div>",
+    "<article><div class='elementor-widget-container'>{}</div></article>",
+    "<div id='page' class='site no-header-image'><article>{}</article></div>",
+    "<div id='search-results-page'><article>{}</article></div>",
+    "<form id='aspnetForm'><div>{}</div></form>",
+    "<form id='aspnetForm'><nav>menu</nav><div class='main-content'>{}</div><footer>foot</footer></form>",
+    "<div class='sidebar'><main>{}</main></div>",
+    "<div class='page widget'><div>{}</div></div><div><a href=x>other</a></div>",
+    "<div class='modal'><div class='comments-area'><p>Nice and it is.</p></div><article>{}</article></div>",
+    "<div class='ad-free'>{}</div>",
+])
+def test_wrappers_keep_their_text(page):
+    """Wrappers whose names hold a hint, and forms around the page."""
+    for inner in (f"<p>{LONG}</p><p class='ad-free intro'>Short text.</p><p>{LONG}</p>", f"<p>{LONG} {LONG} {LONG}</p><div class='ad-slot'><p>{LONG}</p></div><form><p>Name and address of you</p></form>"):
+        want = f"{LONG}\n\nShort text.\n\n{LONG}" if "intro" in inner else f"{LONG} {LONG} {LONG}"
+        assert h.main_text(page.format(inner)) == want
+
+
+def test_a_short_article_does_not_hide_a_long_text():
+    assert h.main_text(f"<article><p>Tiny item.</p></article><div><p>{LONG}</p><p>{LONG}</p></div>").count(LONG) == 2
+    assert h.main_text(f"<article><p>{LONG}</p></article><div><p>The text beside it is and was of no use to the one in it, as it is here.</p></div>") == LONG
+
+
+def test_comments_stay_out_however_long():
+    assert h.main_text(f"<div><p>{LONG}</p></div><div id='comments'><p>{LONG} {LONG}</p><article class='comment-body'><p>{LONG}</p></article></div>") == LONG

@@ -5,16 +5,13 @@ more than `MAX_LOST` of its characters is rejected, as is one that fails the bas
 
 A line fails when it
   * is mostly marks: `[#*$%&|<>]` make up over a tenth of it, or `!`/`?` come to over half its words (from 4 words on),
-  * is navigation: three or more `|` or `»`,
-  * is boilerplate: cookie notices, rights notices, sign-up prompts, script notices,
+  * is navigation: three or more `|` or `»`, which in a line of over `SHORT_LINE` characters are over one in `MARKS_SHARE`,
+  * is boilerplate: cookie notices, rights notices, sign-up prompts, script notices, which make up over a tenth of such a line,
   * is shouted: from 5 words on, more than half of its characters are ASCII capitals,
-  * stutters: from 8 words on, fewer than a third of its words are different ones.
+  * stutters: from 8 words on, fewer than a third of its words are different ones, and so are those of its stretches of
+    `STRETCH` words in sum.
 
-`query` takes these rules as they stand, as its SQL does. `stage` goes by a line's length as well, so that a text
-without line breaks is not lost for one mark: a line of over `SHORT_LINE` characters is navigation only if `|` and `»`
-are over one in `MARKS_SHARE` characters, boilerplate only if the phrases make up over a tenth of it, and it stutters
-only if its stretches of `STRETCH` words, each by itself, have in sum under a third as many different words as words.
-Each of these needs the plain rule too, so `stage` removes no line that `query` would leave.
+So a text without line breaks is not lost for one mark or phrase. The query, its SQL and the pipeline's stage take the same rules.
 
 Defined results: null or empty text has no words and is rejected (n_words < 20); blank lines never
 fail; repeated rows are judged alike; other columns of the input are not read.
@@ -31,7 +28,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 WINDOW = 8
 MAX_LOST = 0.5
-#: Of `stage` only; in characters, in characters for each mark, in words.
+#: In characters, in characters for each mark, in words.
 SHORT_LINE, MARKS_SHARE, STRETCH = 300, 40, 64
 SPACE = r"[\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -53,19 +50,16 @@ def _stretched(words: Column) -> Column:
     return F.aggregate(starts, F.lit(0), lambda a, i: a + F.size(F.array_distinct(F.slice(words, i, F.lit(STRETCH)))))
 
 
-def _line_fails(x: Column, by_length: bool = False) -> Column:
+def _line_fails(x: Column) -> Column:
     """x: struct of a line `t`, its words `w` and the lower-cased line `low` (each computed once)."""
     line, n = x["t"], F.size(x["w"])
-    navigation = line.rlike(NAVIGATION)
-    stutter = (n >= 8) & (F.size(F.array_distinct(x["w"])) * 3 < n)
+    short = F.length(line) <= SHORT_LINE
+    navigation = line.rlike(NAVIGATION) & (short | (_count(line, "[|»]") * MARKS_SHARE > F.length(line)))
+    stutter = (n >= 8) & (F.size(F.array_distinct(x["w"])) * 3 < n) & ((n <= STRETCH) | (_stretched(x["w"]) * 3 < n))
     boilerplate = x["low"].contains(BOILERPLATE[0])
     for phrase in BOILERPLATE[1:]:
         boilerplate = boilerplate | x["low"].contains(phrase)
-    if by_length:
-        short = F.length(line) <= SHORT_LINE
-        navigation = navigation & (short | (_count(line, "[|»]") * MARKS_SHARE > F.length(line)))
-        boilerplate = boilerplate & (short | (_count(x["low"], "|".join(BOILERPLATE)) * 10 > F.length(line)))
-        stutter = stutter & ((n <= STRETCH) | (_stretched(x["w"]) * 3 < n))
+    boilerplate = boilerplate & (short | (_count(x["low"], "|".join(BOILERPLATE)) * 10 > F.length(line)))
     return (
         (_count(line, SYMBOLS) * 10 > F.length(line))
         | ((n >= 4) & (_count(line, "[!?]") * 2 > n))
@@ -76,7 +70,7 @@ def _line_fails(x: Column, by_length: bool = False) -> Column:
     )
 
 
-def judge(docs: DataFrame, text: str = "text", by_length: bool = False) -> DataFrame:
+def judge(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs as common.apart() has them, and a struct `q` with the base statistics, the verdict and the cleaned text."""
     out = common.apart(docs, text).withColumn("t", F.coalesce("body", F.lit("")))
     out = out.withColumn("w", F.array_remove(F.split("t", SPACE + "+"), ""))
@@ -125,7 +119,7 @@ def judge(docs: DataFrame, text: str = "text", by_length: bool = False) -> DataF
     )
     solid = F.transform(F.filter("l", lambda x: x["t"].rlike(r"[^\x20\x09-\x0D]")), lambda x: x["t"])
     out = out.withColumn("solid", solid)
-    good = F.filter("l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x, by_length)))
+    good = F.filter("l", lambda x: ~(x["t"].rlike(r"[^\x20\x09-\x0D]") & _line_fails(x)))
     out = out.withColumn("good", F.transform(good, lambda x: x["t"]))
     out = out.withColumn(
         "q",
@@ -147,10 +141,10 @@ def judge(docs: DataFrame, text: str = "text", by_length: bool = False) -> DataF
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """The kept documents with their failing lines (by length) removed, in the columns of docs (`n_chars` follows the text)."""
+    """The kept documents with their failing lines removed, in the columns of docs (`n_chars` follows the text)."""
     q = F.col("q")
     # a filter is not moved below a projection that holds an id of its own; moved, it would compute every statistic again
-    out = judge(docs, by_length=True).withColumn("at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("at") >= 0))
+    out = judge(docs).withColumn("at", F.monotonically_increasing_id()).filter(q["kept"] & (F.col("at") >= 0))
     return common.together(out.select("row", q["clean_text"].alias("body"), F.lit(True).alias("changed")), docs)
 
 
@@ -161,14 +155,15 @@ def query(docs: DataFrame) -> DataFrame:
 
 _LINE_FAILS_SQL = r"""(
     (length(x) - length(regexp_replace(x, '[#*$%&|<>]', '', 'g'))) * 10 > length(x)
-    OR (len(string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+')) >= 4
-        AND (length(x) - length(regexp_replace(x, '[!?]', '', 'g'))) * 2 > len(string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+')))
-    OR regexp_matches(x, '[|»][^|»]*[|»][^|»]*[|»]')
-    OR (len(string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+')) >= 5 AND (length(x) - length(regexp_replace(x, '[A-Z]', '', 'g'))) * 2 > length(x))
-    OR (len(string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+')) >= 8
-        AND len(list_distinct(string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+'))) * 3 < len(string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+')))
-    OR __BOILERPLATE__
-)""".replace("__BOILERPLATE__", " OR ".join(f"contains(lower(x), '{p}')" for p in BOILERPLATE))
+    OR (len(__WORDS__) >= 4 AND (length(x) - length(regexp_replace(x, '[!?]', '', 'g'))) * 2 > len(__WORDS__))
+    OR (regexp_matches(x, '[|»][^|»]*[|»][^|»]*[|»]') AND (length(x) <= 300 OR (length(x) - length(regexp_replace(x, '[|»]', '', 'g'))) * 40 > length(x)))
+    OR (len(__WORDS__) >= 5 AND (length(x) - length(regexp_replace(x, '[A-Z]', '', 'g'))) * 2 > length(x))
+    OR (len(__WORDS__) >= 8 AND len(list_distinct(__WORDS__)) * 3 < len(__WORDS__) AND (len(__WORDS__) <= 64
+        OR list_sum(list_transform(range(1, len(__WORDS__) + 1, 64), lambda i: len(list_distinct(__WORDS__[i:i + 63])))) * 3 < len(__WORDS__)))
+    OR ((__BOILERPLATE__) AND (length(x) <= 300 OR (length(lower(x)) - length(regexp_replace(lower(x), '__PHRASES__', '', 'g'))) * 10 > length(x)))
+)"""
+for _name, _put in (("__WORDS__", r"string_split_regex(trim(x, ' '), '[\x20\x09-\x0D]+')"), ("__BOILERPLATE__", " OR ".join(f"contains(lower(x), '{p}')" for p in BOILERPLATE)), ("__PHRASES__", "|".join(BOILERPLATE))):
+    _LINE_FAILS_SQL = _LINE_FAILS_SQL.replace(_name, _put)
 
 #: Filter and statistics of judge(), for DuckDB; `FROM_DOCS` is replaced by the table.
 JUDGE_SQL = (

@@ -15,11 +15,11 @@ def base(text):
     return (len(words), sum(map(len, words)), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered))
 
 
-def fails(line, by_length):
+def fails(line):
     """The rules for one line, one after the other."""
     words, low = re.split(r"[\x20\x09-\x0D]+", line.strip(" ")), line.lower()
     n, size = len(words), len(line)
-    short = size <= q.SHORT_LINE or not by_length
+    short = size <= q.SHORT_LINE
     marks = sum(c in "|»" for c in line)
     said = sum(map(len, re.findall("|".join(q.BOILERPLATE), low)))
     several = [set(words[i : i + q.STRETCH]) for i in range(0, n, q.STRETCH)]
@@ -28,15 +28,15 @@ def fails(line, by_length):
         or n >= 4 and sum(c in "!?" for c in line) * 2 > n
         or marks >= 3 and (short or marks * q.MARKS_SHARE > size)
         or n >= 5 and sum("A" <= c <= "Z" for c in line) * 2 > size
-        or n >= 8 and len(set(words)) * 3 < n and (not by_length or n <= q.STRETCH or sum(map(len, several)) * 3 < n)
+        or n >= 8 and len(set(words)) * 3 < n and (n <= q.STRETCH or sum(map(len, several)) * 3 < n)
         or said > 0 and (short or said * 10 > size)
     )
 
 
-def verdict(text, by_length=False):
+def verdict(text):
     """(kept, the text without failing lines)."""
     text = text or ""
-    good = "\n".join(x for x in text.split("\n") if not re.search(r"[^\x20\x09-\x0D]", x) or not fails(x, by_length))
+    good = "\n".join(x for x in text.split("\n") if not re.search(r"[^\x20\x09-\x0D]", x) or not fails(x))
     n, *_, repeated = base(text)
     return n >= 20 and 100 * repeated <= 30 * n and 2 * (len(text) - len(good)) <= len(text), good
 
@@ -73,9 +73,9 @@ def test_verdicts_as_brute_force(spark, documents):
     texts = TEXTS + ["\n".join(any_line(r) for _ in range(r.randint(1, 12))) for _ in range(500)]
     docs = documents(texts)
     assert {x["doc_id"]: x["kept"] for x in q.query(docs).collect()} == {k: verdict(t)[0] for k, t in enumerate(texts)}
-    expected = {k: got[1] for k, t in enumerate(texts) if (got := verdict(t, True))[0]}
+    expected = {k: got[1] for k, t in enumerate(texts) if (got := verdict(t))[0]}
     assert {x["doc_id"]: x["text"] for x in q.stage(docs).collect()} == expected
-    assert 50 < len(expected) < 450 and len(expected) > sum(verdict(t)[0] for t in texts)
+    assert 50 < len(expected) < 450
 
 
 def test_stage_removes_lines(spark, documents):
@@ -94,7 +94,7 @@ def test_native_plan_and_empty(spark, documents):
     assert "Python" not in plan and "Exchange" not in q.query(documents(TEXTS))._jdf.queryExecution().executedPlan().toString()
 
 
-def test_stage_keeps_long_lines_with_a_mark(spark, documents):
+def test_long_lines_with_a_mark_stay(spark, documents):
     r = random.Random(5)
     plain = " ".join(f"{a}{b}" for a in "bcdfghjklm" for b in ("ade", "ilo", "una", "ore"))
     vocabulary = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("n", "r", "st", "lo", "ma")]
@@ -105,5 +105,4 @@ def test_stage_keeps_long_lines_with_a_mark(spark, documents):
     rows = {x["doc_id"]: x["text"] for x in q.stage(documents(texts)).collect()}
     assert sorted(rows) == [0, 1, 2, 3, 4, 9]
     assert all(rows[k] == (plain if k == 9 else texts[k]) for k in rows)
-    kept = {x["doc_id"] for x in q.query(documents(texts)).collect() if x["kept"]}
-    assert kept == {9}  # as its SQL has it
+    assert {x["doc_id"] for x in q.query(documents(texts)).collect() if x["kept"]} == rows.keys()

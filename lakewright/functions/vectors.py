@@ -1,4 +1,4 @@
-"""Vectors (E01-E06): cosine, anchors, exact top-k, signs against planes, embedding with a pluggable model."""
+"""Vectors (E01-E06): cosine, anchors, exact top-k, embedding with a pluggable model. The approximate top-k is in `ann`."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import json
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -81,41 +82,72 @@ def embed(reviews: DataFrame, embedder, model: str = "text-embedding-3-small", t
 
 def top_k(queries: DataFrame, base: DataFrame, k: int, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """E06 exact: (query_id, id, similarity, rank). The stated queries are compared with all rows in blocks: each task keeps the
-    best k of its rows for every query, the k best of those are ranked. Queries go out in parts of `QUERIES`."""
+    best k of its rows for every query, the k best of those are ranked. Queries go out in parts of `QUERIES`. Rows without a key
+    or a vector are not found; keys keep their type."""
+    return ranked([compared(own, base, k, key, column) for own in blocks(queries, key)], k)
+
+
+def blocks(queries: DataFrame, key: str) -> list[DataFrame]:
     parts = max(1, -(-queries.count() // QUERIES))
-    found = None
-    for part in range(parts):
-        own = queries.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else queries
-        sent = queries.sparkSession.sparkContext.broadcast([(r[key], r[column]) for r in own.select(key, column).collect()])
-        best = base.select(key, column).mapInPandas(_best(sent, k, key, column), "query_id bigint, id bigint, similarity double")
-        found = best if found is None else found.union(best)
+    return [queries.filter(F.pmod(F.xxhash64(key), F.lit(parts)) == part) if parts > 1 else queries for part in range(parts)]
+
+
+def ranked(found: list[DataFrame], k: int) -> DataFrame:
+    both = found[0]
+    for more in found[1:]:
+        both = both.union(more)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), "id"))
-    return found.withColumn("rank", place).filter(F.col("rank") <= k)
+    return both.withColumn("rank", place).filter(F.col("rank") <= k)
+
+
+def compared(queries: DataFrame, base: DataFrame, k: int, key: str, column: str, probed=None) -> DataFrame:
+    """(query_id, id, similarity): the best k of each task's rows. probed: unit vectors of queries -> list number -> the queries
+    that are compared with rows of that `list`."""
+    there = F.col(key).isNotNull() & F.col(column).isNotNull()
+    rows = queries.filter(there).select(key, column).collect()
+    names, q = [r[0] for r in rows], unit(np.array([r[1] for r in rows], float)) if rows else np.zeros((0, 1))
+    lists = None if probed is None else probed(q) if rows else {}
+    sent = queries.sparkSession.sparkContext.broadcast((names, q, lists))
+    kind = base.schema[key].dataType.simpleString()
+    some = base.filter(there & (F.size(column) == q.shape[1]))
+    if lists is not None:
+        some = some.filter(F.col("list").isin(sorted(lists)))
+    return some.select(key, column, *(["list"] if lists is not None else [])).mapInArrow(_best(sent, k, key, column), f"query_id {kind}, id {kind}, similarity double")
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+
+
+def matrix(vectors: pa.Array) -> np.ndarray:
+    """Vectors of one length as unit rows."""
+    return unit(vectors.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(vectors), -1))
 
 
 def _best(sent, k: int, key: str, column: str):
     def run(batches):
-        names = np.array([x for x, _ in sent.value])
-        q = np.array([v for _, v in sent.value], float)
-        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-        best: dict = {}
-        for pdf in batches:
-            if not len(pdf) or not len(names):
+        names, q, lists = sent.value
+        best: dict = {name: [] for name in names}
+        kind = None
+        for batch in batches:
+            kind = batch.column(key).type
+            if not batch.num_rows or not names:
                 continue
-            x = np.stack(pdf[column].to_numpy()).astype(float)
-            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
-            s, ids = np.round(q @ x.T, 9), pdf[key].to_numpy()
-            for i, name in enumerate(names.tolist()):
-                row = np.where(ids == name, -np.inf, s[i])
-                least = np.partition(row, -k)[-k] if len(row) > k else -np.inf  # ties with the k-th stay
-                some = np.flatnonzero((row >= least) & (row > -np.inf))
-                mine = best.get(name, []) + list(zip((-row[some]).tolist(), ids[some].tolist(), strict=True))
-                best[name] = sorted(mine)[:k]
-        yield pd.DataFrame([(n, j, -v) for n, x in best.items() for v, j in x], columns=["query_id", "id", "similarity"])
+            x, ids = matrix(batch.column(column)), np.array([*batch.column(key).to_pylist(), None], object)[:-1]
+            groups = [(np.arange(len(ids)), np.arange(len(names)))]
+            if lists is not None:
+                own = batch.column("list").to_numpy()
+                groups = [(np.flatnonzero(own == n), lists[n]) for n in np.unique(own).tolist() if n in lists]
+            for rows, some in groups:
+                s = np.round(q[some] @ x[rows].T, 9)
+                for i, name in enumerate(names[j] for j in some):
+                    row = np.where(ids[rows] == name, -np.inf, s[i])
+                    least = np.partition(row, -k)[-k] if len(row) > k else -np.inf  # ties with the k-th stay
+                    near = np.flatnonzero((row >= least) & (row > -np.inf))
+                    best[name] = sorted(best[name] + list(zip((-row[near]).tolist(), ids[rows[near]].tolist(), strict=True)))[:k]
+        if kind is not None:
+            flat = [(n, j, -v) for n, x in best.items() for v, j in x]
+            columns = zip(*flat, strict=True) if flat else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, (kind, kind, pa.float64()), strict=True)], names=["query_id", "id", "similarity"])
 
     return run
-
-
-def signature(c: Column, planes: list[list[float]]) -> Column:
-    """LSH: the signs against fixed planes, as an integer, for bucketed approximate search."""
-    return sum((F.when(dot(c, F.array(*map(F.lit, p))) >= 0, F.lit(1 << i)).otherwise(F.lit(0)) for i, p in enumerate(planes)), F.lit(0))

@@ -15,7 +15,6 @@ columns are not read. The text's length has no bound but that of a row.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa

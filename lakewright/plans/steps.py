@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lakewright.functions import actions, aspects, text, vectors
 from lakewright.operators import joins, load, predicates, projections, state, upsert
 from lakewright.plans import checks, marts
-from lakewright.schemas import HUB, KEYS, MARTS
+from lakewright.schemas import HASHED, HUB, KEYS, MARTS
 from lakewright.sources.catalog import Catalog, Conflict
 from lakewright.sources.files import delete, put_new
 
@@ -140,7 +140,10 @@ def _gold(catalog: Catalog, ids: DataFrame, now: dt.datetime, embedder, summariz
     total = ids.count()
     if not total:
         return RunResult("gold", "success")
-    parts = {n: catalog.parts_of(n, ids) for n in ("app_reviews", "reviews_preprocessed", "review_embeddings", "review_aspects", "review_action_analysis")}
+    parts, told = {}, {}
+    for n in HASHED:
+        way = HASHED[n], catalog.state(n)["parts"]
+        parts[n] = told[way] = told[way] if way in told else catalog.parts_of(n, ids)
     own = lambda n: catalog.read(n, parts=parts[n])
     refined = ids.join(own("reviews_preprocessed").select("review_id", "refined_text"), "review_id").drop("day")
     if embedder is not None:

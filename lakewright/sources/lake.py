@@ -51,7 +51,7 @@ def read_batch(spark: SparkSession, storage_path: str, bucket: str = "", schema:
 def daily_batch(df: DataFrame, base: str, ledger: Catalog, platform: str, day: dt.date, now: dt.datetime) -> str:
     """A folder per platform and day, then a PENDING ledger row; if the row cannot be written the folder goes again."""
     folder = f"{base.rstrip('/')}/app_reviews/year={day.year}/month={day.month:02d}/day={day.day:02d}/{platform.lower()}_{now:%Y%m%dT%H%M%S}_{uuid.uuid4().hex[:8]}"
-    _deliver(df.coalesce(1), folder, ledger, platform, "daily_batch", None, now)
+    _deliver(df, folder, ledger, platform, "daily_batch", None, now)
     return folder
 
 
@@ -92,11 +92,21 @@ def write_silver(df: DataFrame, base: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("app_id", "dt").parquet(f"{base.rstrip('/')}/reviews")
 
 
-def write_csv(df: DataFrame, folder: str) -> None:
-    """For consumers of text files."""
+BOM = "\ufeff"
+
+
+def write_csv(df: DataFrame, folder: str, mark: bool = False) -> None:
+    """For consumers of text files. mark: each file starts with a byte-order mark, as spreadsheets want it."""
+    if mark:
+        df = df.toDF(BOM + df.columns[0], *df.columns[1:])
     df.write.mode("append").option("header", "true").csv(folder)
 
 
+def read_csv(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    """Files with a header, with or without a byte-order mark; columns by the header's order, not by its names."""
+    return spark.read.option("header", "true").schema(schema).csv(folder)
+
+
 def list_csv(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     """(path, modification time in ms) of the CSV files below a folder, oldest first."""
     files, at = fs(spark, folder)

@@ -82,6 +82,22 @@ def delete(path: str) -> None:
         remove()
 
 
+def in_passes(df: DataFrame, passes: int, make: Callable[[int], object], apply: Callable[[DataFrame, object, bool], DataFrame]) -> DataFrame:
+    """df after apply(df, broadcast of make(k), is it the last) for each k. Every pass but the last is written before its
+    broadcast is destroyed and the next one is sent: executors and workers never hold two of them."""
+    for k in range(passes):
+        sent, last = df.sparkSession.sparkContext.broadcast(make(k)), k + 1 == passes
+        after = apply(df, sent, last)
+        if last:
+            return after
+        written = cut(after, "pass")
+        sent.destroy(blocking=True)
+        if k:
+            forget(df)
+        df = written
+    return df
+
+
 def tune(spark: SparkSession) -> None:
     """Arrow batches small enough that long texts cannot fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -3,8 +3,8 @@ document scanned against it, hits verified word by word, then spans or whole doc
 
 Words are lower-cased (A-Z) runs of `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`; a window is 10 consecutive words of an
 item, or the whole item where it has fewer. The set is sent to the executors in blocks of at most
-`BLOCK_WORDS` item words, so its size is bounded; a larger benchmark takes several passes whose hits
-are merged per document.
+`BLOCK_WORDS` item words, one at a time: a larger benchmark takes several passes, each written to the shared
+folder with its hits before the next block is sent and its own is taken back, so memory is that of one block.
 
 Defined results: null or empty texts have no words and no hits; an item without words has no window;
 equal windows of several items count for each of them; an item
@@ -121,13 +121,15 @@ def find(docs: DataFrame, benchmark: DataFrame, text: str = "text", max_share: f
     max_share: with `changed` instead of these, the cleaned text as `body`, and without the documents of which more
     words are hit than this share (in the last pass's Python worker).
     """
-    spark, out = docs.sparkSession, common.apart(docs, text)
-    plain, blocks = out, _blocks(benchmark)
-    for k, block in enumerate(blocks):
-        sent = spark.sparkContext.broadcast(Block([(r["item"], words_of(r["body"])) for r in block.collect()]))
-        share = max_share if k + 1 == len(blocks) else None
-        out = out.mapInArrow(common.released(_scanner(sent, share)), common.wider(plain, FOUND if share is None else "changed boolean"))
-    return out
+    plain, blocks = common.apart(docs, text), _blocks(benchmark)
+    found, merged_schema = common.wider(plain, FOUND), common.wider(plain, FOUND if max_share is None else "changed boolean")
+
+    def block(k: int) -> Block:
+        return Block([(r["item"], words_of(r["body"])) for r in blocks[k].collect()])
+
+    return common.in_passes(
+        plain, len(blocks), block, lambda df, sent, last: df.mapInArrow(common.released(_scanner(sent, max_share if last else None)), merged_schema if last else found)
+    )
 
 
 def _scanner(sent, max_share: float | None):

@@ -36,7 +36,8 @@ KINDS = ("email", "ip", "card", "phone", "secret")
 ROUNDS, CONFIDENCE, SUPPORT = 3, 0.6, 5
 #: Instances of more characters are named by a hash in the graph.
 LONG = 128
-#: Accepted or counted patterns in one broadcast at most; more are taken in several passes.
+#: Accepted or counted patterns in one broadcast at most; beyond, accepted ones are taken in several passes, one broadcast
+#: at a time, and the fillers of all patterns are counted in one pass by a shuffle.
 PATTERNS = 200_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -176,10 +177,26 @@ def _strings(values) -> pa.Array:
     return pa.array(list(values), pa.string())
 
 
-def _totals(sent):
+class _Short:
+    """Whatever may be a pattern: 20 characters and a mark, of which a lower-cased one may be two."""
+
+    def __contains__(self, x: str) -> bool:
+        return len(x) <= 41
+
+
+class _Heads:
+    """First letters that a pattern may have."""
+
+    def __contains__(self, x: str) -> bool:
+        return _LETTERS.fullmatch(x) is not None
+
+
+def _totals(sent=None):
+    """Fillers of the patterns that were sent, or of whatever may be one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = sent.value
-        heads = {p[1:] for p in wanted if p[0] == "^"}
+        wanted = _Short() if sent is None else sent.value
+        heads = _Heads() if sent is None else {p[1:] for p in wanted if p[0] == "^"}
         for batch in batches:
             words, out = Counter(), Counter()
             for text in batch.column("body").to_pylist():
@@ -200,13 +217,6 @@ def _totals(sent):
     return run
 
 
-def _parts(df: DataFrame, columns: list[str]) -> Iterator[tuple[bool, list]]:
-    """df's rows in parts that one broadcast may hold, one at a time; whether it is the last one."""
-    parts = max(1, -(-df.count() // PATTERNS))
-    for k in range(parts):
-        yield k + 1 == parts, df.filter(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k).select(*columns).collect()
-
-
 def learn(docs: DataFrame, text: str = "text") -> DataFrame:
     """(pattern, kind, confidence, support) of the accepted patterns."""
     spark = docs.sparkSession
@@ -217,11 +227,9 @@ def learn(docs: DataFrame, text: str = "text") -> DataFrame:
     support = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("s"))
     support = support.groupBy("pattern").agg(F.sum("s").alias("support"), F.max(F.struct("s", "kind"))["kind"].alias("kind")).filter(F.col("support") >= SUPPORT)
     support = common.cut(support, "support")
-    totals = None
-    for _, part in _parts(support, ["pattern"]):
-        sent = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in part))
-        own = rows.mapInArrow(common.released(_totals(sent)), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
-        totals = own if totals is None else totals.union(own)
+    few = support.count() <= PATTERNS
+    sent = spark.sparkContext.broadcast(frozenset(r["pattern"] for r in support.select("pattern").collect())) if few else None
+    totals = rows.mapInArrow(common.released(_totals(sent)), "pattern string, n bigint").groupBy("pattern").agg(F.sum("n").alias("total"))
     known = common.cut(support.join(totals, "pattern"), "totals")
     graph = common.cut(
         edges.withColumn("seed", F.col("kind").isNotNull()).drop("kind").join(known.select("pattern", "total"), "pattern"), "graph"
@@ -253,13 +261,19 @@ def find(docs: DataFrame, text: str = "text", patterns: DataFrame | None = None,
     masked: with `changed` instead of these, and the masked text as `body` (in the last pass's Python worker).
     """
     patterns = learn(docs, text) if patterns is None else patterns
-    spark, out = docs.sparkSession, common.apart(docs, text)
-    plain = out
-    for last, part in _parts(patterns, ["pattern", "kind"]):
-        sent = spark.sparkContext.broadcast({r["pattern"]: r["kind"] for r in part})
+    plain, parts = common.apart(docs, text), max(1, -(-patterns.count() // PATTERNS))
+    dealt = [F.lit(True)]
+    if parts > 1:  # what stands before a token comes before the token's own letters, as in patterns_at()
+        dealt = [(F.col("pattern").startswith("^") == own) & (F.pmod(F.xxhash64("pattern"), F.lit(parts)) == k) for own in (False, True) for k in range(parts)]
+
+    def part(k: int) -> dict[str, str]:
+        return {r["pattern"]: r["kind"] for r in patterns.filter(dealt[k]).select("pattern", "kind").collect()}
+
+    def search(df: DataFrame, sent, last: bool) -> DataFrame:
         schema = common.wider(plain, "changed boolean" if masked and last else FOUND)
-        out = out.mapInArrow(common.released(_finder(sent, masked and last)), schema)
-    return out
+        return df.mapInArrow(common.released(_finder(sent, masked and last)), schema)
+
+    return common.in_passes(plain, len(dealt), part, search)
 
 
 def _written(spans: list[Span]) -> list[str]:
@@ -278,14 +292,15 @@ def _finder(sent, masked: bool):
             before = batch.column("spans").to_pylist() if "spans" in batch.schema.names else [()] * len(bodies)
             for body, old in zip(bodies, before, strict=True):
                 base = base_spans(body) if body else []
-                more = []
+                more, old = [], parse_spans(old)
+                known = {(a, b) for a, b, _ in old}
                 if body and accepted and _DIGIT.search(body):
                     for a, b, token in tokens(body, base):
                         kind = next((accepted[p] for p in patterns_at(body, a, token) if p in accepted), None)
-                        if kind:
+                        if kind and (a, b) not in known:
                             more.append((a, b, kind))
                 bases.append(base)
-                alls.append(sorted({*base, *more, *parse_spans(old)}, key=order) if more or old else base)
+                alls.append(sorted({*base, *more, *old}, key=order) if more or old else base)
             if masked:
                 texts = [mask(t, spans) for t, spans in zip(bodies, alls, strict=True)]
                 yield common.batch_of(row=batch.column("row"), body=_strings(texts), changed=pa.array([bool(x) for x in alls], pa.bool_()))

@@ -54,6 +54,29 @@ def test_blocks_give_the_same(spark, documents, monkeypatch):
     assert [tuple(r)[1:] for r in rows] == [brute(t, items) for t in texts]
 
 
+def test_one_block_at_a_time(spark, documents, monkeypatch):
+    """Of five blocks and more, each is destroyed before the next one is sent, and what the stage cuts out stays the same."""
+    texts, items = cases()
+    items = [(k, t) for k, t in items if t and len(t.split()) > 3]  # else every text loses too much
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, d.stage(documents(texts), bench, max_share=0.9).collect()))
+    monkeypatch.setattr(d, "BLOCK_WORDS", 10)
+    blocks, alive, most = len(d._blocks(bench)), set(), []
+    send = spark.sparkContext.broadcast
+
+    def counted(value):
+        sent = send(value)
+        alive.add(id(sent))
+        most.append(len(alive))
+        destroy = sent.destroy
+        sent.destroy = lambda blocking=False: (alive.discard(id(sent)), destroy(blocking))
+        return sent
+
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    assert sorted(map(str, d.stage(documents(texts), bench, max_share=0.9).collect())) == whole
+    assert blocks >= 5 and most == [1] * blocks
+
+
 def test_stage(spark, documents):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     bench = spark.createDataFrame([(1, passage)], "item_id long, text string")

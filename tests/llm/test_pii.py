@@ -145,6 +145,22 @@ def test_bootstrapping_as_brute_force(spark, documents):
     assert sum(len(all_spans(t, accepted)) - len(base_of(t)) for t in texts) > 100
 
 
+def test_many_patterns_give_the_same(spark, documents, monkeypatch):
+    """Patterns counted by a shuffle and taken in several passes: as in one broadcast, the ones of the token's own letters last."""
+    docs = documents([*corpus(random.Random(5), 200), "token=user12ab x", "user abcd77", None])
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    learnt = {r["pattern"]: tuple(r) for r in pii.learn(docs).collect()}
+    some = spark.createDataFrame([("token=", "secret"), ("^user", "email"), ("user ", "ip"), ("^abcd", "card"), ("key=", "phone")], "pattern string, kind string")
+    accepted = {r["pattern"]: (r["kind"], 1.0) for r in some.collect()}
+    monkeypatch.setattr(pii, "PATTERNS", 2)
+    again = {r["pattern"]: tuple(r) for r in pii.learn(docs).collect()}
+    close = lambda x: {p: (k, round(c, 9), s) for p, (_, k, c, s) in x.items()}
+    assert close(again) == close(learnt) and set(learnt) == {"token=", "key="}
+    got = {r["row"]["doc_id"]: r["spans"] for r in pii.find(docs, patterns=some).collect()}
+    assert got == {k: pii._written(all_spans(t, accepted)) if t else [] for k, t in texts.items()}
+    assert got[200] == ["secret:6:14"] and got[201] == ["ip:5:11"]
+
+
 def test_empty_table(spark, documents):
     assert pii.query(documents([]).limit(0)).count() == 0
 

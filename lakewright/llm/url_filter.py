@@ -7,9 +7,14 @@ The rates must not give the rules themselves away: no rule's host and no suffix
 rate, nor has a word in one, and a training URL takes its rates from the other `FOLDS` - 1 parts of the sample (parts by
 a hash of the host without its rule), while other URLs take them from all of it.
 
+The trees have a say only as far as they know something: each part is judged by trees of the other parts, with the threshold that
+gives these the best balanced accuracy (the mean of the shares found of either class, 0.5 for a constant answer). Where the parts
+reach less than `SKILL` together, no URL without a rule is blocked. Where parts cannot tell (one class in a part's training
+or in what is judged), the trees decide at 0.5.
+
 Defined results: a null URL or one without `://` has an empty host and path, and is judged by the trees on
 empty text; a host or path is not trimmed or decoded; of several fitting rules the longest (host and path)
-wins; repeated rows are judged alike; other columns are not read; without labelled URLs all are allowed.
+wins, of equally long ones the later one; repeated rows are judged alike; other columns are not read; without labelled URLs all are allowed.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +43,8 @@ RULES = [
 ]
 PER_CLASS = 20_000
 FOLDS = 5
+#: Balanced accuracy that the trees must have on sites that they have not seen, or they do not decide.
+SKILL = 0.65
 _WORDS = re.compile(r"[a-z]+")
 
 
@@ -115,7 +123,49 @@ class Lexical:
         return np.array(rows, float) if rows else np.zeros((0, 19))
 
 
-def train(df: DataFrame, per_class: int = PER_CLASS, rules: list[tuple[str, str, str]] = RULES) -> tuple[Lexical, trees.FlatTrees]:
+def best_cut(score: np.ndarray, block: np.ndarray) -> float:
+    """The threshold of the best balanced accuracy; 0.5 where there is one class only or no difference."""
+    if not 0 < block.sum() < len(block):
+        return 0.5
+    order = np.argsort(score, kind="stable")
+    s, y = score[order], block[order]
+    gain = np.cumsum(1 - y) / (1 - y).sum() - np.cumsum(y) / y.sum()  # of blocking what lies above
+    gain[:-1][s[:-1] == s[1:]] = -1  # equal scores are not parted
+    at = int(gain[:-1].argmax())
+    return float((s[at] + s[at + 1]) / 2) if gain[at] > 0 else 0.5
+
+
+def measured(x: np.ndarray, block: np.ndarray, fold: np.ndarray) -> tuple[float, float | None]:
+    """(threshold, balanced accuracy on parts that the trees have not learnt from; None where the parts cannot tell)."""
+    score = np.full(len(block), np.nan)
+    for k in range(FOLDS):
+        own = fold == k
+        if own.any() and 0 < block[~own].sum() < (~own).sum():
+            score[own] = trees.fit(x[~own], block[~own]).score(x[own])
+    seen = ~np.isnan(score)
+    score, block, fold = score[seen], block[seen], fold[seen]
+    if not 0 < block.sum() < len(block):
+        return 0.5, None
+    said = np.zeros(len(block), bool)
+    for k in range(FOLDS):  # the threshold comes from the other parts, too
+        own = fold == k
+        said[own] = score[own] > best_cut(score[~own], block[~own])
+    return best_cut(score, block), float((said[block == 1].mean() + (~said[block == 0]).mean()) / 2)
+
+
+@dataclass
+class Model:
+    lexical: Lexical
+    trees: trees.FlatTrees
+    threshold: float
+    #: Balanced accuracy on unseen sites; None where it cannot be told.
+    skill: float | None
+
+    def blocks(self, score: float) -> bool:
+        return (self.skill is None or self.skill >= SKILL) and score > self.threshold
+
+
+def train(df: DataFrame, per_class: int = PER_CLASS, rules: list[tuple[str, str, str]] = RULES) -> Model:
     """From the URLs of df (with `said`) that a rule decides."""
     own = df.filter("said is not null").select("host", "path", "rest", "said").distinct()
     own = own.withColumn("place", F.xxhash64("host", "path", "rest"))
@@ -123,22 +173,25 @@ def train(df: DataFrame, per_class: int = PER_CLASS, rules: list[tuple[str, str,
     block = np.array([r["said"] == "block" for r in rows], float)
     lexical = Lexical([r["host"] for r in rows], block, rules)
     x = lexical.matrix(*[[r[c] for r in rows] for c in ("host", "path", "rest")], lexical.fold)
-    return lexical, trees.fit(x, block)
+    return Model(lexical, trees.fit(x, block), *measured(x, block, lexical.fold))
 
 
 def judge(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) for each row; score is the trees' chance of block."""
+    """(page_id, host, path, rule, verdict, score, fold_accuracy) for each row; score is the trees' chance of block,
+    fold_accuracy their balanced accuracy on sites that they have not seen."""
     df = ruled(parts(pages), rules)
     sent = df.sparkSession.sparkContext.broadcast(train(df, rules=rules))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexical, model = sent.value
+        model = sent.value
         for batch in batches:
-            s = model.score(lexical.matrix(*[batch.column(c).to_pylist() for c in ("host", "path", "rest")]))
-            said = [x or ("block" if p > 0.5 else "allow") for x, p in zip(batch.column("said").to_pylist(), s.tolist(), strict=True)]
-            yield common.batch_of(**{c: batch.column(c) for c in ("page_id", "host", "path", "rule")}, verdict=pa.array(said, pa.string()), score=pa.array(s, pa.float64()))
+            s = model.trees.score(model.lexical.matrix(*[batch.column(c).to_pylist() for c in ("host", "path", "rest")]))
+            said = [x or ("block" if model.blocks(p) else "allow") for x, p in zip(batch.column("said").to_pylist(), s.tolist(), strict=True)]
+            known = {c: batch.column(c) for c in ("page_id", "host", "path", "rule")}
+            skill = pa.array([model.skill] * len(said), pa.float64())
+            yield common.batch_of(**known, verdict=pa.array(said, pa.string()), score=pa.array(s, pa.float64()), fold_accuracy=skill)
 
-    return df.mapInArrow(common.released(run), "page_id bigint, host string, path string, rule string, verdict string, score double")
+    return df.mapInArrow(common.released(run), "page_id bigint, host string, path string, rule string, verdict string, score double, fold_accuracy double")
 
 
 def query(pages: DataFrame) -> DataFrame:

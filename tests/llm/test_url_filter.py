@@ -1,4 +1,5 @@
 import re
+import zlib
 
 import numpy as np
 
@@ -65,3 +66,31 @@ def test_empty_and_unlabelled(spark):
     df = spark.createDataFrame([(1, "http://a.info/x")], "page_id long, url string")
     assert u.query(df).first()["verdict"] == "allow"
     assert u.query(df.limit(0)).count() == 0
+
+
+def test_trees_decide_only_where_they_know_something(spark):
+    """Sites of either verdict that share no name: signs in the name are learnt, labels by chance are not."""
+    signs = [(k, f"http://{'win-cash' if k % 2 else 'quiet'}-{k}x.{'com/en' if k % 2 else 'net/de'}/a{k}") for k in range(600)]
+    new = [(9000, "http://win-cash-new.info/a1"), (9001, "http://quiet-new.info/a1")]
+    got = {r["page_id"]: r for r in u.query(spark.createDataFrame(signs + new, "page_id long, url string")).collect()}
+    assert (got[9000]["verdict"], got[9001]["verdict"]) == ("block", "allow") and got[9000]["fold_accuracy"] > 0.95
+    # one and the same letters in either case, so that no feature tells the rule
+    chance = [(k, f"http://site-{k}x.{'ab' if zlib.crc32(b'%d' % k) % 4 else 'ba'}/a{k}") for k in range(600)]
+    rules = [("block", "ab", "/"), ("allow", "ba", "/")]
+    plain = {r["page_id"]: r for r in u.judge(spark.createDataFrame(chance + new, "page_id long, url string"), rules).collect()}
+    assert plain[9000]["fold_accuracy"] < u.SKILL and {plain[k]["verdict"] for k in (9000, 9001)} == {"allow"}
+    assert {r["verdict"] for r in plain.values() if r["rule"]} == {"allow", "block"}
+
+
+def test_best_cut_as_brute_force():
+    r = np.random.default_rng(3)
+    balanced = lambda s, y, t: ((s > t)[y == 1].mean() + (s <= t)[y == 0].mean()) / 2
+    for _ in range(200):
+        n = int(r.integers(1, 12))
+        s, y = r.integers(0, 5, n) / 4, r.integers(0, 2, n).astype(float)
+        cut = u.best_cut(s, y)
+        if 0 < y.sum() < n:
+            most = max(balanced(s, y, t) for t in np.arange(-1, 9) / 8 + 1 / 16)
+            assert balanced(s, y, cut) == most or cut == 0.5 and most <= 0.5
+        else:
+            assert cut == 0.5

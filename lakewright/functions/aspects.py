@@ -28,7 +28,7 @@ def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categori
     sentiment = lexicons.SENTIMENT if sentiment is None else sentiment
     categories = lexicons.CATEGORY_TERMS if categories is None else categories
     known = {*sentiment, *(t for x in categories.values() for t in x)}
-    terms = keywords.ordered(known)
+    lexicon = keywords.Finder(keywords.ordered(known))
 
     @pandas_udf("array<struct<keyword:string,start:int,end:int,context:string>>")
     def run(s: pd.Series) -> pd.Series:
@@ -45,7 +45,7 @@ def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categori
                     return out
             except Exception:  # noqa: BLE001  a tagger that fails leaves the lexicon
                 pass
-        return keywords.spans(text, terms, MOST)
+        return lexicon.spans(text, MOST)
 
     return run(c)
 
@@ -117,10 +117,13 @@ def score(base: Column, weight: Column, negated: Column) -> Column:
 
 
 def category(keyword: Column, categories: dict[str, tuple[str, ...]] | None = None) -> Column:
-    """The first category with a term that is a prefix of the keyword or the other way round."""
+    """The first category with a term that is a prefix of the keyword or the other way round. Both are looked up among all
+    terms at once (Spark hashes the lists): the keyword's beginnings of each length that terms have, and the keyword among the terms' own beginnings."""
     out = F.lit(None).cast("string")
     for name, terms in reversed((lexicons.CATEGORY_TERMS if categories is None else categories).items()):
-        fits = F.exists(F.array(*map(F.lit, terms)), lambda t: keyword.startswith(t) | t.startswith(keyword))
+        fits = keyword.isin(sorted({t[:n] for t in terms for n in range(len(t) + 1)}))
+        for n in sorted({len(t) for t in terms}):
+            fits = fits | F.substring(keyword, 1, n).isin(sorted({t for t in terms if len(t) == n}))
         out = F.when(fits, F.lit(name)).otherwise(out)
     return out
 

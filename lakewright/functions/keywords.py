@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-
 #: What a whole word ends at.
 _WORD = frozenset("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ_abcdefghijklmnopqrstuvwxyz")
 
@@ -55,17 +54,42 @@ def ordered(terms) -> list[str]:
     return sorted(set(terms), key=lambda t: (-len(t), t))
 
 
+class Finder:
+    """One place for each term: its first one that overlaps no term found before; terms by order, at most `most` of them.
+
+    All places are found in one walk over the text: where a term may start, the text of each length that terms of that first
+    character have is looked up, so the number of terms does not matter. What is found covers marked characters, so a place is
+    tested by its own length.
+    """
+
+    def __init__(self, terms: list[str]) -> None:
+        self.rank = {t: k for k, t in enumerate(dict.fromkeys(terms)) if t}
+        lengths: dict[str, set[int]] = {}
+        for t in self.rank:
+            lengths.setdefault(t[0], set()).add(len(t))
+        self.lengths = {c: tuple(sorted(n)) for c, n in lengths.items()}
+        self.start = re.compile(f"[{''.join(map(re.escape, lengths))}]") if lengths else None
+
+    def spans(self, text: str, most: int = 20) -> list[tuple[str, int, int]]:
+        if self.start is None:
+            return []
+        places: dict[str, list[int]] = {}
+        for m in self.start.finditer(text):
+            at = m.start()
+            for n in self.lengths[m[0]]:
+                if (term := text[at : at + n]) in self.rank:
+                    places.setdefault(term, []).append(at)
+        found, taken = [], bytearray(len(text))
+        for term in sorted(places, key=self.rank.__getitem__):
+            n = len(term)
+            at = next((k for k in places[term] if not any(taken[k : k + n])), None)
+            if at is not None:
+                taken[at : at + n] = b"\1" * n
+                found.append((term, at, at + n))
+                if len(found) == most:
+                    break
+        return found
+
+
 def spans(text: str, terms: list[str], most: int = 20) -> list[tuple[str, int, int]]:
-    """One place for each term: its first one that overlaps no term found before."""
-    found: list[tuple[str, int, int]] = []
-    for term in terms:
-        at = text.find(term)
-        while at >= 0:
-            end = at + len(term)
-            if all(end <= a or b <= at for _, a, b in found):
-                found.append((term, at, end))
-                break
-            at = text.find(term, at + 1)
-        if len(found) == most:
-            break
-    return found
+    return Finder(terms).spans(text, most)

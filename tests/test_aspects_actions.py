@@ -1,10 +1,13 @@
 import random
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakewright.functions import actions, aspects, remote, vectors
-from lakewright.functions.keywords import ordered, spans
+from lakewright.functions.keywords import Finder, ordered, spans
 
 GOLDEN = {
     "편리한 앱입니다": {"편리": 0.85},
@@ -153,3 +156,47 @@ def test_only_the_days_ratings_are_grouped(spark):
     df = actions.analyze(pending, pre, reviews, found)
     assert df.first()["is_action_required"]
     assert df._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") >= 2
+
+
+def one_by_one(text, terms, most):
+    """Spans of N01, each term sought by itself."""
+    found = []
+    for term in terms:
+        at = text.find(term)
+        while at >= 0:
+            if all(at + len(term) <= a or b <= at for _, a, b in found):
+                found.append((term, at, at + len(term)))
+                break
+            at = text.find(term, at + 1)
+        if len(found) == most:
+            break
+    return found
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text("abㄱ😀 ]^-\\", max_size=40), st.lists(st.text("abㄱ😀 ]^-\\", min_size=1, max_size=5), max_size=30), st.integers(1, 5))
+def test_spans_as_one_by_one(text, terms, most):
+    assert spans(text, ordered(terms), most) == one_by_one(text, ordered(terms), most)
+
+
+def test_the_number_of_terms_does_not_matter():
+    words = [f"word{k}" for k in range(3000)]
+    text, few, many = " ".join(words), words[:100], [f"w{k:05d}x" for k in range(20_000)] + words[:100]
+
+    def took(terms):
+        finder, start = Finder(ordered(terms)), time.perf_counter()
+        for _ in range(20):
+            finder.spans(text)
+        return time.perf_counter() - start
+
+    assert took(many) < 8 * took(few) + 0.2  # 200 times the terms
+
+
+def test_category_as_pairs(spark):
+    """Prefixes either way round, the first category first; empty and null keywords, empty terms."""
+    known = {"A": ("abc", "x"), "B": ("ab", "q😀z"), "C": ("abcd", "yy", "x"), "D": ()}
+    words = ["", "a", "ab", "abc", "abcde", "x", "xx", "y", "yyy", "q", "q😀", "q😀zz", "nothing", None]
+    for categories in (known, {"E": ("",), **known}, {"F": ()}, {}):
+        pairs = lambda w: next((c for c, terms in categories.items() if any(w.startswith(t) or t.startswith(w) for t in terms)), None) if w is not None else None  # noqa: B023, E731
+        got = spark.createDataFrame([(w,) for w in words], "w string").select("w", aspects.category(F.col("w"), categories).alias("c")).collect()
+        assert {r["w"]: r["c"] for r in got} == {w: pairs(w) for w in words}, categories

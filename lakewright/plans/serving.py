@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakewright.operators import predicates as p
-from lakewright.schemas import ordinal
+from lakewright.schemas import POSTINGS, ordinal
+from lakewright.sources.catalog import Catalog
 
 LIMIT = 100
 
@@ -56,6 +57,24 @@ def keyword_page(reviews: DataFrame, service: str, first: dt.date, last: dt.date
     return rows.orderBy(F.desc_nulls_last("reviewed_at"), F.desc("review_id")).limit(limit)
 
 
+def postings(reviews: DataFrame) -> DataFrame:
+    """A row for each keyword of each review of the serving list; null keywords have none."""
+    rows = reviews.select(F.explode(F.array_distinct("keyword")).alias("keyword"), "service_id", "date", "reviewed_at", "review_id")
+    return rows.filter("keyword is not null")
+
+
+def posted_page(catalog: Catalog, service: str | None, first: dt.date, last: dt.date, keyword: str, limit: int) -> DataFrame:
+    """K05/F11 over the postings: the keyword's folders of the range give the page's keys, and only the days of these are read of the
+    serving list. The same rows as `keyword_page` over the whole list."""
+    part = catalog.parts_of(POSTINGS, catalog.spark.createDataFrame([(keyword,)], "keyword string"))
+    found = _scope(catalog.read(POSTINGS, catalog.days(POSTINGS, first, last), parts=part), service, first, last).filter(F.col("keyword") == keyword)
+    newest = [F.desc_nulls_last("reviewed_at"), F.desc("review_id")]
+    keys = found.orderBy(*newest).limit(limit).select("review_id", "date")
+    days = [r[0] for r in keys.select("date").distinct().collect()]
+    rows = catalog.read("srv_daily_review_list", days).join(keys, ["review_id", "date"], "left_semi")
+    return rows.select("review_id", "date", "service_id", "reviewed_at", "rating", "refined_text", "keyword").orderBy(*newest).limit(limit)
+
+
 def _limit(n: int | None) -> int:
     return n if n is not None and n > 0 else LIMIT
 

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from lakewright.functions import actions, aspects, text, vectors
 from lakewright.operators import joins, load, predicates, projections, state, upsert
-from lakewright.plans import checks, marts
-from lakewright.schemas import HASHED, HUB, KEYS, MARTS
+from lakewright.plans import checks, marts, serving
+from lakewright.schemas import HASHED, HUB, KEYS, MARTS, POSTINGS
 from lakewright.sources.catalog import Catalog, Conflict
 from lakewright.sources.files import delete, put_new
 
@@ -141,7 +141,7 @@ def _gold(catalog: Catalog, ids: DataFrame, now: dt.datetime, embedder, summariz
     if not total:
         return RunResult("gold", "success")
     parts, told = {}, {}
-    for n in HASHED:
+    for n in (n for n in HASHED if HASHED[n] in ids.columns):
         way = HASHED[n], catalog.state(n)["parts"]
         parts[n] = told[way] = told[way] if way in told else catalog.parts_of(n, ids)
     own = lambda n: catalog.read(n, parts=parts[n])
@@ -217,7 +217,10 @@ def aggregate_days(
             merged = upsert.upsert(old, new, KEYS[name])
         catalog.replace_days(name, merged, days)
         if name == "srv_daily_review_list":
-            catalog.drop_days_before(name, as_of - dt.timedelta(days=retention_days))
+            # keywords follow the list as it stands now; a run that died between the two is made again
+            catalog.replace_days(POSTINGS, serving.postings(catalog.read(name, days)), days)
+            for n in (name, POSTINGS):
+                catalog.drop_days_before(n, as_of - dt.timedelta(days=retention_days))
         out[name] = catalog.read(name, days).count()
     catalog.note("aggregated", catalog.noted("aggregated", {}) | done)
     return out

@@ -1187,6 +1187,18 @@ def _(v, t):
     return _rounded(out.withColumns({c: F.col(c).cast("long") for c in counts}), "avg_rating")
 
 
+@_add("k05_keyword_postings", _ALL, f"""select review_id, date, service_id, reviewed_at, rating, refined_text, array_to_string(keyword, '|') as keyword from ({_M10_SQL}) t
+    where service_id = 'svc-src3' and date between date '{FIRST}' and date '{LAST}' and list_contains(keyword, 'click') order by reviewed_at desc nulls last, review_id desc limit 15""")
+def _(v, t):
+    """A page over the postings that the aggregates keep up; the last days are aggregated twice."""
+    catalog = _catalog(v, *_ALL)
+    steps.aggregate_all(catalog, LAST, retention_days=60)
+    steps.aggregate_days(catalog, DAY, LAST, LAST, retention_days=60)
+    page = serving.posted_page(catalog, "svc-src3", FIRST, LAST, "click", 15)
+    kinds = {c: v["app_reviews"].schema[c].dataType for c in ("rating", "reviewed_at")}
+    return _flat(page.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()}))
+
+
 @_add("st04_changed_days", _ALL, f"select * from ({_A01_SQL}) t")
 def _(v, t):
     """A third of the reviews arrives after its days were aggregated; a run that names no day computes the changed ones again."""

@@ -55,6 +55,7 @@ TABLES = {
         "review_id string, date date, service_id string, refined_text string, review_summary string, rating int, reviewed_at timestamp, sentiment_score double, "
         "is_action_required boolean, is_attention_required boolean, assigned_dept array<string>, keyword array<string>, confidence double"
     ),
+    "srv_keyword_postings": "keyword string, service_id string, date date, reviewed_at timestamp, review_id string",
 }
 
 KEYS = {
@@ -62,6 +63,7 @@ KEYS = {
     "fact_service_aspect_daily": ("date", "service_id", "keyword"),
     "fact_category_radar_scores": ("date", "service_id", "category_type"),
     "srv_daily_review_list": ("review_id", "date"),
+    "srv_keyword_postings": ("keyword", "review_id", "date"),
     "review_master_index": ("review_id",),
     "ingestion_batch": ("batch_id",),
     "reviews_preprocessed": ("platform_review_id",),
@@ -74,7 +76,7 @@ KEYS = {
 #: Tables with a folder for each day, and the column of the day.
 DAYS = {
     "review_master_index": "review_created_at", "fact_service_review_daily": "date", "fact_service_aspect_daily": "date", "fact_category_radar_scores": "date",
-    "srv_daily_review_list": "date",
+    "srv_daily_review_list": "date", "srv_keyword_postings": "date",
 }
 HUB = "review_master_index"
 #: Rows of the files that batches deliver.
@@ -87,8 +89,10 @@ NATURAL = ("app_id", "platform_type", "platform_review_id")
 #: Tables in a fixed number of parts, and the column whose hash tells a row's part.
 HASHED = {
     "app_reviews": "review_id", "reviews_preprocessed": "platform_review_id", "review_embeddings": "review_id", "review_aspects": "review_id",
-    "review_action_analysis": "review_id",
+    "review_action_analysis": "review_id", "srv_keyword_postings": "keyword",
 }
+#: The serving list's keywords, by day and by a hash of the keyword.
+POSTINGS = "srv_keyword_postings"
 MARTS = ("fact_service_review_daily", "fact_service_aspect_daily", "fact_category_radar_scores", "srv_daily_review_list")
 
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from lakewright.operators import upsert
 from lakewright.plans import checks, marts, serving
-from lakewright.schemas import KEYS, MARTS, TABLES
+from lakewright.schemas import KEYS, MARTS, POSTINGS, TABLES
+from lakewright.sources.catalog import Catalog
 
 DAY = dt.date(2026, 5, 3)
 
@@ -103,3 +104,30 @@ def test_day_filter_reaches_the_scan(spark, golden, tmp_path, capsys):
     marts.analyzed({"review_master_index": spark.read.parquet(str(tmp_path / "m"))}, DAY, DAY).explain("formatted")
     plan = capsys.readouterr().out
     assert "GreaterThanOrEqual(review_created_at" in plan and "LessThan(review_created_at" in plan
+
+
+def test_a_keyword_page_reads_its_own_folders(spark, tmp_path, monkeypatch):
+    """The same rows as a scan of the list; only the keyword's part of the postings and the page's days are read; later changes follow."""
+    catalog = Catalog(spark, f"file://{tmp_path}/catalog")
+    day = lambda k: dt.date(2026, 5, 1 + k)
+    words = [f"k{k}" for k in range(40)]
+    at = lambda k: None if k % 17 == 0 else dt.datetime(2026, 5, 1 + k % 6, k % 5)
+    own = lambda k: None if k % 23 == 0 else [w for j, w in enumerate(words) if k % (j + 2) == 0] + ([None, "k0"] if k % 4 == 0 else [])
+    rows = [dict(review_id=f"r{k:03d}", date=day(k % 6), service_id="s" if k % 3 else None, reviewed_at=at(k), rating=k % 5 + 1, keyword=own(k)) for k in range(300)]
+    listed = frame(spark, MARTS[3], rows)
+    catalog.replace(MARTS[3], listed)
+    catalog.replace(POSTINGS, serving.postings(listed))
+    read, real = [], Catalog._frame
+    monkeypatch.setattr(Catalog, "_frame", lambda self, name, entries: (read.append((name, {e["day"] for e in entries}, {e.get("part") for e in entries})), real(self, name, entries))[1])
+    for keyword, service, first, last, limit in [("k0", "s", 0, 5, 7), ("k0", None, 1, 3, 500), ("k9", "s", 2, 2, 3), ("k38", None, 0, 5, 2), ("none", "s", 0, 5, 5), ("k1", "s", 9, 12, 5)]:
+        read.clear()
+        got = serving.posted_page(catalog, service, day(first), day(last), keyword, limit).collect()
+        assert got == serving.keyword_page(listed, service, day(first), day(last), keyword, limit).collect(), keyword
+        (name, days, parts), (_, listed_days, _) = read
+        assert name == POSTINGS and len(parts) <= 1 and days <= {str(day(k)) for k in range(first, last + 1)}
+        assert listed_days == {str(r["date"]) for r in got}
+    # a day whose list changes: its postings alone are written again
+    before = {e["folder"] for e in catalog.state(POSTINGS)["entries"] if e["day"] != str(day(2))}
+    catalog.replace_days(POSTINGS, serving.postings(listed.filter(F.col("date") == day(2)).withColumn("keyword", F.array(F.lit("k9")))), [day(2)])
+    assert {e["folder"] for e in catalog.state(POSTINGS)["entries"] if e["day"] != str(day(2))} == before
+    assert catalog.read(POSTINGS, [day(2)]).filter("keyword <> 'k9'").count() == 0

@@ -3,10 +3,12 @@
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lakewright import registry
+from lakewright.functions import aspects
 
 WHERE = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(WHERE), reason="the driver's tables are not here")
@@ -32,3 +34,30 @@ def test_cleanse_of_ids_with_repeated_digits(spark, tmp_path):
     got = sorted(map(tuple, registry.queries()["m04_cleanse_parts"](spark, where).select("platform_review_id", "refined_text", "processing_status").collect()))
     assert got == by_sql(where, "m04_cleanse_parts")
     assert any(r[1] == "review 22230" for r in got)
+
+
+@pytest.mark.parametrize("name", ["st01_incremental_pickup", "st02_redelivery_stream"])
+def test_streams_get_files_of_many_tasks(spark, tmp_path, monkeypatch, name):
+    where = tables(spark, tmp_path / "in", documents=spark.read.parquet(f"{WHERE}/documents.parquet").repartition(3))
+    monkeypatch.setattr(registry, "_scratch", lambda _: f"file://{tmp_path}/out")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = registry.queries()[name](spark, where).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(map(tuple, got)) == by_sql(where, name)
+    assert all(len(list((tmp_path / f"out/bronze/d{run}").glob("part-*"))) > 1 for run in (0, 1))
+
+
+def test_spans_leave_in_small_batches():
+    """A worker does not hold the spans of a whole batch, and takes the next one only when those of the first have left."""
+    taken = []
+    batches = (taken.append(k) or pa.array([None if n % 50 == 0 else f"a b{n}" for n in range(200)]) for k in range(2))
+    got = aspects.span_batches(batches, lambda text: [("b", 2, 3)])
+    sizes = []
+    for n, out in enumerate(got):
+        sizes.append(len(out))
+        assert len(taken) == n // 4 + 1
+        assert [x is None for x in out.to_pylist()] == [(k + 64 * (n % 4)) % 50 == 0 for k in range(len(out))]
+    assert sizes == [64, 64, 64, 8] * 2
+    assert out.to_pylist()[1] == [{"keyword": "b", "start": 2, "end": 3, "context": "a b193"}]

@@ -8,18 +8,22 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from lakewright.config import lexicons
 from lakewright.functions import keywords, vectors
 
 WINDOW = 3
 MOST = 20
+#: Rows of an Arrow batch whose texts and spans are Python objects at a time.
+ROWS = 64
+_SPANS = pa.list_(pa.struct([("keyword", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("context", pa.string())]))
 
 
 def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categories: dict[str, tuple[str, ...]] | None = None, nouns=None) -> Column:
@@ -30,9 +34,9 @@ def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categori
     known = {*sentiment, *(t for x in categories.values() for t in x)}
     lexicon = keywords.Finder(keywords.ordered(known))
 
-    @pandas_udf("array<struct<keyword:string,start:int,end:int,context:string>>")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(lambda x: [dict(zip(("keyword", "start", "end", "context"), y, strict=True)) for y in in_context(x, find(x))], na_action="ignore")
+    @arrow_udf("array<struct<keyword:string,start:int,end:int,context:string>>")
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return span_batches(texts, find)
 
     def find(text: str) -> list[tuple[str, int, int]]:
         if nouns is not None:
@@ -50,6 +54,14 @@ def keyword_spans(c: Column, sentiment: dict[str, float] | None = None, categori
     return run(c)
 
 
+def span_batches(texts: Iterator[pa.Array], find: Callable[[str], list[tuple[str, int, int]]]) -> Iterator[pa.Array]:
+    """The spans of `ROWS` texts after the other: what a worker holds beside a batch of texts does not grow with the batch."""
+    for batch in texts:
+        for k in range(0, len(batch), ROWS):
+            found = (x if x is None else in_context(x, find(x)) for x in batch.slice(k, ROWS).to_pylist())
+            yield pa.array([x if x is None else [dict(zip(("keyword", "start", "end", "context"), y, strict=True)) for y in x] for x in found], _SPANS)
+
+
 def in_context(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int, str]]:
     """Spans with their N03 contexts: the text's tokens and where they end, single spaces between, are found once."""
     if not spans:

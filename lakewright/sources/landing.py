@@ -26,32 +26,42 @@ def appstore_pages(spark: SparkSession, path: str) -> DataFrame:
     """Files <app>/<page>.json, or app=<app>/page=<page>/<any name> -> (app, page, at, entry) of all entries; one entry
     may stand without its list.
 
-    Pages behind the first empty one are not read on; the entry with the app's name is no review.
+    Pages behind the first empty one are not read on; the entry with the app's name is no review. The driver lists each file: many
+    pages land better as `appstore_bundles`.
     """
     raw = spark.read.text(path, wholetext=True, recursiveFileLookup=True).withColumn("file", F.col("_metadata.file_path"))
+    return _entries(raw.select(F.regexp_extract("file", _PAGE, 1).alias("app"), F.regexp_extract("file", _PAGE, 2).cast("int").alias("page"), "value"))
+
+
+def appstore_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """The same of JSON lines {app, page, value}, any number of pages in a file; value is a page's text."""
+    return _entries(spark.read.schema("app string, page int, value string").json(path))
+
+
+def _entries(raw: DataFrame) -> DataFrame:
     entry = F.get_json_object("value", "$.feed.entry")
     listed = F.when(entry.startswith("["), entry).otherwise(F.concat(F.lit("["), entry, F.lit("]")))
-    pages = raw.select(
-        F.regexp_extract("file", _PAGE, 1).alias("app"),
-        F.regexp_extract("file", _PAGE, 2).cast("int").alias("page"),
-        F.coalesce(F.from_json(listed, f"array<{_ENTRY}>"), F.array().cast(f"array<{_ENTRY}>")).alias("entries"),
-    )
+    pages = raw.select("app", "page", F.coalesce(F.from_json(listed, f"array<{_ENTRY}>"), F.array().cast(f"array<{_ENTRY}>")).alias("entries"))
     empty = pages.filter(F.size("entries") == 0).groupBy("app").agg(F.min("page").alias("stop"))
-    read = pages.join(empty, "app", "left").filter(F.col("stop").isNull() | (F.col("page") < F.col("stop")))
+    # a row for an app at most: a shuffle by app would bring all pages of a large one together
+    read = pages.join(F.broadcast(empty), "app", "left").filter(F.col("stop").isNull() | (F.col("page") < F.col("stop")))
     return read.select("app", "page", F.posexplode("entries").alias("at", "entry"))
 
 
 def app_names(entries: DataFrame) -> DataFrame:
     """The name on the first page, else app_<id>."""
-    names = entries.filter("page = 1 and at = 0").select("app", F.col("entry.`im:name`.label").alias("found"))
-    return entries.select("app").distinct().join(names, "app", "left").select("app", F.coalesce("found", F.concat(F.lit("app_"), "app")).alias("name"))
+    found = F.max(F.when((F.col("page") == 1) & (F.col("at") == 0), F.col("entry.`im:name`.label")))
+    return entries.groupBy("app").agg(F.coalesce(found, F.concat(F.lit("app_"), "app")).alias("name"))
 
 
 def appstore_reviews(entries: DataFrame, most: int, now: Column | None = None) -> DataFrame:
-    """Review rows, at most `most` of each app in page order; blank texts are skipped."""
+    """Review rows, at most `most` of each app in page order; blank texts are skipped. An app's pages are counted in one
+    task, its entries are not brought together."""
     e = entries.filter(F.col("entry.`im:rating`").isNotNull() | F.col("entry.`im:name`").isNull())
-    place = F.row_number().over(Window.partitionBy("app").orderBy("page", "at"))
-    e = e.withColumn("n", place).filter(F.col("n") <= most)
+    pages = e.groupBy("app", "page").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy("app").orderBy("page")) - F.col("n")
+    place = F.col("before") + F.row_number().over(Window.partitionBy("app", "page").orderBy("at"))
+    e = e.join(pages.select("app", "page", before.alias("before")), ["app", "page"]).withColumn("n", place).filter(F.col("n") <= most)
     rows = e.select(
         F.col("app").alias("platform_app_id"), F.lit("APPSTORE").alias("platform_type"), F.col("entry.id.label").alias("platform_review_id"),
         F.col("entry.author.name.label").alias("reviewer_name"), F.col("entry.content.label").alias("review_text"),

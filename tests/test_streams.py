@@ -83,6 +83,23 @@ def test_late_reviews_reach_their_days(spark, catalog):  # noqa: F811
     assert steps.run_aggregate(catalog, as_of).message is None
 
 
+def test_changed_days_take_one_pass_without_dropped_lists(spark, catalog, monkeypatch):  # noqa: F811
+    """The day of as_of and the changed days are computed together, and no list of a day that the retention drops."""
+    for k, day in ((1, 1), (2, 18), (3, 20)):
+        catalog.append(HUB, frame(spark, HUB, [hub_row(k, "ANALYZED", day, service_id="s")]))
+        catalog.append("app_reviews", frame(spark, "app_reviews", [dict(review_id=f"r{k}", platform_type="APPSTORE", platform_review_id=f"p{k}", rating=3)]))
+        catalog.append("review_action_analysis", frame(spark, "review_action_analysis", [dict(review_id=f"r{k}", is_action_required=True)]))
+    seen = []
+    for name, f in list(steps.marts.BUILDERS.items()):
+        make = lambda views, *a, name=name, f=f: (seen.append((name, sorted(r[0].day for r in views[HUB].select("review_created_at").collect()))), f(views, *a))[1]
+        monkeypatch.setitem(steps.marts.BUILDERS, name, make)
+    got = steps.run_aggregate(catalog, dt.date(2026, 5, 20))
+    assert (got.status, got.message, got.output_count) == ("success", "changed days: 2026-05-01, 2026-05-18", 2)
+    assert seen == [(m, [18, 20] if m == "srv_daily_review_list" else [1, 18, 20]) for m in steps.MARTS]
+    assert sorted(r["date"].day for r in catalog.read("srv_daily_review_list").collect()) == [18, 20]
+    assert sorted(r["date"].day for r in catalog.read(steps.MARTS[0]).collect()) == [1, 18, 20]
+
+
 def test_a_torn_note_counts_as_none(spark, catalog):  # noqa: F811
     catalog.note("aggregated", {"a": 1})
     assert catalog.noted("aggregated", {}) == {"a": 1} and catalog.noted("other", 5) == 5

@@ -100,6 +100,30 @@ def test_changed_days_take_one_pass_without_dropped_lists(spark, catalog, monkey
     assert sorted(r["date"].day for r in catalog.read(steps.MARTS[0]).collect()) == [1, 18, 20]
 
 
+def test_a_second_pass_reads_texts_of_new_reviews_only(spark, catalog):  # noqa: F811
+    """An upsert keeps the list's texts, so a pass over its days needs none of theirs; their files may even be unreadable."""
+
+    def analysed(k, word):
+        catalog.append(HUB, frame(spark, HUB, [hub_row(k, "ANALYZED", 1, service_id="s")]))
+        catalog.append("app_reviews", frame(spark, "app_reviews", [dict(review_id=f"r{k}", platform_type="APPSTORE", platform_review_id=f"p{k}", rating=3)]))
+        catalog.append("review_action_analysis", frame(spark, "review_action_analysis", [dict(review_id=f"r{k}", is_action_required=True)]))
+        catalog.append("reviews_preprocessed", frame(spark, "reviews_preprocessed", [dict(review_id=f"r{k}", platform_review_id=f"p{k}", refined_text=word)]))
+
+    def texts():
+        steps.aggregate_all(catalog, dt.date(2026, 5, 2))
+        return sorted((r["review_id"], r["refined_text"]) for r in catalog.read("srv_daily_review_list").collect())
+
+    analysed(1, "one")
+    analysed(2, None)
+    assert texts() == [("r1", "one"), ("r2", None)]
+    catalog.upsert("reviews_preprocessed", frame(spark, "reviews_preprocessed", [dict(review_id=f"r{k}", platform_review_id=f"p{k}", refined_text="late") for k in (1, 2)]))
+    analysed(3, "three")
+    assert texts() == [("r1", "one"), ("r2", None), ("r3", "three")]
+    for path, _ in lake.list_files(spark, catalog.path("reviews_preprocessed")):
+        lake.put(spark, path, b"no Parquet")
+    assert texts() == [("r1", "one"), ("r2", None), ("r3", "three")]
+
+
 def test_a_torn_note_counts_as_none(spark, catalog):  # noqa: F811
     catalog.note("aggregated", {"a": 1})
     assert catalog.noted("aggregated", {}) == {"a": 1} and catalog.noted("other", 5) == 5
